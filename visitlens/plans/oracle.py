@@ -139,3 +139,80 @@ ORACLE["session_filter"] = _with(
 SELECT {SESSION_COLS}, age, professional, city, sex FROM f"""
 
 ORACLE["session_stats"] = _stats_sql()
+
+DETAIL = "detail AS (SELECT * FROM actions WHERE session_id IN (SELECT session_id FROM filtered))"
+DETAIL_COLS = """d.user_id, d.session_id, d.page_id, d.action_time, d.search_keyword,
+  d.click_category_id, d.click_product_id, d.order_category_ids, d.order_product_ids,
+  d.pay_category_ids, d.pay_product_ids, d.event_id"""
+
+
+def _csv_ids(col: str, kind: int) -> str:
+    return (f"SELECT TRY_CAST(x AS BIGINT) AS cat, {kind} AS kind FROM "
+            f"(SELECT unnest(string_split({col}, ',')) AS x FROM detail "
+            f"WHERE {col} IS NOT NULL) WHERE x <> ''")
+
+
+CATEGORY_COUNTS = f"""cats AS (
+  SELECT click_category_id AS cat, 0 AS kind FROM detail WHERE click_category_id IS NOT NULL
+  UNION ALL {_csv_ids('order_category_ids', 1)}
+  UNION ALL {_csv_ids('pay_category_ids', 2)}
+),
+counts AS (
+  SELECT cat AS category_id,
+         count(*) FILTER (WHERE kind = 0) AS click_count,
+         count(*) FILTER (WHERE kind = 1) AS order_count,
+         count(*) FILTER (WHERE kind = 2) AS pay_count
+  FROM cats WHERE cat IS NOT NULL GROUP BY cat
+),
+top AS (
+  SELECT * FROM counts
+  ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id
+  LIMIT {P.TOP_CATEGORIES}
+)"""
+
+TOP_SESSIONS = f"""cs AS (
+  SELECT click_category_id AS category_id, session_id, count(*) AS click_count
+  FROM detail WHERE click_category_id IN (SELECT category_id FROM top)
+  GROUP BY 1, 2
+),
+top_sessions AS (
+  SELECT category_id, session_id, click_count FROM (
+    SELECT *, row_number() OVER (PARTITION BY category_id
+                                 ORDER BY click_count DESC, session_id) AS rn
+    FROM cs) WHERE rn <= {P.TOP_SESSIONS}
+)"""
+
+ORACLE["top10_category"] = _with(FILTERED, DETAIL, CATEGORY_COUNTS) + "SELECT * FROM top"
+ORACLE["top10_session"] = (_with(FILTERED, DETAIL, CATEGORY_COUNTS, TOP_SESSIONS)
+                           + "SELECT * FROM top_sessions")
+ORACLE["top10_session_detail"] = (
+    _with(FILTERED, DETAIL, CATEGORY_COUNTS, TOP_SESSIONS)
+    + f"SELECT t.category_id, {DETAIL_COLS}\n"
+      "FROM top_sessions t JOIN detail d ON d.session_id = t.session_id")
+
+
+def _funnel_sql(flow) -> str:
+    from visitlens.operators.funnel import flow_slices
+    slices = flow_slices(flow)
+    distinct = list(dict.fromkeys(slices))
+    idx = {s: j for j, s in enumerate(distinct)}
+    pv_cols = ",\n  ".join(
+        f"count(*) FILTER (WHERE prev IS NOT NULL AND "
+        f"CAST(prev AS VARCHAR) || '_' || CAST(page_id AS VARCHAR) = '{s}') AS pv{j}"
+        for j, s in enumerate(distinct))
+    last = {s: i for i, s in enumerate(slices, start=1)}
+    parts = []
+    for i, s in enumerate(slices, start=1):
+        if last[s] != i:
+            continue
+        den = "start_pv" if i == 1 else f"pv{idx[slices[i - 2]]}"
+        parts.append(f"SELECT {i} AS step, '{s}' AS page_slice, pv{idx[s]} AS slice_pv, "
+                     f"{_ratio(f'pv{idx[s]}', den)} AS convert_rate FROM c")
+    seq = ("seq AS (SELECT page_id, lag(page_id) OVER (PARTITION BY session_id "
+           "ORDER BY CAST(action_time AS TIMESTAMP), event_id) AS prev FROM actions)")
+    c = (f"c AS (SELECT count(*) FILTER (WHERE page_id = {int(flow[0])}) AS start_pv,\n  "
+         f"{pv_cols}\nFROM seq)")
+    return _with(seq, c) + "\nUNION ALL\n".join(parts)
+
+
+ORACLE["page_conversion"] = _funnel_sql(P.TARGET_PAGE_FLOW)

@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from visitlens.functions.columns import format_time
+from visitlens.operators import categories as C
+from visitlens.operators import funnel as FN
 from visitlens.operators import sessions as S
 from visitlens.plans import params as P
 from visitlens.sources import fixtures
@@ -43,6 +45,9 @@ class Inputs:
     def filtered(self) -> DataFrame:
         return S.filter_sessions(self.sessions(), P.SESSION_PARAMS)
 
+    def detail(self) -> DataFrame:
+        return S.session_detail(self.actions(), self.filtered())
+
 
 def session_text(df: DataFrame) -> DataFrame:
     """Arrays and times of a session row as text."""
@@ -67,8 +72,35 @@ def q_session_stats(spark, sf_dir):
     return S.session_stats(Inputs(spark, sf_dir).filtered())
 
 
+def q_top10_category(spark, sf_dir):
+    return C.top_categories(Inputs(spark, sf_dir).detail(), P.TOP_CATEGORIES)
+
+
+def _top_sessions(inp: Inputs) -> DataFrame:
+    detail = inp.detail()
+    top = C.top_categories(detail, P.TOP_CATEGORIES)
+    return C.top_sessions_per_category(detail, top, P.TOP_SESSIONS)
+
+
+def q_top10_session(spark, sf_dir):
+    return _top_sessions(Inputs(spark, sf_dir))
+
+
+def q_top10_session_detail(spark, sf_dir):
+    inp = Inputs(spark, sf_dir)
+    return C.tagged_detail(inp.detail(), _top_sessions(inp), ["category_id"])
+
+
+def q_page_conversion(spark, sf_dir):
+    return FN.page_conversion(Inputs(spark, sf_dir).actions(), P.TARGET_PAGE_FLOW)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_aggregate": q_session_aggregate,
     "session_filter": q_session_filter,
     "session_stats": q_session_stats,
+    "top10_category": q_top10_category,
+    "top10_session": q_top10_session,
+    "top10_session_detail": q_top10_session_detail,
+    "page_conversion": q_page_conversion,
 }
