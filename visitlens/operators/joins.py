@@ -1,0 +1,17 @@
+"""Join helpers: size-checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows (an early-stopping
+    limit), so it costs little on a dimension table. Above the bound the
+    frame is returned as is and the join stays a shuffle join (which AQE
+    may still demote to a broadcast from measured sizes).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -216,3 +216,78 @@ def _funnel_sql(flow) -> str:
 
 
 ORACLE["page_conversion"] = _funnel_sql(P.TARGET_PAGE_FLOW)
+
+
+def _area_level_sql() -> str:
+    from visitlens.operators.products import AREA_LEVELS, OTHER_AREA_LEVEL
+    whens = " ".join(f"WHEN area = '{a}' THEN '{lvl}'" for a, lvl in AREA_LEVELS.items())
+    return f"CASE {whens} ELSE '{OTHER_AREA_LEVEL}' END"
+
+
+def _status_sql() -> str:
+    from visitlens.operators.products import SELF_OPERATED, THIRD_PARTY
+    return (f"CASE WHEN json_extract_string(extend_info, '$.product_status') = '0' "
+            f"THEN '{SELF_OPERATED}' ELSE '{THIRD_PARTY}' END")
+
+
+CLICK_BASIC = """basic AS (
+  SELECT a.city_id, c.city_name, c.area, a.click_product_id AS product_id, a.event_id
+  FROM actions a JOIN city_info c ON a.city_id = c.city_id
+  WHERE a.click_product_id IS NOT NULL
+)"""
+AREA_COUNTS = """apc AS (
+  SELECT area, product_id, count(*) AS click_count,
+         string_agg(DISTINCT CAST(city_id AS VARCHAR) || ':' || city_name, ','
+                    ORDER BY CAST(city_id AS VARCHAR) || ':' || city_name) AS city_infos
+  FROM basic GROUP BY area, product_id
+)"""
+
+ORACLE["area_product_clicks"] = _with(CLICK_BASIC, AREA_COUNTS) + "SELECT * FROM apc"
+ORACLE["salted_area_product"] = ORACLE["area_product_clicks"]
+ORACLE["area_top3_product"] = _with(CLICK_BASIC, AREA_COUNTS, f"""full_ AS (
+  SELECT apc.*, p.product_name, {_status_sql()} AS product_status
+  FROM apc JOIN product_info p ON apc.product_id = p.product_id
+)""") + f"""
+SELECT area, {_area_level_sql()} AS area_level, product_id, click_count, city_infos,
+       product_name, product_status
+FROM (SELECT *, row_number() OVER (PARTITION BY area
+                                   ORDER BY click_count DESC, product_id) AS rn FROM full_)
+WHERE rn <= {P.TOP_PRODUCTS}"""
+ORACLE["skew_join_product"] = _with(CLICK_BASIC) + f"""
+SELECT b.area, b.product_id, p.product_name, {_status_sql()} AS product_status,
+       count(*) AS click_count
+FROM basic b JOIN product_info p ON b.product_id = p.product_id
+GROUP BY 1, 2, 3, 4"""
+
+SAMPLE = f"""fs AS (
+  SELECT *, CAST(start_time AS DATE) AS date, CAST(hour(start_time) AS INTEGER) AS hour
+  FROM filtered
+),
+hc AS (SELECT date, hour, count(*) AS session_count FROM fs GROUP BY date, hour),
+q AS (
+  SELECT date, hour, session_count,
+         sum(session_count) OVER (PARTITION BY date) AS day_count,
+         (SELECT count(DISTINCT date) FROM hc) AS days
+  FROM hc
+),
+quotas AS (
+  SELECT date, hour,
+         least(CAST(floor((session_count::DOUBLE / day_count::DOUBLE)
+                          * ({P.SAMPLE_SIZE} // days)) AS BIGINT), session_count) AS quota
+  FROM q
+),
+ranked AS (
+  SELECT fs.*, row_number() OVER (PARTITION BY date, hour
+                                  ORDER BY md5(session_id || '{P.SAMPLE_SEED}'), session_id) AS rn
+  FROM fs
+),
+sample AS (SELECT r.* FROM ranked r JOIN quotas q USING (date, hour) WHERE r.rn <= q.quota)"""
+
+ORACLE["session_hour_counts"] = _with(FILTERED, SAMPLE) + "SELECT * FROM hc"
+ORACLE["session_sample"] = _with(FILTERED, SAMPLE) + """
+SELECT session_id, strftime(start_time, '%Y-%m-%d %H:%M:%S') AS start_time,
+       array_to_string(kw_list, ',') AS search_keywords,
+       array_to_string(cat_list, ',') AS click_category_ids
+FROM sample"""
+ORACLE["session_sample_detail"] = _with(FILTERED, SAMPLE) + f"""
+SELECT {DETAIL_COLS} FROM sample s JOIN actions d ON d.session_id = s.session_id"""

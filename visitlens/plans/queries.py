@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from visitlens.functions.columns import format_time
 from visitlens.operators import categories as C
 from visitlens.operators import funnel as FN
+from visitlens.operators import products as PR
+from visitlens.operators import sampling as SA
+from visitlens.operators import skew as SK
 from visitlens.operators import sessions as S
 from visitlens.plans import params as P
 from visitlens.sources import fixtures
@@ -95,6 +98,53 @@ def q_page_conversion(spark, sf_dir):
     return FN.page_conversion(Inputs(spark, sf_dir).actions(), P.TARGET_PAGE_FLOW)
 
 
+def _click_basic(inp: Inputs) -> DataFrame:
+    return PR.click_product_basic(PR.click_actions(inp.actions(), keep=("event_id",)),
+                                  inp.cities())
+
+
+def q_area_product_clicks(spark, sf_dir):
+    return PR.area_product_clicks(_click_basic(Inputs(spark, sf_dir)))
+
+
+def q_area_top3_product(spark, sf_dir):
+    inp = Inputs(spark, sf_dir)
+    full = PR.with_product_info(PR.area_product_clicks(_click_basic(inp)), inp.products())
+    return PR.top_products_per_area(full, P.TOP_PRODUCTS)
+
+
+def q_salted_area_product(spark, sf_dir):
+    return SK.salted_area_product_clicks(_click_basic(Inputs(spark, sf_dir)), P.SALT_BUCKETS)
+
+
+def q_skew_join_product(spark, sf_dir):
+    """Clicks joined to products with a salted join, then counted."""
+    inp = Inputs(spark, sf_dir)
+    prod = inp.products().select("product_id", "product_name",
+                                 PR.product_status("extend_info").alias("product_status"))
+    joined = SK.skew_join(_click_basic(inp), prod, "product_id", P.SALT_BUCKETS, ["event_id"])
+    return (joined.groupBy("area", "product_id", "product_name", "product_status")
+            .agg(F.count(F.lit(1)).alias("click_count")))
+
+
+def q_session_hour_counts(spark, sf_dir):
+    return SA.session_hour_counts(Inputs(spark, sf_dir).filtered())
+
+
+def _sample(inp: Inputs) -> DataFrame:
+    return SA.sample_sessions(inp.filtered(), P.SAMPLE_SIZE, P.SAMPLE_SEED)
+
+
+def q_session_sample(spark, sf_dir):
+    return session_text(_sample(Inputs(spark, sf_dir))).select(
+        "session_id", "start_time", "search_keywords", "click_category_ids")
+
+
+def q_session_sample_detail(spark, sf_dir):
+    inp = Inputs(spark, sf_dir)
+    return C.tagged_detail(inp.actions(), _sample(inp), [])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_aggregate": q_session_aggregate,
     "session_filter": q_session_filter,
@@ -103,4 +153,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top10_session": q_top10_session,
     "top10_session_detail": q_top10_session_detail,
     "page_conversion": q_page_conversion,
+    "area_product_clicks": q_area_product_clicks,
+    "area_top3_product": q_area_top3_product,
+    "salted_area_product": q_salted_area_product,
+    "skew_join_product": q_skew_join_product,
+    "session_hour_counts": q_session_hour_counts,
+    "session_sample": q_session_sample,
+    "session_sample_detail": q_session_sample_detail,
 }
