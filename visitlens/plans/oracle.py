@@ -291,3 +291,61 @@ SELECT session_id, strftime(start_time, '%Y-%m-%d %H:%M:%S') AS start_time,
 FROM sample"""
 ORACLE["session_sample_detail"] = _with(FILTERED, SAMPLE) + f"""
 SELECT {DETAIL_COLS} FROM sample s JOIN actions d ON d.session_id = s.session_id"""
+
+AD_CLICKS = """adlog AS (
+  SELECT CAST(epoch_us(e.ts) // 1000 AS VARCHAR) || '_' || r.r_name || '_'
+         || replace(n.n_name, '_', '') || '_' || CAST(e.user_id % 10 AS VARCHAR) || '_'
+         || CAST(e.k % 10 AS VARCHAR) AS value
+  FROM ev e JOIN nation n ON n.n_nationkey = e.event_id % 25
+            JOIN region r ON n.n_regionkey = r.r_regionkey
+),
+parts AS (SELECT string_split(value, '_') AS p FROM adlog),
+clicks AS (
+  SELECT ts_ms, CAST(make_timestamp(ts_ms * 1000) AS DATE) AS date,
+         make_timestamp(ts_ms * 1000) AS t, province, city, user_id, ad_id
+  FROM (SELECT TRY_CAST(p[1] AS BIGINT) AS ts_ms, p[2] AS province, p[3] AS city,
+               TRY_CAST(p[4] AS BIGINT) AS user_id, TRY_CAST(p[5] AS BIGINT) AS ad_id
+        FROM parts WHERE len(p) = 5)
+  WHERE ts_ms IS NOT NULL AND user_id IS NOT NULL AND ad_id IS NOT NULL
+),
+user_counts AS (
+  SELECT date, user_id, ad_id, count(*) AS click_count FROM clicks GROUP BY 1, 2, 3
+),"""
+AD_FILTERED = f"""blacklist AS (
+  SELECT DISTINCT user_id FROM user_counts WHERE click_count >= {P.BLACKLIST_THRESHOLD}
+),
+filtered_clicks AS (
+  SELECT * FROM clicks WHERE user_id NOT IN (SELECT user_id FROM blacklist)
+),
+stat AS (
+  SELECT date, province, city, ad_id, count(*) AS click_count
+  FROM filtered_clicks GROUP BY 1, 2, 3, 4
+)"""
+
+
+def _ad_with(*ctes: str) -> str:
+    return _with(AD_CLICKS + "\n" + AD_FILTERED, *ctes)
+
+
+ORACLE["ad_user_click_count"] = _ad_with() + "SELECT * FROM user_counts"
+ORACLE["ad_blacklist"] = _ad_with() + "SELECT * FROM blacklist"
+ORACLE["ad_filtered"] = _ad_with() + (
+    "SELECT ts_ms, date, province, city, user_id, ad_id FROM filtered_clicks")
+ORACLE["ad_stat"] = _ad_with() + "SELECT * FROM stat"
+ORACLE["ad_province_top3"] = _ad_with() + """
+SELECT date, province, ad_id, click_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY date, province
+                               ORDER BY click_count DESC, ad_id) AS rn
+  FROM (SELECT date, province, ad_id, sum(click_count) AS click_count
+        FROM stat GROUP BY 1, 2, 3))
+WHERE rn <= 3"""
+ORACLE["ad_click_trend"] = _ad_with() + """
+SELECT date, strftime(t, '%H') AS hour, strftime(t, '%M') AS minute, ad_id,
+       count(*) AS click_count
+FROM clicks GROUP BY 1, 2, 3, 4"""
+ORACLE["ad_trend_sliding"] = _ad_with() + """
+SELECT strftime(make_timestamp(start_ms * 1000), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(make_timestamp((start_ms + 3600000) * 1000), '%Y-%m-%d %H:%M:%S') AS window_end,
+       ad_id, click_count
+FROM (SELECT (ts_ms // 600000 - i) * 600000 AS start_ms, ad_id, count(*) AS click_count
+      FROM clicks, range(6) AS r(i) GROUP BY 1, 2)"""

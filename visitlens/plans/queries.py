@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from visitlens.functions.columns import format_time
+from visitlens.operators import ads as AD
 from visitlens.operators import categories as C
 from visitlens.operators import funnel as FN
 from visitlens.operators import products as PR
@@ -20,6 +21,7 @@ from visitlens.operators import skew as SK
 from visitlens.operators import sessions as S
 from visitlens.plans import params as P
 from visitlens.sources import fixtures
+from visitlens.sources.adlog import decode_ad_log
 from visitlens.sources.tables import Tables
 
 
@@ -42,6 +44,9 @@ class Inputs:
     def cities(self) -> DataFrame:
         return fixtures.city_info(self.t.nation, self.t.region)
 
+    def ad_clicks(self) -> DataFrame:
+        return decode_ad_log(fixtures.ad_log(self.t.events, self.t.nation, self.t.region))[0]
+
     def sessions(self) -> DataFrame:
         return S.session_aggregate(self.actions(), self.users())
 
@@ -145,6 +150,46 @@ def q_session_sample_detail(spark, sf_dir):
     return C.tagged_detail(inp.actions(), _sample(inp), [])
 
 
+CLICK_COLS = ["ts_ms", "date", "province", "city", "user_id", "ad_id"]
+
+
+def q_ad_user_click_count(spark, sf_dir):
+    return AD.user_ad_click_counts(Inputs(spark, sf_dir).ad_clicks())
+
+
+def _blacklist(clicks: DataFrame) -> DataFrame:
+    return AD.blacklist_users(AD.user_ad_click_counts(clicks), P.BLACKLIST_THRESHOLD)
+
+
+def q_ad_blacklist(spark, sf_dir):
+    return _blacklist(Inputs(spark, sf_dir).ad_clicks())
+
+
+def _filtered_clicks(inp: Inputs) -> DataFrame:
+    clicks = inp.ad_clicks()
+    return AD.filter_blacklisted(clicks, _blacklist(clicks))
+
+
+def q_ad_filtered(spark, sf_dir):
+    return _filtered_clicks(Inputs(spark, sf_dir)).select(*CLICK_COLS)
+
+
+def q_ad_stat(spark, sf_dir):
+    return AD.ad_stat(_filtered_clicks(Inputs(spark, sf_dir)))
+
+
+def q_ad_province_top3(spark, sf_dir):
+    return AD.province_top_ads(AD.ad_stat(_filtered_clicks(Inputs(spark, sf_dir))), 3)
+
+
+def q_ad_click_trend(spark, sf_dir):
+    return AD.minute_trend(Inputs(spark, sf_dir).ad_clicks())
+
+
+def q_ad_trend_sliding(spark, sf_dir):
+    return AD.sliding_trend(Inputs(spark, sf_dir).ad_clicks(), 60, 10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_aggregate": q_session_aggregate,
     "session_filter": q_session_filter,
@@ -160,4 +205,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_hour_counts": q_session_hour_counts,
     "session_sample": q_session_sample,
     "session_sample_detail": q_session_sample_detail,
+    "ad_user_click_count": q_ad_user_click_count,
+    "ad_blacklist": q_ad_blacklist,
+    "ad_filtered": q_ad_filtered,
+    "ad_stat": q_ad_stat,
+    "ad_province_top3": q_ad_province_top3,
+    "ad_click_trend": q_ad_click_trend,
+    "ad_trend_sliding": q_ad_trend_sliding,
 }
