@@ -349,3 +349,17 @@ SELECT strftime(make_timestamp(start_ms * 1000), '%Y-%m-%d %H:%M:%S') AS window_
        ad_id, click_count
 FROM (SELECT (ts_ms // 600000 - i) * 600000 AS start_ms, ad_id, count(*) AS click_count
       FROM clicks, range(6) AS r(i) GROUP BY 1, 2)"""
+
+ALL_STAT = """all_stat AS (
+  SELECT date, province, city, ad_id, count(*) AS click_count FROM clicks GROUP BY 1, 2, 3, 4
+)"""
+ORACLE["stream_ad_stat"] = _ad_with(ALL_STAT) + "SELECT * FROM all_stat"
+ORACLE["stream_ad_province_top3"] = _ad_with(ALL_STAT) + """
+SELECT date, province, ad_id, click_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY date, province
+                               ORDER BY click_count DESC, ad_id) AS rn
+  FROM (SELECT date, province, ad_id, sum(click_count) AS click_count
+        FROM all_stat GROUP BY 1, 2, 3))
+WHERE rn <= 3"""
+ORACLE["stream_ad_blacklist"] = ORACLE["ad_blacklist"]
+ORACLE["stream_ad_click_trend"] = ORACLE["ad_click_trend"]

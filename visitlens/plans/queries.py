@@ -23,6 +23,8 @@ from visitlens.plans import params as P
 from visitlens.sources import fixtures
 from visitlens.sources.adlog import decode_ad_log
 from visitlens.sources.tables import Tables
+from visitlens.session import scratch_dir
+from visitlens.streaming import ad_stream as STR
 
 
 class Inputs:
@@ -190,6 +192,50 @@ def q_ad_trend_sliding(spark, sf_dir):
     return AD.sliding_trend(Inputs(spark, sf_dir).ad_clicks(), 60, 10)
 
 
+def _ad_log_files(spark: SparkSession, sf_dir: str, files: int = 8) -> str:
+    """The derived ad log as text files (one line per click), split by event id."""
+    t = Tables(spark, sf_dir)
+    path = scratch_dir(spark, "adlog")
+    (fixtures.ad_log(t.events, t.nation, t.region)
+     .repartition(files, "event_id").select("value")
+     .write.mode("overwrite").text(path))
+    return path
+
+
+def _run_ad_stream(spark, sf_dir, threshold: int, files_per_batch: int = 2):
+    src = _ad_log_files(spark, sf_dir)
+    root = scratch_dir(spark, "ad-stream")
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(src)
+    query, store = STR.start_ad_stream(spark, lines, f"{root}/state", f"{root}/checkpoint",
+                                       threshold=threshold, trigger="availableNow")
+    query.awaitTermination()
+    return store
+
+
+def q_stream_ad_stat(spark, sf_dir):
+    """R1-R5 over several micro-batches; the default threshold never fires here."""
+    return _run_ad_stream(spark, sf_dir, threshold=100).read("ad_stat")
+
+
+def q_stream_ad_province_top3(spark, sf_dir):
+    return _run_ad_stream(spark, sf_dir, threshold=100).read("ad_province_top3")
+
+
+def q_stream_ad_blacklist(spark, sf_dir):
+    """R4 feedback loop over several micro-batches; the final set is order-free."""
+    return _run_ad_stream(spark, sf_dir, threshold=P.BLACKLIST_THRESHOLD).read("ad_blacklist")
+
+
+def q_stream_ad_click_trend(spark, sf_dir):
+    """Watermarked 1-minute windows, update mode, upserted per batch."""
+    src = _ad_log_files(spark, sf_dir)
+    root = scratch_dir(spark, "trend-stream")
+    query, store = STR.start_trend_stream(spark, spark.readStream.text(src), f"{root}/state",
+                                          f"{root}/checkpoint", trigger="availableNow")
+    query.awaitTermination()
+    return store.read("ad_click_trend")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_aggregate": q_session_aggregate,
     "session_filter": q_session_filter,
@@ -212,4 +258,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ad_province_top3": q_ad_province_top3,
     "ad_click_trend": q_ad_click_trend,
     "ad_trend_sliding": q_ad_trend_sliding,
+    "stream_ad_stat": q_stream_ad_stat,
+    "stream_ad_province_top3": q_stream_ad_province_top3,
+    "stream_ad_blacklist": q_stream_ad_blacklist,
+    "stream_ad_click_trend": q_stream_ad_click_trend,
 }

@@ -1,0 +1,103 @@
+"""Versioned result tables switched together by a commit marker.
+
+Layout under ``root``::
+
+    <table>/batch=<id>/...parquet     one full version per committed batch
+    _commits/batch=<id>/...json       written last; a version is visible
+                                      only once its marker exists
+
+A batch writes every table's new version (overwriting any half-written
+attempt of the same id), then its marker. Readers take the highest
+committed id, so a retried batch sees all of a previous attempt or none,
+and a re-delivered batch id is recognised and skipped. Versions stay
+immutable: a new version never overwrites a path that is being read.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+
+class SnapshotStore:
+    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType],
+                 keep_versions: int = 3):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.schemas = schemas
+        self.keep_versions = keep_versions
+
+    def _path(self, table: str, batch_id: int) -> str:
+        return f"{self.root}/{table}/batch={batch_id}"
+
+    def _fs_path(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(conf)
+
+    def _exists(self, path: str) -> bool:
+        p, fs = self._fs_path(path)
+        return bool(fs.exists(p))
+
+    def committed(self) -> list[int]:
+        """Committed batch ids, ascending: marker folders whose write completed."""
+        commits, fs = self._fs_path(f"{self.root}/_commits")
+        if not fs.exists(commits):
+            return []
+        path_cls = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        ids = []
+        for status in fs.listStatus(commits):
+            name = status.getPath().getName()
+            if (name.startswith("batch=")
+                    and fs.exists(path_cls(status.getPath(), "_SUCCESS"))):
+                ids.append(int(name[len("batch="):]))
+        return sorted(ids)
+
+    def latest(self) -> int | None:
+        ids = self.committed()
+        return ids[-1] if ids else None
+
+    def read(self, table: str, batch_id: int | None = None) -> DataFrame:
+        """A table at ``batch_id`` (default: the latest commit); empty if none."""
+        schema = self.schemas[table]
+        bid = self.latest() if batch_id is None else batch_id
+        if bid is None:
+            return self.spark.createDataFrame([], schema)
+        return (self.spark.read.schema(schema).parquet(self._path(table, bid))
+                .select(*schema.fieldNames()))
+
+    def write_version(self, table: str, batch_id: int, df: DataFrame,
+                      partition_by: list[str] | None = None) -> DataFrame:
+        """Write one table's version for ``batch_id`` and return it read back.
+
+        Reading the written files back cuts the lineage, so later steps of
+        the batch do not recompute the merge.
+        """
+        writer = df.select(*self.schemas[table].fieldNames()).write.mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(self._path(table, batch_id))
+        return self.read(table, batch_id)
+
+    def commit(self, batch_id: int) -> None:
+        (self.spark.createDataFrame([(batch_id,)], "batch_id long").coalesce(1)
+         .write.mode("overwrite").json(f"{self.root}/_commits/batch={batch_id}"))
+        self._drop_old()
+
+    def _drop_old(self) -> None:
+        ids = self.committed()
+        stale = ids[:-self.keep_versions] if self.keep_versions > 0 else []
+        if not stale:
+            return
+        for bid in stale:
+            for table in list(self.schemas) + ["_commits"]:
+                path, fs = self._fs_path(self._path(table, bid))
+                fs.delete(path, True)
+
+
+def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.createDataFrame([], schema)
+
+
+def count_rows(df: DataFrame) -> int:
+    return df.select(F.count(F.lit(1))).first()[0]
