@@ -130,3 +130,14 @@ def test_sample_quota_formula(spark):
     assert len(sample) == 3
     again = SA.sample_sessions(sessions, 4, "seed").collect()
     assert sorted(r.session_id for r in sample) == sorted(r.session_id for r in again)
+
+
+def test_sample_with_hot_stratum_is_independent_of_sub_groups(spark):
+    d = dt.date(2019, 8, 7)
+    rows = ([action(f"h{i}", i, "5:00:00", day=d) for i in range(300)]          # hot hour
+            + [action(f"o{i}", i, f"{6 + i % 3}:00:00", day=d) for i in range(30)])
+    sessions = S.session_aggregate(actions_df(spark, rows))
+    ids = lambda g: sorted(r.session_id for r in
+                           SA.sample_sessions(sessions, 50, "s", sub_groups=g).collect())
+    one = ids(1)
+    assert len(one) == 48 and ids(7) == one and ids(64) == one

@@ -1,0 +1,63 @@
+"""Versioned per-date tables and their commit manifests."""
+
+import datetime as dt
+import os
+import tempfile
+
+from pyspark.sql import types as T
+
+from visitlens.sinks.snapshots import SnapshotStore
+
+SCHEMAS = {
+    "counts": T.StructType([T.StructField("date", T.DateType()), T.StructField("k", T.StringType()),
+                            T.StructField("n", T.LongType())]),
+    "users": T.StructType([T.StructField("user_id", T.LongType())]),
+}
+D1, D2, D3 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def _batch(store, spark, bid, rows, dates, users=()):
+    store.begin()
+    store.stage("counts", bid, spark.createDataFrame(rows, SCHEMAS["counts"]), dates)
+    store.stage("users", bid, spark.createDataFrame([(u,) for u in users], SCHEMAS["users"]))
+    store.commit(bid)
+
+
+def test_only_touched_dates_are_rewritten_and_old_versions_survive_gc(spark):
+    root = tempfile.mkdtemp(prefix="vl-snap-")
+    store = SnapshotStore(spark, root, SCHEMAS, keep_commits=2)
+    _batch(store, spark, 0, [(D1, "a", 1), (D2, "b", 2)], [D1, D2], [1])
+    for bid in range(1, 6):                         # only D3 changes from now on
+        _batch(store, spark, bid, [(D3, "c", bid)], [D3], [1, bid])
+    assert store.manifest()["counts"] == {"2024-01-01": 0, "2024-01-02": 0, "2024-01-03": 5}
+    assert _rows(store.read("counts")) == [(D1, "a", 1), (D2, "b", 2), (D3, "c", 5)]
+    assert _rows(store.read("counts", [D2])) == [(D2, "b", 2)]
+    versions = sorted(os.listdir(os.path.join(root, "counts")))
+    assert "v=0" in versions and "v=1" not in versions      # v=0 still referenced
+    commits = [n for n in os.listdir(os.path.join(root, "_commits")) if n.endswith(".json")]
+    assert sorted(commits) == ["4.json", "5.json"]
+    assert _rows(store.read("users")) == [(1,), (5,)]
+
+
+def test_uncommitted_batch_is_invisible_and_retry_overwrites(spark):
+    root = tempfile.mkdtemp(prefix="vl-snap-")
+    store = SnapshotStore(spark, root, SCHEMAS)
+    _batch(store, spark, 0, [(D1, "a", 1)], [D1])
+    store.begin()                                    # a crashed attempt of batch 1
+    store.stage("counts", 1, spark.createDataFrame([(D1, "a", 99)], SCHEMAS["counts"]), [D1])
+    fresh = SnapshotStore(spark, root, SCHEMAS)
+    assert fresh.latest() == 0 and _rows(fresh.read("counts")) == [(D1, "a", 1)]
+    _batch(fresh, spark, 1, [(D1, "a", 2)], [D1])    # the retry
+    assert _rows(fresh.read("counts")) == [(D1, "a", 2)]
+
+
+def test_date_that_loses_all_rows_leaves_the_manifest(spark):
+    root = tempfile.mkdtemp(prefix="vl-snap-")
+    store = SnapshotStore(spark, root, SCHEMAS)
+    _batch(store, spark, 0, [(D1, "a", 1), (D2, "b", 1)], [D1, D2])
+    _batch(store, spark, 1, [], [D1])
+    assert _rows(store.read("counts")) == [(D2, "b", 1)]

@@ -1,102 +1,192 @@
-"""Versioned result tables switched together by a commit marker.
+"""Result tables versioned per date partition, switched by a commit manifest.
 
 Layout under ``root``::
 
-    <table>/batch=<id>/...parquet     one full version per committed batch
-    _commits/batch=<id>/...json       written last; a version is visible
-                                      only once its marker exists
-
-A batch writes every table's new version (overwriting any half-written
-attempt of the same id), then its marker. Readers take the highest
-committed id, so a retried batch sees all of a previous attempt or none,
-and a re-delivered batch id is recognised and skipped. Versions stay
-immutable: a new version never overwrites a path that is being read.
+    <table>/v=<batch>/date=<d>/part-*.parquet   a date's rows as of <batch>
+    <table>/v=<batch>/part-*.parquet            whole table (no date column)
+    _commits/<batch>.json                       manifest, written last
+
+A manifest maps every table (and, for date tables, every date) to the
+batch that last rewrote it. A micro-batch rewrites only the dates it
+touched, so its cost follows the touched dates' state, not the whole
+history. The manifest is written to a temporary name and renamed, so a
+batch is either fully visible or not at all; versions are never
+overwritten in place while readers may use them. A batch id at or below
+the latest manifest is already applied and is skipped by the jobs.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str, schemas: dict[str, T.StructType],
-                 keep_versions: int = 3):
+                 date_col: str = "date", keep_commits: int = 3):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schemas = schemas
-        self.keep_versions = keep_versions
+        self.date_col = date_col
+        self.keep_commits = keep_commits
+        self._pending: dict[str, dict[str, int]] | None = None
 
-    def _path(self, table: str, batch_id: int) -> str:
-        return f"{self.root}/{table}/batch={batch_id}"
-
-    def _fs_path(self, path: str):
+    # -- file system helpers (Hadoop FileSystem, so HDFS/S3/local alike) --
+    def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         p = jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(conf)
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _write_text(self, path: str, text: str) -> None:
+        tmp, fs = self._fs(path + ".tmp")
+        out = fs.create(tmp, True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+        final, _ = self._fs(path)
+        if fs.exists(final):
+            fs.delete(final, False)
+        if not fs.rename(tmp, final):
+            raise OSError(f"could not commit {path}")
+
+    def _read_text(self, path: str) -> str:
+        p, fs = self._fs(path)
+        stream = fs.open(p)
+        try:
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(
+                stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def _list(self, path: str) -> list[str]:
+        p, fs = self._fs(path)
+        if not fs.exists(p):
+            return []
+        return [s.getPath().getName() for s in fs.listStatus(p)]
 
-    def _exists(self, path: str) -> bool:
-        p, fs = self._fs_path(path)
-        return bool(fs.exists(p))
+    def _delete(self, path: str) -> None:
+        p, fs = self._fs(path)
+        fs.delete(p, True)
 
+    def is_dated(self, table: str) -> bool:
+        return self.date_col in self.schemas[table].fieldNames()
+
+    # -- commits --
     def committed(self) -> list[int]:
-        """Committed batch ids, ascending: marker folders whose write completed."""
-        commits, fs = self._fs_path(f"{self.root}/_commits")
-        if not fs.exists(commits):
-            return []
-        path_cls = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        ids = []
-        for status in fs.listStatus(commits):
-            name = status.getPath().getName()
-            if (name.startswith("batch=")
-                    and fs.exists(path_cls(status.getPath(), "_SUCCESS"))):
-                ids.append(int(name[len("batch="):]))
+        ids = [int(n[:-5]) for n in self._list(f"{self.root}/_commits")
+               if n.endswith(".json") and n[:-5].isdigit()]
         return sorted(ids)
 
     def latest(self) -> int | None:
         ids = self.committed()
         return ids[-1] if ids else None
 
-    def read(self, table: str, batch_id: int | None = None) -> DataFrame:
-        """A table at ``batch_id`` (default: the latest commit); empty if none."""
-        schema = self.schemas[table]
+    def manifest(self, batch_id: int | None = None) -> dict[str, dict[str, int]]:
         bid = self.latest() if batch_id is None else batch_id
         if bid is None:
+            return {}
+        return json.loads(self._read_text(f"{self.root}/_commits/{bid}.json"))["tables"]
+
+    # -- reads --
+    def read(self, table: str, dates: list[dt.date] | None = None,
+             manifest: dict | None = None) -> DataFrame:
+        """Committed rows of ``table`` (only ``dates`` if given); empty if none."""
+        schema = self.schemas[table]
+        entries = (manifest if manifest is not None else self.manifest()).get(table, {})
+        if self.is_dated(table):
+            wanted = entries if dates is None else {
+                d.isoformat(): entries[d.isoformat()] for d in dates if d.isoformat() in entries}
+            by_version: dict[int, list[str]] = {}
+            for d, v in wanted.items():
+                by_version.setdefault(v, []).append(d)
+            parts = []
+            for v, ds in sorted(by_version.items()):
+                base = f"{self.root}/{table}/v={v}"
+                parts.append(self.spark.read.schema(schema).option("basePath", base)
+                             .parquet(*[f"{base}/{self.date_col}={d}" for d in sorted(ds)])
+                             .select(*schema.fieldNames()))
+            if not parts:
+                return self.spark.createDataFrame([], schema)
+            out = parts[0]
+            for p in parts[1:]:
+                out = out.unionByName(p)
+            return out
+        if "" not in entries:
             return self.spark.createDataFrame([], schema)
-        return (self.spark.read.schema(schema).parquet(self._path(table, bid))
+        return (self.spark.read.schema(schema).parquet(f"{self.root}/{table}/v={entries['']}")
                 .select(*schema.fieldNames()))
 
-    def write_version(self, table: str, batch_id: int, df: DataFrame,
-                      partition_by: list[str] | None = None) -> DataFrame:
-        """Write one table's version for ``batch_id`` and return it read back.
+    # -- writes --
+    def begin(self) -> int | None:
+        """Start a batch from the latest manifest; returns its batch id."""
+        self._pending = {t: dict(v) for t, v in self.manifest().items()}
+        return self.latest()
 
-        Reading the written files back cuts the lineage, so later steps of
-        the batch do not recompute the merge.
+    def stage(self, table: str, batch_id: int, df: DataFrame,
+              dates: list[dt.date] | None = None) -> DataFrame:
+        """Write ``table``'s new rows for ``dates`` (or the whole table).
+
+        ``df`` must hold exactly the rows of those dates. Returns the rows
+        read back from the written files, which cuts the lineage.
         """
-        writer = df.select(*self.schemas[table].fieldNames()).write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(self._path(table, batch_id))
-        return self.read(table, batch_id)
+        if self._pending is None:
+            raise RuntimeError("call begin() first")
+        schema = self.schemas[table]
+        base = f"{self.root}/{table}/v={batch_id}"
+        entries = self._pending.setdefault(table, {})
+        rows = df.select(*schema.fieldNames())
+        if self.is_dated(table):
+            if dates is None:
+                raise ValueError(f"{table} is partitioned by date: pass the dates")
+            rows.write.mode("overwrite").partitionBy(self.date_col).parquet(base)
+            written = {n.split("=", 1)[1] for n in self._list(base)
+                       if n.startswith(f"{self.date_col}=")}
+            for d in dates:
+                key = d.isoformat()
+                if key in written:
+                    entries[key] = batch_id
+                else:
+                    entries.pop(key, None)     # the date has no rows any more
+            return self.read(table, dates, self._pending)
+        rows.write.mode("overwrite").parquet(base)
+        entries[""] = batch_id
+        return self.read(table, None, self._pending)
 
     def commit(self, batch_id: int) -> None:
-        (self.spark.createDataFrame([(batch_id,)], "batch_id long").coalesce(1)
-         .write.mode("overwrite").json(f"{self.root}/_commits/batch={batch_id}"))
-        self._drop_old()
-
-    def _drop_old(self) -> None:
+        if self._pending is None:
+            raise RuntimeError("call begin() first")
+        self._write_text(f"{self.root}/_commits/{batch_id}.json",
+                         json.dumps({"batch_id": batch_id, "tables": self._pending}))
+        self._pending = None
+        self._drop_unreferenced()
+
+    def _drop_unreferenced(self) -> None:
+        """Delete versions no kept manifest refers to, and old manifests."""
         ids = self.committed()
-        stale = ids[:-self.keep_versions] if self.keep_versions > 0 else []
-        if not stale:
-            return
-        for bid in stale:
-            for table in list(self.schemas) + ["_commits"]:
-                path, fs = self._fs_path(self._path(table, bid))
-                fs.delete(path, True)
-
-
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+        keep = ids[-self.keep_commits:] if self.keep_commits > 0 else ids
+        referenced: dict[str, set[int]] = {}
+        for bid in keep:
+            for table, entries in self.manifest(bid).items():
+                referenced.setdefault(table, set()).update(entries.values())
+        oldest_kept = keep[0] if keep else 0
+        for table in self.schemas:
+            for name in self._list(f"{self.root}/{table}"):
+                if not name.startswith("v="):
+                    continue
+                v = int(name[2:])
+                if v < oldest_kept and v not in referenced.get(table, set()):
+                    self._delete(f"{self.root}/{table}/{name}")
+        for bid in ids:
+            if bid < oldest_kept:
+                self._delete(f"{self.root}/_commits/{bid}.json")
+
+
+def touched_dates(df: DataFrame, date_col: str = "date") -> list[dt.date]:
+    """Distinct dates of a micro-batch (a handful of values) for the driver."""
+    return sorted(r[0] for r in df.select(date_col).distinct().collect() if r[0] is not None)
 
 
 def count_rows(df: DataFrame) -> int:

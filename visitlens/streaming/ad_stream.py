@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 from visitlens.functions.columns import epoch_millis, ntz_from_millis
 from visitlens.operators import ads as AD
 from visitlens.sinks import merge
-from visitlens.sinks.snapshots import SnapshotStore
+from visitlens.sinks.snapshots import SnapshotStore, touched_dates
 from visitlens.sources.adlog import decode_ad_log
 
 AD_TABLES = {
@@ -63,7 +63,11 @@ TREND_KEYS = ["date", "hour", "minute", "ad_id"]
 
 @dataclass
 class AdStreamJob:
-    """The per-batch body of query 1 (usable without a stream, e.g. in tests)."""
+    """The per-batch body of query 1 (usable without a stream, e.g. in tests).
+
+    Date tables are rewritten only for the dates present in the batch, so
+    a batch costs the state of those days, not of the whole history.
+    """
 
     store: SnapshotStore
     threshold: int = 100
@@ -71,38 +75,35 @@ class AdStreamJob:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         store = self.store
-        latest = store.latest()
+        latest = store.begin()
         if latest is not None and batch_id <= latest:
             return                                   # already applied (D18)
         clicks, rejects = decode_ad_log(batch)
-        cur = {t: store.read(t, latest) for t in AD_TABLES}
-
-        filtered = AD.filter_blacklisted(clicks, cur["ad_blacklist"])       # R2
-        filtered = filtered.persist()
+        blacklist = store.read("ad_blacklist")
+        filtered = AD.filter_blacklisted(clicks, blacklist).persist()        # R2
         try:
+            dates = touched_dates(filtered)
+
             delta_users = AD.user_ad_click_counts(filtered)                  # R3
-            users = store.write_version(
-                "ad_user_click_count", batch_id,
-                merge.merge_add(cur["ad_user_click_count"], delta_users, USER_KEYS),
-                ["date"])
+            users = store.stage("ad_user_click_count", batch_id, merge.merge_add(
+                store.read("ad_user_click_count", dates), delta_users, USER_KEYS), dates)
             touched_users = users.join(delta_users.select(*USER_KEYS), USER_KEYS, "left_semi")
-            store.write_version("ad_blacklist", batch_id, merge.insert_if_absent(   # R4
-                cur["ad_blacklist"], AD.blacklist_users(touched_users, self.threshold)))
+            store.stage("ad_blacklist", batch_id, merge.insert_if_absent(         # R4
+                blacklist, AD.blacklist_users(touched_users, self.threshold)))
 
             delta_stat = AD.ad_stat(filtered)                                # R5
-            stat = store.write_version(
-                "ad_stat", batch_id,
-                merge.merge_add(cur["ad_stat"], delta_stat, STAT_KEYS), ["date"])
+            stat = store.stage("ad_stat", batch_id, merge.merge_add(
+                store.read("ad_stat", dates), delta_stat, STAT_KEYS), dates)
 
             touched = delta_stat.select(*PROVINCE_KEYS).distinct()           # R6
             top = AD.province_top_ads(stat.join(touched, PROVINCE_KEYS, "left_semi"),
                                       self.top_n)
-            store.write_version("ad_province_top3", batch_id, merge.replace_groups(
-                cur["ad_province_top3"], top, PROVINCE_KEYS, touched))
+            store.stage("ad_province_top3", batch_id, merge.replace_groups(
+                store.read("ad_province_top3", dates), top, PROVINCE_KEYS, touched), dates)
 
             n_bad = rejects.count()
-            store.write_version("ad_rejects", batch_id, cur["ad_rejects"].unionByName(
-                self.store.spark.createDataFrame([(batch_id, n_bad)], AD_TABLES["ad_rejects"])))
+            store.stage("ad_rejects", batch_id, store.read("ad_rejects").unionByName(
+                store.spark.createDataFrame([(batch_id, n_bad)], AD_TABLES["ad_rejects"])))
             store.commit(batch_id)
         finally:
             filtered.unpersist()
@@ -110,18 +111,22 @@ class AdStreamJob:
 
 @dataclass
 class TrendJob:
-    """Upserts the minute counts emitted by query 2."""
+    """Upserts the minute counts emitted by query 2 (touched dates only)."""
 
     store: SnapshotStore
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        latest = self.store.latest()
+        latest = self.store.begin()
         if latest is not None and batch_id <= latest:
             return
-        rows = batch.select(*TREND_TABLES["ad_click_trend"].fieldNames())
-        self.store.write_version("ad_click_trend", batch_id, merge.upsert_overwrite(
-            self.store.read("ad_click_trend", latest), rows, TREND_KEYS), ["date"])
-        self.store.commit(batch_id)
+        rows = batch.select(*TREND_TABLES["ad_click_trend"].fieldNames()).persist()
+        try:
+            dates = touched_dates(rows)
+            self.store.stage("ad_click_trend", batch_id, merge.upsert_overwrite(
+                self.store.read("ad_click_trend", dates), rows, TREND_KEYS), dates)
+            self.store.commit(batch_id)
+        finally:
+            rows.unpersist()
 
 
 def minute_counts_stream(lines: DataFrame, watermark: str = "60 minutes") -> DataFrame:
