@@ -68,3 +68,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared scratch folder and read it back.
+
+    Used for intermediates read by several reports: later jobs start from
+    the files (lineage cut, survives executor loss) instead of recomputing.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
