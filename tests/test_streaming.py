@@ -132,3 +132,23 @@ def test_merge_semantics(spark):
     assert rows(merge.insert_if_absent(cur, new)) == [("a", 1), ("b", 2), ("b", 5), ("c", 1)]
     groups = spark.createDataFrame([("a",)], "k string")
     assert rows(merge.replace_groups(cur, new.where("false"), ["k"], groups)) == [("b", 2)]
+
+
+def test_sliding_stream_matches_batch_sliding(spark):
+    from visitlens.operators import ads as AD
+    from visitlens.sources.adlog import decode_ad_log
+    src = tempfile.mkdtemp(prefix="vl-src-")
+    spec = [f"{T0 + m * MIN}_P_C_1_{m % 2}" for m in range(0, 95, 4)]
+    _write_file(src, "a.txt", spec)
+    got = []
+    q = (STR.sliding_counts_stream(spark.readStream.text(src), "60 minutes", "10 minutes")
+         .writeStream.outputMode("update")
+         .foreachBatch(lambda df, _: got.extend(tuple(r) for r in df.collect()))
+         .option("checkpointLocation", tempfile.mkdtemp()).trigger(availableNow=True).start())
+    q.awaitTermination()
+    batch = AD.sliding_trend(decode_ad_log(_lines_df(spark, spec))[0], 60, 10)
+    assert sorted(got) == sorted(tuple(r) for r in batch.collect())
+
+
+def _lines_df(spark, lines):
+    return spark.createDataFrame([(v,) for v in lines], "value string")

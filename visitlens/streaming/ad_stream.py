@@ -142,6 +142,27 @@ def minute_counts_stream(lines: DataFrame, watermark: str = "60 minutes") -> Dat
                     F.date_format(start, "mm").alias("minute"), "ad_id", "click_count"))
 
 
+def sliding_counts_stream(lines: DataFrame, window: str = "60 minutes",
+                          slide: str = "10 seconds", watermark: str = "60 minutes") -> DataFrame:
+    """R7 sliding form: clicks per ad in ``window`` windows every ``slide``.
+
+    Each click lands in window/slide windows (360 for 60 min / 10 s), so
+    this suits low rates; :func:`minute_counts_stream` plus a range filter
+    on the result (:func:`last_hour`) gives the same totals for any rate.
+    """
+    clicks, _ = decode_ad_log(lines)
+    timed = clicks.withColumn("t", F.timestamp_millis("ts_ms"))
+    counted = (timed.withWatermark("t", watermark)
+               .groupBy(F.window("t", window, slide).alias("w"), "ad_id")
+               .agg(F.count(F.lit(1)).alias("click_count")))
+    start, end = ntz_from_millis("start_ms"), ntz_from_millis("end_ms")
+    return (counted.withColumns({"start_ms": F.unix_millis(F.col("w.start")),
+                                 "end_ms": F.unix_millis(F.col("w.end"))})
+            .select(F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                    F.date_format(end, "yyyy-MM-dd HH:mm:ss").alias("window_end"),
+                    "ad_id", "click_count"))
+
+
 def _trigger(writer, trigger: str | None):
     if trigger is None or trigger == "availableNow":
         return writer.trigger(availableNow=True)
