@@ -9,33 +9,46 @@ from visitlens.functions.columns import ntz_from_millis
 MS_PER_DAY = 86_400_000
 
 
-def decode_ad_log(lines: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Split ``ts_province_city_user_ad`` lines into typed columns.
+CLICK_COLUMNS = ["ts_ms", "date", "event_time", "province", "city", "user_id", "ad_id"]
 
-    Returns ``(clicks, rejects)``: lines without exactly five parts or
-    with a non-numeric time, user or ad go to ``rejects`` instead of
-    failing the batch. ``date``, ``event_time`` are UTC, time-zone free.
-    """
+
+def parse_ad_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """Typed columns of every line plus ``valid`` (false for malformed lines)."""
     parts = F.split(F.col(value_col), "_")
     parsed = lines.select(
         "*",
         F.size(parts).alias("_n"),
-        parts.getItem(0).try_cast("bigint").alias("ts_ms"),
-        parts.getItem(1).alias("province"),
-        parts.getItem(2).alias("city"),
-        parts.getItem(3).try_cast("bigint").alias("user_id"),
-        parts.getItem(4).try_cast("bigint").alias("ad_id"),
+        F.get(parts, 0).try_cast("bigint").alias("ts_ms"),      # get(): null when short
+        F.get(parts, 1).alias("province"),
+        F.get(parts, 2).alias("city"),
+        F.get(parts, 3).try_cast("bigint").alias("user_id"),
+        F.get(parts, 4).try_cast("bigint").alias("ad_id"),
     )
     ok = ((F.col("_n") == 5) & F.col("ts_ms").isNotNull() & F.col("user_id").isNotNull()
           & F.col("ad_id").isNotNull())
-    good = parsed.where(ok).select(
+    return parsed.select(
+        F.col(value_col),
+        F.coalesce(ok, F.lit(False)).alias("valid"),
         "ts_ms",
         F.date_from_unix_date(F.floor(F.col("ts_ms") / MS_PER_DAY).cast("int")).alias("date"),
         ntz_from_millis("ts_ms").alias("event_time"),
         "province", "city", "user_id", "ad_id",
     )
-    bad = parsed.where(~F.coalesce(ok, F.lit(False))).select(F.col(value_col))
-    return good, bad
+
+
+def split_parsed(parsed: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    return (parsed.where("valid").select(*CLICK_COLUMNS),
+            parsed.where(~F.col("valid")).select(value_col))
+
+
+def decode_ad_log(lines: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Split ``ts_province_city_user_ad`` lines into typed columns.
+
+    Returns ``(clicks, rejects)``: lines without exactly five parts or
+    with a non-numeric time, user or ad go to ``rejects`` instead of
+    failing the batch. ``date``, ``event_time`` are UTC, time-zone free.
+    """
+    return split_parsed(parse_ad_log(lines, value_col), value_col)
 
 
 def kafka_ad_log(spark: SparkSession, bootstrap_servers: str, topics: str,

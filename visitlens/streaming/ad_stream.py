@@ -30,7 +30,7 @@ from visitlens.functions.columns import epoch_millis, ntz_from_millis
 from visitlens.operators import ads as AD
 from visitlens.sinks import merge
 from visitlens.sinks.snapshots import SnapshotStore, touched_dates
-from visitlens.sources.adlog import decode_ad_log
+from visitlens.sources.adlog import decode_ad_log, parse_ad_log, split_parsed
 
 AD_TABLES = {
     "ad_user_click_count": T.StructType([
@@ -78,11 +78,16 @@ class AdStreamJob:
         latest = store.begin()
         if latest is not None and batch_id <= latest:
             return                                   # already applied (D18)
-        clicks, rejects = decode_ad_log(batch)
-        blacklist = store.read("ad_blacklist")
-        filtered = AD.filter_blacklisted(clicks, blacklist).persist()        # R2
+        parsed = parse_ad_log(batch).persist()       # the source is read once
         try:
-            dates = touched_dates(filtered)
+            summary = parsed.agg(
+                F.count_if(~F.col("valid")).alias("rejected"),
+                F.array_sort(F.collect_set(F.when(F.col("valid"), F.col("date")))).alias("dates")
+            ).first()
+            dates = list(summary["dates"])             # days present in this batch
+            clicks, _ = split_parsed(parsed)
+            blacklist = store.read("ad_blacklist")
+            filtered = AD.filter_blacklisted(clicks, blacklist)              # R2
 
             delta_users = AD.user_ad_click_counts(filtered)                  # R3
             users = store.stage("ad_user_click_count", batch_id, merge.merge_add(
@@ -101,12 +106,12 @@ class AdStreamJob:
             store.stage("ad_province_top3", batch_id, merge.replace_groups(
                 store.read("ad_province_top3", dates), top, PROVINCE_KEYS, touched), dates)
 
-            n_bad = rejects.count()
             store.stage("ad_rejects", batch_id, store.read("ad_rejects").unionByName(
-                store.spark.createDataFrame([(batch_id, n_bad)], AD_TABLES["ad_rejects"])))
+                store.spark.createDataFrame([(batch_id, summary["rejected"])],
+                                            AD_TABLES["ad_rejects"])))
             store.commit(batch_id)
         finally:
-            filtered.unpersist()
+            parsed.unpersist()
 
 
 @dataclass
