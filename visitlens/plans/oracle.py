@@ -363,3 +363,12 @@ SELECT date, province, ad_id, click_count FROM (
 WHERE rn <= 3"""
 ORACLE["stream_ad_blacklist"] = ORACLE["ad_blacklist"]
 ORACLE["stream_ad_click_trend"] = ORACLE["ad_click_trend"]
+
+ORACLE["category_counts"] = _with(FILTERED, DETAIL, CATEGORY_COUNTS) + "SELECT * FROM counts"
+ORACLE["session_detail"] = _with(FILTERED, DETAIL) + f"SELECT {DETAIL_COLS} FROM detail d"
+ORACLE["session_sample_quotas"] = _with(FILTERED, SAMPLE) + "SELECT * FROM quotas"
+ORACLE["page_transitions"] = _with() + """
+SELECT session_id, event_id, page_id,
+       lag(page_id) OVER (PARTITION BY session_id
+                          ORDER BY CAST(action_time AS TIMESTAMP), event_id) AS prev_page
+FROM actions"""

@@ -152,6 +152,25 @@ def q_session_sample_detail(spark, sf_dir):
     return C.tagged_detail(inp.actions(), _sample(inp), [])
 
 
+def q_category_counts(spark, sf_dir):
+    return C.category_counts(Inputs(spark, sf_dir).detail())
+
+
+def q_session_detail(spark, sf_dir):
+    from visitlens.schemas import DETAIL_COLUMNS
+    return Inputs(spark, sf_dir).detail().select(*DETAIL_COLUMNS, "event_id")
+
+
+def q_session_sample_quotas(spark, sf_dir):
+    return SA.sample_quotas(SA.session_hour_counts(Inputs(spark, sf_dir).filtered()),
+                            P.SAMPLE_SIZE)
+
+
+def q_page_transitions(spark, sf_dir):
+    return FN.page_transitions(Inputs(spark, sf_dir).actions()).select(
+        "session_id", "event_id", "page_id", "prev_page")
+
+
 CLICK_COLS = ["ts_ms", "date", "province", "city", "user_id", "ad_id"]
 
 
@@ -251,6 +270,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_hour_counts": q_session_hour_counts,
     "session_sample": q_session_sample,
     "session_sample_detail": q_session_sample_detail,
+    "category_counts": q_category_counts,
+    "session_detail": q_session_detail,
+    "session_sample_quotas": q_session_sample_quotas,
+    "page_transitions": q_page_transitions,
     "ad_user_click_count": q_ad_user_click_count,
     "ad_blacklist": q_ad_blacklist,
     "ad_filtered": q_ad_filtered,
