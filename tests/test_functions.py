@@ -75,3 +75,10 @@ def test_sql_functions(spark):
                     "get_json_field('{\"product_status\": 0}', 'product_status') AS b, "
                     "salt_bucket('k', 4) BETWEEN 0 AND 3 AS c").first()
     assert (row.a, row.b, row.c) == ("3:x", "0", True)
+
+
+def test_scratch_dir_is_under_the_checkpoint_dir(spark):
+    from visitlens.session import _session_checkpoint_dir, scratch_dir
+    base = _session_checkpoint_dir(spark)
+    path = scratch_dir(spark, "probe")
+    assert base and path.startswith(base.rstrip("/")) and "probe-" in path

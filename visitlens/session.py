@@ -46,24 +46,26 @@ def get_spark(master: str | None = None, app_name: str = "visitlens",
 
 
 def _session_checkpoint_dir(spark: SparkSession) -> str | None:
-    value = spark.conf.get("spark.checkpoint.dir", None)
-    if value:
-        return value
-    return spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    value = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+        "spark.checkpoint.dir", None)
+    return value or sc.getCheckpointDir()
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
-    The shared folder is read from ``spark.checkpoint.dir``. Only when the
-    session does not name one (local tests) a folder under the system
-    temp directory is created and registered as the checkpoint dir.
+    The shared folder is ``spark.checkpoint.dir`` (or the context's
+    checkpoint dir). Only when neither is set (local tests) a folder under
+    the system temp directory is created and registered with
+    ``setCheckpointDir`` (``spark.checkpoint.dir`` itself cannot change at
+    runtime).
     """
     base = _session_checkpoint_dir(spark)
     if not base:
         base = tempfile.mkdtemp(prefix="visitlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
+        base = spark.sparkContext.getCheckpointDir() or base
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
