@@ -212,11 +212,15 @@ def q_ad_trend_sliding(spark, sf_dir):
 
 
 def _ad_log_files(spark: SparkSession, sf_dir: str, files: int = 8) -> str:
-    """The derived ad log as text files (one line per click), split by event id."""
+    """The derived ad log as text files (one line per click).
+
+    Files hold consecutive event-id ranges (event ids grow with time), so a
+    replay delivers a few days per micro-batch, as a live feed would.
+    """
     t = Tables(spark, sf_dir)
     path = scratch_dir(spark, "adlog")
     (fixtures.ad_log(t.events, t.nation, t.region)
-     .repartition(files, "event_id").select("value")
+     .repartitionByRange(files, "event_id").select("value")
      .write.mode("overwrite").text(path))
     return path
 

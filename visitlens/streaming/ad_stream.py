@@ -7,8 +7,8 @@ Query 1, one ``foreachBatch`` per micro-batch, in this fixed order:
 * R4 blacklist users whose updated count on one ad in one day reaches the
   threshold (it applies from the next batch on),
 * R5 add the batch's per-(date, province, city, ad) counts to ``ad_stat``,
-* R6 recompute the top ads of every (date, province) the batch touched
-  and replace those groups in ``ad_province_top3``,
+* R6 recompute the top ads of every (date, province) of the dates the
+  batch touched and replace those dates in ``ad_province_top3``,
 
 then commit all four tables together (:class:`SnapshotStore`). A batch id
 that is already committed is skipped, so a re-delivered batch after a
@@ -88,23 +88,25 @@ class AdStreamJob:
             clicks, _ = split_parsed(parsed)
             blacklist = store.read("ad_blacklist")
             filtered = AD.filter_blacklisted(clicks, blacklist)              # R2
+            ones = F.lit(1).cast("bigint").alias("click_count")
 
-            delta_users = AD.user_ad_click_counts(filtered)                  # R3
+            # The batch's clicks go straight into the merge aggregate
+            # (partial aggregation on both inputs, one shuffle).
             users = store.stage("ad_user_click_count", batch_id, merge.merge_add(
-                store.read("ad_user_click_count", dates), delta_users, USER_KEYS), dates)
-            touched_users = users.join(delta_users.select(*USER_KEYS), USER_KEYS, "left_semi")
-            store.stage("ad_blacklist", batch_id, merge.insert_if_absent(         # R4
-                blacklist, AD.blacklist_users(touched_users, self.threshold)))
-
-            delta_stat = AD.ad_stat(filtered)                                # R5
-            stat = store.stage("ad_stat", batch_id, merge.merge_add(
-                store.read("ad_stat", dates), delta_stat, STAT_KEYS), dates)
-
-            touched = delta_stat.select(*PROVINCE_KEYS).distinct()           # R6
-            top = AD.province_top_ads(stat.join(touched, PROVINCE_KEYS, "left_semi"),
-                                      self.top_n)
-            store.stage("ad_province_top3", batch_id, merge.replace_groups(
-                store.read("ad_province_top3", dates), top, PROVINCE_KEYS, touched), dates)
+                store.read("ad_user_click_count", dates),
+                filtered.select(*USER_KEYS, ones), USER_KEYS), dates)
+            # Totals of the touched dates; keys this batch did not touch
+            # were checked by the batch that last changed them.
+            store.stage("ad_blacklist", batch_id, merge.insert_if_absent(
+                blacklist, AD.blacklist_users(users, self.threshold)))
+
+            stat = store.stage("ad_stat", batch_id, merge.merge_add(             # R5
+                store.read("ad_stat", dates), filtered.select(*STAT_KEYS, ones),
+                STAT_KEYS), dates)
+            # The top ads of every (date, province) of the touched dates
+            # are recomputed and replace that date's rows.
+            store.stage("ad_province_top3", batch_id,
+                        AD.province_top_ads(stat, self.top_n), dates)
 
             store.stage("ad_rejects", batch_id, store.read("ad_rejects").unionByName(
                 store.spark.createDataFrame([(batch_id, summary["rejected"])],
