@@ -17,14 +17,20 @@ from visitlens.operators.joins import broadcast_if_small
 BLACKLIST_BROADCAST_MAX_ROWS = 5_000_000
 
 
-def filter_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
+def filter_blacklisted(clicks: DataFrame, blacklist: DataFrame,
+                       max_broadcast_rows: int | None = BLACKLIST_BROADCAST_MAX_ROWS
+                       ) -> DataFrame:
     """R2 (J5 + P6): drop clicks of blacklisted users (anti join on user_id).
 
-    The blacklist is broadcast when a size check passes; otherwise a
-    shuffle anti join, where AQE can split a hot user's partition.
+    A stored blacklist is broadcast when a size check passes; otherwise a
+    shuffle anti join, where AQE can split a hot user's partition. Pass
+    ``max_broadcast_rows=None`` when the blacklist is computed in the same
+    plan: checking it would compute it twice, so the choice is left to
+    AQE's measured sizes.
     """
-    users = broadcast_if_small(blacklist.select("user_id").distinct(),
-                               BLACKLIST_BROADCAST_MAX_ROWS)
+    users = blacklist.select("user_id").distinct()
+    if max_broadcast_rows is not None:
+        users = broadcast_if_small(users, max_broadcast_rows)
     return clicks.join(users, "user_id", "left_anti")
 
 

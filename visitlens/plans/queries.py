@@ -188,7 +188,7 @@ def q_ad_blacklist(spark, sf_dir):
 
 def _filtered_clicks(inp: Inputs) -> DataFrame:
     clicks = inp.ad_clicks()
-    return AD.filter_blacklisted(clicks, _blacklist(clicks))
+    return AD.filter_blacklisted(clicks, _blacklist(clicks), max_broadcast_rows=None)
 
 
 def q_ad_filtered(spark, sf_dir):
