@@ -46,7 +46,11 @@ def previous_in_sequence(df: DataFrame, key: str, order: list[str], value: str,
              .where("_has_prev")
              .drop("_has_prev"))
 
-    joined = local.join(F.broadcast(carry), ["_chunk", key], "left")
+    # Null-safe key equality: an inferred `key IS NOT NULL` filter would
+    # reach only the carry branch and stop AQE from reusing the exchanges.
+    c = carry.select(F.col("_chunk").alias("_c_chunk"), F.col(key).alias("_c_key"), "_carry")
+    cond = (F.col("_chunk") == F.col("_c_chunk")) & F.col(key).eqNullSafe(F.col("_c_key"))
+    joined = local.join(F.broadcast(c), cond, "left")
     return (joined.withColumn(out, F.when(F.col("_pos") == 1, F.col("_carry"))
                               .otherwise(F.col("_prev")))
-            .drop("_chunk", "_prev", "_pos", "_is_last", "_carry"))
+            .drop("_chunk", "_prev", "_pos", "_is_last", "_carry", "_c_chunk", "_c_key"))
