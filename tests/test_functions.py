@@ -82,3 +82,26 @@ def test_scratch_dir_is_under_the_checkpoint_dir(spark):
     base = _session_checkpoint_dir(spark)
     path = scratch_dir(spark, "probe")
     assert base and path.startswith(base.rstrip("/")) and "probe-" in path
+
+
+def test_partitioned_actions_prune_by_date(spark, tmp_path):
+    import datetime as dt
+    from conftest import SF_SMALL
+    from visitlens.operators.sessions import actions_in_range
+    from visitlens.sources import fixtures
+    from visitlens.sources.tables import Tables, write_partitioned
+    actions = fixtures.user_visit_action(Tables(spark, SF_SMALL).events)
+    path = str(tmp_path / "actions")
+    write_partitioned(actions, path)
+    day = dt.date(2024, 1, 5)
+    stored = actions_in_range(spark.read.parquet(path), day, day)
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+    assert stored.count() == actions.where(actions.date == day).count() > 0
+
+
+def test_cluster_conf_sizes_partitions():
+    from visitlens.session import cluster_conf
+    conf = cluster_conf(100 << 40, cores=4000)          # 100 TB on 4000 cores
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(cluster_conf(1 << 20, cores=8)["spark.sql.shuffle.partitions"]) == 16

@@ -22,6 +22,25 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20
+                 ) -> dict[str, str]:
+    """Sizing for a job reading ``input_bytes`` on ``cores`` executor cores.
+
+    Shuffle partitions are set so each holds about ``target_partition_bytes``
+    (at least two waves of the cores); AQE then coalesces small ones and
+    splits skewed ones against the same advisory size. Scan splits use the
+    same size, so a task's input fits comfortably in executor memory.
+    """
+    parts = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes":
+            str(4 * target_partition_bytes),
+    }
+
+
 def get_spark(master: str | None = None, app_name: str = "visitlens",
               shuffle_partitions: int | None = None,
               extra_conf: dict[str, str] | None = None) -> SparkSession:
