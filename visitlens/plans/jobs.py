@@ -19,7 +19,7 @@ from visitlens.operators import sampling as SA
 from visitlens.operators import sessions as S
 from visitlens.params import TaskParams
 from visitlens.schemas import DETAIL_COLUMNS
-from visitlens.session import materialize
+from visitlens.session import drop_paths, materialize
 from visitlens.sinks.merge import append_results
 
 DEFAULT_SAMPLE_SIZE = 100      # sessions drawn per task (reference value)
@@ -33,12 +33,16 @@ def _sample_text(sample: DataFrame) -> DataFrame:
 
 def session_analysis(actions: DataFrame, users: DataFrame, params: TaskParams,
                      sample_size: int = DEFAULT_SAMPLE_SIZE, seed: str = "",
-                     top_n: int = 10) -> dict[str, DataFrame]:
-    """Every report of the session analysis, as DataFrames."""
+                     top_n: int = 10, scratch: list[str] | None = None
+                     ) -> dict[str, DataFrame]:
+    """Every report of the session analysis, as DataFrames.
+
+    The paths of the intermediate tables are appended to ``scratch``.
+    """
     scoped = S.actions_in_range(actions, params.start_date, params.end_date)
     filtered = materialize(S.filter_sessions(S.session_aggregate(scoped, users), params),
-                           "filtered-sessions")
-    detail = materialize(S.session_detail(scoped, filtered), "session-detail")
+                           "filtered-sessions", scratch)
+    detail = materialize(S.session_detail(scoped, filtered), "session-detail", scratch)
     sample = SA.sample_sessions(filtered, sample_size, seed)
     top = C.top_categories(detail, top_n)
     top_sessions = C.top_sessions_per_category(detail, top, top_n)
@@ -79,7 +83,12 @@ def write_results(results: dict[str, DataFrame], out_dir: str, task_id: int) ->
 def run_session_analysis(spark: SparkSession, actions: DataFrame, users: DataFrame,
                          params: TaskParams, out_dir: str, task_id: int,
                          sample_size: int = DEFAULT_SAMPLE_SIZE, seed: str = "") -> None:
-    write_results(session_analysis(actions, users, params, sample_size, seed), out_dir, task_id)
+    scratch: list[str] = []
+    try:
+        write_results(session_analysis(actions, users, params, sample_size, seed,
+                                       scratch=scratch), out_dir, task_id)
+    finally:
+        drop_paths(spark, scratch)
 
 
 def run_page_conversion(spark: SparkSession, actions: DataFrame, params: TaskParams,

@@ -91,13 +91,25 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, written: list[str] | None = None):
     """Write ``df`` as Parquet under the shared scratch folder and read it back.
 
     Used for intermediates read by several reports: later jobs start from
     the files (lineage cut, survives executor loss) instead of recomputing.
+    The path is appended to ``written`` so the caller can drop it later.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.mode("overwrite").parquet(path)
+    if written is not None:
+        written.append(path)
     return spark.read.parquet(path)
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders (Hadoop FileSystem, so any shared storage)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
