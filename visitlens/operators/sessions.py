@@ -60,6 +60,11 @@ def session_aggregate(actions: DataFrame, users: DataFrame | None = None) -> Dat
     array<string>), click_category_ids (sorted distinct array<bigint>),
     start_time, end_time (TIMESTAMP_NTZ), visit_length (s), step_length,
     and age, professional, city, sex when ``users`` is given.
+
+    The two sets are bounded by the keyword and category vocabularies, not
+    by the session's row count: they are deduplicated map-side by the
+    partial aggregate, so a session with a huge number of actions still
+    ships at most one small set per task.
     """
     t = parse_action_time("action_time")
     sessions = (
