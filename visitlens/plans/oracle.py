@@ -336,7 +336,7 @@ ORACLE["ad_province_top3"] = _ad_with() + """
 SELECT date, province, ad_id, click_count FROM (
   SELECT *, row_number() OVER (PARTITION BY date, province
                                ORDER BY click_count DESC, ad_id) AS rn
-  FROM (SELECT date, province, ad_id, sum(click_count) AS click_count
+  FROM (SELECT date, province, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count
         FROM stat GROUP BY 1, 2, 3))
 WHERE rn <= 3"""
 ORACLE["ad_click_trend"] = _ad_with() + """
@@ -358,7 +358,7 @@ ORACLE["stream_ad_province_top3"] = _ad_with(ALL_STAT) + """
 SELECT date, province, ad_id, click_count FROM (
   SELECT *, row_number() OVER (PARTITION BY date, province
                                ORDER BY click_count DESC, ad_id) AS rn
-  FROM (SELECT date, province, ad_id, sum(click_count) AS click_count
+  FROM (SELECT date, province, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count
         FROM all_stat GROUP BY 1, 2, 3))
 WHERE rn <= 3"""
 ORACLE["stream_ad_blacklist"] = ORACLE["ad_blacklist"]
