@@ -52,3 +52,15 @@ def test_page_and_product_jobs(spark):
     cols = ["area", "product_id", "click_count", "city_infos", "product_status"]
     assert _rows(spark.read.parquet(f"{out}/area_top3_product"), cols) == \
         _rows(QUERIES["area_top3_product"](spark, SF_MID), cols)
+
+
+def test_rerun_task_replaces_only_its_rows(spark):
+    from visitlens.sinks.merge import append_results
+    out = tempfile.mkdtemp(prefix="vl-out-") + "/t"
+    df = lambda n: spark.range(n).withColumnRenamed("id", "x")
+    append_results(df(3), out, 1)
+    append_results(df(2), out, 2)
+    append_results(df(4), out, 1)          # task 1 re-run
+    got = {r.task_id: r.n for r in spark.read.parquet(out).groupBy("task_id")
+           .count().withColumnRenamed("count", "n").collect()}
+    assert got == {1: 4, 2: 2}

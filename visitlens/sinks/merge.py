@@ -49,5 +49,12 @@ def with_task_id(df: DataFrame, task_id: int) -> DataFrame:
 
 
 def append_results(df: DataFrame, path: str, task_id: int) -> None:
-    """K1: append a batch result under ``path``, partitioned by task id."""
-    with_task_id(df, task_id).write.mode("append").partitionBy("task_id").parquet(path)
+    """K1: store a task's result rows under ``path``, partitioned by task id.
+
+    Only the ``task_id=<id>`` partition is replaced (dynamic partition
+    overwrite), so other tasks' rows stay and re-running a task after a
+    failure leaves one copy of its rows, not two.
+    """
+    (with_task_id(df, task_id).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy("task_id").parquet(path))
