@@ -97,8 +97,10 @@ def q_top10_session(spark, sf_dir):
 
 
 def q_top10_session_detail(spark, sf_dir):
+    # The chosen sessions are filtered ones, so their rows come straight from
+    # the action log by a broadcast join (no second semi-join shuffle).
     inp = Inputs(spark, sf_dir)
-    return C.tagged_detail(inp.detail(), _top_sessions(inp), ["category_id"])
+    return C.tagged_detail(inp.actions(), _top_sessions(inp), ["category_id"])
 
 
 def q_page_conversion(spark, sf_dir):
