@@ -141,3 +141,14 @@ def test_sample_with_hot_stratum_is_independent_of_sub_groups(spark):
                            SA.sample_sessions(sessions, 50, "s", sub_groups=g).collect())
     one = ids(1)
     assert len(one) == 48 and ids(7) == one and ids(64) == one
+
+
+def test_click_with_unknown_city_is_dropped(spark):
+    cities = spark.createDataFrame([(1, "c1", "A")], "city_id long, city_name string, area string")
+    rows = [action("s", 1, secs(0), click_prod=10, city_id=1),
+            action("s", 1, secs(1), click_prod=10, city_id=9),     # no such city
+            action("s", 1, secs(2), city_id=1)]                    # not a click
+    basic = PR.click_product_basic(PR.click_actions(actions_df(spark, rows)), cities)
+    got = [(r.area, r.product_id, r.click_count, r.city_infos)
+           for r in PR.area_product_clicks(basic).collect()]
+    assert got == [("A", 10, 1, "1:c1")]
