@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from visitlens.functions.columns import (
     concat_long_string, csv_ids, epoch_millis, format_time, group_concat_distinct,
     json_field, ntz_from_millis, parse_action_time, ratio_half_up, register_sql_functions,

@@ -20,7 +20,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 
 class SnapshotStore:
@@ -187,7 +187,3 @@ class SnapshotStore:
 def touched_dates(df: DataFrame, date_col: str = "date") -> list[dt.date]:
     """Distinct dates of a micro-batch (a handful of values) for the driver."""
     return sorted(r[0] for r in df.select(date_col).distinct().collect() if r[0] is not None)
-
-
-def count_rows(df: DataFrame) -> int:
-    return df.select(F.count(F.lit(1))).first()[0]
