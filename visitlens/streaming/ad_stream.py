@@ -21,6 +21,7 @@ is purged), emitted in update mode and upserted into ``ad_click_trend``.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -44,7 +45,9 @@ AD_TABLES = {
     "ad_province_top3": T.StructType([
         T.StructField("date", T.DateType()), T.StructField("province", T.StringType()),
         T.StructField("ad_id", T.LongType()), T.StructField("click_count", T.LongType())]),
-    "ad_rejects": T.StructType([T.StructField("batch_id", T.LongType()),
+    # malformed lines per batch, by the (UTC) day the batch was processed
+    "ad_rejects": T.StructType([T.StructField("date", T.DateType()),
+                                T.StructField("batch_id", T.LongType()),
                                 T.StructField("rejected", T.LongType())]),
 }
 
@@ -57,7 +60,6 @@ TREND_TABLES = {
 
 USER_KEYS = ["date", "user_id", "ad_id"]
 STAT_KEYS = ["date", "province", "city", "ad_id"]
-PROVINCE_KEYS = ["date", "province"]
 TREND_KEYS = ["date", "hour", "minute", "ad_id"]
 
 
@@ -108,9 +110,10 @@ class AdStreamJob:
             store.stage("ad_province_top3", batch_id,
                         AD.province_top_ads(stat, self.top_n), dates)
 
-            store.stage("ad_rejects", batch_id, store.read("ad_rejects").unionByName(
-                store.spark.createDataFrame([(batch_id, summary["rejected"])],
-                                            AD_TABLES["ad_rejects"])))
+            today = dt.datetime.now(dt.timezone.utc).date()
+            store.stage("ad_rejects", batch_id, store.read("ad_rejects", [today]).unionByName(
+                store.spark.createDataFrame([(today, batch_id, summary["rejected"])],
+                                            AD_TABLES["ad_rejects"])), [today])
             store.commit(batch_id)
         finally:
             parsed.unpersist()
