@@ -103,3 +103,12 @@ def test_cluster_conf_sizes_partitions():
     conf = cluster_conf(100 << 40, cores=4000)          # 100 TB on 4000 cores
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert int(cluster_conf(1 << 20, cores=8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_time_keys(spark):
+    from visitlens.functions.columns import date_hour_key, minute_key, not_empty
+    df = spark.createDataFrame([("2019-08-07 5:03:02", ""), ("2019-08-07 15:59:59", "x")],
+                               "s string, k string")
+    t = parse_action_time("s")
+    got = [tuple(r) for r in df.select(date_hour_key(t), minute_key(t), not_empty("k")).collect()]
+    assert got == [("2019-08-07_05", "201908070503", False), ("2019-08-07_15", "201908071559", True)]
