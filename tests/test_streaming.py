@@ -153,3 +153,32 @@ def test_sliding_stream_matches_batch_sliding(spark):
 
 def _lines_df(spark, lines):
     return spark.createDataFrame([(v,) for v in lines], "value string")
+
+
+def test_random_batches_match_fold(spark):
+    import random
+    rnd = random.Random(7)
+    for trial in range(2):
+        clicks = [(rnd.randint(0, 2 * 24 * 60), rnd.choice("PQ"), rnd.choice("CD"),
+                   rnd.randint(1, 4), rnd.randint(1, 3)) for _ in range(120)]
+        cuts = sorted(rnd.sample(range(1, len(clicks)), 3))
+        batches = [clicks[a:b] for a, b in zip([0] + cuts, cuts + [len(clicks)])]
+        store = _store(spark)
+        job = STR.AdStreamJob(store, threshold=6)
+        for i, b in enumerate(batches):
+            job.process(_lines(spark, b), i)
+        black, users, stat = set(), {}, {}
+        for b in batches:
+            kept = [c for c in b if c[3] not in black]
+            for m, p, c, u, a in kept:
+                day = (T0 + m * MIN) // 86_400_000
+                users[day, u, a] = users.get((day, u, a), 0) + 1
+                stat[day, p, c, a] = stat.get((day, p, c, a), 0) + 1
+            black |= {u for (d, u, a), n in users.items() if n >= 6}
+        epoch = __import__("datetime").date(1970, 1, 1)
+        got_users = {((r.date - epoch).days, r.user_id, r.ad_id): r.click_count
+                     for r in store.read("ad_user_click_count").collect()}
+        got_stat = {((r.date - epoch).days, r.province, r.city, r.ad_id): r.click_count
+                    for r in store.read("ad_stat").collect()}
+        assert {r.user_id for r in store.read("ad_blacklist").collect()} == black
+        assert got_users == users and got_stat == stat
