@@ -31,6 +31,14 @@ def parse_action_time(c) -> Column:
     return F.to_timestamp_ntz(_c(c), F.lit(ACTION_TIME_PARSE))
 
 
+def action_timestamp(df) -> Column:
+    """The action time of a visit row: the stored ``action_ts`` when the
+    table has it (no per-row parsing), else parsed from ``action_time``."""
+    if "action_ts" in df.columns:
+        return F.col("action_ts")
+    return parse_action_time("action_time")
+
+
 def format_time(c) -> Column:
     """timestamp -> 'yyyy-MM-dd HH:mm:ss'."""
     return F.date_format(_c(c), TIME_FORMAT)

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from visitlens.functions.columns import parse_action_time, ratio_half_up, slice_key
+from visitlens.functions.columns import action_timestamp, ratio_half_up, slice_key
 from visitlens.operators.sequence import previous_in_sequence
 
 
@@ -23,7 +23,7 @@ def flow_slices(flow: tuple[int, ...] | list[int]) -> list[str]:
 
 def page_transitions(actions: DataFrame) -> DataFrame:
     """Each action with the page of the action before it in its session."""
-    seq = actions.select("session_id", parse_action_time("action_time").alias("t"),
+    seq = actions.select("session_id", action_timestamp(actions).alias("t"),
                          "event_id", "page_id")
     return previous_in_sequence(seq, "session_id", ["t", "event_id"], "page_id", "prev_page")
 

@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from visitlens.functions.columns import not_empty, parse_action_time, ratio_half_up
+from visitlens.functions.columns import action_timestamp, not_empty, ratio_half_up
 from visitlens.params import TaskParams
 
 # Bucket edges of the session statistics (fixed values). Visit length in
@@ -66,7 +66,7 @@ def session_aggregate(actions: DataFrame, users: DataFrame | None = None) -> Dat
     partial aggregate, so a session with a huge number of actions still
     ships at most one small set per task.
     """
-    t = parse_action_time("action_time")
+    t = action_timestamp(actions)
     sessions = (
         actions.select("session_id", "user_id", t.alias("t"),
                        F.when(not_empty("search_keyword"), F.col("search_keyword"))

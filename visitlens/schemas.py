@@ -23,6 +23,8 @@ USER_VISIT_ACTION = T.StructType([
     T.StructField("city_id", T.LongType()),
     T.StructField("event_id", T.LongType()),
 ])
+# A stored action table may add ``action_ts`` (TIMESTAMP_NTZ equal to
+# ``action_time``); operators then skip parsing the text per row.
 
 USER_INFO = T.StructType([
     T.StructField("user_id", T.LongType()),

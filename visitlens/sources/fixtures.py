@@ -58,6 +58,10 @@ def user_visit_action(events: DataFrame, start_date: dt.date | None = None,
         F.when(etype == "purchase", (eid % 200).cast("string")).alias("pay_product_ids"),
         (eid % 25).alias("city_id"),
         "event_id",
+        # the same instant as action_time, built by arithmetic (no parsing)
+        F.make_timestamp_ntz(F.year("ts"), F.month("ts"), F.dayofmonth("ts"),
+                             (F.col("user_id") % 24).cast("int"), F.minute("ts"),
+                             F.second("ts")).alias("action_ts"),
     )
 
 
