@@ -372,3 +372,4 @@ SELECT session_id, event_id, page_id,
        lag(page_id) OVER (PARTITION BY session_id
                           ORDER BY CAST(action_time AS TIMESTAMP), event_id) AS prev_page
 FROM actions"""
+ORACLE["stream_ad_user_click_count"] = ORACLE["ad_user_click_count"]

@@ -242,6 +242,11 @@ def q_stream_ad_stat(spark, sf_dir):
     return _run_ad_stream(spark, sf_dir, threshold=100).read("ad_stat")
 
 
+def q_stream_ad_user_click_count(spark, sf_dir):
+    """R3 running totals per (date, user, ad) after the last micro-batch."""
+    return _run_ad_stream(spark, sf_dir, threshold=100).read("ad_user_click_count")
+
+
 def q_stream_ad_province_top3(spark, sf_dir):
     return _run_ad_stream(spark, sf_dir, threshold=100).read("ad_province_top3")
 
@@ -288,6 +293,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ad_click_trend": q_ad_click_trend,
     "ad_trend_sliding": q_ad_trend_sliding,
     "stream_ad_stat": q_stream_ad_stat,
+    "stream_ad_user_click_count": q_stream_ad_user_click_count,
     "stream_ad_province_top3": q_stream_ad_province_top3,
     "stream_ad_blacklist": q_stream_ad_blacklist,
     "stream_ad_click_trend": q_stream_ad_click_trend,
