@@ -112,3 +112,20 @@ def test_time_keys(spark):
     t = parse_action_time("s")
     got = [tuple(r) for r in df.select(date_hour_key(t), minute_key(t), not_empty("k")).collect()]
     assert got == [("2019-08-07_05", "201908070503", False), ("2019-08-07_15", "201908071559", True)]
+
+
+def test_read_log_formats_roundtrip(spark, tmp_path):
+    from helpers import action, actions_df, secs
+    from visitlens.schemas import USER_VISIT_ACTION
+    from visitlens.sources.tables import read_log
+    df = actions_df(spark, [action("a", 1, secs(0), keyword="kw1", order_cats="5,6"),
+                            action("b", 2, secs(5), click_cat=3)])
+    want = sorted(tuple(r) for r in df.collect())
+    for fmt in ("parquet", "orc", "csv", "json"):
+        path = str(tmp_path / fmt)
+        writer = df.write.format(fmt)
+        if fmt == "csv":
+            writer = writer.option("header", "true")
+        writer.save(path)
+        got = read_log(spark, path, fmt, USER_VISIT_ACTION)
+        assert sorted(tuple(r) for r in got.collect()) == want, fmt

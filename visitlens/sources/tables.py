@@ -43,3 +43,23 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str = "date",
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (df.repartitionByRange(n, F.col(partition_col), F.xxhash64(*df.columns))
        .write.mode(mode).partitionBy(partition_col).parquet(path))
+
+
+def read_log(spark: SparkSession, path: str, fmt: str = "parquet", schema=None,
+             options: dict[str, str] | None = None) -> DataFrame:
+    """Read a log stored as parquet, orc, csv or json, or a catalog table.
+
+    Text formats are read with the given schema (no inference pass over
+    the data); ``fmt="table"`` reads ``path`` as a catalog table name.
+    """
+    if fmt == "table":
+        return spark.table(path)
+    reader = spark.read.format(fmt).options(**(options or {}))
+    if fmt in ("csv", "json"):
+        if schema is None:
+            raise ValueError(f"{fmt} needs an explicit schema")
+        if fmt == "csv":
+            reader = reader.option("header", "true")
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.load(path)
