@@ -9,10 +9,11 @@ or ad holding a large share of clicks is combined map-side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from visitlens.functions.columns import format_time, ntz_from_millis
 from visitlens.operators.joins import broadcast_if_small
+from visitlens.operators.topk import top_n_per_group
 
 BLACKLIST_BROADCAST_MAX_ROWS = 5_000_000
 
@@ -59,9 +60,8 @@ def province_top_ads(stat: DataFrame, n: int = 3) -> DataFrame:
     """
     by_province = (stat.groupBy("date", "province", "ad_id")
                    .agg(F.sum("click_count").alias("click_count")))
-    w = Window.partitionBy("date", "province").orderBy(F.desc("click_count"), F.asc("ad_id"))
-    return (by_province.withColumn("rn", F.row_number().over(w))
-            .where(F.col("rn") <= n).drop("rn"))
+    return top_n_per_group(by_province, ["date", "province"],
+                           [F.desc("click_count"), F.asc("ad_id")], n).drop("rn")
 
 
 def minute_trend(clicks: DataFrame) -> DataFrame:

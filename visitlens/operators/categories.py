@@ -9,9 +9,10 @@ at most N rows, so broadcasting them is bounded by N.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from visitlens.functions.columns import csv_ids
+from visitlens.operators.topk import top_n_per_group
 from visitlens.schemas import DETAIL_COLUMNS
 
 CLICK, ORDER, PAY = 0, 1, 2
@@ -55,19 +56,16 @@ def top_sessions_per_category(detail: DataFrame, top: DataFrame, n: int = 10) ->
     """B6 (A7 + J4 + W4): per top category, the n sessions clicking it most.
 
     ``top`` has at most N rows (an ordered limit), so it is broadcast.
-    The row-number filter is planned as a window group limit: each map
-    partition keeps at most n rows per category before the exchange, so a
-    category clicked by a huge number of sessions does not flood one task.
+    The top n is bounded per task (:func:`top_n_per_group`), so a category
+    clicked by a huge number of sessions does not flood one task.
     """
     clicks = (detail.where(F.col("click_category_id").isNotNull())
               .join(F.broadcast(top.select(F.col("category_id").alias("click_category_id"))),
                     "click_category_id", "left_semi")
               .groupBy(F.col("click_category_id").alias("category_id"), "session_id")
               .agg(F.count(F.lit(1)).alias("click_count")))
-    w = Window.partitionBy("category_id").orderBy(F.desc("click_count"), F.asc("session_id"))
-    return (clicks.withColumn("rn", F.row_number().over(w))
-            .where(F.col("rn") <= n)
-            .drop("rn"))
+    return top_n_per_group(clicks, ["category_id"],
+                           [F.desc("click_count"), F.asc("session_id")], n).drop("rn")
 
 
 def tagged_detail(detail: DataFrame, chosen: DataFrame, tag_cols: list[str]) -> DataFrame:

@@ -13,11 +13,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from visitlens.functions.columns import concat_long_string, group_concat_distinct, json_field
 from visitlens.operators.joins import broadcast_if_small
 from visitlens.operators.sessions import actions_in_range
+from visitlens.operators.topk import top_n_per_group
 
 # Area grades and product status labels written by the reference job
 # (fixed values).
@@ -89,9 +90,7 @@ def with_product_info(counts: DataFrame, products: DataFrame) -> DataFrame:
 def top_products_per_area(full: DataFrame, n: int = 3,
                           levels: dict[str, str] | None = None) -> DataFrame:
     """W1 + P10: the n most clicked products of each area (ties: smaller id)."""
-    w = Window.partitionBy("area").orderBy(F.desc("click_count"), F.asc("product_id"))
-    return (full.withColumn("rn", F.row_number().over(w))
-            .where(F.col("rn") <= n)
+    return (top_n_per_group(full, ["area"], [F.desc("click_count"), F.asc("product_id")], n)
             .select("area", area_level("area", levels).alias("area_level"), "product_id",
                     "click_count", "city_infos", "product_name", "product_status"))
 

@@ -8,19 +8,18 @@ the smallest ``md5(session_id || seed)`` (then session id) are taken, so
 the sample is reproducible and retry-safe.
 
 Plan: every quota is at most ``n``, so only each stratum's first ``n``
-sessions in sample order can be drawn. They are found in two rounds: the
-top ``n`` within hash sub-groups of a stratum (a hot hour is spread over
-``sub_groups`` window partitions), then the top ``n`` among those
-survivors (at most ``sub_groups * n`` rows per stratum). Both filters carry
-the constant ``n``, so Spark adds a map-side window group limit on top
-when ``n`` is below ``spark.sql.optimizer.windowGroupLimitThreshold``. The
-quota table has at most 24 rows per day.
+sessions in sample order can be drawn; they come from
+:func:`visitlens.operators.topk.top_n_per_group`, which keeps at most ``n``
+rows per stratum per task (a hot hour does not land whole in one task).
+The quota table has at most 24 rows per day.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from visitlens.operators.topk import top_n_per_group
+
 
 def with_start_hour(sessions: DataFrame) -> DataFrame:
     return sessions.withColumns({"date": F.to_date("start_time"),
@@ -54,18 +53,10 @@ def sample_quotas(hour_counts: DataFrame, n: int) -> DataFrame:
 def sample_sessions(sessions: DataFrame, n: int, seed: str,
                     sub_groups: int | None = None) -> DataFrame:
     """T5: the sampled sessions (all input columns), at most ``n`` rows."""
-    if sub_groups is None:
-        sub_groups = int(sessions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["_h", "session_id"]
-    keyed = with_start_hour(sessions).withColumns({
-        "_h": F.md5(F.concat(F.col("session_id"), F.lit(seed))),
-        "_sub": F.pmod(F.xxhash64("session_id"), F.lit(sub_groups))})
-    w_sub = Window.partitionBy("date", "hour", "_sub").orderBy(*order)
-    survivors = (keyed.withColumn("_rn", F.row_number().over(w_sub))
-                 .where(F.col("_rn") <= n).drop("_rn", "_sub"))
-    w = Window.partitionBy("date", "hour").orderBy(*order)
-    ranked = (survivors.withColumn("_rn", F.row_number().over(w))
-              .where(F.col("_rn") <= n))
+    keyed = with_start_hour(sessions).withColumn(
+        "_h", F.md5(F.concat(F.col("session_id"), F.lit(seed))))
+    ranked = top_n_per_group(keyed, ["date", "hour"], ["_h", "session_id"], n,
+                             rank_col="_rn", sub_groups=sub_groups, salt_cols=["session_id"])
     quotas = sample_quotas(session_hour_counts(sessions), n)
     return (ranked.join(quotas, ["date", "hour"])
             .where(F.col("_rn") <= F.col("quota"))
