@@ -78,13 +78,18 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
     The shared folder is ``spark.checkpoint.dir`` (or the context's
-    checkpoint dir). Only when neither is set (local tests) a folder under
-    the system temp directory is created and registered with
-    ``setCheckpointDir`` (``spark.checkpoint.dir`` itself cannot change at
-    runtime).
+    checkpoint dir). Only when neither is set and the master is local
+    (tests) a folder under the system temp directory is created and
+    registered with ``setCheckpointDir`` (``spark.checkpoint.dir`` itself
+    cannot change at runtime); on a cluster executors would not share such
+    a folder, so there the call raises.
     """
     base = _session_checkpoint_dir(spark)
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir is not set and {master} is not a local "
+                             "master: set it to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="visitlens-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
         base = spark.sparkContext.getCheckpointDir() or base
