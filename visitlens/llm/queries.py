@@ -7,6 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from visitlens.llm import oracle
 from visitlens.llm.frames import held_fold, read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -28,5 +29,17 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id", "offset")
 
 
-QUERIES = {"op6_packing": op6_packing}
-ORACLE: dict[str, str] = {}
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from visitlens.llm.decontaminate import removal_spans
+    found = removal_spans(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                          read_table(spark, sf_dir, "benchmark")).drop("text")
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"))
+
+
+QUERIES = {"op1_decontamination": op1_decontamination,
+           "op6_packing": op6_packing}
+ORACLE: dict[str, str] = {"op1_decontamination": oracle.OP1}
