@@ -35,3 +35,23 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN hits USING (rid) LEFT JOIN items USING (rid)
 """
+
+OP3 = r"""
+WITH doc AS (
+  SELECT doc_id, row_number() OVER () AS rid,
+         coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+place AS (SELECT rid, unnest(range(1, len(w) - 33)) AS i, w FROM doc WHERE len(w) >= 35),
+win AS (SELECT rid, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM place),
+twice AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT rid, unnest(range(i, i + 35)) AS k FROM win WHERE h IN (SELECT h FROM twice)),
+word AS (SELECT rid, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS k FROM doc),
+kept AS (
+  SELECT rid, count(*) AS n, string_agg(x, ' ' ORDER BY k) AS kept
+  FROM word ANTI JOIN gone USING (rid, k) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+       CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM doc LEFT JOIN kept ON kept.rid = doc.rid
+"""

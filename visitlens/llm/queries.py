@@ -40,6 +40,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("spans") > 0).alias("contaminated"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from visitlens.llm.substring import remove_repeats
+    return remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {"op1_decontamination": op1_decontamination,
+           "op3_substring_dedup": op3_substring_dedup,
            "op6_packing": op6_packing}
-ORACLE: dict[str, str] = {"op1_decontamination": oracle.OP1}
+ORACLE: dict[str, str] = {"op1_decontamination": oracle.OP1,
+                          "op3_substring_dedup": oracle.OP3}
