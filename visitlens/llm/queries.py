@@ -46,8 +46,14 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from visitlens.llm.ngram_join import similar_documents
+    return similar_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {"op1_decontamination": op1_decontamination,
            "op3_substring_dedup": op3_substring_dedup,
-           "op6_packing": op6_packing}
+           "op6_packing": op6_packing,
+           "op9_ngram_join": op9_ngram_join}
 ORACLE: dict[str, str] = {"op1_decontamination": oracle.OP1,
                           "op3_substring_dedup": oracle.OP3}
