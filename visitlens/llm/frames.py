@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 from visitlens.session import materialize
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand whole texts to Python in batches of few rows, as a row may be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables; Python steps over it get small batches."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -33,17 +33,30 @@ PIECE_SCHEMA = ("doc_id long, start long, length long, doc_tokens long, ids bina
                 "cls int, part int, rank long")
 
 
+SEPARATOR = "<|startoftext|>"
+
+
 class WordCache:
-    """Token ids of blank-separated words, kept by the word's 64-bit hash.
+    """Token ids of chunks of blank-separated words, kept by the chunk's 64-bit hash.
 
     The tokenizer drops white space and never joins across it, so a text's
-    ids are its words' ids in order. The cache is emptied when it holds
-    ``limit`` words, which bounds its memory.
+    ids are its words' ids in order. A word of Latin letters and then ASCII
+    punctuation (but no apostrophe) is two chunks, as the tokenizer parts
+    letters from punctuation too. The cache is emptied when it holds
+    ``limit`` chunks, which bounds its memory.
     """
 
-    def __init__(self, tokenizer, limit: int = 400_000):
+    def __init__(self, tokenizer, limit: int = 200_000):
         self.tok, self.limit = tokenizer, limit
         self.hash, self.table = WordHasher(3), byte_table("space")
+        vocab = tokenizer.get_vocab()
+        self.word_end = np.zeros(max(vocab.values()) + 1, bool)
+        self.word_end[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.separator = vocab[SEPARATOR]
+        self.letter = np.zeros(256, bool)
+        self.letter[65:91] = self.letter[97:123] = True
+        self.punct = np.zeros(256, bool)
+        self.punct[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = True
         self._clear()
 
     def _clear(self):
@@ -52,23 +65,61 @@ class WordCache:
         self.size = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
 
-    def _add(self, keys, words):
-        if len(self.keys) + len(keys) > self.limit:
-            self._clear()
+    def _ids(self, words, letters_only):
+        """(ids, ids per word): words of letters end at the first word-end token."""
+        if letters_only:
+            ids = np.array(self.tok.encode_batch_fast(
+                [" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.word_end[ids]) + 1
+            if len(ends) == len(words) and ends[-1] == len(ids):
+                return ids, np.diff(ends, prepend=0)
+        own = [w for w in words if SEPARATOR in w]
+        if not own:
+            ids = np.array(self.tok.encode_batch_fast(
+                [SEPARATOR.join(words)], add_special_tokens=False)[0].ids, np.uint32)
+            cut = np.append(np.flatnonzero(ids == self.separator), len(ids))
+            if len(cut) == len(words):
+                return ids[ids != self.separator], np.diff(cut, prepend=-1) - 1
         found = [e.ids for e in self.tok.encode_batch(words, add_special_tokens=False)]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        pool = np.fromiter((i for ids in found for i in ids), np.uint32, int(size.sum()))
-        at = len(self.pool) + np.cumsum(size) - size
-        self.pool = np.concatenate([self.pool, pool])
-        keys = np.concatenate([self.keys, keys])
-        order = np.argsort(keys, kind="stable")
-        self.keys = keys[order]
-        self.at = np.concatenate([self.at, at])[order]
-        self.size = np.concatenate([self.size, size])[order]
+        return (np.array([i for f in found for i in f], np.uint32),
+                np.array([len(f) for f in found], np.int64))
+
+    def _add(self, keys, words, letters_only):
+        for a in range(0, len(words), 4000):
+            ids, size = self._ids(words[a:a + 4000], letters_only)
+            at = len(self.pool) + np.cumsum(size) - size
+            self.pool = np.concatenate([self.pool, ids])
+            self.keys = np.concatenate([self.keys, keys[a:a + 4000]])
+            self.at = np.concatenate([self.at, at])
+            self.size = np.concatenate([self.size, size])
+
+    def _chunks(self, data, offs):
+        """Chunk bounds, rows and whether a chunk is all letters."""
+        s, e, row = word_bounds(data, offs, self.table)
+        if not len(s):
+            return s, e, row, np.zeros(0, bool)
+        letter = self.letter[data]
+        # two-byte letters U+00C0..U+017F but the signs U+00D7 and U+00F7, and
+        # U+0130, whose lower case has a combining dot
+        lead = np.flatnonzero((data[:-1] >= 0xC3) & (data[:-1] <= 0xC5)
+                              & ~((data[:-1] == 0xC3) & np.isin(data[1:], (0x97, 0xB7)))
+                              & ~((data[:-1] == 0xC4) & (data[1:] == 0xB0)))
+        letter[lead] = letter[lead + 1] = True
+        at = np.arange(len(data))
+        stop = np.minimum.accumulate(np.where(letter, len(data), at)[::-1])[::-1]
+        stop = np.minimum(stop[s], e)
+        punct = np.concatenate([[0], np.cumsum(self.punct[data])])
+        two = np.flatnonzero((stop > s) & (stop < e) & (punct[e] - punct[stop] == e - stop))
+        pure = stop == e
+        pure[two] = True
+        e2 = e.copy()
+        e2[two] = stop[two]
+        return (np.insert(s, two + 1, stop[two]), np.insert(e2, two + 1, e[two]),
+                np.insert(row, two + 1, row[two]), np.insert(pure, two + 1, False))
 
     def encode(self, data, offs):
         """(ids, ids per row) of the texts in a buffer."""
-        s, e, row = word_bounds(data, offs, self.table)
+        s, e, row, pure = self._chunks(data, offs)
         uniq, first, inv = np.unique(self.hash(data, s, e), return_index=True,
                                      return_inverse=True)
         if len(self.keys):
@@ -76,13 +127,18 @@ class WordCache:
             new = np.flatnonzero(self.keys[k] != uniq)
         else:
             new = np.arange(len(uniq))
-        if len(self.keys) + len(new) > self.limit:
+        if len(self.keys) and len(self.keys) + len(new) > self.limit:
             self._clear()
             new = np.arange(len(uniq))
         if len(new):
             raw = data.tobytes()
-            self._add(uniq[new], [raw[a:b].decode() for a, b in
-                                  zip(s[first[new]].tolist(), e[first[new]].tolist())])
+            for kind in (True, False):
+                mine = new[pure[first[new]] == kind]
+                at = first[mine]
+                self._add(uniq[mine], [raw[a:b].decode() for a, b in zip(
+                    s[at].tolist(), e[at].tolist())], kind)
+            order = np.argsort(self.keys, kind="stable")
+            self.keys, self.at, self.size = self.keys[order], self.at[order], self.size[order]
         k = np.searchsorted(self.keys, uniq)[inv] if len(uniq) else np.zeros(0, np.int64)
         size = self.size[k]
         total = np.cumsum(size)
@@ -104,7 +160,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_json: str, capacity: int, grain:
         seen = np.zeros(capacity // grain + 2, np.int64)
         for batch in batches:
             data, offs = string_buffer(batch.column(1))
-            for a, b in slices(offs, 4 << 20):
+            for a, b in slices(offs):
                 ids, n = cache.encode(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
                 ids = np.insert(ids, np.cumsum(n), np.uint32(end_id))
                 n += 1
@@ -119,9 +175,9 @@ def tokenized_pieces(docs: DataFrame, tokenizer_json: str, capacity: int, grain:
                 rank[order] = (np.arange(len(row)) - (np.cumsum(counts) - counts)[cls[order]]
                                + seen[cls[order]])
                 seen += counts
-                # pieces of at most 64 MB of ids a batch: binary offsets are 32-bit
+                # pieces of about 16 MB of ids a batch: binary offsets are 32-bit
                 bounds = np.concatenate([[0], np.cumsum(length)])
-                for x, y in slices(4 * bounds, 64 << 20):
+                for x, y in slices(4 * bounds, 16 << 20):
                     binary = pa.Array.from_buffers(pa.binary(), y - x, [
                         None, pa.py_buffer((4 * (bounds[x:y + 1] - bounds[x]))
                                            .astype(np.int32).tobytes()),

@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 U = np.uint64
 
 
@@ -101,7 +101,7 @@ class Rolling:
 
     def _grow(self, n: int) -> None:
         if len(self.pw) < n:
-            n = max(n, 2 * len(self.pw))
+            n += n // 8
             f = np.full(n, self.q, U)
             f[0] = U(1)
             self.pw = np.cumprod(f, dtype=U)
