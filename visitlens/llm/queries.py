@@ -40,6 +40,22 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("spans") > 0).alias("contaminated"))
 
 
+def learned_language_model(docs: DataFrame):
+    """Fitted on the documents outside the held-out quarter of ids."""
+    from visitlens.llm.language import fit
+    train = docs.where(held_fold(F.col("doc_id"), 4) != 2)
+    return fit(train.select("text", "lang", F.xxhash64("doc_id").alias("row")),
+               row_key=F.col("row"))
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from visitlens.llm.language import identify
+    docs = read_table(spark, sf_dir, "documents")
+    found = identify(docs.select("doc_id", "text"), learned_language_model(docs))
+    return found.select("doc_id", F.coalesce(held_fold(F.col("doc_id"), 4) == 2, F.lit(False))
+                        .alias("held_out"), "lang_pred", "score")
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from visitlens.llm.substring import remove_repeats
     return remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
@@ -52,6 +68,7 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_decontamination": op1_decontamination,
+           "op2_language": op2_language,
            "op3_substring_dedup": op3_substring_dedup,
            "op6_packing": op6_packing,
            "op9_ngram_join": op9_ngram_join}
