@@ -62,6 +62,19 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from visitlens.llm.toxicity import fit, score
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").where(held_fold(F.col("doc_id"), 5) != 0) \
+        .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    train = docs.join(labels, "doc_id").select("text", "toxic", F.xxhash64("doc_id").alias("row"))
+    found = score(docs, fit(train, row_key=F.col("row"))).drop("text")
+    return found.select(
+        "doc_id", F.coalesce(held_fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
+        "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("offenders").alias("n_offenders"))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from visitlens.llm.ngram_join import similar_documents
     return similar_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -71,6 +84,7 @@ QUERIES = {"op1_decontamination": op1_decontamination,
            "op2_language": op2_language,
            "op3_substring_dedup": op3_substring_dedup,
            "op6_packing": op6_packing,
+           "op8_toxicity": op8_toxicity,
            "op9_ngram_join": op9_ngram_join}
 ORACLE: dict[str, str] = {"op1_decontamination": oracle.OP1,
                           "op3_substring_dedup": oracle.OP3}
