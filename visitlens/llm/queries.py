@@ -21,6 +21,17 @@ def tokenizer_json(path: str | None = None) -> str:
     return Path(path).read_text(encoding="utf-8")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from visitlens.llm.quality import fit, judge, text_stats
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").groupBy("doc_id").agg(
+        F.min("quality").alias("quality"))
+    train = docs.join(labels, "doc_id").select("text", "quality", F.xxhash64("doc_id").alias("row"))
+    return judge(text_stats(docs), fit(train, row_key=F.col("row"))).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "rule")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from visitlens.llm.packing import pack
     return pack(read_table(spark, sf_dir, "documents"), tokenizer_json(),
@@ -83,6 +94,7 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op1_decontamination": op1_decontamination,
            "op2_language": op2_language,
            "op3_substring_dedup": op3_substring_dedup,
+           "op5_quality_rules": op5_quality_rules,
            "op6_packing": op6_packing,
            "op8_toxicity": op8_toxicity,
            "op9_ngram_join": op9_ngram_join}
