@@ -73,6 +73,25 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def url_rules():
+    from visitlens.llm.urls import Rule
+    return [Rule("allow", "org", "/"), Rule("block", "example.org", "/es/"),
+            Rule("block", "example.org", "/en/1"), Rule("allow", "com", "/fr/"),
+            Rule("block", "com", "/de/")]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from visitlens.llm.urls import fit, lexical, parsed, with_rules
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    ruled = lexical(with_rules(parsed(pages), url_rules()))
+    label = F.when(F.col("rule_verdict") == "block", 1).when(F.col("rule_verdict") == "allow", 0)
+    judged = fit(ruled.withColumn("label", label)).predict(ruled)
+    return judged.select(
+        "page_id", "host", "path", "rule",
+        F.coalesce("rule_verdict", F.when(F.col("blocked") > 0.5, "block").otherwise("allow"))
+        .alias("verdict"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from visitlens.llm.toxicity import fit, score
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -96,6 +115,7 @@ QUERIES = {"op1_decontamination": op1_decontamination,
            "op3_substring_dedup": op3_substring_dedup,
            "op5_quality_rules": op5_quality_rules,
            "op6_packing": op6_packing,
+           "op7_url_filter": op7_url_filter,
            "op8_toxicity": op8_toxicity,
            "op9_ngram_join": op9_ngram_join}
 ORACLE: dict[str, str] = {"op1_decontamination": oracle.OP1,
