@@ -7,15 +7,16 @@ of one anchor occurrence are consecutive: a context. Steps:
 
 1. anchors of all documents are counted (partial sums before the shuffle);
    an anchor that occurs once owns no repeated window;
-2. where all contexts of an anchor are equal, all their windows repeat;
-3. the other contexts go to reference shards by anchor. A shard builds the
-   suffix automaton of its distinct contexts, weighted by how often each
-   occurs, and streams them for matching statistics: where the longest
+2. equal contexts are one, with their number of places; with two places or
+   more all its windows repeat;
+3. anchors with different contexts go to reference shards. A shard builds
+   the suffix automaton of its contexts, weighted by their places, and
+   streams those with one place for matching statistics: where the longest
    match with a second place has ``window`` words or more, the window
    ending there is a repeat. The automata are not broadcast, as their size
    follows the corpus; contexts are dealt to them instead;
-4. an anchor with more than ``shard_contexts`` contexts would be one unbounded
-   automaton; its windows are counted by a 128-bit hash instead;
+4. an anchor with more than ``shard_contexts`` different contexts would be one
+   unbounded automaton; its windows are counted by a 128-bit hash instead;
 5. repeated windows are merged to maximal spans per distinct text.
 
 Edge cases: null or empty texts have no words; copies of a text count as
@@ -101,7 +102,7 @@ def _anchors(window: int):
 
 
 def _contexts(window: int):
-    """(anchor, key, at, words) of the listed contexts of each text."""
+    """The words of the listed contexts of each text, once per slice."""
     def run(batches):
         hasher, table = WordHasher(1), byte_table("space")
         for batch in batches:
@@ -117,6 +118,9 @@ def _contexts(window: int):
                 per = np.diff(np.asarray(mine.offsets))
                 flat = mine.flatten()
                 doc = np.repeat(np.arange(b - a), per)
+                pair = np.stack([flat.field("anchor").to_numpy(), flat.field("ctx").to_numpy()], 1)
+                once = np.sort(np.unique(pair, axis=0, return_index=True)[1])
+                flat, doc = flat.take(pa.array(once)), doc[once]
                 at = flat.field("at").to_numpy().astype(np.int64)
                 size = flat.field("size").to_numpy().astype(np.int64)
                 start = first[doc] + at
@@ -124,17 +128,19 @@ def _contexts(window: int):
                 offsets = np.concatenate([[0], np.cumsum(length)])
                 idx = np.arange(offsets[-1]) + np.repeat(start - offsets[:-1], length)
                 yield pa.RecordBatch.from_arrays([
-                    flat.field("anchor"), flat.field("tot"),
+                    flat.field("anchor"), flat.field("ctx"), flat.field("n"), flat.field("m"),
                     batch.column("_k1").slice(a, b - a).take(pa.array(doc)),
                     batch.column("_k2").slice(a, b - a).take(pa.array(doc)),
                     flat.field("at"),
                     pa.Array.from_buffers(pa.binary(), len(doc), [
                         None, pa.py_buffer((8 * offsets).astype(np.int32).tobytes()),
                         pa.py_buffer(words[idx].tobytes())])],
-                    names=["anchor", "tot", "_k1", "_k2", "at", "words"])
+                    names=["anchor", "ctx", "n", "m", "_k1", "_k2", "at", "words"])
     return run
 
 
+CONTEXTS = "anchor long, ctx long, n long, m long, _k1 long, _k2 int, at int, words binary"
+WINDOWS = "h1 long, h2 long, _k1 long, _k2 int, at int, n long"
 RANGES = "_k1 long, _k2 int, first int, last int"
 
 
@@ -151,20 +157,21 @@ def _ranges(rows, flags, at, k1, k2):
 
 
 def _shards(window: int, shard_contexts: int):
-    """Automata of consecutive anchors' contexts; emits the repeated windows."""
+    """Automata of consecutive anchors' contexts; emits repeats of contexts with one place."""
+    empty = pa.schema([("_k1", pa.int64()), ("_k2", pa.int32()), ("first", pa.int32()),
+                       ("last", pa.int32())])
+
     def resolve(group):
         auto = SuffixAutomaton()
-        seqs: dict[bytes, int] = {}
-        for _, _, _, _, words, n in group:
-            seqs[words] = seqs.get(words, 0) + n
-        lists = {w: np.frombuffer(w, np.uint64).tolist() for w in seqs}
-        for w, n in seqs.items():
-            auto.add(lists[w], n)
+        lists = [np.frombuffer(g[4], np.uint64).tolist() for g in group]
+        for g, words in zip(group, lists):
+            auto.add(words, g[5])
         auto.finish()
-        stats = {w: np.array(auto.matching(x)[window - 1:]) >= window for w, x in lists.items()}
-        flags = [stats[g[4]] for g in group]
-        if not flags:
-            return None
+        alone = [i for i, g in enumerate(group) if g[5] == 1]
+        flags = [np.array(auto.matching(lists[i])[window - 1:]) >= window for i in alone]
+        group = [group[i] for i in alone]
+        if not group:
+            return pa.RecordBatch.from_pylist([], schema=empty)
         size = np.array([len(f) for f in flags])
         rows = np.repeat(np.arange(len(group)), size)
         at = np.repeat([g[3] for g in group], size) + np.arange(len(rows)) - np.repeat(
@@ -215,41 +222,37 @@ def repeated_ranges(docs: DataFrame, window: int = 35, text_col: str = "text",
     keyed = _keyed(docs, text_col)
     anchors = keyed.select(text_col, "_k1", "_k2").mapInArrow(
         _anchors(window), "_k1 long, _k2 int, at int, size int, anchor long, ctx long, n int")
-    common = saved(anchors.groupBy("anchor").agg(
-        F.sum("n").alias("tot"), F.min("ctx").alias("lo"), F.max("ctx").alias("hi"))
-        .where("tot >= 2").select("anchor", "tot", (F.col("lo") != F.col("hi")).alias("mixed")),
-        "anchors")
-    facts = saved(anchors.join(common, "anchor").groupBy("_k1", "_k2").agg(
-        F.collect_set(F.struct("at", "size", "anchor", "tot", "mixed")).alias("facts")),
+    common = saved(anchors.groupBy("anchor").agg(F.sum("n").alias("tot")).where("tot >= 2")
+                   .select("anchor"), "anchors")
+    places = saved(anchors.join(common, "anchor").groupBy("_k1", "_k2", "at", "size", "anchor",
+                                                          "ctx").agg(F.sum("n").alias("n")),
+                   "places")
+    # distinct contexts with their number of places and one of the places
+    distinct = saved(places.groupBy("anchor", "ctx").agg(
+        F.sum("n").alias("n"), F.min(F.struct("_k1", "_k2", "at", "size")).alias("rep")),
         "contexts")
-    same = facts.select("_k1", "_k2", F.transform(
-        F.filter("facts", lambda f: ~f["mixed"]),
-        lambda f: F.struct(f["at"].alias("first"),
-                           (f["at"] + f["size"] - 1).alias("last"))).alias("ranges")) \
-        .where(F.size("ranges") > 0)
-    mixed = facts.select("_k1", "_k2", F.filter("facts", lambda f: f["mixed"]).alias("facts")) \
-        .where(F.size("facts") > 0)
-    contexts = keyed.select(F.col(text_col).alias("text"), "_k1", "_k2").join(
-        mixed, ["_k1", "_k2"]).mapInArrow(
-        _contexts(window), "anchor long, tot long, _k1 long, _k2 int, at int, words binary") \
-        .groupBy("anchor", "_k1", "_k2", "at").agg(
-        F.first("words").alias("words"), F.first("tot").alias("tot"),
-        F.count("*").cast("int").alias("n"))
-    contexts = saved(contexts, "mixed")
-    found = contexts.where(F.col("tot") <= shard_contexts).drop("tot").repartition("anchor") \
+    whole = distinct.where("n > 1").select("anchor", "ctx")
+    same = places.join(whole, ["anchor", "ctx"]).select(
+        "_k1", "_k2", F.col("at").alias("first"), (F.col("at") + F.col("size") - 1).alias("last"))
+    many = saved(distinct.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1"), "mixed")
+    asked = distinct.join(many, "anchor").select(
+        "rep._k1", "rep._k2", F.struct("anchor", "ctx", "n", "m", "rep.at", "rep.size")
+        .alias("f")).groupBy("_k1", "_k2").agg(F.collect_list("f").alias("facts"))
+    contexts = saved(keyed.select(F.col(text_col).alias("text"), "_k1", "_k2")
+                     .join(saved(asked, "asked"), ["_k1", "_k2"]).mapInArrow(
+        _contexts(window), CONTEXTS).groupBy("anchor", "ctx").agg(
+        *(F.first(c).alias(c) for c in ("n", "m", "_k1", "_k2", "at", "words"))), "words")
+    found = contexts.where(F.col("m") <= shard_contexts).repartition("anchor") \
         .sortWithinPartitions("anchor").mapInArrow(_shards(window, shard_contexts), RANGES)
-    big = contexts.where(F.col("tot") > shard_contexts)
+    big = contexts.where(F.col("m") > shard_contexts)
     if not big.isEmpty():
-        windows = saved(big.mapInArrow(
-            _window_keys(window), "h1 long, h2 long, _k1 long, _k2 int, at int, n int"), "windows")
+        windows = saved(big.mapInArrow(_window_keys(window), WINDOWS), "windows")
         twice = saved(windows.groupBy("h1", "h2").agg(F.sum("n").alias("n")).where("n >= 2")
                       .select("h1", "h2"), "twice")
-        found = found.unionByName(windows.join(twice, ["h1", "h2"]).select(
+        found = found.unionByName(windows.where("n = 1").join(twice, ["h1", "h2"]).select(
             "_k1", "_k2", F.col("at").alias("first"), F.col("at").alias("last")))
-    found = found.groupBy("_k1", "_k2").agg(
-        F.collect_list(F.struct("first", "last")).alias("ranges"))
-    return same.unionByName(found).groupBy("_k1", "_k2").agg(
-        F.flatten(F.collect_list("ranges")).alias("ranges"))
+    return saved(same.unionByName(found).groupBy("_k1", "_k2").agg(
+        F.collect_list(F.struct("first", "last")).alias("ranges")), "ranges")
 
 
 def _cut(window: int, text_col: str, keep_layout: bool):
