@@ -55,3 +55,19 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM doc LEFT JOIN kept ON kept.rid = doc.rid
 """
+
+OP4 = """
+WITH page AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+best AS (
+  SELECT payload_digest, max(page_id) AS stored FROM page WHERE payload_bytes >= 1000
+  GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN stored IS DISTINCT FROM page_id AND stored IS NOT NULL THEN 'revisit'
+            ELSE 'response' END AS record_type,
+       CASE WHEN stored IS DISTINCT FROM page_id THEN stored END AS refers_to,
+       CAST(NULL AS VARCHAR) AS error
+FROM page LEFT JOIN best USING (payload_digest)
+"""

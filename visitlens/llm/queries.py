@@ -21,6 +21,14 @@ def tokenizer_json(path: str | None = None) -> str:
     return Path(path).read_text(encoding="utf-8")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from visitlens.llm.warc import archive_dir, read_archives, write_archives
+    path = archive_dir(spark)
+    write_archives(read_table(spark, sf_dir, "pages"), path)
+    return read_archives(spark, path, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "error")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from visitlens.llm.quality import fit, judge, text_stats
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -113,10 +121,12 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op1_decontamination": op1_decontamination,
            "op2_language": op2_language,
            "op3_substring_dedup": op3_substring_dedup,
+           "op4_warc": op4_warc,
            "op5_quality_rules": op5_quality_rules,
            "op6_packing": op6_packing,
            "op7_url_filter": op7_url_filter,
            "op8_toxicity": op8_toxicity,
            "op9_ngram_join": op9_ngram_join}
 ORACLE: dict[str, str] = {"op1_decontamination": oracle.OP1,
-                          "op3_substring_dedup": oracle.OP3}
+                          "op3_substring_dedup": oracle.OP3,
+                          "op4_warc": oracle.OP4}
