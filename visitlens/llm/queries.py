@@ -118,6 +118,16 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from visitlens.llm.pitman_yor import score_texts
+    held_out = F.coalesce(held_fold(F.col("doc_id"), 7) == 2, F.lit(False))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text",
+                                                         (~held_out).alias("train"))
+    return score_texts(docs).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")
+
+
 QUERIES = {"op1_decontamination": op1_decontamination,
            "op2_language": op2_language,
            "op3_substring_dedup": op3_substring_dedup,
@@ -126,7 +136,8 @@ QUERIES = {"op1_decontamination": op1_decontamination,
            "op6_packing": op6_packing,
            "op7_url_filter": op7_url_filter,
            "op8_toxicity": op8_toxicity,
-           "op9_ngram_join": op9_ngram_join}
+           "op9_ngram_join": op9_ngram_join,
+           "op10_pitman_yor": op10_pitman_yor}
 ORACLE: dict[str, str] = {"op1_decontamination": oracle.OP1,
                           "op3_substring_dedup": oracle.OP3,
                           "op4_warc": oracle.OP4}
