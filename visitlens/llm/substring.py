@@ -21,7 +21,8 @@ of one anchor occurrence are consecutive: a context. Steps:
 
 Edge cases: null or empty texts have no words; copies of a text count as
 many places and get the same spans; texts under ``window`` words keep all;
-an empty table gives no rows; other columns are ignored or kept as they are.
+an empty table gives no rows; other columns stay, but for those named like an
+output.
 """
 
 from __future__ import annotations
@@ -48,7 +49,8 @@ def _anchors(window: int):
     def run(batches):
         hasher, grams, contexts = WordHasher(1), Rolling(2), Rolling(3)
         table = byte_table("space")
-        span = window - ANCHOR + 1
+        anchor_words = min(ANCHOR, window)
+        span = window - anchor_words + 1
         for batch in batches:
             data, offs = string_buffer(batch.column(0))
             k1 = batch.column(1).to_numpy()
@@ -60,8 +62,8 @@ def _anchors(window: int):
                     continue
                 words = hasher(part, s, e)
                 n = len(words)
-                at = np.arange(n - ANCHOR + 1)
-                gram = grams.ranges(words, at, at + ANCHOR)
+                at = np.arange(n - anchor_words + 1)
+                gram = grams.ranges(words, at, at + anchor_words)
                 low = (gram >> np.uint64(32) << np.uint64(32)) | at.astype(np.uint64)
                 width = 1
                 while 2 * width <= span:
@@ -316,6 +318,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, text_col: str = "text",
     Kept words are joined by one space, or with ``keep_layout`` keep the
     blanks that stood before them.
     """
+    docs = docs.drop("n_words", "n_removed", "kept", "ranges", "_k1", "_k2")
     ranges = repeated_ranges(docs, window, text_col, shard_contexts)
     joined = _keyed(docs, text_col).join(ranges, ["_k1", "_k2"], "left")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)

@@ -15,7 +15,8 @@ Edge cases: a null URL or one without ``://`` has an empty host and path and
 fits no rule, and the trees judge its (empty) features; labels of one class
 give that constant verdict, and without labels all is allowed; among rules of
 one length the first in text order wins; repeated rows are judged alike; an
-empty table gives no rows; other columns are kept.
+empty table gives no rows; other columns are kept, but for those named like an
+output.
 """
 
 from __future__ import annotations
@@ -113,13 +114,13 @@ class UrlModel:
         """Add smoothed block rates per suffix; ``own`` is the row's label to leave out."""
         for k in (1, 2, 3):
             stat = F.broadcast(self.suffixes.where(F.col("k") == k).select(
-                F.col("s").alias(f"s{k}"), "n", "bad"))
+                F.col("s").alias(f"s{k}"), F.col("n").alias("_n"), F.col("bad").alias("_bad")))
             urls = urls.join(stat, f"s{k}", "left")
-            n, bad = F.coalesce("n", F.lit(0)), F.coalesce("bad", F.lit(0))
+            n, bad = F.coalesce("_n", F.lit(0)), F.coalesce("_bad", F.lit(0))
             if own is not None:
                 n, bad = n - 1, bad - own
             urls = urls.withColumn(f"f_rate{k}", ((bad + 10 * self.rate) / (n + 10))
-                                   .cast("double")).drop("n", "bad")
+                                   .cast("double")).drop("_n", "_bad")
         return urls
 
     def predict(self, urls: DataFrame) -> DataFrame:
@@ -127,6 +128,7 @@ class UrlModel:
         if self.trees is None:
             return urls.withColumn("blocked", F.lit(1.0 if self.rate >= 0.5 else 0.0))
         from pyspark.ml.feature import VectorAssembler
+        urls = urls.drop("rawPrediction", "probability", "blocked", "_blocked", "_x")
         x = VectorAssembler(inputCols=FEATURES, outputCol="_x").transform(self.with_rates(urls))
         return self.trees.transform(x).withColumnRenamed("_blocked", "blocked") \
             .drop("_x", "rawPrediction", "probability")
