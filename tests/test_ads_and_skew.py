@@ -17,14 +17,14 @@ def _log(spark, lines):
 
 def test_decode_rejects_malformed_lines(spark):
     lines = [f"{T0}_EAST_CITY1_3_7", "garbage", f"{T0}_EAST_CITY1_3", f"x_EAST_C_3_7",
-             f"{T0}_EAST_C_3_7_9", None]
+             f"{T0}_EAST_C_3_7_9", None, "9223372036854775807_P_C_1_1", "-5_P_C_1_1"]
     good, bad = decode_ad_log(_log(spark, lines))
     rows = good.collect()
     assert len(rows) == 1
     r = rows[0]
     assert (r.ts_ms, r.date, r.province, r.city, r.user_id, r.ad_id) == (
         T0, dt.date(2024, 1, 1), "EAST", "CITY1", 3, 7)
-    assert bad.count() == 5
+    assert bad.count() == 7
 
 
 def _clicks(spark, spec):
@@ -55,7 +55,7 @@ def test_province_top3_per_date_and_ties(spark):
 def test_sliding_trend_equals_spark_window(spark):
     spec = [(m, "P", "C", 1, m % 3) for m in range(0, 200, 7)]
     clicks = _clicks(spark, spec)
-    ours = AD.sliding_trend(clicks, 60, 10)
+    ours = AD.sliding_trend(clicks, 3600, 600)
     t = F.timestamp_millis("ts_ms")
     ref = (clicks.groupBy(F.window(t, "60 minutes", "10 minutes").alias("w"), "ad_id").count()
            .select(F.date_format(F.col("w.start"), "yyyy-MM-dd HH:mm:ss").alias("window_start"),
@@ -88,3 +88,46 @@ def test_skew_join_equals_plain_join(spark):
     plain = big.join(small, "k")
     salted = SK.skew_join(big, small, "k", 6, ["event_id"]).select(*plain.columns)
     assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
+
+
+def test_blacklist_is_a_part_of_the_users_at_every_scale(spark):
+    """One threshold: some users blacklisted, most not, and clicks left."""
+    from visitlens.plans.queries import QUERIES
+    for sf in ("sf0.001", "sf0.01", "sf0.1"):
+        where = f"/root/testdata/{sf}"
+        users = spark.read.parquet(f"{where}/events.parquet").select("user_id").distinct().count()
+        black = QUERIES["ad_blacklist"](spark, where).count()
+        assert 0 < black < users / 2
+        assert QUERIES["ad_stat"](spark, where).count() > 0
+
+
+def test_hot_key_joins_are_split(spark):
+    """A third of the rows on one key: with stored keys the join is split (skew=true)."""
+    from visitlens.operators import sessions as S
+    from visitlens.session import materialize
+    rows = spark.range(600_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
+            F.concat(F.lit("s"), (F.col("id") % 5003).cast("string"))).alias("session_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("pad"),
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 5003).alias("user_id"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    old = {c: spark.conf.get(c) for c in conf}
+    try:
+        for c, v in conf.items():
+            spark.conf.set(c, v)
+        keys = materialize(rows.select("session_id").distinct(), "t-sessions")
+        users = materialize(rows.where("user_id < 0").select("user_id").distinct(), "t-users")
+        for joined in (S.session_detail(rows, keys), AD.filter_blacklisted(rows, users)):
+            assert "skew=true" in _final_plan(joined)
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
+def _final_plan(df):
+    """The adaptive plan after the frame ran."""
+    df._jdf.queryExecution().toRdd().count()
+    return df._jdf.queryExecution().executedPlan().toString()

@@ -68,14 +68,14 @@ def test_rerun_task_replaces_only_its_rows(spark):
 
 def test_ads_cli_runs_the_stream_to_the_end(spark):
     import os
-    from visitlens.sinks.snapshots import SnapshotStore
-    from visitlens.streaming.ad_stream import AD_TABLES
+    from visitlens.sinks.deltas import DeltaStore
+    from visitlens.streaming.ad_stream import AD_TABLES, read_table
     src = tempfile.mkdtemp(prefix="vl-src-")
     with open(os.path.join(src, "a.txt"), "w") as f:
         f.write("\n".join(f"1704067207179_P_C_{u}_1" for u in (1, 1, 2)) + "\nbroken\n")
     root = tempfile.mkdtemp(prefix="vl-ads-")
     cli_main(["ads", "--source", src, "--state", f"{root}/state",
               "--checkpoint", f"{root}/ckpt", "--threshold", "2", "--trigger", "availableNow"])
-    store = SnapshotStore(spark, f"{root}/state", AD_TABLES)
-    assert [r.user_id for r in store.read("ad_blacklist").collect()] == [1]
-    assert [r.rejected for r in store.read("ad_rejects").collect()] == [1]
+    store = DeltaStore(spark, f"{root}/state", AD_TABLES)
+    assert [r.user_id for r in read_table(store, "ad_blacklist").collect()] == [1]
+    assert [r.rejected for r in read_table(store, "ad_rejects").collect()] == [1]

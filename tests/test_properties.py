@@ -37,8 +37,7 @@ def test_results_do_not_depend_on_input_order(spark):
     actions = inp.actions()
     shuffled = actions.repartition(7, F.xxhash64("event_id", F.lit(17)))
     users = inp.users()
-    for op in (lambda a: S.session_stats(S.filter_sessions(S.session_aggregate(a, users),
-                                                           P.SESSION_PARAMS)),
+    for op in (lambda a: S.session_stats(S.session_facts(a, users, P.SESSION_PARAMS)),
                lambda a: C.top_categories(a, 10),
                lambda a: FN.page_conversion(a, P.TARGET_PAGE_FLOW)):
         assert _rows(op(actions)) == _rows(op(shuffled))
@@ -51,6 +50,6 @@ def test_results_do_not_depend_on_input_order(spark):
 def test_lag_with_any_key_distribution(spark, rows, chunks):
     data = [(k, t, i, v) for i, (k, t, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "k long, t long, id long, v long")
-    a = previous_in_sequence(df, "k", ["t", "id"], "v", "p", chunks=chunks)
+    a = previous_in_sequence(df, "k", ["t", "id"], "v", "p", bucket_seconds=chunks)
     b = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("t", "id")))
     assert _rows(a) == _rows(b)

@@ -86,12 +86,37 @@ def test_previous_in_sequence_matches_window_lag_with_hot_key(spark, chunks):
     rows = [(0 if rnd.random() < 0.6 else rnd.randint(1, 30), rnd.randint(0, 50), i,
              rnd.choice([None, 1, 2, 3])) for i in range(3000)]
     df = spark.createDataFrame(rows, "k long, t long, id long, v long")
-    a = previous_in_sequence(df, "k", ["t", "id"], "v", "p", chunks=chunks)
+    a = previous_in_sequence(df, "k", ["t", "id"], "v", "p", bucket_seconds=chunks)
     b = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("t", "id")))
     assert a.count() == 3000
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+@pytest.mark.parametrize("aqe,reuse", [("true", "true"), ("false", "true"), ("true", "false")])
+def test_lag_of_a_wide_frame_needs_no_exchange_reuse(spark, aqe, reuse):
+    """400,000 rows, 60 % on one key, a column more than the lag needs."""
+    df = spark.range(400_000).select(
+        F.when(F.col("id") % 5 < 3, F.lit("hot")).otherwise(
+            F.concat(F.lit("s"), (F.col("id") % 997).cast("string"))).alias("k"),
+        F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(90_000))).cast("timestamp_ntz")
+        .alias("t"), F.col("id"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(50)).alias("v"),
+        F.sha2(F.col("id").cast("string"), 256).alias("wide"))
+    conf = {"spark.sql.adaptive.enabled": aqe, "spark.sql.exchange.reuse": reuse,
+            "spark.sql.shuffle.partitions": "16"}
+    old = {c: spark.conf.get(c) for c in conf}
+    try:
+        for c, v in conf.items():
+            spark.conf.set(c, v)
+        ours = previous_in_sequence(df, "k", ["t", "id"], "v", "p")
+        plain = df.withColumn("q", F.lag("v").over(Window.partitionBy("k").orderBy("t", "id")))
+        both = ours.select("id", "p", "wide").join(plain.select("id", "q"), "id")
+        assert both.agg(F.count("*"), F.count_if(~F.col("p").eqNullSafe(F.col("q")))).first() \
+            == (400_000, 0)
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
 def test_area_top_products_ties_status_and_levels(spark):
     cities = spark.createDataFrame([(1, "c1", "华北"), (2, "c2", "西南"), (3, "c3", "X")],
                                    "city_id long, city_name string, area string")

@@ -4,8 +4,10 @@ import os
 import tempfile
 import time
 
+import pytest
+
 from visitlens.sinks import merge
-from visitlens.sinks.snapshots import SnapshotStore
+from visitlens.sinks.deltas import DeltaStore
 from visitlens.streaming import ad_stream as STR
 
 T0 = 1704067207179      # 2024-01-01 00:00:07.179 UTC
@@ -19,11 +21,11 @@ def _lines(spark, spec):
 
 
 def _store(spark, tables=STR.AD_TABLES):
-    return SnapshotStore(spark, tempfile.mkdtemp(prefix="vl-state-"), tables)
+    return DeltaStore(spark, tempfile.mkdtemp(prefix="vl-state-"), tables)
 
 
 def _table(store, name):
-    return sorted(tuple(r) for r in store.read(name).collect())
+    return sorted(tuple(r) for r in STR.read_table(store, name).collect())
 
 
 def test_blacklist_feedback_matches_fold(spark):
@@ -53,10 +55,59 @@ def test_blacklist_feedback_matches_fold(spark):
     assert {(r[1], r[2], r[3]): r[4] for r in _table(store, "ad_stat")} == stat
     top = _table(store, "ad_province_top3")
     assert [(r[1], r[2], r[3]) for r in top] == [("P", 1, 6), ("Q", 5, 1)]
-    assert sorted((r.batch_id, r.rejected) for r in store.read("ad_rejects").collect()) == \
+    assert sorted((r.batch_id, r.rejected) for r in STR.read_table(store, "ad_rejects").collect()) == \
         [(0, 0), (1, 0), (2, 1)]
 
 
+def test_redelivered_batch_ignores_its_own_blacklist(spark):
+    """A batch that ran before its commit was lost writes the same rows again."""
+    store = _store(spark)
+    job = STR.AdStreamJob(store, threshold=3)
+    df = _lines(spark, [(0, "P", "C", 1, 1)] * 4 + [(0, "P", "C", 2, 1)])
+    job.process(df, 0)
+    first = _table(store, "ad_stat"), _table(store, "ad_blacklist")
+    job.process(df, 0)
+    assert (_table(store, "ad_stat"), _table(store, "ad_blacklist")) == first
+
+
+def test_compaction_keeps_the_totals(spark):
+    store = _store(spark)
+    job = STR.AdStreamJob(store, threshold=5, compact_every=2)
+    for i in range(6):
+        job.process(_lines(spark, [(i, "P", "C", 1, 1), (i, "P", "C", 2, 1)]), i)
+    assert [r[-1] for r in _table(store, "ad_user_click_count")] == [5, 5]
+    assert [r[0] for r in _table(store, "ad_blacklist")] == [1, 2]
+    assert store._ids("ad_stat", "upto") == [1, 3] and store._ids("ad_stat", "batch") == [2, 3, 4, 5]
+
+
+def test_new_checkpoint_on_old_results_is_refused(spark):
+    src = tempfile.mkdtemp(prefix="vl-src-")
+    root = tempfile.mkdtemp(prefix="vl-run-")
+    _write_file(src, "a.txt", [f"{T0}_P_C_1_1"])
+
+    def run(checkpoint):
+        q, store = STR.start_ad_stream(spark, spark.readStream.text(src), f"{root}/state",
+                                       f"{root}/{checkpoint}", trigger="availableNow")
+        q.awaitTermination()
+        return store
+    run("one")
+    with pytest.raises(Exception, match="new checkpoint needs a new result folder"):
+        run("two")
+
+
+def test_stateful_totals_and_late_rows(spark):
+    src = tempfile.mkdtemp(prefix="vl-src-")
+    root = tempfile.mkdtemp(prefix="vl-run-")
+    _write_file(src, "a.txt", [f"{T0}_P_C_1_1"] * 2 + ["9223372036854775807_P_C_1_1"])
+    _write_file(src, "b.txt", [f"{T0}_P_C_2_1"] * 3 + [f"{T0}_P_C_2_2"])
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(src)
+    q, store = STR.start_stat_stream(spark, stream, f"{root}/state", f"{root}/ckpt",
+                                     trigger="availableNow")
+    q.awaitTermination()
+    assert [r[-2:] for r in _table(store, "ad_stat_state")] == [(1, 5), (2, 1)]
+    assert STR.late_rows(q) == 0
+
+
 def test_redelivered_batch_is_not_counted_twice(spark):
     store = _store(spark)
     job = STR.AdStreamJob(store, threshold=100)
@@ -64,7 +115,7 @@ def test_redelivered_batch_is_not_counted_twice(spark):
     job.process(df, 0)
     job.process(df, 0)
     assert _table(store, "ad_stat")[0][-1] == 2
-    assert store.latest() == 0
+    assert store.last_batch("ad_stat") == 0
 
 
 _CLOCK = [time.time() - 10_000]
@@ -117,10 +168,11 @@ def test_trend_stream_drops_rows_beyond_watermark(spark):
                                       watermark="60 minutes", trigger="availableNow")
     q.awaitTermination()
     got = [(r.hour, r.minute, r.ad_id, r.click_count) for r in
-           store.read("ad_click_trend").orderBy("hour", "minute").collect()]
+           STR.read_table(store, "ad_click_trend").orderBy("hour", "minute").collect()]
     assert got == [("02", "50", 2, 1), ("02", "55", 3, 1), ("03", "00", 1, 1),
                    ("03", "01", 1, 1)]
-    recent = STR.last_hour(store.read("ad_click_trend"), T0 + 172 * MIN)
+    assert STR.late_rows(q) == 1
+    recent = STR.last_hour(STR.read_table(store, "ad_click_trend"), T0 + 172 * MIN)
     assert recent.count() == 1
 
 
@@ -141,14 +193,14 @@ def test_sliding_stream_matches_batch_sliding(spark):
     src = tempfile.mkdtemp(prefix="vl-src-")
     spec = [f"{T0 + m * MIN}_P_C_1_{m % 2}" for m in range(0, 95, 4)]
     _write_file(src, "a.txt", spec)
-    got = []
-    q = (STR.sliding_counts_stream(spark.readStream.text(src), "60 minutes", "10 minutes")
-         .writeStream.outputMode("update")
-         .foreachBatch(lambda df, _: got.extend(tuple(r) for r in df.collect()))
-         .option("checkpointLocation", tempfile.mkdtemp()).trigger(availableNow=True).start())
-    q.awaitTermination()
-    batch = AD.sliding_trend(decode_ad_log(_lines_df(spark, spec))[0], 60, 10)
-    assert sorted(got) == sorted(tuple(r) for r in batch.collect())
+    for window, slide in ((3600, 600), (60, 10)):
+        root = tempfile.mkdtemp(prefix="vl-run-")
+        q, store = STR.start_sliding_stream(spark, spark.readStream.text(src), f"{root}/state",
+                                            f"{root}/ckpt", slide, trigger="availableNow")
+        q.awaitTermination()
+        got = AD.spread_buckets(STR.read_table(store, "ad_click_bucket"), window, slide)
+        batch = AD.sliding_trend(decode_ad_log(_lines_df(spark, spec))[0], window, slide)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
 
 
 def _lines_df(spark, lines):
@@ -177,8 +229,8 @@ def test_random_batches_match_fold(spark):
             black |= {u for (d, u, a), n in users.items() if n >= 6}
         epoch = __import__("datetime").date(1970, 1, 1)
         got_users = {((r.date - epoch).days, r.user_id, r.ad_id): r.click_count
-                     for r in store.read("ad_user_click_count").collect()}
+                     for r in STR.read_table(store, "ad_user_click_count").collect()}
         got_stat = {((r.date - epoch).days, r.province, r.city, r.ad_id): r.click_count
-                    for r in store.read("ad_stat").collect()}
-        assert {r.user_id for r in store.read("ad_blacklist").collect()} == black
+                    for r in STR.read_table(store, "ad_stat").collect()}
+        assert {r.user_id for r in STR.read_table(store, "ad_blacklist").collect()} == black
         assert got_users == users and got_stat == stat

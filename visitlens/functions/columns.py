@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession, functions as F
 
 # Formats of the logged strings (fixed values).
-ACTION_TIME_PARSE = "yyyy-MM-dd H:mm:ss"   # hour may have one digit
+ACTION_TIME_TEXT = r"^\d{4}-\d{2}-\d{2} \d{1,2}:\d{2}:\d{2}$"   # hour may have one digit
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"
 DATE_KEY_FORMAT = "yyyyMMdd"
@@ -27,8 +27,17 @@ def not_empty(c) -> Column:
 
 
 def parse_action_time(c) -> Column:
-    """'yyyy-MM-dd H:mm:ss' text -> TIMESTAMP_NTZ (hour with 1 or 2 digits)."""
-    return F.to_timestamp_ntz(_c(c), F.lit(ACTION_TIME_PARSE))
+    """'yyyy-MM-dd H:mm:ss' text -> TIMESTAMP_NTZ (hour with 1 or 2 digits).
+
+    Text of another form, or no such time, gives null instead of an error.
+    """
+    padded = F.regexp_replace(_c(c), r" (\d):", " 0$1:")
+    return F.when(_c(c).rlike(ACTION_TIME_TEXT), padded).try_cast("timestamp_ntz")
+
+
+def bad_action_time(df) -> Column:
+    """Whether a row's ``action_time`` is present but unreadable (a reject)."""
+    return F.col("action_time").isNotNull() & parse_action_time("action_time").isNull()
 
 
 def action_timestamp(df) -> Column:

@@ -12,27 +12,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from visitlens.functions.columns import format_time, ntz_from_millis
-from visitlens.operators.joins import broadcast_if_small
 from visitlens.operators.topk import top_n_per_group
 
-BLACKLIST_BROADCAST_MAX_ROWS = 5_000_000
 
-
-def filter_blacklisted(clicks: DataFrame, blacklist: DataFrame,
-                       max_broadcast_rows: int | None = BLACKLIST_BROADCAST_MAX_ROWS
-                       ) -> DataFrame:
+def filter_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
     """R2 (J5 + P6): drop clicks of blacklisted users (anti join on user_id).
 
-    A stored blacklist is broadcast when a size check passes; otherwise a
-    shuffle anti join, where AQE can split a hot user's partition. Pass
-    ``max_broadcast_rows=None`` when the blacklist is computed in the same
-    plan: checking it would compute it twice, so the choice is left to
-    AQE's measured sizes.
+    AQE broadcasts the blacklist when its measured size allows. Beyond that
+    it splits a hot user's clicks, which needs both sides to come straight
+    from a shuffle: pass a stored blacklist, not one aggregated in the plan.
     """
-    users = blacklist.select("user_id").distinct()
-    if max_broadcast_rows is not None:
-        users = broadcast_if_small(users, max_broadcast_rows)
-    return clicks.join(users, "user_id", "left_anti")
+    return clicks.join(blacklist.select("user_id"), "user_id", "left_anti")
 
 
 def user_ad_click_counts(clicks: DataFrame) -> DataFrame:
@@ -72,8 +62,8 @@ def minute_trend(clicks: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("click_count")))
 
 
-def sliding_trend(clicks: DataFrame, window_minutes: int = 60,
-                  slide_minutes: int = 10) -> DataFrame:
+def sliding_trend(clicks: DataFrame, window_seconds: int = 3600,
+                  slide_seconds: int = 10) -> DataFrame:
     """Clicks per ad in sliding event-time windows ``[start, start + window)``.
 
     Equal to ``groupBy(window(t, window, slide), ad_id).count()``, but rows
@@ -81,18 +71,23 @@ def sliding_trend(clicks: DataFrame, window_minutes: int = 60,
     copied into the ``window / slide`` windows covering them, instead of
     copying every click.
     """
-    if window_minutes % slide_minutes:
+    buckets = (clicks.groupBy(F.floor(F.col("ts_ms") / (slide_seconds * 1000)).alias("bucket"),
+                              "ad_id").agg(F.count(F.lit(1)).alias("click_count")))
+    return spread_buckets(buckets, window_seconds, slide_seconds)
+
+
+def spread_buckets(buckets: DataFrame, window_seconds: int, slide_seconds: int) -> DataFrame:
+    """Sliding windows from counts per (slide bucket, ad); buckets come from a
+    batch aggregate or from the stream's stored counts."""
+    if window_seconds % slide_seconds:
         raise ValueError("window must be a multiple of the slide")
-    slide_ms = slide_minutes * 60_000
-    copies = window_minutes // slide_minutes
-    buckets = (clicks.groupBy(F.floor(F.col("ts_ms") / slide_ms).alias("bucket"), "ad_id")
-               .agg(F.count(F.lit(1)).alias("n")))
-    spread = (buckets.select("bucket", "ad_id", "n",
+    slide_ms, copies = slide_seconds * 1000, window_seconds // slide_seconds
+    spread = (buckets.select("bucket", "ad_id", "click_count",
                              F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("i"))
               .select(((F.col("bucket") - F.col("i")) * slide_ms).alias("start_ms"),
-                      "ad_id", "n"))
-    counted = (spread.groupBy("start_ms", "ad_id").agg(F.sum("n").alias("click_count"))
-               .withColumn("end_ms", F.col("start_ms") + F.lit(window_minutes * 60_000)))
+                      "ad_id", "click_count"))
+    counted = (spread.groupBy("start_ms", "ad_id").agg(F.sum("click_count").alias("click_count"))
+               .withColumn("end_ms", F.col("start_ms") + F.lit(window_seconds * 1000)))
     return counted.select(format_time(ntz_from_millis("start_ms")).alias("window_start"),
                           format_time(ntz_from_millis("end_ms")).alias("window_end"),
                           "ad_id", "click_count")

@@ -55,12 +55,12 @@ def top_categories(detail: DataFrame, n: int = 10) -> DataFrame:
 def top_sessions_per_category(detail: DataFrame, top: DataFrame, n: int = 10) -> DataFrame:
     """B6 (A7 + J4 + W4): per top category, the n sessions clicking it most.
 
-    ``top`` has at most N rows (an ordered limit), so it is broadcast.
+    ``top`` has at most N rows; AQE broadcasts it by its measured size.
     The top n is bounded per task (:func:`top_n_per_group`), so a category
     clicked by a huge number of sessions does not flood one task.
     """
     clicks = (detail.where(F.col("click_category_id").isNotNull())
-              .join(F.broadcast(top.select(F.col("category_id").alias("click_category_id"))),
+              .join(top.select(F.col("category_id").alias("click_category_id")),
                     "click_category_id", "left_semi")
               .groupBy(F.col("click_category_id").alias("category_id"), "session_id")
               .agg(F.count(F.lit(1)).alias("click_count")))
@@ -71,9 +71,9 @@ def top_sessions_per_category(detail: DataFrame, top: DataFrame, n: int = 10) ->
 def tagged_detail(detail: DataFrame, chosen: DataFrame, tag_cols: list[str]) -> DataFrame:
     """Actions of the chosen sessions, one copy per chosen row.
 
-    ``chosen`` is bounded (top N x N sessions, or a sample of fixed size),
-    so it is broadcast and the action side is not shuffled.
+    ``chosen`` (top N x N sessions, or a sample) is broadcast by AQE when its
+    measured size allows; stored beforehand, a hot session is split too.
     """
     keys = chosen.select("session_id", *tag_cols)
-    return (detail.join(F.broadcast(keys), "session_id")
+    return (detail.join(keys, "session_id")
             .select(*tag_cols, *DETAIL_COLUMNS, "event_id"))

@@ -1,7 +1,7 @@
 """Top products per area (B8: S2 + J6 + A8 + J7 + W1 + P10 + P11).
 
-Shuffle plan: click rows join the city dimension by broadcast (checked to
-be small), then one hash aggregate on ``(area, product_id)`` with partial
+Shuffle plan: click rows join the city dimension (AQE broadcasts it by its
+measured size), then one hash aggregate on ``(area, product_id)`` with partial
 aggregation (a hot product is combined map-side; the distinct city list
 per group is bounded by the number of cities). The aggregate joins the
 product dimension (shuffle or broadcast as sizes dictate), and the top 3
@@ -16,7 +16,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from visitlens.functions.columns import concat_long_string, group_concat_distinct, json_field
-from visitlens.operators.joins import broadcast_if_small
 from visitlens.operators.sessions import actions_in_range
 from visitlens.operators.topk import top_n_per_group
 
@@ -34,8 +33,6 @@ OTHER_AREA_LEVEL = "D级"
 SELF_OPERATED = "自营商品"
 THIRD_PARTY = "第三方商品"
 
-CITY_BROADCAST_MAX_ROWS = 1_000_000
-
 
 def click_actions(actions: DataFrame, start_date: dt.date | None = None,
                   end_date: dt.date | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -46,9 +43,8 @@ def click_actions(actions: DataFrame, start_date: dt.date | None = None,
 
 
 def click_product_basic(clicks: DataFrame, cities: DataFrame) -> DataFrame:
-    """Clicks with their city's name and area (inner join)."""
-    city = broadcast_if_small(cities.select("city_id", "city_name", "area"),
-                              CITY_BROADCAST_MAX_ROWS)
+    """Clicks with their city's name and area (inner join, sides sized by AQE)."""
+    city = cities.select("city_id", "city_name", "area")
     extra = [c for c in clicks.columns if c not in ("city_id", "product_id")]
     return (clicks.join(city, "city_id")
             .select("city_id", "city_name", "area", "product_id", *extra))

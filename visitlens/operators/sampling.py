@@ -7,18 +7,19 @@ per_day)``, capped at the hour's count. Within an hour the sessions with
 the smallest ``md5(session_id || seed)`` (then session id) are taken, so
 the sample is reproducible and retry-safe.
 
-Plan: every quota is at most ``n``, so only each stratum's first ``n``
-sessions in sample order can be drawn; they come from
-:func:`visitlens.operators.topk.top_n_per_group`, which keeps at most ``n``
-rows per stratum per task (a hot hour does not land whole in one task).
-The quota table has at most 24 rows per day.
+Plan: only the narrow keys (date, hour, sample order, session id) are
+ranked. A stratum's sessions are dealt over ``SUB_GROUPS`` hash groups, each
+keeps at most the stratum's quota, and the survivors are ranked again: at
+most ``SUB_GROUPS`` times the sample's size in all, whatever the shuffle
+partitions, so a hot hour does not land whole in one task. The drawn ids are
+joined back to the sessions. The quota table has at most 24 rows per day.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from visitlens.operators.topk import top_n_per_group
+SUB_GROUPS = 64
 
 
 def with_start_hour(sessions: DataFrame) -> DataFrame:
@@ -51,13 +52,19 @@ def sample_quotas(hour_counts: DataFrame, n: int) -> DataFrame:
 
 
 def sample_sessions(sessions: DataFrame, n: int, seed: str,
-                    sub_groups: int | None = None) -> DataFrame:
+                    sub_groups: int = SUB_GROUPS) -> DataFrame:
     """T5: the sampled sessions (all input columns), at most ``n`` rows."""
-    keyed = with_start_hour(sessions).withColumn(
-        "_h", F.md5(F.concat(F.col("session_id"), F.lit(seed))))
-    ranked = top_n_per_group(keyed, ["date", "hour"], ["_h", "session_id"], n,
-                             rank_col="_rn", sub_groups=sub_groups, salt_cols=["session_id"])
-    quotas = sample_quotas(session_hour_counts(sessions), n)
-    return (ranked.join(quotas, ["date", "hour"])
-            .where(F.col("_rn") <= F.col("quota"))
-            .drop("_h", "_rn", "quota"))
+    quotas = sample_quotas(session_hour_counts(sessions), n).where("quota > 0")
+    keys = (with_start_hour(sessions.select("session_id", "start_time"))
+            .select("session_id", "date", "hour",
+                    F.md5(F.concat(F.col("session_id"), F.lit(seed))).alias("_h"))
+            .join(quotas, ["date", "hour"])
+            .withColumn("_sub", F.pmod(F.xxhash64("session_id"), F.lit(sub_groups))))
+    order = ["_h", "session_id"]
+    within = Window.partitionBy("date", "hour", "_sub").orderBy(*order)
+    stratum = Window.partitionBy("date", "hour").orderBy(*order)
+    drawn = (keys.withColumn("_r", F.row_number().over(within))
+             .where(F.col("_r") <= F.col("quota"))
+             .withColumn("_r", F.row_number().over(stratum))
+             .where(F.col("_r") <= F.col("quota")))
+    return with_start_hour(sessions).join(drawn.select("session_id"), "session_id", "left_semi")

@@ -2,55 +2,51 @@
 
 ``lag(v) OVER (PARTITION BY key ORDER BY ...)`` sends every row of a key to
 one task; a session holding a third of all rows would make that task a
-third of the job. Here the rows are range-partitioned on
-``(key, order...)`` instead: the sampled range bounds split a hot key over
-several consecutive chunks, each bounded by the partition size. The lag
-is taken within ``(chunk, key)``.
-
-Chunks are contiguous ranges of the sort order, so only the first key of
-a chunk can have rows in an earlier chunk, and then its previous row is
-the last row of the preceding non-empty chunk. The carried values thus
-form a table of at most one row per chunk, which is broadcast (its size
-is bounded by the chunk count, not by the data).
+third of the job. Here a key's rows are dealt out by ``(key, time bucket)``:
+the bucket is computed from the row's own time, so every use of the frame,
+a retried task or a plan without exchange reuse gives the same buckets. The
+lag is taken within ``(key, bucket)``; the first row of a bucket gets the
+last value of the key's bucket before, from a table with one row per
+``(key, bucket)``, joined on the same two columns. The log itself is
+shuffled once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+
+def time_bucket(df: DataFrame, time_col: str, seconds: int) -> Column:
+    """Number of the ``seconds`` long bucket of a TIMESTAMP_NTZ or a number of
+    seconds; null time: the lowest bucket."""
+    t = F.col(time_col)
+    if dict(df.dtypes)[time_col] == "timestamp_ntz":
+        t = F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), t)
+    return F.coalesce(F.floor(t / seconds), F.lit(-(1 << 62))).cast("bigint")
 
 
 def previous_in_sequence(df: DataFrame, key: str, order: list[str], value: str,
-                         out: str = "prev", chunks: int | None = None) -> DataFrame:
+                         out: str = "prev", bucket_seconds: int = 60) -> DataFrame:
     """Add ``out`` = ``value`` of the preceding row of the same ``key``.
 
-    ``order`` must make rows of a key unique (add an id as the last
-    column). The first row of every key gets null. ``chunks`` defaults to
-    ``spark.sql.shuffle.partitions``.
+    ``order`` starts with a TIMESTAMP_NTZ (or seconds) column and must make rows of a key
+    unique (add an id as the last column). The first row of every key gets
+    null, and so do rows whose key is null. ``bucket_seconds`` must be fine
+    enough that a hot key's bucket fits one task.
     """
-    spark = df.sparkSession
-    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, key, *order)
-              .withColumn("_chunk", F.spark_partition_id()))
-    w = Window.partitionBy("_chunk", key).orderBy(*order)
-    local = (ranged.withColumn("_prev", F.lag(value).over(w))
+    dealt = df.withColumn("_bucket", time_bucket(df, order[0], bucket_seconds))
+    w = Window.partitionBy(key, "_bucket").orderBy(*order)
+    local = (dealt.withColumn("_prev", F.lag(value).over(w))
              .withColumn("_pos", F.row_number().over(w))
              .withColumn("_is_last", F.lead(F.lit(1)).over(w).isNull()))
-
-    # Last value of every (chunk, key) group; the exchanges above are
-    # reused, this branch only re-reads them.
-    tails = local.where("_is_last").select("_chunk", key, F.col(value).alias("_last"))
-    by_chunk = Window.partitionBy(key).orderBy("_chunk")
-    carry = (tails.select("_chunk", key,
-                          F.lag("_last").over(by_chunk).alias("_carry"),
-                          F.lag(F.lit(1)).over(by_chunk).isNotNull().alias("_has_prev"))
-             .where("_has_prev")
-             .drop("_has_prev"))
-
-    # Null-safe key equality: an inferred `key IS NOT NULL` filter would
-    # reach only the carry branch and stop AQE from reusing the exchanges.
-    c = carry.select(F.col("_chunk").alias("_c_chunk"), F.col(key).alias("_c_key"), "_carry")
-    cond = (F.col("_chunk") == F.col("_c_chunk")) & F.col(key).eqNullSafe(F.col("_c_key"))
-    joined = local.join(F.broadcast(c), cond, "left")
-    return (joined.withColumn(out, F.when(F.col("_pos") == 1, F.col("_carry"))
-                              .otherwise(F.col("_prev")))
-            .drop("_chunk", "_prev", "_pos", "_is_last", "_carry", "_c_chunk", "_c_key"))
+    by_key = Window.partitionBy(key).orderBy("_bucket")
+    carry = (local.where("_is_last").where(F.col(key).isNotNull())
+             .select(F.col(key).alias("_c_key"), F.col("_bucket").alias("_c_bucket"),
+                     F.lag(value).over(by_key).alias("_carry"),
+                     F.lag(F.lit(1)).over(by_key).isNotNull().alias("_has_prev"))
+             .where("_has_prev").drop("_has_prev"))
+    joined = local.join(carry, (F.col(key) == F.col("_c_key"))
+                        & (F.col("_bucket") == F.col("_c_bucket")), "left")
+    prev = F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col("_prev"))
+    return (joined.withColumn(out, F.when(F.col(key).isNotNull(), prev))
+            .drop("_bucket", "_prev", "_pos", "_is_last", "_carry", "_c_key", "_c_bucket"))

@@ -61,10 +61,9 @@ def session_aggregate(actions: DataFrame, users: DataFrame | None = None) -> Dat
     start_time, end_time (TIMESTAMP_NTZ), visit_length (s), step_length,
     and age, professional, city, sex when ``users`` is given.
 
-    The two sets are bounded by the keyword and category vocabularies, not
-    by the session's row count: they are deduplicated map-side by the
-    partial aggregate, so a session with a huge number of actions still
-    ships at most one small set per task.
+    The sets hold a session's distinct keywords, so a row is as large as
+    these; to filter or count sessions use :func:`session_facts`, which
+    keeps none.
     """
     t = action_timestamp(actions)
     sessions = (
@@ -88,8 +87,63 @@ def session_aggregate(actions: DataFrame, users: DataFrame | None = None) -> Dat
                          "user_id")
 
 
-def session_filter_condition(params: TaskParams) -> Column:
-    """P1-P4 as one conjunction; an unset parameter adds no predicate."""
+def session_facts(actions: DataFrame, users: DataFrame | None, params: TaskParams) -> DataFrame:
+    """B1 + B2 without the sets: one row per session that passes the filters.
+
+    The set filters (P3, P4) need only a flag per session, so the aggregate
+    keeps fixed-size buffers (hash aggregate with partial sums) however many
+    distinct keywords a session has. Columns as :func:`session_aggregate`
+    but the two lists; :func:`with_lists` adds those for the rows of a report.
+    """
+    t = action_timestamp(actions)
+    flags = []
+    if params.keywords:
+        flags.append(F.bool_or(F.col("search_keyword").isin(list(params.keywords)))
+                     .alias("_keyword"))
+    if params.category_ids:
+        flags.append(F.bool_or(F.col("click_category_id").isin(list(params.category_ids)))
+                     .alias("_category"))
+    sessions = (actions.withColumn("_t", t).groupBy("session_id")
+                .agg(F.min("user_id").alias("user_id"), F.min("_t").alias("start_time"),
+                     F.max("_t").alias("end_time"), F.count(F.lit(1)).alias("step_length"),
+                     *flags)
+                .withColumn("visit_length", F.timestamp_diff(
+                    "SECOND", F.col("start_time"), F.col("end_time"))))
+    for flag in ("_keyword", "_category"):
+        if flag in sessions.columns:
+            sessions = sessions.where(F.coalesce(flag, F.lit(False))).drop(flag)
+    if users is not None:
+        sessions = sessions.join(users.select("user_id", "age", "professional", "city", "sex"),
+                                 "user_id")
+    return sessions.where(user_condition(params))
+
+
+def with_lists(sessions: DataFrame, actions: DataFrame) -> DataFrame:
+    """The sorted distinct keyword and category lists of the given sessions only.
+
+    Values are deduplicated per session by a hash aggregate before they are
+    collected, and only for the sessions of the report (pass stored ones).
+    """
+    text = F.when(not_empty("search_keyword"), F.col("search_keyword"))
+    mine = actions.select("session_id", text.alias("kw"), F.col("click_category_id").alias("cat")) \
+        .join(sessions.select("session_id"), "session_id", "left_semi")
+    pairs = mine.distinct()
+    lists = pairs.groupBy("session_id").agg(
+        F.array_sort(F.collect_set("kw")).alias("search_keywords"),
+        F.array_sort(F.collect_set("cat")).alias("click_category_ids"))
+    return sessions.join(lists, "session_id")
+
+
+def user_condition(params: TaskParams) -> Column:
+    """The predicates on the session's user."""
+    return session_filter_condition(params, sets=False)
+
+
+def session_filter_condition(params: TaskParams, sets: bool = True) -> Column:
+    """P1-P4 as one conjunction; an unset parameter adds no predicate.
+
+    ``sets=False`` leaves out the keyword and category lists.
+    """
     conds: list[Column] = []
     if params.start_age is not None and params.end_age is not None:
         conds.append(F.col("age").between(params.start_age, params.end_age))
@@ -99,10 +153,10 @@ def session_filter_condition(params: TaskParams) -> Column:
         conds.append(F.col("city").isin(list(params.cities)))
     if params.sex is not None:
         conds.append(F.col("sex") == F.lit(params.sex))
-    if params.keywords:
+    if sets and params.keywords:
         conds.append(F.arrays_overlap(
             "search_keywords", F.array(*[F.lit(k) for k in params.keywords])))
-    if params.category_ids:
+    if sets and params.category_ids:
         conds.append(F.arrays_overlap(
             "click_category_ids",
             F.array(*[F.lit(c).cast("bigint") for c in params.category_ids])))
@@ -139,6 +193,8 @@ def session_stats(filtered: DataFrame) -> DataFrame:
 def session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     """The actions of the given sessions (semi join on session_id).
 
-    A hot session is split by AQE's skew-join handling on the action side.
+    AQE splits a hot session's actions only when both sides come straight
+    from a shuffle, so pass stored ``sessions``, not ones aggregated in the
+    same plan.
     """
     return actions.join(sessions.select("session_id"), "session_id", "left_semi")

@@ -41,14 +41,24 @@ def salted_area_product_clicks(basic: DataFrame, buckets: int,
 
 def skew_join(big: DataFrame, small: DataFrame, key: str, buckets: int,
               salt_cols: list[str]) -> DataFrame:
-    """Inner equi-join on ``key`` with the big side salted.
+    """Inner equi-join on ``key`` with the hot keys of the big side salted.
 
-    Each big row gets a salt in [0, buckets) from a hash of ``salt_cols``;
-    each small row is copied once per salt value. Rows of one hot key are
-    then spread over ``buckets`` join tasks. Result equals
-    ``big.join(small, key)``; the small side grows by ``buckets`` times, so
-    use it only when that side is much smaller than the hot key's rows.
+    A key with at least ``1 / (4 * buckets)`` of the big rows is hot, so
+    there are at most ``4 * buckets`` of them and the driver may hold the
+    list. A hot row gets a salt in [0, buckets) from a hash of ``salt_cols``,
+    and the small side's rows of hot keys are copied once per salt; all other
+    rows have salt 0 and one copy. Result equals ``big.join(small, key)``.
     """
-    salted_big = big.withColumn(SALT, salt(salt_cols, buckets))
-    copies = small.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    hot = hot_keys(big, key, 4 * buckets)
+    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+    salted_big = big.withColumn(SALT, F.when(is_hot, salt(salt_cols, buckets)).otherwise(F.lit(0)))
+    copies = small.withColumn(SALT, F.explode(
+        F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))))
     return salted_big.join(copies, [key, SALT]).drop(SALT)
+
+
+def hot_keys(df: DataFrame, key: str, most: int) -> list:
+    """The keys (at most ``most``) that hold at least ``1 / most`` of the rows."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return [r[0] for r in counts.where(F.col("n") * most >= F.lit(total)).select(key).collect()]

@@ -1,14 +1,12 @@
-"""Top n rows per group, bounded per task even for a hot group.
+"""Top n rows per group.
 
-``row_number() OVER (PARTITION BY g ORDER BY o) <= n`` moves every row of
-a group to one task. For ``n`` up to ``spark.sql.optimizer.
-windowGroupLimitThreshold`` Spark plans a window group limit: each map
-task keeps at most ``n`` rows per group before the exchange, so one
-plain window is right. Above it, the same bound is made explicit: the
-top ``n`` is first taken within hash sub-groups of each group (a hot group
-is spread over ``sub_groups`` tasks), then over the survivors (at most
-``sub_groups * n`` rows per group). The order must be total (end it with a
-unique column) so the result is deterministic.
+One window with a rank filter. For ``n`` up to ``spark.sql.optimizer.
+windowGroupLimitThreshold`` (1000 by default) Spark plans a window group
+limit, so each map task keeps at most ``n`` rows per group before the
+exchange and a hot group does not land whole in one task. The reports'
+``n`` is 3 or 10; a larger draw is the stratified sample's case, which
+cuts by its quotas first (:mod:`visitlens.operators.sampling`). The order
+must be total (end it with a unique column).
 """
 
 from __future__ import annotations
@@ -16,25 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def _group_limit_threshold(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold",
-                                        "1000"))
-
-
 def top_n_per_group(df: DataFrame, group_cols: list[str], order: list[Column | str], n: int,
-                    rank_col: str = "rn", sub_groups: int | None = None,
-                    salt_cols: list[str] | None = None) -> DataFrame:
+                    rank_col: str = "rn") -> DataFrame:
     """Rows ranked 1..n in each group by ``order``, with ``rank_col`` added."""
     w = Window.partitionBy(*group_cols).orderBy(*order)
-    threshold = _group_limit_threshold(df)
-    if 0 <= n <= threshold:
-        return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
-    if sub_groups is None:
-        sub_groups = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.pmod(F.xxhash64(*(salt_cols or df.columns)), F.lit(sub_groups))
-    w_sub = Window.partitionBy(*group_cols, "_sub").orderBy(*order)
-    survivors = (df.withColumn("_sub", salt)
-                 .withColumn("_r", F.row_number().over(w_sub))
-                 .where(F.col("_r") <= n).drop("_sub", "_r"))
-    return (survivors.withColumn(rank_col, F.row_number().over(w))
-            .where(F.col(rank_col) <= n))
+    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)

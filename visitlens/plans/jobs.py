@@ -40,10 +40,9 @@ def session_analysis(actions: DataFrame, users: DataFrame, params: TaskParams,
     The paths of the intermediate tables are appended to ``scratch``.
     """
     scoped = S.actions_in_range(actions, params.start_date, params.end_date)
-    filtered = materialize(S.filter_sessions(S.session_aggregate(scoped, users), params),
-                           "filtered-sessions", scratch)
+    filtered = materialize(S.session_facts(scoped, users, params), "filtered-sessions", scratch)
     detail = materialize(S.session_detail(scoped, filtered), "session-detail", scratch)
-    sample = SA.sample_sessions(filtered, sample_size, seed)
+    sample = materialize(SA.sample_sessions(filtered, sample_size, seed), "sample", scratch)
     top = C.top_categories(detail, top_n)
     top_sessions = C.top_sessions_per_category(detail, top, top_n)
     sample_detail = (C.tagged_detail(detail, sample, [])
@@ -53,7 +52,7 @@ def session_analysis(actions: DataFrame, users: DataFrame, params: TaskParams,
                   .withColumn("source", F.lit("top10_session")))
     return {
         "session_aggr_stat": S.session_stats(filtered),
-        "session_random_extract": _sample_text(sample),
+        "session_random_extract": _sample_text(S.with_lists(sample, detail)),
         "top10_category": top,
         "top10_session": top_sessions,
         "session_detail": sample_detail.unionByName(top_detail),

@@ -113,8 +113,21 @@ def _ratio(num: str, den: str) -> str:
     return (f"CASE WHEN {den} > 0 THEN ((200 * {num} + {den}) // (2 * {den})) / 100.0 END")
 
 
+# Fixed values of the result, spelled out here so that an error in the code's
+# own tables shows.
+VISIT_BUCKETS = [
+    ("visit_length_1s_3s_ratio", 1, 3), ("visit_length_4s_6s_ratio", 4, 6),
+    ("visit_length_7s_9s_ratio", 7, 9), ("visit_length_10s_30s_ratio", 10, 30),
+    ("visit_length_30s_60s_ratio", 31, 60), ("visit_length_1m_3m_ratio", 61, 180),
+    ("visit_length_3m_10m_ratio", 181, 600), ("visit_length_10m_30m_ratio", 601, 1800),
+    ("visit_length_30m_ratio", 1801, None)]
+STEP_BUCKETS = [
+    ("step_length_1_3_ratio", 1, 3), ("step_length_4_6_ratio", 4, 6),
+    ("step_length_7_9_ratio", 7, 9), ("step_length_10_30_ratio", 10, 30),
+    ("step_length_30_60_ratio", 31, 60), ("step_length_60_ratio", 61, None)]
+
+
 def _stats_sql() -> str:
-    from visitlens.operators.sessions import STEP_BUCKETS, VISIT_BUCKETS
     counts = []
     for name, lo, hi in VISIT_BUCKETS:
         cond = f"visit_length >= {lo}" if hi is None else f"visit_length BETWEEN {lo} AND {hi}"
@@ -192,8 +205,7 @@ ORACLE["top10_session_detail"] = (
 
 
 def _funnel_sql(flow) -> str:
-    from visitlens.operators.funnel import flow_slices
-    slices = flow_slices(flow)
+    slices = [f"{a}_{b}" for a, b in zip(flow, flow[1:])]
     distinct = list(dict.fromkeys(slices))
     idx = {s: j for j, s in enumerate(distinct)}
     pv_cols = ",\n  ".join(
@@ -218,16 +230,15 @@ def _funnel_sql(flow) -> str:
 ORACLE["page_conversion"] = _funnel_sql(P.TARGET_PAGE_FLOW)
 
 
-def _area_level_sql() -> str:
-    from visitlens.operators.products import AREA_LEVELS, OTHER_AREA_LEVEL
-    whens = " ".join(f"WHEN area = '{a}' THEN '{lvl}'" for a, lvl in AREA_LEVELS.items())
-    return f"CASE {whens} ELSE '{OTHER_AREA_LEVEL}' END"
+AREA_LEVEL = """CASE area WHEN '华北' THEN 'A级' WHEN '华东' THEN 'A级' WHEN '华南' THEN 'B级'
+  WHEN '华中' THEN 'B级' WHEN '西北' THEN 'C级' WHEN '西南' THEN 'C级' ELSE 'D级' END"""
+REGION_LEVEL = """CASE area WHEN 'ASIA' THEN 'A级' WHEN 'EUROPE' THEN 'B级'
+  WHEN 'AMERICA' THEN 'C级' ELSE 'D级' END"""
 
 
 def _status_sql() -> str:
-    from visitlens.operators.products import SELF_OPERATED, THIRD_PARTY
-    return (f"CASE WHEN json_extract_string(extend_info, '$.product_status') = '0' "
-            f"THEN '{SELF_OPERATED}' ELSE '{THIRD_PARTY}' END")
+    return ("CASE WHEN json_extract_string(extend_info, '$.product_status') = '0' "
+            "THEN '自营商品' ELSE '第三方商品' END")
 
 
 CLICK_BASIC = """basic AS (
@@ -248,7 +259,7 @@ ORACLE["area_top3_product"] = _with(CLICK_BASIC, AREA_COUNTS, f"""full_ AS (
   SELECT apc.*, p.product_name, {_status_sql()} AS product_status
   FROM apc JOIN product_info p ON apc.product_id = p.product_id
 )""") + f"""
-SELECT area, {_area_level_sql()} AS area_level, product_id, click_count, city_infos,
+SELECT area, {AREA_LEVEL} AS area_level, product_id, click_count, city_infos,
        product_name, product_status
 FROM (SELECT *, row_number() OVER (PARTITION BY area
                                    ORDER BY click_count DESC, product_id) AS rn FROM full_)
@@ -294,8 +305,8 @@ SELECT {DETAIL_COLS} FROM sample s JOIN actions d ON d.session_id = s.session_id
 
 AD_CLICKS = """adlog AS (
   SELECT CAST(epoch_us(e.ts) // 1000 AS VARCHAR) || '_' || r.r_name || '_'
-         || replace(n.n_name, '_', '') || '_' || CAST(e.user_id % 10 AS VARCHAR) || '_'
-         || CAST(e.k % 10 AS VARCHAR) AS value
+         || replace(n.n_name, '_', '') || '_' || CAST(e.user_id AS VARCHAR) || '_'
+         || CAST(CASE WHEN e.user_id % 5 = 0 THEN 0 ELSE e.k % 10 END AS VARCHAR) AS value
   FROM ev e JOIN nation n ON n.n_nationkey = e.event_id % 25
             JOIN region r ON n.n_regionkey = r.r_regionkey
 ),
@@ -373,3 +384,28 @@ SELECT session_id, event_id, page_id,
                           ORDER BY CAST(action_time AS TIMESTAMP), event_id) AS prev_page
 FROM actions"""
 ORACLE["stream_ad_user_click_count"] = ORACLE["ad_user_click_count"]
+ORACLE["stream_ad_stat_stateful"] = ORACLE["stream_ad_stat"]
+
+# The blacklist feedback as a fold over three batches of days: a batch drops the
+# users that earlier batches blacklisted. A day lies in one batch, so a user's
+# day total is that batch's.
+ORACLE["stream_feedback_stat"] = _with(AD_CLICKS + """
+b1 AS (SELECT * FROM clicks WHERE date <= DATE '2024-01-10'),
+k1 AS (SELECT DISTINCT user_id FROM (SELECT user_id, count(*) AS n FROM b1
+       GROUP BY date, user_id, ad_id) WHERE n >= 5),
+b2 AS (SELECT * FROM clicks WHERE date > DATE '2024-01-10' AND date <= DATE '2024-01-20'
+       AND user_id NOT IN (SELECT user_id FROM k1)),
+k2 AS (SELECT DISTINCT user_id FROM (SELECT user_id, count(*) AS n FROM b2
+       GROUP BY date, user_id, ad_id) WHERE n >= 5),
+b3 AS (SELECT * FROM clicks WHERE date > DATE '2024-01-20'
+       AND user_id NOT IN (SELECT user_id FROM k1 UNION SELECT user_id FROM k2)),
+kept AS (SELECT * FROM b1 UNION ALL SELECT * FROM b2 UNION ALL SELECT * FROM b3)""") + """
+SELECT date, province, city, ad_id, count(*) AS click_count FROM kept GROUP BY 1, 2, 3, 4"""
+
+ORACLE["reject_counts"] = """
+SELECT 'ad_log' AS input, count(*) AS n_rows, count(*) FILTER (event_id % 97 = 0) AS rejected
+FROM events
+UNION ALL
+SELECT 'action_time', count(*), count(*) FILTER (event_id % 89 = 0) FROM events"""
+
+ORACLE["area_level_top3"] = ORACLE["area_top3_product"].replace(AREA_LEVEL, REGION_LEVEL)

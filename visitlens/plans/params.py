@@ -28,8 +28,10 @@ FILTER_PARAMS = TaskParams(
 TARGET_PAGE_FLOW = (1, 2, 3, 4, 5, 6, 7)
 SAMPLE_SIZE = 1500
 SAMPLE_SEED = "visitlens"
+FEEDBACK_DAYS = ("2024-01-10", "2024-01-20")    # last days of the first two batches
 TOP_CATEGORIES = 10
 TOP_SESSIONS = 10
 TOP_PRODUCTS = 3
-BLACKLIST_THRESHOLD = 9
+REGION_LEVELS = {"ASIA": "A级", "EUROPE": "B级", "AMERICA": "C级"}
+BLACKLIST_THRESHOLD = 5
 SALT_BUCKETS = 8

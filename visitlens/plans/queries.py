@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from visitlens.functions.columns import format_time
+from visitlens.functions.columns import bad_action_time, format_time
 from visitlens.operators import ads as AD
 from visitlens.operators import categories as C
 from visitlens.operators import funnel as FN
@@ -21,9 +21,9 @@ from visitlens.operators import skew as SK
 from visitlens.operators import sessions as S
 from visitlens.plans import params as P
 from visitlens.sources import fixtures
-from visitlens.sources.adlog import decode_ad_log
+from visitlens.sources.adlog import decode_ad_log, parse_ad_log
 from visitlens.sources.tables import Tables
-from visitlens.session import scratch_dir
+from visitlens.session import materialize, scratch_dir
 from visitlens.streaming import ad_stream as STR
 
 
@@ -53,10 +53,20 @@ class Inputs:
         return S.session_aggregate(self.actions(), self.users())
 
     def filtered(self) -> DataFrame:
-        return S.filter_sessions(self.sessions(), P.SESSION_PARAMS)
+        """Sessions passing the filters, without their lists."""
+        return S.session_facts(self.actions(), self.users(), P.SESSION_PARAMS)
+
+    def stored_filtered(self) -> DataFrame:
+        """As :meth:`filtered`, stored: joins with the log can then split a hot session."""
+        return materialize(self.filtered(), "filtered-sessions")
 
     def detail(self) -> DataFrame:
-        return S.session_detail(self.actions(), self.filtered())
+        return S.session_detail(self.actions(), self.stored_filtered())
+
+    def stored_detail(self) -> DataFrame:
+        """The filtered sessions' actions, stored for a chain of reports: the log is
+        read twice in all, whatever reads the detail."""
+        return materialize(self.detail(), "session-detail")
 
 
 def session_text(df: DataFrame) -> DataFrame:
@@ -75,7 +85,10 @@ def q_session_aggregate(spark, sf_dir):
 
 
 def q_session_filter(spark, sf_dir):
-    return session_text(S.filter_sessions(Inputs(spark, sf_dir).sessions(), P.FILTER_PARAMS))
+    inp = Inputs(spark, sf_dir)
+    found = materialize(S.session_facts(inp.actions(), inp.users(), P.FILTER_PARAMS),
+                        "filtered-sessions")
+    return session_text(S.with_lists(found, inp.actions()))
 
 
 def q_session_stats(spark, sf_dir):
@@ -86,21 +99,19 @@ def q_top10_category(spark, sf_dir):
     return C.top_categories(Inputs(spark, sf_dir).detail(), P.TOP_CATEGORIES)
 
 
-def _top_sessions(inp: Inputs) -> DataFrame:
-    detail = inp.detail()
+def _top_sessions(detail: DataFrame) -> DataFrame:
     top = C.top_categories(detail, P.TOP_CATEGORIES)
     return C.top_sessions_per_category(detail, top, P.TOP_SESSIONS)
 
 
 def q_top10_session(spark, sf_dir):
-    return _top_sessions(Inputs(spark, sf_dir))
+    return _top_sessions(Inputs(spark, sf_dir).stored_detail())
 
 
 def q_top10_session_detail(spark, sf_dir):
-    # The chosen sessions are filtered ones, so their rows come straight from
-    # the action log by a broadcast join (no second semi-join shuffle).
-    inp = Inputs(spark, sf_dir)
-    return C.tagged_detail(inp.actions(), _top_sessions(inp), ["category_id"])
+    detail = Inputs(spark, sf_dir).stored_detail()
+    return C.tagged_detail(detail, materialize(_top_sessions(detail), "top-sessions"),
+                           ["category_id"])
 
 
 def q_page_conversion(spark, sf_dir):
@@ -122,6 +133,13 @@ def q_area_top3_product(spark, sf_dir):
     return PR.top_products_per_area(full, P.TOP_PRODUCTS)
 
 
+def q_area_level_top3(spark, sf_dir):
+    """P10 with levels for the test tables' own areas."""
+    inp = Inputs(spark, sf_dir)
+    full = PR.with_product_info(PR.area_product_clicks(_click_basic(inp)), inp.products())
+    return PR.top_products_per_area(full, P.TOP_PRODUCTS, P.REGION_LEVELS)
+
+
 def q_salted_area_product(spark, sf_dir):
     return SK.salted_area_product_clicks(_click_basic(Inputs(spark, sf_dir)), P.SALT_BUCKETS)
 
@@ -141,11 +159,14 @@ def q_session_hour_counts(spark, sf_dir):
 
 
 def _sample(inp: Inputs) -> DataFrame:
-    return SA.sample_sessions(inp.filtered(), P.SAMPLE_SIZE, P.SAMPLE_SEED)
+    """The drawn sessions, stored (at most the sample's size)."""
+    return materialize(SA.sample_sessions(inp.stored_filtered(), P.SAMPLE_SIZE, P.SAMPLE_SEED),
+                       "sample")
 
 
 def q_session_sample(spark, sf_dir):
-    return session_text(_sample(Inputs(spark, sf_dir))).select(
+    inp = Inputs(spark, sf_dir)
+    return session_text(S.with_lists(_sample(inp), inp.actions())).select(
         "session_id", "start_time", "search_keywords", "click_category_ids")
 
 
@@ -190,7 +211,7 @@ def q_ad_blacklist(spark, sf_dir):
 
 def _filtered_clicks(inp: Inputs) -> DataFrame:
     clicks = inp.ad_clicks()
-    return AD.filter_blacklisted(clicks, _blacklist(clicks), max_broadcast_rows=None)
+    return AD.filter_blacklisted(clicks, materialize(_blacklist(clicks), "blacklist"))
 
 
 def q_ad_filtered(spark, sf_dir):
@@ -210,60 +231,116 @@ def q_ad_click_trend(spark, sf_dir):
 
 
 def q_ad_trend_sliding(spark, sf_dir):
-    return AD.sliding_trend(Inputs(spark, sf_dir).ad_clicks(), 60, 10)
+    return AD.sliding_trend(Inputs(spark, sf_dir).ad_clicks(), 3600, 600)
 
 
-def _ad_log_files(spark: SparkSession, sf_dir: str, files: int = 8) -> str:
-    """The derived ad log as text files (one line per click).
+def _ad_log_files(spark: SparkSession, sf_dir: str) -> str:
+    """The derived ad log as text files (one line per click), by day of the click.
 
-    Files hold consecutive event-id ranges (event ids grow with time), so a
-    replay delivers a few days per micro-batch, as a live feed would.
+    Tasks hold ranges of event ids, which grow with time; their number
+    follows the session's shuffle partitions, not a constant.
     """
     t = Tables(spark, sf_dir)
     path = scratch_dir(spark, "adlog")
-    (fixtures.ad_log(t.events, t.nation, t.region)
-     .repartitionByRange(files, "event_id").select("value")
-     .write.mode("overwrite").text(path))
+    log = fixtures.ad_log(t.events, t.nation, t.region)
+    (log.withColumn("day", F.date_from_unix_date(F.floor(
+        F.substring_index("value", "_", 1).cast("bigint") / 86_400_000).cast("int")))
+     .repartitionByRange("event_id").select("value", "day")
+     .write.mode("overwrite").partitionBy("day").text(path))
     return path
 
 
-def _run_ad_stream(spark, sf_dir, threshold: int, files_per_batch: int = 2):
-    src = _ad_log_files(spark, sf_dir)
+def _replay(spark: SparkSession, path: str, batches: int = 4) -> DataFrame:
+    """A stream over the log's files that delivers them in about ``batches`` batches."""
+    files = len(spark.read.text(path).inputFiles())
+    return spark.readStream.option("maxFilesPerTrigger", max(1, -(-files // batches))) \
+        .text(path).select("value")
+
+
+def _run_ad_stream(spark, sf_dir, threshold: int):
     root = scratch_dir(spark, "ad-stream")
-    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(src)
-    query, store = STR.start_ad_stream(spark, lines, f"{root}/state", f"{root}/checkpoint",
-                                       threshold=threshold, trigger="availableNow")
+    query, store = STR.start_ad_stream(
+        spark, _replay(spark, _ad_log_files(spark, sf_dir)), f"{root}/state",
+        f"{root}/checkpoint", threshold=threshold, trigger="availableNow")
     query.awaitTermination()
     return store
 
 
 def q_stream_ad_stat(spark, sf_dir):
-    """R1-R5 over several micro-batches; the default threshold never fires here."""
-    return _run_ad_stream(spark, sf_dir, threshold=100).read("ad_stat")
+    """R1-R5 over several micro-batches; no user has 100 clicks on one ad in a day."""
+    return STR.read_table(_run_ad_stream(spark, sf_dir, threshold=100), "ad_stat")
 
 
 def q_stream_ad_user_click_count(spark, sf_dir):
     """R3 running totals per (date, user, ad) after the last micro-batch."""
-    return _run_ad_stream(spark, sf_dir, threshold=100).read("ad_user_click_count")
+    return STR.read_table(_run_ad_stream(spark, sf_dir, threshold=100), "ad_user_click_count")
 
 
 def q_stream_ad_province_top3(spark, sf_dir):
-    return _run_ad_stream(spark, sf_dir, threshold=100).read("ad_province_top3")
+    return STR.read_table(_run_ad_stream(spark, sf_dir, threshold=100), "ad_province_top3")
 
 
 def q_stream_ad_blacklist(spark, sf_dir):
     """R4 feedback loop over several micro-batches; the final set is order-free."""
-    return _run_ad_stream(spark, sf_dir, threshold=P.BLACKLIST_THRESHOLD).read("ad_blacklist")
+    return STR.read_table(_run_ad_stream(spark, sf_dir, threshold=P.BLACKLIST_THRESHOLD),
+                          "ad_blacklist")
 
 
 def q_stream_ad_click_trend(spark, sf_dir):
-    """Watermarked 1-minute windows, update mode, upserted per batch."""
-    src = _ad_log_files(spark, sf_dir)
+    """Watermarked 1-minute windows, update mode, latest row per minute."""
     root = scratch_dir(spark, "trend-stream")
-    query, store = STR.start_trend_stream(spark, spark.readStream.text(src), f"{root}/state",
-                                          f"{root}/checkpoint", trigger="availableNow")
+    query, store = STR.start_trend_stream(
+        spark, _replay(spark, _ad_log_files(spark, sf_dir), 1), f"{root}/state",
+        f"{root}/checkpoint", trigger="availableNow")
     query.awaitTermination()
-    return store.read("ad_click_trend")
+    return STR.read_table(store, "ad_click_trend")
+
+
+def q_stream_ad_stat_stateful(spark, sf_dir):
+    """R5 in the engine's state store, upserted over several micro-batches (K3)."""
+    root = scratch_dir(spark, "stat-stream")
+    query, store = STR.start_stat_stream(
+        spark, _replay(spark, _ad_log_files(spark, sf_dir)), f"{root}/state",
+        f"{root}/checkpoint", trigger="availableNow")
+    query.awaitTermination()
+    return STR.read_table(store, "ad_stat_state")
+
+
+def q_stream_feedback_stat(spark, sf_dir):
+    """Totals after the blacklist feedback over three batches of days.
+
+    The stream is stopped and restarted on its checkpoint for each batch, so
+    a batch is exactly the days that arrived before it.
+    """
+    t = Tables(spark, sf_dir)
+    log = fixtures.ad_log(t.events, t.nation, t.region)
+    day = F.date_from_unix_date(F.floor(
+        F.substring_index("value", "_", 1).cast("bigint") / 86_400_000).cast("int"))
+    root = scratch_dir(spark, "feedback")
+    first, second = (F.lit(d).cast("date") for d in P.FEEDBACK_DAYS)
+    for part in (day <= first, (day > first) & (day <= second), day > second):
+        log.where(part).select("value").write.mode("append").text(f"{root}/log")
+        query, store = STR.start_ad_stream(
+            spark, spark.readStream.text(f"{root}/log"), f"{root}/state", f"{root}/checkpoint",
+            threshold=P.BLACKLIST_THRESHOLD, trigger="availableNow")
+        query.awaitTermination()
+    return STR.read_table(store, "ad_stat")
+
+
+def q_reject_counts(spark, sf_dir):
+    """Unreadable rows are counted, not fatal: times out of range and no time at all."""
+    t = Tables(spark, sf_dir)
+    lines = fixtures.ad_log(t.events, t.nation, t.region).select(
+        F.when(F.col("event_id") % 97 == 0, F.regexp_replace(
+            "value", "^[0-9]+", "9223372036854775807")).otherwise(F.col("value")).alias("value"))
+    actions = fixtures.user_visit_action(t.events).select(
+        F.when(F.col("event_id") % 89 == 0, F.lit("2024-01-01 25:61:00"))
+        .otherwise(F.col("action_time")).alias("action_time"))
+    return parse_ad_log(lines).agg(
+        F.lit("ad_log").alias("input"), F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(~F.col("valid")).alias("rejected")).unionByName(actions.agg(
+            F.lit("action_time").alias("input"), F.count(F.lit(1)).alias("n_rows"),
+            F.count_if(bad_action_time(actions)).alias("rejected")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -276,6 +353,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_conversion": q_page_conversion,
     "area_product_clicks": q_area_product_clicks,
     "area_top3_product": q_area_top3_product,
+    "area_level_top3": q_area_level_top3,
     "salted_area_product": q_salted_area_product,
     "skew_join_product": q_skew_join_product,
     "session_hour_counts": q_session_hour_counts,
@@ -297,4 +375,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_ad_province_top3": q_stream_ad_province_top3,
     "stream_ad_blacklist": q_stream_ad_blacklist,
     "stream_ad_click_trend": q_stream_ad_click_trend,
+    "stream_ad_stat_stateful": q_stream_ad_stat_stateful,
+    "stream_feedback_stat": q_stream_feedback_stat,
+    "reject_counts": q_reject_counts,
 }

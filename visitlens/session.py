@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Sets per session or product are collected by hash up to this many groups a task.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "10000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Streaming state off-heap with incremental checkpoints (trend query).

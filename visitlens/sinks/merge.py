@@ -1,8 +1,8 @@
 """Write semantics of the result tables (K1-K5) as DataFrame functions.
 
 Each takes the current table and the rows of one batch and returns the
-new table; :class:`visitlens.sinks.snapshots.SnapshotStore` writes it as a
-new version. All are set operations (union, anti join, aggregate), so
+new table, for stores that can replace a table; the streams write per-batch
+rows instead (:mod:`visitlens.sinks.deltas`). All are set operations (union, anti join, aggregate), so
 they shuffle on the table key only.
 """
 

@@ -7,6 +7,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from visitlens.functions.columns import ntz_from_millis
 
 MS_PER_DAY = 86_400_000
+# Times a click may have: 1970-01-01 up to, not including, 2100-01-01. Anything
+# else is a reject, so no later arithmetic can overflow and a batch touches a
+# bounded number of days.
+MIN_MS, MAX_MS = 0, 4_102_444_800_000
 
 
 CLICK_COLUMNS = ["ts_ms", "date", "event_time", "province", "city", "user_id", "ad_id"]
@@ -15,10 +19,11 @@ CLICK_COLUMNS = ["ts_ms", "date", "event_time", "province", "city", "user_id", "
 def parse_ad_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Typed columns of every line plus ``valid`` (false for malformed lines)."""
     parts = F.split(F.col(value_col), "_")
+    ms = F.get(parts, 0).try_cast("bigint")
     parsed = lines.select(
         "*",
         F.size(parts).alias("_n"),
-        F.get(parts, 0).try_cast("bigint").alias("ts_ms"),      # get(): null when short
+        F.when((ms >= MIN_MS) & (ms < MAX_MS), ms).alias("ts_ms"),  # get(): null when short
         F.get(parts, 1).alias("province"),
         F.get(parts, 2).alias("city"),
         F.get(parts, 3).try_cast("bigint").alias("user_id"),
@@ -45,7 +50,8 @@ def decode_ad_log(lines: DataFrame, value_col: str = "value") -> tuple[DataFrame
     """Split ``ts_province_city_user_ad`` lines into typed columns.
 
     Returns ``(clicks, rejects)``: lines without exactly five parts or
-    with a non-numeric time, user or ad go to ``rejects`` instead of
+    with a non-numeric user or ad, or a time that is no number or out of
+    range, go to ``rejects`` instead of
     failing the batch. ``date``, ``event_time`` are UTC, time-zone free.
     """
     return split_parsed(parse_ad_log(lines, value_col), value_col)

@@ -99,7 +99,8 @@ def ad_log(events: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame
     """Ad click log lines ``<epoch ms>_<province>_<city>_<user>_<ad>``.
 
     Province is the region name, city the nation name without '_' (the
-    log delimiter); the nation is ``event_id % 25``.
+    log delimiter); the nation is ``event_id % 25``. Every fifth user clicks
+    ad 0 only, so its clicks on one ad a day do not depend on the scale.
     """
     places = (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
               .select(F.col("n_nationkey").cast("bigint").alias("nation_key"),
@@ -110,7 +111,8 @@ def ad_log(events: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame
     joined = ev.join(F.broadcast(places), "nation_key")
     return joined.select(
         F.concat_ws("_", epoch_millis("ts").cast("string"), F.col("province"),
-                    F.col("city"), (F.col("user_id") % 10).cast("string"),
-                    (F.col("k") % 10).cast("string")).alias("value"),
+                    F.col("city"), F.col("user_id").cast("string"),
+                    F.when(F.col("user_id") % 5 == 0, F.lit(0)).otherwise(F.col("k") % 10)
+                    .cast("string")).alias("value"),
         F.col("event_id"),
     )

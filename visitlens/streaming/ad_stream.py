@@ -2,21 +2,25 @@
 
 Query 1, one ``foreachBatch`` per micro-batch, in this fixed order:
 
-* R2 drop clicks of users on the blacklist as committed so far,
-* R3 add the batch's per-(date, user, ad) counts to ``ad_user_click_count``,
-* R4 blacklist users whose updated count on one ad in one day reaches the
-  threshold (it applies from the next batch on),
-* R5 add the batch's per-(date, province, city, ad) counts to ``ad_stat``,
-* R6 recompute the top ads of every (date, province) of the dates the
-  batch touched and replace those dates in ``ad_province_top3``,
-
-then commit all four tables together (:class:`SnapshotStore`). A batch id
-that is already committed is skipped, so a re-delivered batch after a
-restart does not count twice.
+* R2 drop clicks of users blacklisted by earlier batches,
+* R3 write the batch's per-(date, user, ad) counts to ``ad_user_click_count``,
+* R4 blacklist users whose total on one ad in one day reaches the threshold
+  (it applies from the next batch on); only keys of this batch are looked up,
+* R5 write the batch's per-(date, province, city, ad) counts to ``ad_stat``,
+* count the malformed lines in ``ad_rejects``.
+
+Each batch writes only its own rows (:class:`DeltaStore`) and reads only what
+earlier batches wrote, so a re-delivered batch writes the same rows again.
+Totals, the blacklist and the top ads of every (date, province) (R6) are
+read as sums, unions and a ranking over the batches (:func:`read_table`).
 
 Query 2 (R7): clicks per minute and ad on event time, a 1-minute tumbling
-window with a watermark (late rows beyond it are dropped, state below it
-is purged), emitted in update mode and upserted into ``ad_click_trend``.
+window with a watermark (late rows beyond it are dropped and counted, see
+:func:`late_rows`; state below it is purged), emitted in update mode; the
+latest row per minute wins.
+
+Query 3: R5 as a stateful aggregate, running totals kept in the engine's
+state store and upserted per batch.
 """
 
 from __future__ import annotations
@@ -29,8 +33,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from visitlens.functions.columns import epoch_millis, ntz_from_millis
 from visitlens.operators import ads as AD
-from visitlens.sinks import merge
-from visitlens.sinks.snapshots import SnapshotStore, touched_dates
+from visitlens.sinks.deltas import DeltaStore
 from visitlens.sources.adlog import decode_ad_log, parse_ad_log, split_parsed
 
 AD_TABLES = {
@@ -42,9 +45,6 @@ AD_TABLES = {
         T.StructField("date", T.DateType()), T.StructField("province", T.StringType()),
         T.StructField("city", T.StringType()), T.StructField("ad_id", T.LongType()),
         T.StructField("click_count", T.LongType())]),
-    "ad_province_top3": T.StructType([
-        T.StructField("date", T.DateType()), T.StructField("province", T.StringType()),
-        T.StructField("ad_id", T.LongType()), T.StructField("click_count", T.LongType())]),
     # malformed lines per batch, by the (UTC) day the batch was processed
     "ad_rejects": T.StructType([T.StructField("date", T.DateType()),
                                 T.StructField("batch_id", T.LongType()),
@@ -58,85 +58,97 @@ TREND_TABLES = {
         T.StructField("click_count", T.LongType())]),
 }
 
+BUCKET_TABLES = {
+    "ad_click_bucket": T.StructType([
+        T.StructField("bucket", T.LongType()), T.StructField("ad_id", T.LongType()),
+        T.StructField("click_count", T.LongType())]),
+}
+
+STATEFUL_TABLES = {"ad_stat_state": AD_TABLES["ad_stat"]}
+
 USER_KEYS = ["date", "user_id", "ad_id"]
 STAT_KEYS = ["date", "province", "city", "ad_id"]
 TREND_KEYS = ["date", "hour", "minute", "ad_id"]
+KEYS = {"ad_user_click_count": USER_KEYS, "ad_stat": STAT_KEYS}
+
+
+def read_table(store: DeltaStore, table: str, top_n: int = 3) -> DataFrame:
+    """A result table as of the last batch."""
+    if table in KEYS:
+        return store.total(table, KEYS[table])
+    if table == "ad_blacklist":
+        return store.distinct(table)
+    if table == "ad_province_top3":                                              # R6
+        return AD.province_top_ads(store.total("ad_stat", STAT_KEYS), top_n)
+    if table == "ad_click_trend":
+        return store.latest(table, TREND_KEYS)
+    if table == "ad_click_bucket":
+        return store.latest(table, ["bucket", "ad_id"])
+    if table == "ad_stat_state":
+        return store.latest(table, STAT_KEYS)
+    return store.rows(table).drop("batch")
+
+
+def _query_id(batch: DataFrame) -> str:
+    """The streaming query's id (kept in its checkpoint), or a mark for direct calls."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
 
 
 @dataclass
 class AdStreamJob:
-    """The per-batch body of query 1 (usable without a stream, e.g. in tests).
-
-    Date tables are rewritten only for the dates present in the batch, so
-    a batch costs the state of those days, not of the whole history.
-    """
+    """The per-batch body of query 1 (usable without a stream, e.g. in tests)."""
 
-    store: SnapshotStore
+    store: DeltaStore
     threshold: int = 100
-    top_n: int = 3
+    compact_every: int = 50
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         store = self.store
-        latest = store.begin()
-        if latest is not None and batch_id <= latest:
-            return                                   # already applied (D18)
+        store.bind(_query_id(batch))
+        self._compact(batch_id)
         parsed = parse_ad_log(batch).persist()       # the source is read once
         try:
-            summary = parsed.agg(
-                F.count_if(~F.col("valid")).alias("rejected"),
-                F.array_sort(F.collect_set(F.when(F.col("valid"), F.col("date")))).alias("dates")
-            ).first()
-            dates = list(summary["dates"])             # days present in this batch
             clicks, _ = split_parsed(parsed)
-            blacklist = store.read("ad_blacklist")
-            filtered = AD.filter_blacklisted(clicks, blacklist)              # R2
-            ones = F.lit(1).cast("bigint").alias("click_count")
-
-            # The batch's clicks go straight into the merge aggregate
-            # (partial aggregation on both inputs, one shuffle).
-            users = store.stage("ad_user_click_count", batch_id, merge.merge_add(
-                store.read("ad_user_click_count", dates),
-                filtered.select(*USER_KEYS, ones), USER_KEYS), dates)
-            # Totals of the touched dates; keys this batch did not touch
-            # were checked by the batch that last changed them.
-            store.stage("ad_blacklist", batch_id, merge.insert_if_absent(
-                blacklist, AD.blacklist_users(users, self.threshold)))
-
-            stat = store.stage("ad_stat", batch_id, merge.merge_add(             # R5
-                store.read("ad_stat", dates), filtered.select(*STAT_KEYS, ones),
-                STAT_KEYS), dates)
-            # The top ads of every (date, province) of the touched dates
-            # are recomputed and replace that date's rows.
-            store.stage("ad_province_top3", batch_id,
-                        AD.province_top_ads(stat, self.top_n), dates)
-
-            today = dt.datetime.now(dt.timezone.utc).date()
-            store.stage("ad_rejects", batch_id, store.read("ad_rejects", [today]).unionByName(
-                store.spark.createDataFrame([(today, batch_id, summary["rejected"])],
-                                            AD_TABLES["ad_rejects"])), [today])
-            store.commit(batch_id)
+            blacklist = store.distinct("ad_blacklist", before=batch_id)
+            filtered = AD.filter_blacklisted(clicks, blacklist)                  # R2
+            store.write("ad_user_click_count", batch_id, AD.user_ad_click_counts(filtered))  # R3
+            mine = self.store.spark.read.schema(AD_TABLES["ad_user_click_count"]).parquet(
+                f"{store.root}/ad_user_click_count/batch={batch_id}")
+            before = store.rows("ad_user_click_count", before=batch_id).drop("batch")
+            # Only keys that this batch raised can newly reach the threshold
+            totals = (before.join(mine.select(*USER_KEYS), USER_KEYS, "left_semi")
+                      .unionByName(mine).groupBy(*USER_KEYS)
+                      .agg(F.sum("click_count").alias("click_count")))
+            store.write("ad_blacklist", batch_id, AD.blacklist_users(totals, self.threshold))
+            store.write("ad_stat", batch_id, AD.ad_stat(filtered))               # R5
+            today = F.lit(dt.datetime.now(dt.timezone.utc).date())
+            store.write("ad_rejects", batch_id, parsed.agg(
+                F.count_if(~F.col("valid")).alias("rejected")).select(
+                today.alias("date"), F.lit(batch_id).cast("bigint").alias("batch_id"),
+                "rejected"))
         finally:
             parsed.unpersist()
 
+    def _compact(self, batch_id: int) -> None:
+        """Fold the batches before this one (all committed) every ``compact_every`` batches."""
+        if batch_id and batch_id % self.compact_every == 0:
+            for table, keys in KEYS.items():
+                self.store.compact(table, batch_id - 1,
+                                   self.store.total(table, keys, before=batch_id))
+            self.store.compact("ad_blacklist", batch_id - 1,
+                               self.store.distinct("ad_blacklist", before=batch_id))
+
 
 @dataclass
-class TrendJob:
-    """Upserts the minute counts emitted by query 2 (touched dates only)."""
+class UpsertJob:
+    """Writes the rows a query emitted in a batch; the latest row per key is read back."""
 
-    store: SnapshotStore
+    store: DeltaStore
+    table: str
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        latest = self.store.begin()
-        if latest is not None and batch_id <= latest:
-            return
-        rows = batch.select(*TREND_TABLES["ad_click_trend"].fieldNames()).persist()
-        try:
-            dates = touched_dates(rows)
-            self.store.stage("ad_click_trend", batch_id, merge.upsert_overwrite(
-                self.store.read("ad_click_trend", dates), rows, TREND_KEYS), dates)
-            self.store.commit(batch_id)
-        finally:
-            rows.unpersist()
+        self.store.bind(_query_id(batch))
+        self.store.write(self.table, batch_id, batch)
 
 
 def minute_counts_stream(lines: DataFrame, watermark: str = "60 minutes") -> DataFrame:
@@ -152,25 +164,37 @@ def minute_counts_stream(lines: DataFrame, watermark: str = "60 minutes") -> Dat
                     F.date_format(start, "mm").alias("minute"), "ad_id", "click_count"))
 
 
-def sliding_counts_stream(lines: DataFrame, window: str = "60 minutes",
-                          slide: str = "10 seconds", watermark: str = "60 minutes") -> DataFrame:
-    """R7 sliding form: clicks per ad in ``window`` windows every ``slide``.
+def bucket_counts_stream(lines: DataFrame, slide_seconds: int = 10,
+                         watermark: str = "60 minutes") -> DataFrame:
+    """R7 sliding form: clicks per (slide bucket, ad), a tumbling window per slide.
 
-    Each click lands in window/slide windows (360 for 60 min / 10 s), so
-    this suits low rates; :func:`minute_counts_stream` plus a range filter
-    on the result (:func:`last_hour`) gives the same totals for any rate.
+    A click is counted once; :func:`visitlens.operators.ads.spread_buckets`
+    makes the overlapping windows (60 min every 10 s: 360 per bucket) from the
+    stored counts when they are read.
     """
     clicks, _ = decode_ad_log(lines)
     timed = clicks.withColumn("t", F.timestamp_millis("ts_ms"))
-    counted = (timed.withWatermark("t", watermark)
-               .groupBy(F.window("t", window, slide).alias("w"), "ad_id")
-               .agg(F.count(F.lit(1)).alias("click_count")))
-    start, end = ntz_from_millis("start_ms"), ntz_from_millis("end_ms")
-    return (counted.withColumns({"start_ms": F.unix_millis(F.col("w.start")),
-                                 "end_ms": F.unix_millis(F.col("w.end"))})
-            .select(F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                    F.date_format(end, "yyyy-MM-dd HH:mm:ss").alias("window_end"),
-                    "ad_id", "click_count"))
+    return (timed.withWatermark("t", watermark)
+            .groupBy(F.window("t", f"{slide_seconds} seconds").alias("w"), "ad_id")
+            .agg(F.count(F.lit(1)).alias("click_count"))
+            .select((F.unix_millis(F.col("w.start")) / (slide_seconds * 1000)).cast("bigint")
+                    .alias("bucket"), "ad_id", "click_count"))
+
+
+def stat_totals_stream(lines: DataFrame) -> DataFrame:
+    """R5 as a stateful aggregate: running clicks per (date, province, city, ad).
+
+    The engine keeps one counter per key in its state store and emits the
+    keys a batch changed (update mode).
+    """
+    clicks, _ = decode_ad_log(lines)
+    return clicks.groupBy(*STAT_KEYS).agg(F.count(F.lit(1)).alias("click_count"))
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows dropped behind the watermark, over the progress reports still kept."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress
+               for op in p["stateOperators"])
 
 
 def _trigger(writer, trigger: str | None):
@@ -179,26 +203,45 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
+def _start(stream: DataFrame, mode: str, job, checkpoint: str,
+           trigger: str | None) -> StreamingQuery:
+    return _trigger(stream.writeStream.outputMode(mode).foreachBatch(job.process)
+                    .option("checkpointLocation", checkpoint), trigger).start()
+
+
 def start_ad_stream(spark: SparkSession, lines: DataFrame, state_root: str,
                     checkpoint: str, threshold: int = 100,
-                    trigger: str | None = "5 seconds") -> tuple[StreamingQuery, SnapshotStore]:
+                    trigger: str | None = "5 seconds") -> tuple[StreamingQuery, DeltaStore]:
     """Run query 1 over a stream of log lines (column ``value``)."""
-    store = SnapshotStore(spark, state_root, AD_TABLES)
-    job = AdStreamJob(store, threshold)
-    writer = (lines.writeStream.foreachBatch(job.process)
-              .option("checkpointLocation", checkpoint))
-    return _trigger(writer, trigger).start(), store
+    store = DeltaStore(spark, state_root, AD_TABLES)
+    return _start(lines, "append", AdStreamJob(store, threshold), checkpoint, trigger), store
 
 
 def start_trend_stream(spark: SparkSession, lines: DataFrame, state_root: str,
                        checkpoint: str, watermark: str = "60 minutes",
-                       trigger: str | None = "5 seconds") -> tuple[StreamingQuery, SnapshotStore]:
+                       trigger: str | None = "5 seconds") -> tuple[StreamingQuery, DeltaStore]:
     """Run query 2 over a stream of log lines (column ``value``)."""
-    store = SnapshotStore(spark, state_root, TREND_TABLES)
-    job = TrendJob(store)
-    writer = (minute_counts_stream(lines, watermark).writeStream.outputMode("update")
-              .foreachBatch(job.process).option("checkpointLocation", checkpoint))
-    return _trigger(writer, trigger).start(), store
+    store = DeltaStore(spark, state_root, TREND_TABLES)
+    return _start(minute_counts_stream(lines, watermark), "update",
+                  UpsertJob(store, "ad_click_trend"), checkpoint, trigger), store
+
+
+def start_sliding_stream(spark: SparkSession, lines: DataFrame, state_root: str,
+                         checkpoint: str, slide_seconds: int = 10,
+                         watermark: str = "60 minutes", trigger: str | None = "5 seconds"
+                         ) -> tuple[StreamingQuery, DeltaStore]:
+    """R7 sliding form: store the slide buckets' counts (``ad_click_bucket``)."""
+    store = DeltaStore(spark, state_root, BUCKET_TABLES)
+    return _start(bucket_counts_stream(lines, slide_seconds, watermark), "update",
+                  UpsertJob(store, "ad_click_bucket"), checkpoint, trigger), store
+
+
+def start_stat_stream(spark: SparkSession, lines: DataFrame, state_root: str, checkpoint: str,
+                      trigger: str | None = "5 seconds") -> tuple[StreamingQuery, DeltaStore]:
+    """R5 stateful: run query 3 over a stream of log lines (column ``value``)."""
+    store = DeltaStore(spark, state_root, STATEFUL_TABLES)
+    return _start(stat_totals_stream(lines), "update", UpsertJob(store, "ad_stat_state"),
+                  checkpoint, trigger), store
 
 
 def last_hour(trend: DataFrame, now_ms: int) -> DataFrame:
@@ -210,4 +253,3 @@ def last_hour(trend: DataFrame, now_ms: int) -> DataFrame:
     return (trend.withColumn("_minute", minute)
             .where((t > F.lit(now_ms - 3_600_000)) & (t <= F.lit(now_ms)))
             .drop("_minute"))
-
