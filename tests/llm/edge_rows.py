@@ -1,9 +1,9 @@
-import pytest
+"""Fixtures of awkward rows, imported by the tests of this folder."""
 
-DOCS = "doc_id long, text string"
+import pytest
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture(scope="module")
 def edge_docs(spark):
     """Nulls in every column, empty and long texts, ties, repeated rows, clashing columns."""
     long_text = " ".join(f"word{i % 977}" for i in range(30_000))
@@ -21,7 +21,7 @@ def edge_docs(spark):
     return df
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture(scope="module")
 def no_docs(spark):
     return spark.createDataFrame([], "doc_id long, text string, lang string, source string, "
                                      "n_chars long")

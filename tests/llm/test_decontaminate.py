@@ -8,6 +8,7 @@ import pytest
 
 from visitlens.llm.decontaminate import removal_spans, without_spans
 from visitlens.llm.fmindex import FMIndex
+from edge_rows import edge_docs, no_docs  # noqa: F401
 
 RULE = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 

@@ -5,6 +5,7 @@ import re
 
 from visitlens.llm.frames import components
 from visitlens.llm.ngram_join import similar_documents
+from edge_rows import edge_docs, no_docs  # noqa: F401
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

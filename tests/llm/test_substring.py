@@ -7,6 +7,7 @@ import pytest
 
 from visitlens.llm.automaton import SuffixAutomaton
 from visitlens.llm.substring import remove_repeats
+from edge_rows import edge_docs, no_docs  # noqa: F401
 
 
 def brute(docs, win):

@@ -445,6 +445,20 @@ def _blocks(docs: DataFrame, top, model: WordModel, block_bytes: int) -> DataFra
     return docs.select("doc_id", "text").mapInArrow(run, BLOCKS)
 
 
+def most_frequent(words: DataFrame, most: int) -> DataFrame:
+    """The words over the lowest count (in eighths of a power of two) that leaves
+    at most ``most`` of them; only the counts' histogram is gathered, no ranking."""
+    level = F.floor(8 * F.log2("c")).cast("int")
+    hist = sorted(((r["level"], r["n"]) for r in words.groupBy(level.alias("level")).agg(
+        F.count("*").alias("n")).collect()), reverse=True)
+    cut, held = 1 << 20, 0
+    for at, n in hist:
+        if held + n > most:
+            break
+        cut, held = at, held + n
+    return words.where(level >= cut)
+
+
 def score_texts(docs: DataFrame, shared_words: int = 1 << 17,
                 block_bytes: int = 16 << 20) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of documents
@@ -452,7 +466,7 @@ def score_texts(docs: DataFrame, shared_words: int = 1 << 17,
     words = saved(count_words(docs, block_bytes), "words")
     model = train(words)
     scored = saved(word_scores(words, model), "scored")
-    top = scored.orderBy(F.desc("c"), "w").limit(shared_words).toArrow()
+    top = most_frequent(scored, shared_words).toArrow()
     data, offs = string_buffer(top.column("w"))
     keys = WordHasher(41)(data, offs[:-1], offs[1:])
     order = np.argsort(keys)
