@@ -3,10 +3,12 @@
 import json
 import tempfile
 
+import pytest
+
 from conftest import SF_MID
 from visitlens.cli import main as cli_main
 from visitlens.plans import params as P
-from visitlens.plans.queries import QUERIES
+from visitlens.plans.queries import QUERIES, Inputs
 
 
 def _rows(df, cols):
@@ -79,3 +81,63 @@ def test_ads_cli_runs_the_stream_to_the_end(spark):
     store = DeltaStore(spark, f"{root}/state", AD_TABLES)
     assert [r.user_id for r in read_table(store, "ad_blacklist").collect()] == [1]
     assert [r.rejected for r in read_table(store, "ad_rejects").collect()] == [1]
+
+
+def test_jobs_over_native_tables(spark):
+    """Tables given by path (Parquet) or name, as a user of the jobs has them."""
+    from visitlens.schemas import USER_VISIT_ACTION
+    root, out = tempfile.mkdtemp(prefix="vl-in-"), tempfile.mkdtemp(prefix="vl-out-")
+    inp = Inputs(spark, SF_MID)
+    inp.actions().select(*USER_VISIT_ACTION.fieldNames()).write.parquet(f"{root}/actions")
+    inp.users().write.parquet(f"{root}/users")
+    inp.cities().write.parquet(f"{root}/cities")
+    inp.products().write.parquet(f"{root}/products")
+    common = ["--task-json", _task_json(), "--task-id", "3", "--out", out]
+    cli_main(["session", "--actions", f"{root}/actions", "--users", f"{root}/users", *common])
+    cli_main(["page", "--actions", f"{root}/actions", *common])
+    cli_main(["product", "--actions", f"{root}/actions", "--cities", f"{root}/cities",
+              "--products", f"{root}/products", *common])
+    for table, query in (("session_aggr_stat", "session_stats"),
+                         ("page_split_convert_rate", "page_conversion"),
+                         ("area_top3_product", "area_top3_product")):
+        got = spark.read.parquet(f"{out}/{table}").drop("task_id")
+        assert _rows(got, got.columns) == _rows(QUERIES[query](spark, SF_MID), got.columns)
+    with pytest.raises(SystemExit, match="needs --cities"):
+        cli_main(["product", "--actions", f"{root}/actions", *common])
+
+
+def test_ads_cli_runs_all_queries(spark):
+    import os
+    from visitlens.sinks.deltas import DeltaStore
+    from visitlens.streaming import ad_stream as stream
+    src, root = tempfile.mkdtemp(prefix="vl-src-"), tempfile.mkdtemp(prefix="vl-ads-")
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("\n".join(f"1704067207179_P_C_{u}_1" for u in (1, 1, 2)) + "\n")
+    cli_main(["ads", "--query", "all", "--source", src, "--state", f"{root}/state",
+              "--checkpoint", f"{root}/ckpt", "--trigger", "availableNow"])
+    for query, tables, table in (("stat", stream.AD_TABLES, "ad_stat"),
+                                 ("trend", stream.TREND_TABLES, "ad_click_trend"),
+                                 ("totals", stream.STATEFUL_TABLES, "ad_stat_state")):
+        rows = stream.read_table(DeltaStore(spark, f"{root}/state/{query}", tables), table)
+        assert [r.click_count for r in rows.collect()] == [3]
+
+
+def test_shared_scratch_is_required_off_local_mode():
+    from visitlens import session
+
+    class Unset:
+        master = "spark://host:7077"
+
+        def get(self, *_):
+            return None
+
+        def getConf(self):
+            return self
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = sparkContext = Unset()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_dir(Session(), "x")
