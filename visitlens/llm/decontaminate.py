@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.llm.fmindex import FMIndex
-from visitlens.llm.frames import saved
+from visitlens.llm.frames import map_batches, saved, Shared
 from visitlens.llm.text import (WordHasher, byte_table, lower_table, row_counts, slices,
                                 string_buffer, word_bounds)
 
@@ -162,11 +162,10 @@ def removal_spans(docs: DataFrame, bench: DataFrame, width: int = 10,
     out = docs.withColumns({"n_words": F.lit(0).cast("long"),
                             "spans": F.array().cast(SPANS),
                             "items": F.array().cast("array<string>")})
-    sc = docs.sparkSession.sparkContext
     for b in range(blocks):
         rows = phrases.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b).collect()
-        shared = sc.broadcast(PhraseBlock(rows, width))
-        out = out.mapInArrow(_searcher(shared, text_col, b == 0), out.schema)
+        shared = Shared(docs.sparkSession, PhraseBlock(rows, width))
+        out = out.transform(map_batches, _searcher(shared, text_col, b == 0), out.schema)
     return out
 
 
@@ -228,4 +227,4 @@ def without_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 cols[text_col] = pa.array(values, texts.type)
             yield pa.RecordBatch.from_pydict(cols)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(map_batches, run, docs.schema)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import pickle
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +24,39 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+class Shared:
+    """A broadcast value that executors can load without this package.
+
+    Classes of this subpackage are pickled by value, as its functions are.
+    """
+
+    def __init__(self, spark: SparkSession, value):
+        self._data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        return pickle.loads(self._data.value)
+
+
+def map_batches(df: DataFrame, fn, schema) -> DataFrame:
+    """``mapInArrow`` that gives memory back when a task ends.
+
+    Python workers serve one task after another, and both allocators keep
+    what a task has freed; two workers share an executor with the JVM.
+    """
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return df.mapInArrow(run, schema)
+
+
 def held_fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds`` (null id: null)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds

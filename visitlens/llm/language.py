@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from visitlens.llm.frames import map_batches, Shared
 from visitlens.llm.text import U, WordHasher, row_counts, slices, string_buffer, word_bounds
 
 BITS = 17
@@ -177,7 +178,7 @@ def fit(labelled: DataFrame, sample_docs: int = 2000, text_col: str = "text",
                 pa.array(j.astype(np.int32)), pa.array(table_[i, j])],
                 names=["kind", "lang", "slot", "n"])
 
-    got = rows.select(text_col, number[F.col(lang_col)].alias("lang")).mapInArrow(
+    got = rows.select(text_col, number[F.col(lang_col)].alias("lang")).transform(map_batches,
         count, "kind int, lang int, slot int, n long").groupBy("kind", "lang", "slot").agg(
         F.sum("n").alias("n")).toPandas()
     grams_of = np.zeros((len(langs), width))
@@ -291,7 +292,7 @@ LABELS = "lang_pred string, score double, spans array<struct<start:int,end:int,l
 def identify(docs: DataFrame, model: LanguageModel, penalty: float = 6.0,
              text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred, score and spans (ranges of the text's letter words)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     def run(batches):
         model = shared.value
@@ -342,4 +343,4 @@ def identify(docs: DataFrame, model: LanguageModel, penalty: float = 6.0,
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields
                        if f.name not in ("lang_pred", "score", "spans"))
-    return docs.drop("lang_pred", "score", "spans").mapInArrow(run, f"{fields}, {LABELS}")
+    return map_batches(docs.drop("lang_pred", "score", "spans"), run, f"{fields}, {LABELS}")

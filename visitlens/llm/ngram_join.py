@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.llm.frames import components, saved
+from visitlens.llm.frames import components, map_batches, saved
 from visitlens.llm.text import (Rolling, U, WordHasher, byte_table, lower_table, mix64,
                                 row_counts, slices, string_buffer, word_bounds)
 
@@ -135,7 +135,7 @@ def token_group_links(sets: list[np.ndarray], block: np.ndarray, num: int, den:
     across = block.min() != block.max()
     found = []
     bound = np.zeros((n, g), np.int64)
-    step = max(1, (1 << 24) // max(n, 1))
+    step = max(1, (1 << 22) // max(n, 1))
     order = np.argsort(col, kind="stable")
     doc, col = doc[order], col[order]
     edges = np.searchsorted(col, np.arange(0, m + step, step))
@@ -244,7 +244,7 @@ def similar_documents(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100
     """
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("_k1"),
                         F.hash("text").alias("_k2"))
-    sig = saved(keyed.mapInArrow(
+    sig = saved(keyed.transform(map_batches,
         _signatures(n, bands, per_band),
         "doc_id long, _k1 long, _k2 int, size long, lo long, hi long, bands array<long>"), "sets")
     # a class per distinct set: its id is the smallest text key, which finds its text again
@@ -267,7 +267,7 @@ def similar_documents(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100
         "set", "cluster", "blocks", "block", "copies",
         F.col("text._k1").alias("_k1"), F.col("text._k2").alias("_k2"))
     sets = keyed.select("text", "_k1", "_k2").join(wanted, ["_k1", "_k2"]).select(
-        "set", "cluster", "blocks", "block", "copies", "text").mapInArrow(
+        "set", "cluster", "blocks", "block", "copies", "text").transform(map_batches,
         _sets(n), "set long, cluster long, blocks int, block int, copies long, tokens binary") \
         .groupBy("set").agg(*(F.first(c).alias(c) for c in
                               ("cluster", "blocks", "block", "copies", "tokens")))
@@ -276,7 +276,8 @@ def similar_documents(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100
         "set", "cluster", F.least("block", "o").alias("x"), F.greatest("block", "o").alias("y"),
         "block", "copies", "tokens")
     links = saved(dealt.repartition("cluster", "x", "y").sortWithinPartitions("cluster", "x", "y")
-                  .mapInArrow(_join_blocks(num, den), "a long, b long, partners long"), "links")
+                  .transform(map_batches, _join_blocks(num, den),
+                             "a long, b long, partners long"), "links")
     comp = components(links.where("b is not null").select("a", "b"))
     partners = links.where("b is null").groupBy(F.col("a").alias("set")).agg(
         F.sum("partners").alias("partners"))

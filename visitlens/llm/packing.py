@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitlens.llm.frames import saved
+from visitlens.llm.frames import map_batches, saved, Shared
 from visitlens.llm.text import WordHasher, byte_table, slices, string_buffer, word_bounds
 
 PIECE_SCHEMA = ("doc_id long, start long, length long, doc_tokens long, ids binary, "
@@ -150,7 +150,7 @@ class WordCache:
 def tokenized_pieces(docs: DataFrame, tokenizer_json: str, capacity: int, grain: int,
                      end_id: int) -> DataFrame:
     """One row per piece with its ids, length class and rank in its task's class."""
-    shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
+    shared = Shared(docs.sparkSession, tokenizer_json)
 
     def cut(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -191,7 +191,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_json: str, capacity: int, grain:
                                "part", "rank"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")) \
-        .mapInArrow(cut, PIECE_SCHEMA)
+        .transform(map_batches, cut, PIECE_SCHEMA)
 
 
 def best_pattern(value: np.ndarray, size: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
@@ -328,7 +328,7 @@ def pack(docs: DataFrame, tokenizer_json: str, capacity: int = 4096, grain: int
             rows[c] += a * times
         sequence += times
     order = np.argsort(np.array(key, np.int64))
-    table = docs.sparkSession.sparkContext.broadcast(tuple(
+    table = Shared(docs.sparkSession, tuple(
         np.array(v, np.int64)[order] for v in (key, base, per)))
 
     def place(batches):
@@ -350,7 +350,7 @@ def pack(docs: DataFrame, tokenizer_json: str, capacity: int = 4096, grain: int
                            (digest if digest is not None else F.lit(None).cast("long"))
                            .alias("digest")).join(first, ["cls", "part"]) \
         .withColumn("grank", F.col("rank") + F.col("before")).drop("before")
-    placed = narrow.mapInArrow(place, narrow.schema.simpleString()[7:-1]
+    placed = narrow.transform(map_batches, place, narrow.schema.simpleString()[7:-1]
                                + ",sequence_id:bigint,slot:bigint")
     seq = Window.partitionBy("sequence_id").orderBy(F.desc("cls"), "slot") \
         .rowsBetween(Window.unboundedPreceding, -1)

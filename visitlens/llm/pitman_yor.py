@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.llm.frames import saved
+from visitlens.llm.frames import map_batches, saved, Shared
 from visitlens.llm.text import (U, WordHasher, byte_table, gather_bytes, lower_table, mix64,
                                 row_counts, slices, string_buffer, word_bounds)
 
@@ -250,7 +250,7 @@ def count_words(docs: DataFrame, block_bytes: int = 16 << 20) -> DataFrame:
         if vocabulary.parts:
             yield from out()
 
-    return docs.where("train").select("text").mapInArrow(run, "w binary, n long") \
+    return docs.where("train").select("text").transform(map_batches, run, "w binary, n long") \
         .groupBy("w").agg(F.sum("n").alias("c"))
 
 
@@ -298,7 +298,7 @@ class WordModel:
 
 def _cells(words: DataFrame, model: WordModel | None) -> DataFrame:
     """(context, symbol, n): spelling counts, a customer per table (one without a model)."""
-    shared = words.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(words.sparkSession, model)
 
     def run(batches):
         model = shared.value
@@ -317,7 +317,7 @@ def _cells(words: DataFrame, model: WordModel | None) -> DataFrame:
             [pa.array(keys // BYTES), pa.array(keys % BYTES), pa.array(counts)],
             names=["context", "symbol", "n"])
 
-    return words.select("w", "c").mapInArrow(run, "context long, symbol long, n long") \
+    return words.select("w", "c").transform(map_batches, run, "context long, symbol long, n long") \
         .groupBy("context", "symbol").agg(F.sum("n").alias("n"))
 
 
@@ -342,7 +342,7 @@ def train(words: DataFrame) -> WordModel:
 
 def word_scores(words: DataFrame, model: WordModel) -> DataFrame:
     """(w, c, lp, spelt): averaged predictive log10 probability, spelling probability."""
-    shared = words.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(words.sparkSession, model)
 
     def run(batches):
         model = shared.value
@@ -354,7 +354,8 @@ def word_scores(words: DataFrame, model: WordModel) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(model.log10(c, tables, base)),
                  pa.array(10.0 ** base)], names=["w", "c", "lp", "spelt"])
 
-    return words.select("w", "c").mapInArrow(run, "w binary, c long, lp double, spelt double")
+    return map_batches(words.select("w", "c"), run,
+                       "w binary, c long, lp double, spelt double")
 
 
 # -- scoring -------------------------------------------------------------------
@@ -368,7 +369,7 @@ DOCS = "doc_id long, n_tokens long, n_known long, base_score double, score doubl
 def _blocks(docs: DataFrame, top, model: WordModel, block_bytes: int) -> DataFrame:
     """Block rows with each text's sums over shared words, and a row per other word."""
     facts = WordModel(model.tokens, model.types, model.discount, model.tables, None)
-    shared = docs.sparkSession.sparkContext.broadcast((top, facts))
+    shared = Shared(docs.sparkSession, (top, facts))
 
     def run(batches):
         (keys, count, lp), model = shared.value
@@ -442,7 +443,7 @@ def _blocks(docs: DataFrame, top, model: WordModel, block_bytes: int) -> DataFra
         if st["n"]:
             yield from emit(st)
 
-    return docs.select("doc_id", "text").mapInArrow(run, BLOCKS)
+    return docs.select("doc_id", "text").transform(map_batches, run, BLOCKS)
 
 
 def most_frequent(words: DataFrame, most: int) -> DataFrame:
@@ -504,4 +505,5 @@ def score_texts(docs: DataFrame, shared_words: int = 1 << 17,
                     names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     return blocks.where("w is null").drop("i", "w").join(answers, "block", "left") \
-        .mapInArrow(finish, DOCS).withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+        .transform(map_batches, finish, DOCS) \
+        .withColumn("train_tokens", F.lit(model.tokens).cast("long"))

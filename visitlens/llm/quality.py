@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from visitlens.llm.frames import map_batches
 from visitlens.llm.text import (Rolling, U, WordHasher, byte_table, mix64, row_counts, slices,
                                 string_buffer, word_bounds)
 
@@ -106,7 +107,7 @@ def text_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in others] + \
         [f"{c} long" for c in STATS]
-    return docs.select(text_col, *(F.col(f"`{f.name}`") for f in others)).mapInArrow(
+    return docs.select(text_col, *(F.col(f"`{f.name}`") for f in others)).transform(map_batches,
         run, ", ".join(fields))
 
 

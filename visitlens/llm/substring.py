@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.llm.automaton import SuffixAutomaton
-from visitlens.llm.frames import saved
+from visitlens.llm.frames import map_batches, saved
 from visitlens.llm.text import (Rolling, WordHasher, byte_table, mix64, row_counts, slices,
                                 string_buffer, word_bounds)
 
@@ -187,7 +187,7 @@ def _shards(window: int, shard_contexts: int):
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in
                              ("anchor", "_k1", "_k2", "at", "words", "n"))):
-                if len(group) >= shard_contexts and row[0] != group[-1][0]:
+                if len(group) >= min(shard_contexts, 1000) and row[0] != group[-1][0]:
                     yield resolve(group)
                     group = []
                 group.append(row)
@@ -222,7 +222,7 @@ def repeated_ranges(docs: DataFrame, window: int = 35, text_col: str = "text",
                     shard_contexts: int = 4000) -> DataFrame:
     """(_k1, _k2, ranges): first and last starting word of repeated windows, per distinct text."""
     keyed = _keyed(docs, text_col)
-    anchors = keyed.select(text_col, "_k1", "_k2").mapInArrow(
+    anchors = keyed.select(text_col, "_k1", "_k2").transform(map_batches,
         _anchors(window), "_k1 long, _k2 int, at int, size int, anchor long, ctx long, n int")
     common = saved(anchors.groupBy("anchor").agg(F.sum("n").alias("tot")).where("tot >= 2")
                    .select("anchor"), "anchors")
@@ -241,14 +241,15 @@ def repeated_ranges(docs: DataFrame, window: int = 35, text_col: str = "text",
         "rep._k1", "rep._k2", F.struct("anchor", "ctx", "n", "m", "rep.at", "rep.size")
         .alias("f")).groupBy("_k1", "_k2").agg(F.collect_list("f").alias("facts"))
     contexts = saved(keyed.select(F.col(text_col).alias("text"), "_k1", "_k2")
-                     .join(saved(asked, "asked"), ["_k1", "_k2"]).mapInArrow(
+                     .join(saved(asked, "asked"), ["_k1", "_k2"]).transform(map_batches,
         _contexts(window), CONTEXTS).groupBy("anchor", "ctx").agg(
         *(F.first(c).alias(c) for c in ("n", "m", "_k1", "_k2", "at", "words"))), "words")
     found = contexts.where(F.col("m") <= shard_contexts).repartition("anchor") \
-        .sortWithinPartitions("anchor").mapInArrow(_shards(window, shard_contexts), RANGES)
+        .sortWithinPartitions("anchor") \
+        .transform(map_batches, _shards(window, shard_contexts), RANGES)
     big = contexts.where(F.col("m") > shard_contexts)
     if not big.isEmpty():
-        windows = saved(big.mapInArrow(_window_keys(window), WINDOWS), "windows")
+        windows = saved(big.transform(map_batches, _window_keys(window), WINDOWS), "windows")
         twice = saved(windows.groupBy("h1", "h2").agg(F.sum("n").alias("n")).where("n >= 2")
                       .select("h1", "h2"), "twice")
         found = found.unionByName(windows.where("n = 1").join(twice, ["h1", "h2"]).select(
@@ -322,5 +323,5 @@ def remove_repeats(docs: DataFrame, window: int = 35, text_col: str = "text",
     ranges = repeated_ranges(docs, window, text_col, shard_contexts)
     joined = _keyed(docs, text_col).join(ranges, ["_k1", "_k2"], "left")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return joined.mapInArrow(_cut(window, text_col, keep_layout),
+    return joined.transform(map_batches, _cut(window, text_col, keep_layout),
                              fields + ", n_words long, n_removed long, kept string")

@@ -142,10 +142,3 @@ def gather_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.A
 def row_counts(rows: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(rows, minlength=n).astype(np.int64)
 
-
-def to_batches(table: pa.Table | pa.RecordBatch):
-    """Record batches in Arrow form for mapInArrow (one for an empty table too)."""
-    if isinstance(table, pa.RecordBatch):
-        yield table
-    else:
-        yield from table.combine_chunks().to_batches()

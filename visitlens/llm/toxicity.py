@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from visitlens.llm.frames import map_batches, Shared
 from visitlens.llm.text import (U, WordHasher, byte_table, lower_table, mix64, slices,
                                 string_buffer, word_bounds)
 
@@ -142,7 +143,7 @@ def fit(labelled: DataFrame, sample_docs: int = 6000, min_docs: int = 5, feature
                         (sent - first[row]).astype(np.int32)))],
                     names=["row", "label", "words", "sent"])
 
-    got = rows.select(text_col, key.alias("row"), F.col(label_col).cast("int")).mapInArrow(
+    got = rows.select(text_col, key.alias("row"), F.col(label_col).cast("int")).transform(map_batches,
         sentences, "row long, label int, words array<long>, sent array<int>").toArrow()
     label = got.column("label").to_numpy()
     words = got.column("words").combine_chunks()
@@ -181,7 +182,7 @@ def fit(labelled: DataFrame, sample_docs: int = 6000, min_docs: int = 5, feature
 def score(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5,
           text_col: str = "text") -> DataFrame:
     """``docs`` with score and offenders: sentences with at least ``threshold``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     def run(batches):
         model, split = shared.value, Sentences()
@@ -209,5 +210,5 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5,
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields
                        if f.name not in ("score", "offenders"))
-    return docs.drop("score", "offenders").mapInArrow(
+    return docs.drop("score", "offenders").transform(map_batches,
         run, f"{fields}, score double, offenders array<struct<sentence:string,score:double>>")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm.frames import saved
+from visitlens.llm.frames import map_batches, saved
 from visitlens.session import scratch_dir
 
 CRLF = "\r\n"
@@ -132,7 +132,7 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = 16 << 10,
                     texts, held = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["value"])
 
-    decide_records(pages, min_payload).mapInArrow(run, "value string").write \
+    decide_records(pages, min_payload).transform(map_batches, run, "value string").write \
         .option("lineSep", CRLF + CRLF).option("compression", "gzip") \
         .option("maxRecordsPerFile", records_a_file).text(path)
 
@@ -281,10 +281,10 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
         if parts:
             yield finish(parts)
 
-    complete = files.mapInArrow(lambda it: parse(it, True), FOUND)
-    segments = files.mapInArrow(lambda it: parse(it, False), PARTS) \
+    complete = files.transform(map_batches, lambda it: parse(it, True), FOUND)
+    segments = files.transform(map_batches, lambda it: parse(it, False), PARTS) \
         .repartition("origin").sortWithinPartitions("origin", "number") \
-        .mapInArrow(reassemble, FOUND)
+        .transform(map_batches, reassemble, FOUND)
     return complete.unionByName(segments)
 
 
