@@ -6,7 +6,6 @@ import time
 
 import pytest
 
-from visitlens.sinks import merge
 from visitlens.sinks.deltas import DeltaStore
 from visitlens.streaming import ad_stream as STR
 
@@ -176,17 +175,6 @@ def test_trend_stream_drops_rows_beyond_watermark(spark):
     assert recent.count() == 1
 
 
-def test_merge_semantics(spark):
-    cur = spark.createDataFrame([("a", 1), ("b", 2)], "k string, click_count long")
-    new = spark.createDataFrame([("b", 5), ("c", 1)], "k string, click_count long")
-    rows = lambda df: sorted(tuple(r) for r in df.collect())
-    assert rows(merge.merge_add(cur, new, ["k"])) == [("a", 1), ("b", 7), ("c", 1)]
-    assert rows(merge.upsert_overwrite(cur, new, ["k"])) == [("a", 1), ("b", 5), ("c", 1)]
-    assert rows(merge.insert_if_absent(cur, new)) == [("a", 1), ("b", 2), ("b", 5), ("c", 1)]
-    groups = spark.createDataFrame([("a",)], "k string")
-    assert rows(merge.replace_groups(cur, new.where("false"), ["k"], groups)) == [("b", 2)]
-
-
 def test_sliding_stream_matches_batch_sliding(spark):
     from visitlens.operators import ads as AD
     from visitlens.sources.adlog import decode_ad_log

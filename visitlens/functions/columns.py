@@ -12,7 +12,6 @@ from pyspark.sql import Column, SparkSession, functions as F
 ACTION_TIME_TEXT = r"^\d{4}-\d{2}-\d{2} \d{1,2}:\d{2}:\d{2}$"   # hour may have one digit
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"
-DATE_KEY_FORMAT = "yyyyMMdd"
 MINUTE_KEY_FORMAT = "yyyyMMddHHmm"
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 

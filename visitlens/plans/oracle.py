@@ -409,3 +409,5 @@ UNION ALL
 SELECT 'action_time', count(*), count(*) FILTER (event_id % 89 = 0) FROM events"""
 
 ORACLE["area_level_top3"] = ORACLE["area_top3_product"].replace(AREA_LEVEL, REGION_LEVEL)
+ORACLE["sql_area_top3_product"] = ORACLE["area_top3_product"]
+ORACLE["sql_ad_province_top3"] = ORACLE["stream_ad_province_top3"]

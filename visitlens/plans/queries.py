@@ -20,6 +20,7 @@ from visitlens.operators import sampling as SA
 from visitlens.operators import skew as SK
 from visitlens.operators import sessions as S
 from visitlens.plans import params as P
+from visitlens.plans import sql as SQL
 from visitlens.sources import fixtures
 from visitlens.sources.adlog import decode_ad_log, parse_ad_log
 from visitlens.sources.tables import Tables
@@ -140,6 +141,21 @@ def q_area_level_top3(spark, sf_dir):
     return PR.top_products_per_area(full, P.TOP_PRODUCTS, P.REGION_LEVELS)
 
 
+def q_sql_area_top3_product(spark, sf_dir):
+    """B8 by the SQL route: temp views and one statement."""
+    inp = Inputs(spark, sf_dir)
+    SQL.register_views(spark, inp.actions(), inp.users(), inp.products(), inp.cities())
+    return spark.sql(SQL.area_top3_sql(*(d.isoformat() for d in P.DATE_RANGE), P.TOP_PRODUCTS))
+
+
+def q_sql_ad_province_top3(spark, sf_dir):
+    """R6 by the SQL route, over all clicks."""
+    inp = Inputs(spark, sf_dir)
+    SQL.register_views(spark, inp.actions(), inp.users(), inp.products(), inp.cities(),
+                       inp.ad_clicks())
+    return spark.sql(SQL.province_top3_sql(3))
+
+
 def q_salted_area_product(spark, sf_dir):
     return SK.salted_area_product_clicks(_click_basic(Inputs(spark, sf_dir)), P.SALT_BUCKETS)
 
@@ -354,6 +370,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "area_product_clicks": q_area_product_clicks,
     "area_top3_product": q_area_top3_product,
     "area_level_top3": q_area_level_top3,
+    "sql_area_top3_product": q_sql_area_top3_product,
+    "sql_ad_province_top3": q_sql_ad_province_top3,
     "salted_area_product": q_salted_area_product,
     "skew_join_product": q_skew_join_product,
     "session_hour_counts": q_session_hour_counts,

@@ -36,9 +36,7 @@ def area_top3_sql(start_date: str, end_date: str, n: int = 3) -> str:
     """B8 as one statement (S2, J6, A8 with U1/U3, J7 with U2, W1, P10).
 
     No join hint: the optimizer broadcasts ``city_info`` from its size
-    estimate or AQE from the measured size; the DataFrame route
-    (:func:`visitlens.operators.products.area_top_products`) checks the
-    size explicitly.
+    estimate or AQE from the measured size, as on the DataFrame route.
     """
     levels = " ".join(f"WHEN area = {_sql_str(a)} THEN {_sql_str(lvl)}"
                       for a, lvl in AREA_LEVELS.items())

@@ -1,48 +1,11 @@
-"""Write semantics of the result tables (K1-K5) as DataFrame functions.
-
-Each takes the current table and the rows of one batch and returns the
-new table, for stores that can replace a table; the streams write per-batch
-rows instead (:mod:`visitlens.sinks.deltas`). All are set operations (union, anti join, aggregate), so
-they shuffle on the table key only.
-"""
+"""Result tables of the batch jobs (K1); the streams' K2-K6 are in
+:mod:`visitlens.sinks.deltas`."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
 
-def merge_add(current: DataFrame, delta: DataFrame, keys: list[str],
-              value: str = "click_count") -> DataFrame:
-    """K2: upsert by adding ``value`` per key."""
-    cols = keys + [value]
-    return (current.select(*cols).unionByName(delta.select(*cols))
-            .groupBy(*keys).agg(F.sum(value).cast("bigint").alias(value)))
-
-
-def upsert_overwrite(current: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """K3: upsert where the new row replaces the stored one."""
-    cols = current.columns
-    return (current.join(rows.select(*keys).distinct(), keys, "left_anti")
-            .unionByName(rows.select(*cols)))
-
-
-def replace_groups(current: DataFrame, rows: DataFrame, group_keys: list[str],
-                   touched: DataFrame | None = None) -> DataFrame:
-    """K4: delete every row of the touched groups, then insert ``rows``.
-
-    ``touched`` lists the groups to clear (defaults to the groups in
-    ``rows``); a group may be cleared and get no rows.
-    """
-    cols = current.columns
-    groups = (touched if touched is not None else rows).select(*group_keys).distinct()
-    return current.join(groups, group_keys, "left_anti").unionByName(rows.select(*cols))
-
-
-def insert_if_absent(current: DataFrame, rows: DataFrame) -> DataFrame:
-    """K5: set union."""
-    return current.unionByName(rows.select(*current.columns)).distinct()
-
-
 def with_task_id(df: DataFrame, task_id: int) -> DataFrame:
     """K1: result rows keyed by the task that produced them."""
     return df.select(F.lit(task_id).cast("bigint").alias("task_id"), *df.columns)
