@@ -31,22 +31,25 @@ def previous_in_sequence(df: DataFrame, key: str, order: list[str], value: str,
 
     ``order`` starts with a TIMESTAMP_NTZ (or seconds) column and must make rows of a key
     unique (add an id as the last column). The first row of every key gets
-    null, and so do rows whose key is null. ``bucket_seconds`` must be fine
-    enough that a hot key's bucket fits one task.
+    null; rows with a null key are one sequence. ``bucket_seconds`` must be
+    fine enough that a hot key's bucket fits one task.
     """
-    dealt = df.withColumn("_bucket", time_bucket(df, order[0], bucket_seconds))
-    w = Window.partitionBy(key, "_bucket").orderBy(*order)
+    # A struct is never null, so no null filter is inferred for the carry branch
+    # alone and both branches can read one exchange of the log.
+    dealt = df.withColumns({"_key": F.struct(F.col(key).alias("k")),
+                            "_bucket": time_bucket(df, order[0], bucket_seconds)}).drop(key)
+    w = Window.partitionBy("_key", "_bucket").orderBy(*order)
     local = (dealt.withColumn("_prev", F.lag(value).over(w))
              .withColumn("_pos", F.row_number().over(w))
              .withColumn("_is_last", F.lead(F.lit(1)).over(w).isNull()))
-    by_key = Window.partitionBy(key).orderBy("_bucket")
-    carry = (local.where("_is_last").where(F.col(key).isNotNull())
-             .select(F.col(key).alias("_c_key"), F.col("_bucket").alias("_c_bucket"),
+    by_key = Window.partitionBy("_key").orderBy("_bucket")
+    carry = (local.where("_is_last")
+             .select(F.col("_key").alias("_c_key"), F.col("_bucket").alias("_c_bucket"),
                      F.lag(value).over(by_key).alias("_carry"),
                      F.lag(F.lit(1)).over(by_key).isNotNull().alias("_has_prev"))
              .where("_has_prev").drop("_has_prev"))
-    joined = local.join(carry, (F.col(key) == F.col("_c_key"))
+    joined = local.join(carry, (F.col("_key") == F.col("_c_key"))
                         & (F.col("_bucket") == F.col("_c_bucket")), "left")
-    prev = F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col("_prev"))
-    return (joined.withColumn(out, F.when(F.col(key).isNotNull(), prev))
-            .drop("_bucket", "_prev", "_pos", "_is_last", "_carry", "_c_key", "_c_bucket"))
+    return joined.select(
+        *(F.col("_key")["k"].alias(key) if c == key else F.col(c) for c in df.columns),
+        F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col("_prev")).alias(out))
