@@ -5,9 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from oracle_harness import compare, duck_connect
-
-ORACLE = entry.oracle_sql()
-QUERIES = entry.queries()
+from visitlens.plans.oracle import ORACLE
+from visitlens.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,8 +15,7 @@ def duck():
 
 
 def test_every_batch_query_has_an_oracle():
-    from visitlens.plans.queries import QUERIES as own
-    missing = [n for n in own if n not in ORACLE and not n.startswith("stream_")]
+    missing = [n for n in QUERIES if n not in ORACLE and not n.startswith("stream_")]
     assert missing == []
 
 
@@ -33,3 +31,10 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     rows = df.collect()
     assert len(rows) == 1 and "session_count" in df.columns
+
+
+def test_entry_without_the_training_data_part(monkeypatch):
+    """With the pipeline's module missing only the engine's own queries are listed."""
+    import sys
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    assert entry.queries().keys() == QUERIES.keys() >= entry.oracle_sql().keys()

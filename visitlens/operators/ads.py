@@ -76,6 +76,16 @@ def sliding_trend(clicks: DataFrame, window_seconds: int = 3600,
     return spread_buckets(buckets, window_seconds, slide_seconds)
 
 
+def peak_windows(windows: DataFrame) -> DataFrame:
+    """Per day and ad the most clicks a sliding window holds, and the first such window."""
+    day = windows.withColumn("day", F.substring("window_start", 1, 10))
+    most = day.groupBy("day", "ad_id", "click_count").agg(
+        F.min("window_start").alias("window_start"))
+    return (most.groupBy("day", "ad_id").agg(
+        F.max("click_count").alias("click_count"),
+        F.max_by("window_start", "click_count").alias("window_start")))
+
+
 def spread_buckets(buckets: DataFrame, window_seconds: int, slide_seconds: int) -> DataFrame:
     """Sliding windows from counts per (slide bucket, ad); buckets come from a
     batch aggregate or from the stream's stored counts."""

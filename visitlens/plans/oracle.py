@@ -411,3 +411,13 @@ SELECT 'action_time', count(*), count(*) FILTER (event_id % 89 = 0) FROM events"
 ORACLE["area_level_top3"] = ORACLE["area_top3_product"].replace(AREA_LEVEL, REGION_LEVEL)
 ORACLE["sql_area_top3_product"] = ORACLE["area_top3_product"]
 ORACLE["sql_ad_province_top3"] = ORACLE["stream_ad_province_top3"]
+
+ORACLE["ad_trend_peak_10s"] = _ad_with() + """
+SELECT day, ad_id, max(n) AS click_count,
+       arg_max(window_start, (n, -start_ms)) AS window_start
+FROM (SELECT start_ms, strftime(make_timestamp(start_ms * 1000), '%Y-%m-%d') AS day,
+             strftime(make_timestamp(start_ms * 1000), '%Y-%m-%d %H:%M:%S') AS window_start,
+             ad_id, count(*) AS n
+      FROM (SELECT (ts_ms // 10000 - i) * 10000 AS start_ms, ad_id FROM clicks, range(360) AS r(i))
+      GROUP BY start_ms, ad_id)
+GROUP BY day, ad_id"""

@@ -250,6 +250,11 @@ def q_ad_trend_sliding(spark, sf_dir):
     return AD.sliding_trend(Inputs(spark, sf_dir).ad_clicks(), 3600, 600)
 
 
+def q_ad_trend_peak_10s(spark, sf_dir):
+    """R7 at 60 minutes every 10 seconds: each ad's busiest window of a day."""
+    return AD.peak_windows(AD.sliding_trend(Inputs(spark, sf_dir).ad_clicks(), 3600, 10))
+
+
 def _ad_log_files(spark: SparkSession, sf_dir: str) -> str:
     """The derived ad log as text files (one line per click), by day of the click.
 
@@ -388,6 +393,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ad_province_top3": q_ad_province_top3,
     "ad_click_trend": q_ad_click_trend,
     "ad_trend_sliding": q_ad_trend_sliding,
+    "ad_trend_peak_10s": q_ad_trend_peak_10s,
     "stream_ad_stat": q_stream_ad_stat,
     "stream_ad_user_click_count": q_stream_ad_user_click_count,
     "stream_ad_province_top3": q_stream_ad_province_top3,
