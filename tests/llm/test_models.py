@@ -262,6 +262,42 @@ def test_language_model_edge_rows(spark, edge_docs, no_docs):
     assert pitman_yor.score_texts(no_docs.withColumn("train", F.lit(True))).count() == 0
 
 
+def test_language_model_uses_word_order_and_spelling(spark):
+    rng = random.Random(3)
+    pairs = [("red", "house"), ("old", "stone"), ("long", "river"), ("green", "tree")]
+    docs = [(i, " ".join(" ".join(rng.choice(pairs)) for _ in range(8)), True) for i in range(80)]
+    docs += [(100, "red house old stone", False), (101, "house red stone old", False),
+             (102, "red greener", False), (103, "red zq\u00e9x#7w", False)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, train boolean").repartition(3)
+    for shared in (1 << 17, 0):
+        got = {r.doc_id: r for r in pitman_yor.score_texts(df, shared).collect()}
+        assert got[100].score > got[101].score + 2
+        assert got[102].n_known == got[103].n_known == 2
+        assert got[102].score > got[103].score + 1
+        assert got[102].event_score == pytest.approx(got[103].event_score)
+
+
+def test_word_probabilities_sum_to_one_in_every_context(spark):
+    rng = random.Random(8)
+    vocab = [f"w{int(rng.expovariate(0.1))}" for _ in range(60)]
+    docs = [(i, " ".join(rng.choice(vocab) for _ in range(30)), True) for i in range(50)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, train boolean").repartition(3)
+    facts, _, seats, d, model, tokens, types = pitman_yor.learned(df, 500, 5)
+    words = {r.h: r for r in facts.collect()}
+    left, count = {h: 0.0 for h in words}, {h: 0 for h in words}
+    for r in seats.collect():
+        assert 1 <= r["last"] <= r.c
+        left[r.u] += r.c - d * r["mean"]
+        count[r.u] += r.c
+    assert types == len(words) and tokens == sum(count.values()) == 50 * 31
+    known = sum(10.0 ** r.lp for r in words.values())
+    rest = 10.0 ** model.new_mass * (1 - sum(r.spelt for r in words.values()))
+    assert known + rest == pytest.approx(1, abs=0.02)
+    for h, r in words.items():
+        assert count[h] == r.c
+        assert left[h] / (pitman_yor.THETA + r.c) + r.open == pytest.approx(1)
+
+
 def test_folds_are_by_crc32(spark):
     rows = spark.range(40).select("id", Q.held_fold(F.col("id"), 7).alias("f")).collect()
     assert all(r.f == zlib.crc32(str(r.id).encode()) % 7 for r in rows)

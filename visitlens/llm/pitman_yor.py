@@ -1,7 +1,9 @@
 """Hierarchical Pitman-Yor language model with Gibbs-sampled seating (operator 10).
 
-The model nests two levels. The word restaurant seats every training token;
-a new table draws its word from the spelling model, a hierarchy of context
+The model nests three levels. Each word's context restaurant seats the tokens
+that follow it (a text starts after the empty word, which also ends it); a new
+table there is a customer of the word restaurant, and a new table of that draws
+its word from the spelling model, a hierarchy of context
 restaurants over bytes: the last three bytes' restaurant draws from its
 parent, the last two bytes', that one from the last byte's, and so on to the
 root over a uniform byte. Restaurants of one shorter context share it as
@@ -10,18 +12,23 @@ parent. Customers of a parent are its children's tables.
 Tables are sampled by collapsed Gibbs steps: a customer of a dish leaves (it
 sat alone with the probability given by generalised Stirling numbers) and
 is seated again by the restaurant's weights. Dishes of more than ``EXACT``
-customers move an eighth of them at a time by expected numbers. Predictive
-probabilities are averaged over the kept samples. A word that training lacks
-is one event, the mass that new tables give to all unseen spellings (the add-one
-base score also holds one type for them all), so both scores are over the
-training vocabulary and one unknown word.
-
-Token counts cover all training texts and are summed in Spark; the spelling
+customers move an eighth of them at a time by expected numbers. The levels are
+sampled in turn: words and spellings from one table a (context, word) pair, then
+the pairs given these, then words and spellings from the pairs' tables. Predictive
+probabilities are averaged over the kept samples. An unseen word gets the mass of
+the word restaurant's new tables times its spelling's probability, so ``score``
+is over all byte strings; ``event_score`` takes all unseen words as one event (the
+mass that new tables give to all unseen spellings), as the add-one base score
+does, so these two are over the training vocabulary and one unknown word.
+
+Counts of words and of (context, word) pairs cover all training texts and are
+summed in Spark, pairs by the words' 64-bit hashes; the spelling
 model's cells are bounded by its contexts and 257 bytes (second and third
 bytes back count by classes), whatever the corpus, and are what the driver
 holds. To score, a task looks up the most frequent words in a broadcast of
-``shared_words`` entries; its other words, once per block of texts, are
-joined with the word table, and the answers go back to their block.
+``shared_words`` entries; its other words and its pairs, once per block of
+texts, are joined with the word and pair tables by 64-bit keys, and the answers
+go back to their block.
 
 Edge cases: null and empty texts consist of the end token; a null ``train``
 flag means no training text; without training texts the spelling model is
@@ -84,6 +91,44 @@ def gibbs_step(c, t, weight, d, alone, u1, u2):
     return np.where(small, t1 + new, np.clip(t2 + came, 1, c)).astype(np.int64)
 
 
+def seating(c, weight, d, key, sweeps: int = 24, keep: int = 12):
+    """(averaged tables, last tables) of dishes with ``c`` customers.
+
+    The random numbers depend on the key and the sweep alone, so a task
+    that runs again draws the same seating.
+    """
+    alone = alone_table(d)
+    t = np.minimum(c, np.ceil(c ** d)).astype(np.int64)
+    t = np.where(c <= EXACT, np.minimum(t, EXACT), t)
+    total = np.zeros(len(c))
+    for sweep in range(sweeps):
+        r = mix64(key + U((2 * sweep + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)))
+        u1 = (r >> U(11)).astype(float) / 2.0 ** 53
+        u2 = (mix64(r + U(1)) >> U(11)).astype(float) / 2.0 ** 53
+        t = gibbs_step(c, t, weight, d, alone, u1, u2)
+        if sweep >= sweeps - keep:
+            total += t
+    return total / keep, t
+
+
+def discount(once: int, twice: int) -> float:
+    """From the numbers of dishes with one and two customers."""
+    return min(max(once / max(once + 2 * twice, 1), 0.05), 0.95)
+
+
+def gathered(batches, rows: int = 50_000):
+    """The same rows in batches of about ``rows``, for steps with a cost per batch."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n = [], 0
+    if n:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 # -- spelling model ----------------------------------------------------------
 
 def byte_contexts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
@@ -221,6 +266,29 @@ class Words:
         s, e, row = word_bounds(low, offs, self.table)
         return low, s, e, row, self.hash(low, s, e)
 
+    def in_order(self, row, h, n: int):
+        """Hashes of the tokens of ``n`` texts, each text's end token after its words."""
+        out = np.repeat(self.end, len(h) + n)
+        out[np.arange(len(h)) + row] = h
+        return out
+
+
+def pair_key(u, v):
+    """One 64-bit key of two word hashes; ``PAIR_KEY`` is the same in SQL."""
+    return (u << U(1) | u >> U(63)) ^ v
+
+
+PAIR_KEY = "(shiftleft(u, 1) | shiftrightunsigned(u, 63)) ^ v"
+
+
+def token_pairs(h, end):
+    """(words, first, second, pair of each token): the distinct words of tokens in
+    order, and the distinct pairs of a token with the one before as word numbers."""
+    words, at = np.unique(h, return_inverse=True)
+    before = np.concatenate([np.searchsorted(words, end), at[:-1]])
+    pairs, which = np.unique(before * len(words) + at, return_inverse=True)
+    return words, pairs // len(words), pairs % len(words), which
+
 
 def count_words(docs: DataFrame, block_bytes: int = 16 << 20) -> DataFrame:
     """(w, c): occurrences of each word in the training texts; the empty word is the end."""
@@ -254,6 +322,35 @@ def count_words(docs: DataFrame, block_bytes: int = 16 << 20) -> DataFrame:
         .groupBy("w").agg(F.sum("n").alias("c"))
 
 
+def count_pairs(docs: DataFrame, block_bytes: int = 16 << 20) -> DataFrame:
+    """(u, v, c): how often word v follows word u in the training texts, by hash."""
+    def run(batches):
+        words, held, size = Words(), [], 0
+
+        def out():
+            uniq, first, second, which = token_pairs(np.concatenate(held), words.end)
+            n, uniq = np.bincount(which), uniq.view(np.int64)
+            for a in range(0, len(n), 100_000):
+                b = a + 100_000
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(uniq[first[a:b]]), pa.array(uniq[second[a:b]]), pa.array(n[a:b])],
+                    ["u", "v", "n"])
+        for batch in batches:
+            data, offs = string_buffer(batch.column(0))
+            for a, b in slices(offs):
+                _, _, _, row, h = words(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
+                held.append(words.in_order(row, h, b - a))
+                size += int(offs[b] - offs[a])
+                if size >= block_bytes:
+                    yield from out()
+                    held, size = [], 0
+        if held:
+            yield from out()
+
+    return docs.where("train").select("text").transform(
+        map_batches, run, "u long, v long, n long").groupBy("u", "v").agg(F.sum("n").alias("c"))
+
+
 @dataclass
 class WordModel:
     tokens: int
@@ -267,33 +364,24 @@ class WordModel:
         return THETA + self.discount * self.tables
 
     def gibbs(self, data, starts, ends, c, sweeps: int = 24, keep: int = 12):
-        """(averaged tables, last tables, log10 of the spelling) of each word.
-
-        The random numbers depend on the word and the sweep alone, so a task
-        that runs again draws the same seating.
-        """
+        """(averaged tables, last tables, log10 of the spelling) of each word."""
         base = self.spelling.log10(data, starts, ends)
-        key = WordHasher(43)(data, starts, ends)
-        alone = alone_table(self.discount)
-        weight = self.new_table * 10.0 ** base
-        t = np.minimum(c, np.ceil(c ** self.discount)).astype(np.int64)
-        t = np.where(c <= EXACT, np.minimum(t, EXACT), t)
-        total = np.zeros(len(c))
-        for sweep in range(sweeps):
-            r = mix64(key + U((2 * sweep + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1)))
-            u1 = (r >> U(11)).astype(float) / 2.0 ** 53
-            u2 = (mix64(r + U(1)) >> U(11)).astype(float) / 2.0 ** 53
-            t = gibbs_step(c, t, weight, self.discount, alone, u1, u2)
-            if sweep >= sweeps - keep:
-                total += t
-        return total / keep, t, base
+        mean, last = seating(c, self.new_table * 10.0 ** base, self.discount,
+                             WordHasher(43)(data, starts, ends), sweeps, keep)
+        return mean, last, base
 
     def log10(self, c, tables, base):
         return np.log10((c - self.discount * tables + self.new_table * 10.0 ** base)
                         / (THETA + self.tokens))
 
-    def base10(self, c):
-        return np.log10((c + 1.0) / (self.tokens + self.types + 1.0))
+    @property
+    def new_mass(self) -> float:
+        """log10 of the share of new tables."""
+        return np.log10(self.new_table / (THETA + self.tokens))
+
+    def unseen(self, data, starts, ends):
+        """log10 probability of words without customers."""
+        return self.new_mass + self.spelling.log10(data, starts, ends)
 
 
 def _cells(words: DataFrame, model: WordModel | None) -> DataFrame:
@@ -303,7 +391,7 @@ def _cells(words: DataFrame, model: WordModel | None) -> DataFrame:
     def run(batches):
         model = shared.value
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in batches:
+        for batch in gathered(batches):
             data, offs = string_buffer(batch.column(0))
             c = batch.column(1).to_numpy()
             t = np.ones(len(c), np.int64) if model is None else \
@@ -327,120 +415,182 @@ def _spell(words: DataFrame, model: WordModel | None) -> tuple[SpellingModel, in
     return spelling_model(context, symbol, n), int(n[symbol == END].sum())
 
 
-def train(words: DataFrame) -> WordModel:
-    """Sample the seating over a saved word table (w, c)."""
+def train(words: DataFrame, start: WordModel | None = None) -> WordModel:
+    """Sample the seating over a saved table (w, c) of words and their customers,
+    from the spelling model of ``start`` or of one table a word."""
     facts = words.agg(F.sum("c"), F.count("*"), F.sum((F.col("c") == 1).cast("long")),
                       F.sum((F.col("c") == 2).cast("long"))).first()
-    tokens, types, once, twice = (int(x or 0) for x in facts)
-    d = min(max(once / max(once + 2 * twice, 1), 0.05), 0.95)
-    spelling, _ = _spell(words, None)
+    customers, types, once, twice = (int(x or 0) for x in facts)
+    d = discount(once, twice)
+    spelling = start.spelling if start else _spell(words, None)[0]
     guess = words.agg(F.sum(F.pow("c", F.lit(d)))).first()[0] or 0.0
-    model = WordModel(tokens, types, d, float(guess), spelling)
+    model = WordModel(customers, types, d, float(guess), spelling)
     spelling, tables = _spell(words, model)
-    return WordModel(tokens, types, d, float(tables), spelling)
+    return WordModel(customers, types, d, float(tables), spelling)
+
+
+def hashed(words: DataFrame) -> DataFrame:
+    """(w, h, c): the word table with the hashes the texts' words are looked up by."""
+    def run(batches):
+        for batch in gathered(batches):
+            data, offs = string_buffer(batch.column(0))
+            h = WordHasher(41)(data, offs[:-1], offs[1:])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(h.view(np.int64)), batch.column(1)], ["w", "h", "c"])
 
+    return map_batches(words.select("w", "c"), run, "w binary, h long, c long")
 
-def word_scores(words: DataFrame, model: WordModel) -> DataFrame:
-    """(w, c, lp, spelt): averaged predictive log10 probability, spelling probability."""
+
+def word_scores(words: DataFrame, model: WordModel, d: float) -> DataFrame:
+    """(h, c, lp, spelt, open) of words (w, h, c, customers, fan): log10 probability
+    in the word restaurant, spelling probability, and the share that the word's own
+    context restaurant, of ``fan`` tables and discount ``d``, leaves to new tables."""
     shared = Shared(words.sparkSession, model)
 
     def run(batches):
         model = shared.value
-        for batch in batches:
+        for batch in gathered(batches):
             data, offs = string_buffer(batch.column(0))
-            c = batch.column(1).to_numpy()
-            tables, _, base = model.gibbs(data, offs[:-1], offs[1:], c)
+            n, c = batch.column(3).to_numpy(), batch.column(2).to_numpy()
+            tables, _, base = model.gibbs(data, offs[:-1], offs[1:], n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(model.log10(c, tables, base)),
-                 pa.array(10.0 ** base)], names=["w", "c", "lp", "spelt"])
+                [batch.column(1), batch.column(2), pa.array(model.log10(n, tables, base)),
+                 pa.array(10.0 ** base),
+                 pa.array((THETA + d * batch.column(4).to_numpy()) / (THETA + c))],
+                names=["h", "c", "lp", "spelt", "open"])
+
+    return map_batches(words.select("w", "h", "c", "customers", "fan"), run,
+                       "h long, c long, lp double, spelt double, open double")
+
+
+# -- context restaurants ---------------------------------------------------------
+
+def _looked_up(rows: DataFrame, key: str, facts: DataFrame, top: DataFrame,
+               column: str) -> DataFrame:
+    """``rows`` with a column of the word ``key``: the most frequent words' by broadcast,
+    the others' by a join, in which no key is frequent."""
+    near = rows.join(F.broadcast(top.select(F.col("h").alias(key), column)), key, "left")
+    far = near.where(F.col(column).isNull()).drop(column).join(
+        facts.select(F.col("h").alias(key), column), key)
+    return near.where(F.col(column).isNotNull()).unionByName(far)
+
 
-    return map_batches(words.select("w", "c"), run,
-                       "w binary, c long, lp double, spelt double")
+def seat_pairs(pairs: DataFrame, facts: DataFrame, top: DataFrame, d: float) -> DataFrame:
+    """(u, v, c, last, mean): sampled tables of the pairs (u, v, c), saved.
+
+    A pair that occurs once has one table whatever the weights.
+    """
+    again = pairs.where("c > 1")
+    weights = facts.select("h", (F.col("open") * (F.col("c") + THETA)).alias("room"),
+                           F.pow(F.lit(10.0), "lp").alias("p"), "c")
+    chosen = weights.join(top.select("h"), "h", "left_semi")
+    both = _looked_up(_looked_up(again, "u", weights, chosen, "room"), "v", weights, chosen, "p")
+
+    def run(batches):
+        for batch in gathered(batches):
+            u, v = (batch.column(k).to_numpy().view(U) for k in (0, 1))
+            mean, last = seating(batch.column(2).to_numpy(), batch.column(3).to_numpy(), d,
+                                 mix64(pair_key(u, v)))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(last), pa.array(mean)],
+                names=["u", "v", "c", "last", "mean"])
+
+    seated = map_batches(both.select("u", "v", "c", (F.col("room") * F.col("p")).alias("weight")),
+                         run, "u long, v long, c long, last long, mean double")
+    single = pairs.where("c = 1").withColumns({"last": F.lit(1).cast("long"),
+                                               "mean": F.lit(1.0)})
+    return saved(seated, "seated").unionByName(single)
+
+
+def _customers(types: DataFrame, seats: DataFrame) -> DataFrame:
+    """Words with their customers (tables of all contexts) and own contexts' tables."""
+    customers = seats.groupBy(F.col("v").alias("h")).agg(F.sum("last").alias("customers"))
+    fan = seats.groupBy(F.col("u").alias("h")).agg(F.sum("mean").alias("fan"))
+    return saved(types.join(customers, "h").join(fan, "h"), "customers")
 
 
 # -- scoring -------------------------------------------------------------------
 
-BLOCKS = ("block long, i int, w binary, doc_ids array<long>, n_tokens array<long>, "
-          "known array<long>, base array<double>, score array<double>, "
-          "at_word binary, at_doc binary")
-DOCS = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+BLOCKS = ("block long, kind int, i int, k long, doc_ids array<long>, n_tokens array<long>, "
+          "facts binary, first binary, second binary, at binary")
+DOCS = ("doc_id long, n_tokens long, n_known long, base_score double, score double, "
+        "event_score double")
+HEAD, WORD, PAIR = 0, 1, 2
 
 
 def _blocks(docs: DataFrame, top, model: WordModel, block_bytes: int) -> DataFrame:
-    """Block rows with each text's sums over shared words, and a row per other word."""
-    facts = WordModel(model.tokens, model.types, model.discount, model.tables, None)
-    shared = Shared(docs.sparkSession, (top, facts))
+    """Rows of blocks of texts: a head with the texts' tokens as pairs of word numbers
+    and what is known of the words, a row per word that is not shared and per pair."""
+    shared = Shared(docs.sparkSession, (top, model))
 
     def run(batches):
-        (keys, count, lp), model = shared.value
+        (keys, *known), model = shared.value
         words, part, number = Words(), TaskContext.get().partitionId(), 0
-        base = model.base10(count)
-        seen = np.zeros(1 << 22, bool)
-        seen[keys >> U(42)] = True
+        schema = pa.schema([
+            ("block", pa.int64()), ("kind", pa.int32()), ("i", pa.int32()), ("k", pa.int64()),
+            *((c, pa.list_(pa.int64())) for c in ("doc_ids", "n_tokens")),
+            *((c, pa.binary()) for c in ("facts", "first", "second", "at"))])
+
+        def place(h):
+            k = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
+            return k, keys[k] == h if len(keys) else np.zeros(len(h), bool)
 
         def fresh():
-            return {"ids": [], "sums": [], "rare": Vocabulary(), "docs": [], "n": 0, "held": 0}
+            return {"ids": [], "sizes": [], "rare": Vocabulary(), "tokens": [], "held": 0}
+
+        def asked(block, kind, i, k):
+            for a in range(0, len(i), 50_000):
+                n = len(i[a:a + 50_000])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, block)), pa.array(np.full(n, kind, np.int32)),
+                     pa.array(i[a:a + n].astype(np.int32)),
+                     pa.array(k[a:a + n].view(np.int64)),
+                     *(pa.nulls(n, f.type) for f in list(schema)[4:])], schema=schema)
 
         def emit(st):
             nonlocal number
             block = (part << 32) + number
             number += 1
-            sums = [np.concatenate(x) for x in zip(*st["sums"])]
-            ids = [x for p in st["ids"] for x in p]
-            if st["rare"].parts:
-                uniq, _, text, inv = st["rare"].merged()
-            else:
-                text, inv = pa.array([], pa.binary()), np.zeros(0, np.int64)
-            doc = np.concatenate(st["docs"]) if st["docs"] else np.zeros(0, np.int32)
-            schema = pa.schema([
-                ("block", pa.int64()), ("i", pa.int32()), ("w", pa.binary()),
-                *((c, pa.list_(pa.int64())) for c in ("doc_ids", "n_tokens", "known")),
-                *((c, pa.list_(pa.float64())) for c in ("base", "score")),
-                ("at_word", pa.binary()), ("at_doc", pa.binary())])
+            uniq, first, second, at = token_pairs(np.concatenate(st["tokens"]), words.end)
+            # count, log10 probability and share of new tables; unseen words for a start
+            facts = np.zeros((3, len(uniq)))
+            k, ok = place(uniq)
+            facts[:, ok] = [x[k[ok]] for x in known]
+            rare = np.flatnonzero(~ok)
+            if len(rare):
+                data, offs = string_buffer(st["rare"].merged()[2])
+                facts[1, rare] = model.unseen(data, offs[:-1], offs[1:])
+                facts[2, rare] = 1.0
             yield pa.RecordBatch.from_pylist([{
-                "block": block, "i": None, "w": None, "doc_ids": ids, "n_tokens": sums[0],
-                "known": sums[1], "base": sums[2], "score": sums[3],
-                "at_word": inv.astype("<i4").tobytes(), "at_doc": doc.astype("<i4").tobytes()}],
-                schema=schema)
-            for a in range(0, len(text), 50_000):
-                n = min(50_000, len(text) - a)
-                nulls = [pa.nulls(n, f.type) for f in schema][3:]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, block)), pa.array(np.arange(a, a + n, dtype=np.int32)),
-                     text.slice(a, n), *nulls], schema=schema)
+                "block": block, "kind": HEAD, "i": 0, "k": 0,
+                "doc_ids": [x for p in st["ids"] for x in p],
+                "n_tokens": np.concatenate(st["sizes"]), "facts": facts.astype("<f8").tobytes(),
+                "first": first.astype("<i4").tobytes(), "second": second.astype("<i4").tobytes(),
+                "at": at.astype("<i4").tobytes()}], schema=schema)
+            yield from asked(block, WORD, rare, uniq[rare])
+            yield from asked(block, PAIR, np.arange(len(first)),
+                             pair_key(uniq[first], uniq[second]))
 
         st = fresh()
         for batch in batches:
             data, offs = string_buffer(batch.column(1))
             for a, b in slices(offs):
-                n = b - a
                 low, s, e, row, h = words(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
-                # the end token of each text is one more word, empty
-                s, e = np.append(s, np.zeros(n, np.int64)), np.append(e, np.zeros(n, np.int64))
-                row, h = np.append(row, np.arange(n)), np.append(h, np.repeat(words.end, n))
-                may = np.flatnonzero(seen[h >> U(42)])
-                k = np.minimum(np.searchsorted(keys, h[may]), max(len(keys) - 1, 0))
-                ok = keys[k] == h[may] if len(keys) else np.zeros(len(may), bool)
-                at, k = may[ok], k[ok]
-                st["sums"].append((
-                    row_counts(row, n),
-                    row_counts(row[at], n) if len(at) else np.zeros(n, np.int64),
-                    np.bincount(row[at], weights=base[k], minlength=n),
-                    np.bincount(row[at], weights=lp[k], minlength=n)))
-                st["ids"].append(batch.column(0).slice(a, n).to_pylist())
-                rest = np.ones(len(h), bool)
-                rest[at] = False
-                rest = np.flatnonzero(rest)
-                if len(rest):
-                    st["rare"].add(h[rest], np.ones(len(rest), np.int64),
-                                   gather_bytes(low, s[rest], e[rest]))
-                    st["docs"].append((row[rest] + st["n"]).astype(np.int32))
-                st["n"] += n
+                st["tokens"].append(words.in_order(row, h, b - a))
+                st["sizes"].append(row_counts(row, b - a) + 1)
+                st["ids"].append(batch.column(0).slice(a, b - a).to_pylist())
+                # each text's end token is one more word, empty
+                uniq, at = np.unique(np.append(h, words.end), return_index=True)
+                s, e = np.append(s, 0), np.append(e, 0)
+                at = at[~place(uniq)[1]]
+                if len(at):
+                    st["rare"].add(np.append(h, words.end)[at], np.ones(len(at), np.int64),
+                                   gather_bytes(low, s[at], e[at]))
                 st["held"] += int(offs[b] - offs[a])
                 if st["held"] >= block_bytes:
                     yield from emit(st)
                     st = fresh()
-        if st["n"]:
+        if st["tokens"]:
             yield from emit(st)
 
     return docs.select("doc_id", "text").transform(map_batches, run, BLOCKS)
@@ -460,50 +610,103 @@ def most_frequent(words: DataFrame, most: int) -> DataFrame:
     return words.where(level >= cut)
 
 
+class Block:
+    """A block's head, which answers are put into."""
+
+    def __init__(self, batch, at: int):
+        self.ids, self.sizes = (batch.column(c)[at].values for c in ("doc_ids", "n_tokens"))
+
+        def numbers(name, kind):
+            return np.frombuffer(batch.column(name)[at].as_py(), kind)
+        self.facts = numbers("facts", "<f8").reshape(3, -1).copy()
+        self.first, self.second, self.at = (numbers(c, "<i4") for c in ("first", "second", "at"))
+        self.left = np.zeros(len(self.first))
+
+    def answers(self, batch) -> None:
+        kind, i = (batch.column(c).to_numpy() for c in ("kind", "i"))
+        word, pair = np.flatnonzero(kind == WORD), np.flatnonzero(kind == PAIR)
+        if len(word):
+            self.facts[:, i[word]] = [batch.column(c).take(pa.array(word)).to_numpy()
+                                      for c in ("c", "lp", "open")]
+        if len(pair):
+            self.left[i[pair]] = batch.column("left").take(pa.array(pair)).to_numpy()
+
+    def scores(self, tokens: int, types: int, unknown: float):
+        c, lp, share = self.facts
+        doc = np.repeat(np.arange(len(self.sizes)), self.sizes.to_numpy())
+        seat = self.left / (THETA + c[self.first])
+
+        def total(of_pair):
+            return np.bincount(doc, weights=of_pair[self.at], minlength=len(self.sizes))
+
+        def in_context(lp):
+            back = np.log10(share[self.first]) + lp[self.second]
+            return np.where(seat > 0, np.log10(np.maximum(seat + 10.0 ** back, 1e-300)), back)
+        base = np.log10((c + 1.0) / (tokens + types + 1.0))
+        return pa.RecordBatch.from_arrays(
+            [self.ids, self.sizes, pa.array(total(c[self.second] > 0).astype(np.int64)),
+             pa.array(total(base[self.second])), pa.array(total(in_context(lp))),
+             pa.array(total(in_context(np.where(c > 0, lp, unknown))))],
+            names=["doc_id", "n_tokens", "n_known", "base_score", "score", "event_score"])
+
+
+def learned(docs: DataFrame, block_bytes: int, shared_words: int):
+    """(word facts, shared words, seated pairs, their discount, word model, tokens, types)."""
+    types = saved(hashed(saved(count_words(docs, block_bytes), "words")), "types")
+    pairs = saved(count_pairs(docs, block_bytes), "pairs")
+    tokens, n = types.agg(F.sum("c"), F.count("*")).first()
+    once, twice = (int(x or 0) for x in pairs.agg(
+        *(F.sum((F.col("c") == k).cast("long")) for k in (1, 2))).first())
+    d = discount(once, twice)
+
+    def restaurant(seats, start):
+        words = _customers(types, seats)
+        model = train(words.select("w", F.col("customers").alias("c")), start)
+        facts = saved(word_scores(words, model, d), "scored")
+        return facts, most_frequent(facts, shared_words), model
+    facts, top, model = restaurant(pairs.withColumns(
+        {"last": F.lit(1).cast("long"), "mean": F.lit(1.0)}), None)
+    seats = seat_pairs(pairs, facts, top, d)
+    facts, top, model = restaurant(seats, model)
+    return facts, top, seats, d, model, int(tokens or 0), int(n)
+
+
 def score_texts(docs: DataFrame, shared_words: int = 1 << 17,
                 block_bytes: int = 16 << 20) -> DataFrame:
-    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of documents
-    (doc_id, text, train), learned from those with ``train``."""
-    words = saved(count_words(docs, block_bytes), "words")
-    model = train(words)
-    scored = saved(word_scores(words, model), "scored")
-    top = most_frequent(scored, shared_words).toArrow()
-    data, offs = string_buffer(top.column("w"))
-    keys = WordHasher(41)(data, offs[:-1], offs[1:])
+    """(doc_id, n_tokens, n_known, train_tokens, base_score, score, event_score) of
+    documents (doc_id, text, train), learned from those with ``train``."""
+    facts, top, seats, d, model, tokens, types = learned(docs, block_bytes, shared_words)
+    got = top.select("h", "c", "lp", "open").toArrow()
+    keys = got.column("h").to_numpy().view(U)
     order = np.argsort(keys)
-    table = (keys[order], top.column("c").to_numpy()[order].astype(float),
-             top.column("lp").to_numpy()[order])
+    table = (keys[order], *(got.column(c).to_numpy()[order].astype(float)
+                            for c in ("c", "lp", "open")))
     blocks = saved(_blocks(docs, table, model, block_bytes), "blocks")
-    spelt = scored.agg(F.sum("spelt")).first()[0] or 0.0
-    unknown = float(np.log10(max(1 - spelt, 1e-9) * model.new_table / (THETA + model.tokens)))
-    answers = blocks.where("w is not null").select("block", "i", "w").join(
-        scored, "w", "left").groupBy("block").agg(F.collect_list(F.struct(
-            "i", F.coalesce("c", F.lit(0)).alias("c"),
-            F.coalesce("lp", F.lit(unknown)).alias("lp"))).alias("answers"))
-    facts = WordModel(model.tokens, model.types, model.discount, model.tables, None)
+    spelt = facts.agg(F.sum("spelt")).first()[0] or 0.0
+    unknown = float(np.log10(max(1 - spelt, 1e-9)) + model.new_mass)
+    left = seats.select(F.expr(PAIR_KEY).alias("k"),
+                        (F.col("c") - d * F.col("mean")).alias("left"))
+    found = [blocks.where(F.col("kind") == kind).select("block", "kind", "i", "k")
+             .join(by, "k").drop("k") for kind, by in (
+                 (WORD, facts.select(F.col("h").alias("k"), "c", "lp", "open")), (PAIR, left))]
+    rows = blocks.where(F.col("kind") == HEAD).drop("k")
+    for x in found:
+        rows = rows.unionByName(x, allowMissingColumns=True)
 
     def finish(batches):
+        block = None
         for batch in batches:
-            for k in range(batch.num_rows):
-                n = len(batch.column("doc_ids")[k])
-                known, base, score = (np.array(batch.column(c)[k].values) for c in
-                                      ("known", "base", "score"))
-                word = np.frombuffer(batch.column("at_word")[k].as_py(), "<i4")
-                doc = np.frombuffer(batch.column("at_doc")[k].as_py(), "<i4")
-                if len(word):
-                    got = batch.column("answers")[k].values
-                    i = got.field("i").to_numpy()
-                    c, lp = np.zeros(len(i)), np.zeros(len(i))
-                    c[i], lp[i] = got.field("c").to_numpy(), got.field("lp").to_numpy()
-                    known = known + np.bincount(doc, weights=c[word] > 0,
-                                                minlength=n).astype(np.int64)
-                    base = base + np.bincount(doc, weights=facts.base10(c)[word], minlength=n)
-                    score = score + np.bincount(doc, weights=lp[word], minlength=n)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_ids")[k].values, batch.column("n_tokens")[k].values,
-                     pa.array(known), pa.array(base), pa.array(score)],
-                    names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
-
-    return blocks.where("w is null").drop("i", "w").join(answers, "block", "left") \
-        .transform(map_batches, finish, DOCS) \
-        .withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+            heads = np.flatnonzero(batch.column("kind").to_numpy() == HEAD)
+            for a, b in zip([-1, *heads], [*heads, batch.num_rows]):
+                if a >= 0:
+                    if block is not None:
+                        yield block.scores(tokens, types, unknown)
+                    block = Block(batch, a)
+                if b > a + 1:
+                    block.answers(batch.slice(a + 1, b - a - 1))
+        if block is not None:
+            yield block.scores(tokens, types, unknown)
+
+    return rows.repartition("block").sortWithinPartitions("block", "kind", "i") \
+        .transform(map_batches, finish, DOCS).withColumn("train_tokens",
+                                                         F.lit(tokens).cast("long"))
