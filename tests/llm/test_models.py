@@ -161,6 +161,25 @@ def test_url_trees_learn_and_edge_tables(spark):
     assert urls.fit(one_class).predict(df).where("blocked = 1").count() == 400
 
 
+def test_url_trees_cannot_read_the_label_off_the_rates(spark):
+    rng = random.Random(6)
+    rows = []
+    for i in range(900):
+        host, bad = ("a.com", i % 2) if i % 3 else ("x.org", int(i % 9 == 0))
+        long = bad != (rng.random() < 0.1)      # one path in ten misleads
+        rows.append((i, f"http://{host}/{'q' * 9 + '/z/' if long else 'q'}{rng.randint(1, 9999)}",
+                     bad))
+    df = urls.lexical(urls.parsed(spark.createDataFrame(rows, "n long, url string, label int")))
+    held = F.pmod(F.crc32("url"), F.lit(4)) == 0
+    model = urls.fit(df.where(~held), trees=10)
+    got = model.predict(df.where(held))
+    assert got.where("blocked = label").count() > 0.8 * got.count()
+    rates = model.with_rates(df.where(~held).withColumn("fold", F.pmod(F.crc32("url"), F.lit(5))
+                                                        .cast("int")), "fold")
+    assert rates.groupBy("s1", "fold").agg(F.countDistinct("f_rate1").alias("n")) \
+        .where("n > 1").count() == 0
+
+
 # -- toxicity ----------------------------------------------------------------------------
 
 def test_noisy_or_finds_the_offending_sentences(spark, edge_docs, no_docs):

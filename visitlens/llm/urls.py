@@ -5,8 +5,9 @@ over the URL's letters do. They are trained from labelled URLs (a 0/1
 column; the registered query labels with the rules' own verdicts, the only
 labelled URLs among the tables). Features: lengths, path depth, digit ratio,
 entropy, parameter counts, and block rates of the host's suffixes, taken
-over all labelled URLs and kept in ``2^SUFFIX_BITS`` hashed counters, so
-their size is fixed.
+over all labelled URLs and kept in ``2^SUFFIX_BITS`` hashed counters a fold, so
+their size is fixed. A URL the trees learn from gets the rates of the other
+folds of a URL hash, so that its own label is not in its features.
 
 Fitting reads at most about ``sample_urls`` labelled rows, picked by the
 URL's hash (a documented bound); rules and trees are applied to all rows.
@@ -32,6 +33,7 @@ from visitlens.llm.frames import saved
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL_RE = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 SUFFIX_BITS = 12
+FOLDS = 5
 
 
 @dataclass(frozen=True)
@@ -106,21 +108,28 @@ FEATURES = ["f_length", "f_host", "f_path", "f_depth", "f_labels", "f_digits", "
 
 @dataclass
 class UrlModel:
-    suffixes: DataFrame         # (s, n, bad): at most 3 * 2^SUFFIX_BITS rows
+    suffixes: DataFrame         # (k, s, fold, n, bad): at most 3 * FOLDS * 2^SUFFIX_BITS rows
     rate: float
     trees: Any                  # fitted classifier, or None for a constant verdict
 
-    def with_rates(self, urls: DataFrame, own: Column | None = None) -> DataFrame:
-        """Add smoothed block rates per suffix; ``own`` is the row's label to leave out."""
+    def with_rates(self, urls: DataFrame, fold: str | None = None) -> DataFrame:
+        """Add smoothed block rates per suffix; ``fold`` names a column of the row's
+        own fold, to leave out."""
+        total = self.suffixes.groupBy("k", "s").agg(F.sum("n").alias("_n"),
+                                                    F.sum("bad").alias("_bad"))
         for k in (1, 2, 3):
-            stat = F.broadcast(self.suffixes.where(F.col("k") == k).select(
-                F.col("s").alias(f"s{k}"), F.col("n").alias("_n"), F.col("bad").alias("_bad")))
-            urls = urls.join(stat, f"s{k}", "left")
+            urls = urls.join(F.broadcast(total.where(F.col("k") == k).select(
+                F.col("s").alias(f"s{k}"), "_n", "_bad")), f"s{k}", "left")
             n, bad = F.coalesce("_n", F.lit(0)), F.coalesce("_bad", F.lit(0))
-            if own is not None:
-                n, bad = n - 1, bad - own
+            if fold is not None:
+                urls = urls.join(F.broadcast(self.suffixes.where(F.col("k") == k).select(
+                    F.col("s").alias(f"s{k}"), F.col("fold").alias(fold),
+                    F.col("n").alias("_own_n"), F.col("bad").alias("_own_bad"))),
+                    [f"s{k}", fold], "left")
+                n = n - F.coalesce("_own_n", F.lit(0))
+                bad = bad - F.coalesce("_own_bad", F.lit(0))
             urls = urls.withColumn(f"f_rate{k}", ((bad + 10 * self.rate) / (n + 10))
-                                   .cast("double")).drop("_n", "_bad")
+                                   .cast("double")).drop("_n", "_bad", "_own_n", "_own_bad")
         return urls
 
     def predict(self, urls: DataFrame) -> DataFrame:
@@ -139,10 +148,13 @@ def fit(labelled: DataFrame, sample_urls: int = 50_000, trees: int = 20, depth:
     """Boosted trees from lexical URLs with a 0/1 label (1: block)."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
-    rows = labelled.where(F.col(label_col).isNotNull())
+    rows = labelled.where(F.col(label_col).isNotNull()).withColumn("_fold", F.pmod(F.xxhash64(
+        F.lit("fold"), F.coalesce(F.col(url_col).cast("string"), F.lit(""))),
+        F.lit(FOLDS)).cast("int"))
     suffix = F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.col(f"s{k}").alias("s"))
                                  for k in (1, 2, 3))))
-    stats = saved(rows.select(suffix.alias("x"), label_col).groupBy("x.k", "x.s").agg(
+    stats = saved(rows.select(suffix.alias("x"), "_fold", label_col).groupBy(
+        "x.k", "x.s", F.col("_fold").alias("fold")).agg(
         F.count("*").alias("n"), F.sum(label_col).alias("bad")), "suffixes")
     total = stats.where("k = 1").agg(F.sum("n"), F.sum("bad")).first()
     n, bad = total[0] or 0, total[1] or 0
@@ -152,7 +164,7 @@ def fit(labelled: DataFrame, sample_urls: int = 50_000, trees: int = 20, depth:
         if n > sample_urls:
             rows = rows.where(F.pmod(F.xxhash64(url_col), F.lit(1 << 20))
                               < int((1 << 20) * sample_urls / n))
-        x = model.with_rates(rows, F.col(label_col)).select(
+        x = model.with_rates(rows, "_fold").select(
             F.col(label_col).cast("double").alias("_y"), *FEATURES)
         x = VectorAssembler(inputCols=FEATURES, outputCol="_x").transform(saved(x, "urls"))
         model.trees = GBTClassifier(
