@@ -8,8 +8,8 @@ as the next stage's documents, so a lost executor costs one stage at most.
 Stage rules:
 
 1. language ID: the model learns from the input's own ``lang`` labels; rows
-   whose text is null, has no letter, or whose best language holds under
-   half of the letters are rejected;
+   whose text is null or has no letter (language ``und``) are rejected, texts
+   of several languages stay;
 2. n-gram Jaccard join: of each component of similar documents the row with
    the smallest doc_id stays (of equal ids the one with the smallest text);
    rows without words are alone in their component, rows with a null doc_id
@@ -45,7 +45,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
     docs = docs.select(*COLUMNS)
     found = language.identify(docs, learned_language_model(docs))
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= 0.5)).select(*COLUMNS)
+    return found.where(F.col("lang_pred") != "und").select(*COLUMNS)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

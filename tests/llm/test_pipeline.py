@@ -92,6 +92,17 @@ def _in_order(docs):
     return [by[i] for i in range(len(docs))]
 
 
+def test_texts_of_several_languages_stay(spark):
+    texts = {"en": "the house and the street of the old town", "de": "das haus und die straße",
+             "ru": "дом и улица старого города стоят"}
+    rows = [(4 * i + k, texts[lang], lang, "s", 0) for i in range(20)
+            for k, lang in enumerate(texts)]
+    rows += [(900, " . ".join([texts["en"], texts["de"], texts["de"], texts["ru"]]), None, "s", 0),
+             (901, "12 34", "en", "s", 0)]
+    got = P.language_id(spark, spark.createDataFrame(rows, COLS), "").collect()
+    assert {r.doc_id for r in got} == {r[0] for r in rows} - {901}
+
+
 def test_run_is_the_stages(spark, tmp_path):
     docs, bench = corpus()
     spark.createDataFrame(docs, COLS).write.parquet(f"{tmp_path}/documents.parquet")
