@@ -53,6 +53,33 @@ def test_patterns_hold_the_histogram():
         assert x.sum() * 0.99 <= sum(t for _, t in plan) <= x.sum() + len(hist)
 
 
+def test_column_generation_refreshes_its_basis_in_a_spark_driver(spark):
+    rng = np.random.default_rng(5)
+    a = rng.random((256, 256)) + np.diag(rng.random(256))
+    a[3, 3] = a[0, 0] = 0.0
+    assert np.abs(np.einsum("ij,jk->ik", packing.inverse(a), a) - np.eye(256)).max() < 1e-7
+    size = np.arange(1, 257)
+    count = rng.integers(1, 10**6, 256).astype(float)
+    swaps = []
+    best = packing.best_pattern
+
+    def counted(*args):
+        swaps.append(1)
+        return best(*args)
+
+    packing.best_pattern = counted
+    try:
+        patterns, x = packing.solve_patterns(size, count, 256, gap=1e-5)
+        few, y = packing.solve_patterns(size, count, 256, gap=1e-5, refresh=50)
+    finally:
+        packing.best_pattern = best
+    assert len(swaps) >= 400, len(swaps)
+    assert np.allclose((patterns * x[:, None]).sum(axis=0), count)
+    assert x.sum() >= (size * count).sum() / 256 - 1e-6
+    assert np.allclose((few * y[:, None]).sum(axis=0), count)
+    assert abs(x.sum() - y.sum()) < 0.02 * x.sum()
+
+
 def test_packing_is_exact_and_dense(spark, tokenizer):
     rng = random.Random(6)
     docs = [(i, " ".join(rng.choice(["tree", "Haus.", "éé,", "x" * 9])

@@ -46,7 +46,7 @@ class WordCache:
     ``limit`` chunks, which bounds its memory.
     """
 
-    def __init__(self, tokenizer, limit: int = 200_000):
+    def __init__(self, tokenizer, limit: int = 500_000):
         self.tok, self.limit = tokenizer, limit
         self.hash, self.table = WordHasher(3), byte_table("space")
         vocab = tokenizer.get_vocab()
@@ -85,13 +85,17 @@ class WordCache:
                 np.array([len(f) for f in found], np.int64))
 
     def _add(self, keys, words, letters_only):
-        for a in range(0, len(words), 4000):
-            ids, size = self._ids(words[a:a + 4000], letters_only)
-            at = len(self.pool) + np.cumsum(size) - size
-            self.pool = np.concatenate([self.pool, ids])
-            self.keys = np.concatenate([self.keys, keys[a:a + 4000]])
-            self.at = np.concatenate([self.at, at])
-            self.size = np.concatenate([self.size, size])
+        """Merge new chunks, whose ``keys`` ascend, into the sorted cache."""
+        if not len(words):
+            return
+        found = [self._ids(words[a:a + 4000], letters_only) for a in range(0, len(words), 4000)]
+        size = np.concatenate([n for _, n in found])
+        at = len(self.pool) + np.cumsum(size) - size
+        self.pool = np.concatenate([self.pool, *(ids for ids, _ in found)])
+        to = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, to, keys)
+        self.at = np.insert(self.at, to, at)
+        self.size = np.insert(self.size, to, size)
 
     def _chunks(self, data, offs):
         """Chunk bounds, rows and whether a chunk is all letters."""
@@ -137,8 +141,6 @@ class WordCache:
                 at = first[mine]
                 self._add(uniq[mine], [raw[a:b].decode() for a, b in zip(
                     s[at].tolist(), e[at].tolist())], kind)
-            order = np.argsort(self.keys, kind="stable")
-            self.keys, self.at, self.size = self.keys[order], self.at[order], self.size[order]
         k = np.searchsorted(self.keys, uniq)[inv] if len(uniq) else np.zeros(0, np.int64)
         size = self.size[k]
         total = np.cumsum(size)
@@ -216,14 +218,35 @@ def best_pattern(value: np.ndarray, size: np.ndarray, capacity: int) -> tuple[fl
     return float(best[capacity]), pattern
 
 
+def inverse(a: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan elimination with row pivots, element-wise.
+
+    It runs in the driver, where a threaded BLAS may block for ever once the
+    JVM has been forked off, so no BLAS or LAPACK routine is called.
+    """
+    k = len(a)
+    m = np.hstack([a.astype(float), np.eye(k)])
+    for c in range(k):
+        r = c + int(np.argmax(np.abs(m[c:, c])))
+        if r != c:
+            m[[c, r]] = m[[r, c]]
+        m[c] /= m[c, c]
+        rows = np.flatnonzero(m[:, c])
+        rows = rows[rows != c]
+        m[rows] -= m[rows, c, None] * m[c]
+    return m[:, k:]
+
+
 def solve_patterns(size: np.ndarray, count: np.ndarray, capacity: int, gap: float = 2e-3,
-                   max_columns: int = 1500) -> tuple[np.ndarray, np.ndarray]:
+                   max_columns: int = 1500, refresh: int = 200
+                   ) -> tuple[np.ndarray, np.ndarray]:
     """Linear program of the cutting stock by column generation.
 
     Minimises the number of sequences so that each class is served. Starts
     from one pattern per class and swaps in the best-priced pattern until
-    none improves the bound by more than ``gap``. Returns (patterns x
-    classes, real-valued counts).
+    none improves the bound by more than ``gap``; the basis inverse is
+    computed anew every ``refresh`` swaps. Returns (patterns x classes,
+    real-valued counts).
     """
     k = len(size)
     fits = np.floor(capacity / size)
@@ -235,7 +258,8 @@ def solve_patterns(size: np.ndarray, count: np.ndarray, capacity: int, gap: floa
         value, new = best_pattern(np.maximum(dual, 0.0), size, capacity)
         if value <= 1 + gap:
             break
-        d = inv @ new
+        used = np.flatnonzero(new)
+        d = (inv[:, used] * new[used]).sum(axis=1)
         with np.errstate(divide="ignore", invalid="ignore"):
             ratio = np.where(d > 1e-9, np.maximum(x, 0) / d, np.inf)
         r = int(np.argmin(ratio))
@@ -248,9 +272,9 @@ def solve_patterns(size: np.ndarray, count: np.ndarray, capacity: int, gap: floa
         pivot = inv[r] / d[r]
         inv -= np.outer(d, pivot)
         inv[r] = pivot
-        if it % 200 == 199:
-            inv = np.linalg.inv(basis)
-            x = inv @ count
+        if it % refresh == refresh - 1:
+            inv = inverse(basis)
+            x = (inv * count).sum(axis=1)
     return basis.T, np.maximum(x, 0.0)
 
 
