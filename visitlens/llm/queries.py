@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, with production parameters."""
+"""Registered queries of the thirteen operators, with production parameters."""
 
 from __future__ import annotations
 
@@ -128,6 +128,13 @@ def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score", "score")
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from visitlens.llm.token_files import token_digests
+    from visitlens.session import scratch_dir
+    return token_digests(read_table(spark, sf_dir, "documents"),
+                         scratch_dir(spark, "token-files"), tokenizer_json())
+
+
 QUERIES = {"op1_decontamination": op1_decontamination,
            "op2_language": op2_language,
            "op3_substring_dedup": op3_substring_dedup,
@@ -137,7 +144,8 @@ QUERIES = {"op1_decontamination": op1_decontamination,
            "op7_url_filter": op7_url_filter,
            "op8_toxicity": op8_toxicity,
            "op9_ngram_join": op9_ngram_join,
-           "op10_pitman_yor": op10_pitman_yor}
+           "op10_pitman_yor": op10_pitman_yor,
+           "op11_token_files": op11_token_files}
 ORACLE: dict[str, str] = {"op1_decontamination": oracle.OP1,
                           "op3_substring_dedup": oracle.OP3,
                           "op4_warc": oracle.OP4}
