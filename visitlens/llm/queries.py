@@ -135,6 +135,11 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                          scratch_dir(spark, "token-files"), tokenizer_json())
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from visitlens.llm.whitening import whiten
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {"op1_decontamination": op1_decontamination,
            "op2_language": op2_language,
            "op3_substring_dedup": op3_substring_dedup,
@@ -145,7 +150,8 @@ QUERIES = {"op1_decontamination": op1_decontamination,
            "op8_toxicity": op8_toxicity,
            "op9_ngram_join": op9_ngram_join,
            "op10_pitman_yor": op10_pitman_yor,
-           "op11_token_files": op11_token_files}
+           "op11_token_files": op11_token_files,
+           "op12_whitening": op12_whitening}
 ORACLE: dict[str, str] = {"op1_decontamination": oracle.OP1,
                           "op3_substring_dedup": oracle.OP3,
                           "op4_warc": oracle.OP4}
