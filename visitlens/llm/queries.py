@@ -140,6 +140,14 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(read_table(spark, sf_dir, "embeddings"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from visitlens.llm.hard_negatives import mine
+    label = F.col("label").cast("long")
+    table = read_table(spark, sf_dir, "embeddings").withColumn("label", F.when(
+        F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return mine(table, is_anchor=F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {"op1_decontamination": op1_decontamination,
            "op2_language": op2_language,
            "op3_substring_dedup": op3_substring_dedup,
@@ -151,7 +159,8 @@ QUERIES = {"op1_decontamination": op1_decontamination,
            "op9_ngram_join": op9_ngram_join,
            "op10_pitman_yor": op10_pitman_yor,
            "op11_token_files": op11_token_files,
-           "op12_whitening": op12_whitening}
+           "op12_whitening": op12_whitening,
+           "op13_hard_negatives": op13_hard_negatives}
 ORACLE: dict[str, str] = {"op1_decontamination": oracle.OP1,
                           "op3_substring_dedup": oracle.OP3,
                           "op4_warc": oracle.OP4}
