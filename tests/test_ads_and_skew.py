@@ -64,6 +64,54 @@ def test_sliding_trend_equals_spark_window(spark):
     assert ours.exceptAll(ref).count() == 0 and ref.exceptAll(ours).count() == 0
 
 
+def test_window_steps_equal_a_plain_count(spark):
+    """Random clicks, gaps, hot ad, null ad, chunks smaller than a window."""
+    import random
+    rnd = random.Random(5)
+    clicks = [(rnd.choice([0, 40, 9000]) + rnd.randint(0, 50), rnd.choice([1, 1, 1, 2, None]))
+              for _ in range(300)] + [(17, 1)] * 50
+    counts = {}
+    for b, a in clicks:
+        counts[b, a] = counts.get((b, a), 0) + 1
+    df = spark.createDataFrame([(b, a, n) for (b, a), n in counts.items()],
+                               "bucket long, ad_id long, click_count long")
+    want = {}
+    for (b, a), n in counts.items():
+        for i in range(6):
+            want[b - i, a] = want.get((b - i, a), 0) + n
+    for chunk in (20, 70, 100_000):
+        steps = AD.window_steps(df, 60, 10, chunk_seconds=chunk).collect()
+        got = {(b, r.ad_id): r.click_count for r in steps for b in range(r.bucket, r.until)}
+        assert got == want and all(r.click_count > 0 for r in steps)
+
+
+def test_window_steps_never_copy_a_bucket_per_window(spark):
+    """Two rows a bucket, and a hot ad's rows dealt out by time."""
+    df = spark.range(20_000).select((F.col("id")).alias("bucket"), F.lit(7).cast("long")
+                                    .alias("ad_id"), F.lit(1).cast("long").alias("click_count"))
+    steps = AD.window_steps(df, 3600, 10, chunk_seconds=600)
+    plan = steps._jdf.queryExecution().executedPlan().toString()
+    assert "sequence" not in plan
+    assert "hashpartitioning(_key" in plan and "_chunk" in plan
+    assert steps.agg(F.sum(F.col("until") - F.col("bucket"))).first()[0] == 20_359
+
+
+def test_peak_windows_split_steps_at_midnight(spark):
+    day = 8640          # slides of 10 seconds
+    clicks = [(day - 1, 1, 5), (day + 100, 1, 5), (2 * day + 3, 2, 1)]
+    df = spark.createDataFrame(clicks, "bucket long, ad_id long, click_count long")
+    got = sorted(map(tuple, AD.peak_windows(AD.window_steps(df, 3600, 10), 10).collect()))
+    windows = {}
+    for b, a, n in clicks:
+        for i in range(360):
+            windows[b - i, a] = windows.get((b - i, a), 0) + n
+    want = {}
+    for (b, a), n in windows.items():
+        want[b // day, a] = min(want.get((b // day, a), (0, 0)), (-n, b))
+    stamp = lambda b: dt.datetime.fromtimestamp(b * 10, dt.timezone.utc).strftime("%F %T")
+    assert got == sorted((stamp(b)[:10], a, -n, stamp(b)) for (_, a), (n, b) in want.items())
+
+
 def test_minute_trend(spark):
     clicks = _clicks(spark, [(0, "P", "C", 1, 1), (0, "P", "C", 2, 1), (61, "P", "C", 1, 1)])
     got = sorted((r.hour, r.minute, r.click_count) for r in AD.minute_trend(clicks).collect())

@@ -186,7 +186,8 @@ def test_sliding_stream_matches_batch_sliding(spark):
         q, store = STR.start_sliding_stream(spark, spark.readStream.text(src), f"{root}/state",
                                             f"{root}/ckpt", slide, trigger="availableNow")
         q.awaitTermination()
-        got = AD.spread_buckets(STR.read_table(store, "ad_click_bucket"), window, slide)
+        steps = AD.window_steps(STR.read_table(store, "ad_click_bucket"), window, slide)
+        got = AD.list_windows(steps, window, slide)
         batch = AD.sliding_trend(decode_ad_log(_lines_df(spark, spec))[0], window, slide)
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
 

@@ -12,7 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from visitlens.functions.columns import format_time, ntz_from_millis
+from visitlens.operators.sequence import running_steps
 from visitlens.operators.topk import top_n_per_group
+from visitlens.sources.adlog import MS_PER_DAY
 
 
 def filter_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
@@ -62,42 +64,77 @@ def minute_trend(clicks: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("click_count")))
 
 
+def slide_counts(clicks: DataFrame, slide_seconds: int) -> DataFrame:
+    """Clicks per (slide bucket, ad)."""
+    return (clicks.groupBy(F.floor(F.col("ts_ms") / (slide_seconds * 1000)).alias("bucket"),
+                           "ad_id").agg(F.count(F.lit(1)).alias("click_count")))
+
+
+def window_steps(buckets: DataFrame, window_seconds: int, slide_seconds: int,
+                 chunk_seconds: int = 21_600) -> DataFrame:
+    """Sliding windows as steps: rows (ad_id, bucket, until, click_count).
+
+    Windows starting at slide buckets ``bucket`` up to, not including,
+    ``until`` hold ``click_count`` clicks of the ad; those without clicks are
+    left out. A bucket's count c is a difference array of two rows, +c where
+    the first window that covers it starts and -c after the last, however
+    many windows cover it. ``buckets`` come from :func:`slide_counts` or from
+    the stream's stored counts. An ad's rows are dealt out by
+    ``chunk_seconds`` of time, so a hot ad is split over tasks.
+    """
+    if window_seconds % slide_seconds:
+        raise ValueError("window must be a multiple of the slide")
+    copies = window_seconds // slide_seconds
+    change = F.explode(F.array(
+        F.struct((F.col("bucket") - (copies - 1)).alias("bucket"),
+                 F.col("click_count").alias("n")),
+        F.struct((F.col("bucket") + 1).alias("bucket"), (-F.col("click_count")).alias("n"))))
+    deltas = (buckets.select("ad_id", change.alias("d"))
+              .groupBy("ad_id", F.col("d.bucket").alias("bucket"))
+              .agg(F.sum("d.n").alias("click_count")).where("click_count <> 0"))
+    return running_steps(deltas, "ad_id", "bucket", "click_count",
+                         max(1, chunk_seconds // slide_seconds)).where("click_count > 0")
+
+
 def sliding_trend(clicks: DataFrame, window_seconds: int = 3600,
                   slide_seconds: int = 10) -> DataFrame:
     """Clicks per ad in sliding event-time windows ``[start, start + window)``.
 
-    Equal to ``groupBy(window(t, window, slide), ad_id).count()``, but rows
-    are first counted per slide bucket, and only those partial counts are
-    copied into the ``window / slide`` windows covering them, instead of
-    copying every click.
+    Equal to ``groupBy(window(t, window, slide), ad_id).count()``, but clicks
+    are counted per slide bucket and summed as steps (:func:`window_steps`);
+    only the finished steps are written out as one row a window.
     """
-    buckets = (clicks.groupBy(F.floor(F.col("ts_ms") / (slide_seconds * 1000)).alias("bucket"),
-                              "ad_id").agg(F.count(F.lit(1)).alias("click_count")))
-    return spread_buckets(buckets, window_seconds, slide_seconds)
+    return list_windows(window_steps(slide_counts(clicks, slide_seconds), window_seconds,
+                                     slide_seconds), window_seconds, slide_seconds)
 
 
-def peak_windows(windows: DataFrame) -> DataFrame:
-    """Per day and ad the most clicks a sliding window holds, and the first such window."""
-    day = windows.withColumn("day", F.substring("window_start", 1, 10))
-    most = day.groupBy("day", "ad_id", "click_count").agg(
-        F.min("window_start").alias("window_start"))
-    return (most.groupBy("day", "ad_id").agg(
-        F.max("click_count").alias("click_count"),
-        F.max_by("window_start", "click_count").alias("window_start")))
+def list_windows(steps: DataFrame, window_seconds: int, slide_seconds: int) -> DataFrame:
+    """One row a window: (window_start, window_end, ad_id, click_count)."""
+    start_ms = F.col("bucket") * (slide_seconds * 1000)
+    return (steps.select("ad_id", "click_count", F.explode(
+        F.sequence("bucket", F.col("until") - 1)).alias("bucket"))
+        .select(start_ms.alias("start_ms"),
+                (start_ms + window_seconds * 1000).alias("end_ms"), "ad_id", "click_count")
+        .select(format_time(ntz_from_millis("start_ms")).alias("window_start"),
+                format_time(ntz_from_millis("end_ms")).alias("window_end"),
+                "ad_id", "click_count"))
 
 
-def spread_buckets(buckets: DataFrame, window_seconds: int, slide_seconds: int) -> DataFrame:
-    """Sliding windows from counts per (slide bucket, ad); buckets come from a
-    batch aggregate or from the stream's stored counts."""
-    if window_seconds % slide_seconds:
-        raise ValueError("window must be a multiple of the slide")
-    slide_ms, copies = slide_seconds * 1000, window_seconds // slide_seconds
-    spread = (buckets.select("bucket", "ad_id", "click_count",
-                             F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("i"))
-              .select(((F.col("bucket") - F.col("i")) * slide_ms).alias("start_ms"),
-                      "ad_id", "click_count"))
-    counted = (spread.groupBy("start_ms", "ad_id").agg(F.sum("click_count").alias("click_count"))
-               .withColumn("end_ms", F.col("start_ms") + F.lit(window_seconds * 1000)))
-    return counted.select(format_time(ntz_from_millis("start_ms")).alias("window_start"),
-                          format_time(ntz_from_millis("end_ms")).alias("window_end"),
-                          "ad_id", "click_count")
+def peak_windows(steps: DataFrame, slide_seconds: int) -> DataFrame:
+    """Per day and ad the most clicks a sliding window holds, and the first such window.
+
+    A window belongs to the day it starts in; a step that lasts over midnight
+    counts for each of its days, from the day's first window on.
+    """
+    slide_ms = slide_seconds * 1000
+    day = F.explode(F.sequence(F.floor(F.col("bucket") * slide_ms / MS_PER_DAY),
+                               F.floor((F.col("until") - 1) * slide_ms / MS_PER_DAY)))
+    first = F.greatest("bucket", F.ceil(F.col("day") * MS_PER_DAY / slide_ms))
+    return (steps.withColumn("day", day)
+            .groupBy("day", "ad_id")
+            .agg(F.max(F.struct("click_count", (-first).alias("start"))).alias("top"))
+            .select((-F.col("top.start") * slide_ms).alias("start_ms"), "ad_id",
+                    F.col("top.click_count").alias("click_count"))
+            .select(F.substring(format_time(ntz_from_millis("start_ms")), 1, 10).alias("day"),
+                    "ad_id", "click_count",
+                    format_time(ntz_from_millis("start_ms")).alias("window_start")))

@@ -1,4 +1,4 @@
-"""Previous row within a key's ordered sequence, safe for hot keys.
+"""Previous row and running sums within a key's ordered sequence, safe for hot keys.
 
 ``lag(v) OVER (PARTITION BY key ORDER BY ...)`` sends every row of a key to
 one task; a session holding a third of all rows would make that task a
@@ -53,3 +53,35 @@ def previous_in_sequence(df: DataFrame, key: str, order: list[str], value: str,
     return joined.select(
         *(F.col("_key")["k"].alias(key) if c == key else F.col(c) for c in df.columns),
         F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col("_prev")).alias(out))
+
+
+def running_steps(deltas: DataFrame, key: str, position: str, value: str, chunk: int) -> DataFrame:
+    """Steps of a running sum: rows (``key``, ``position``, ``until``, ``value``).
+
+    ``deltas`` holds changes, at most one row per (``key``, ``position``), the
+    position a whole number. From ``position`` up to, not including, ``until``
+    (null after the key's last change) the sum is ``value``. A key's rows are
+    dealt out by chunks of ``chunk`` positions; what a chunk needs from the
+    others, the sum before it and the first position after it, comes from a
+    table of one row per (``key``, chunk).
+    """
+    # As above a struct is never null: null keys are one sequence.
+    dealt = deltas.select(F.struct(F.col(key).alias("k")).alias("_key"),
+                          F.floor(F.col(position) / chunk).cast("bigint").alias("_chunk"),
+                          F.col(position), F.col(value))
+    w = Window.partitionBy("_key", "_chunk").orderBy(position)
+    local = (dealt.withColumn("_sum", F.sum(value).over(w))
+             .withColumn("_next", F.lead(position).over(w)))
+    by_key = Window.partitionBy("_key").orderBy("_chunk")
+    chunks = (dealt.groupBy("_key", "_chunk").agg(F.sum(value).alias("_total"),
+                                                  F.min(position).alias("_first"))
+              .select(F.col("_key").alias("_c_key"), F.col("_chunk").alias("_c_chunk"),
+                      F.sum("_total").over(by_key.rowsBetween(Window.unboundedPreceding, -1))
+                      .alias("_before"),
+                      F.lead("_first").over(by_key).alias("_after")))
+    joined = local.join(chunks, (F.col("_key") == F.col("_c_key"))
+                        & (F.col("_chunk") == F.col("_c_chunk")))
+    return joined.select(
+        F.col("_key")["k"].alias(key), F.col(position),
+        F.coalesce("_next", "_after").alias("until"),
+        (F.col("_sum") + F.coalesce("_before", F.lit(0))).alias(value))

@@ -252,7 +252,8 @@ def q_ad_trend_sliding(spark, sf_dir):
 
 def q_ad_trend_peak_10s(spark, sf_dir):
     """R7 at 60 minutes every 10 seconds: each ad's busiest window of a day."""
-    return AD.peak_windows(AD.sliding_trend(Inputs(spark, sf_dir).ad_clicks(), 3600, 10))
+    counts = AD.slide_counts(Inputs(spark, sf_dir).ad_clicks(), 10)
+    return AD.peak_windows(AD.window_steps(counts, 3600, 10), 10)
 
 
 def _ad_log_files(spark: SparkSession, sf_dir: str) -> str:

@@ -168,7 +168,7 @@ def bucket_counts_stream(lines: DataFrame, slide_seconds: int = 10,
                          watermark: str = "60 minutes") -> DataFrame:
     """R7 sliding form: clicks per (slide bucket, ad), a tumbling window per slide.
 
-    A click is counted once; :func:`visitlens.operators.ads.spread_buckets`
+    A click is counted once; :func:`visitlens.operators.ads.window_steps`
     makes the overlapping windows (60 min every 10 s: 360 per bucket) from the
     stored counts when they are read.
     """
