@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import ctypes
 import pickle
+import sys
+import types
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -38,6 +40,16 @@ class Shared:
         return pickle.loads(self._data.value)
 
 
+def worker_state() -> dict:
+    """A dict that lives as long as the Python worker process, for what tasks may share.
+
+    Only for caches: tasks must give the same rows with an empty one. Functions
+    are shipped by value, so globals of this package do not outlive a task.
+    """
+    name = "_visitlens_worker_state"
+    return vars(sys.modules.setdefault(name, types.ModuleType(name)))
+
+
 def map_batches(df: DataFrame, fn, schema) -> DataFrame:
     """``mapInArrow`` that gives memory back when a task ends.
 

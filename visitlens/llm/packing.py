@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitlens.llm.frames import map_batches, saved, Shared
+from visitlens.llm.frames import Shared, map_batches, saved, worker_state
 from visitlens.llm.text import WordHasher, byte_table, slices, string_buffer, word_bounds
 
 PIECE_SCHEMA = ("doc_id long, start long, length long, doc_tokens long, ids binary, "
@@ -42,8 +42,8 @@ class WordCache:
     The tokenizer drops white space and never joins across it, so a text's
     ids are its words' ids in order. A word of Latin letters and then ASCII
     punctuation (but no apostrophe) is two chunks, as the tokenizer parts
-    letters from punctuation too. The cache is emptied when it holds
-    ``limit`` chunks, which bounds its memory.
+    letters from punctuation too. Beyond ``limit`` chunks those used in the
+    fewest slices of text are dropped, to half of it, which bounds the memory.
     """
 
     def __init__(self, tokenizer, limit: int = 500_000):
@@ -57,14 +57,24 @@ class WordCache:
         self.letter[65:91] = self.letter[97:123] = True
         self.punct = np.zeros(256, bool)
         self.punct[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = True
-        self._clear()
-
-    def _clear(self):
         self.keys = np.zeros(0, np.uint64)
         self.at = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
+        self.used = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
 
+    def _shrink(self):
+        """Keep the chunks used in most slices, half the limit at most, and halve their counts."""
+        half = min(max(self.limit // 2, 1), len(self.used))
+        cut = np.sort(self.used)[-half]
+        keep = np.flatnonzero(self.used > min(cut, self.used.max() - 1))[:half]
+        size = self.size[keep]
+        ends = np.cumsum(size)
+        self.pool = self.pool[np.arange(int(size.sum()))
+                              + np.repeat(self.at[keep] - ends + size, size)]
+        self.keys, self.at, self.size = self.keys[keep], ends - size, size
+        self.used = self.used[keep] // 2
+
     def _ids(self, words, letters_only):
         """(ids, ids per word): words of letters end at the first word-end token."""
         if letters_only:
@@ -96,6 +106,7 @@ class WordCache:
         self.keys = np.insert(self.keys, to, keys)
         self.at = np.insert(self.at, to, at)
         self.size = np.insert(self.size, to, size)
+        self.used = np.insert(self.used, to, 0)
 
     def _chunks(self, data, offs):
         """Chunk bounds, rows and whether a chunk is all letters."""
@@ -121,19 +132,21 @@ class WordCache:
         return (np.insert(s, two + 1, stop[two]), np.insert(e2, two + 1, e[two]),
                 np.insert(row, two + 1, row[two]), np.insert(pure, two + 1, False))
 
+    def _missing(self, uniq):
+        if not len(self.keys):
+            return np.arange(len(uniq))
+        k = np.minimum(np.searchsorted(self.keys, uniq), len(self.keys) - 1)
+        return np.flatnonzero(self.keys[k] != uniq)
+
     def encode(self, data, offs):
         """(ids, ids per row) of the texts in a buffer."""
         s, e, row, pure = self._chunks(data, offs)
         uniq, first, inv = np.unique(self.hash(data, s, e), return_index=True,
                                      return_inverse=True)
-        if len(self.keys):
-            k = np.minimum(np.searchsorted(self.keys, uniq), len(self.keys) - 1)
-            new = np.flatnonzero(self.keys[k] != uniq)
-        else:
-            new = np.arange(len(uniq))
-        if len(self.keys) and len(self.keys) + len(new) > self.limit:
-            self._clear()
-            new = np.arange(len(uniq))
+        new = self._missing(uniq)
+        if len(self.keys) > 1 and len(self.keys) + len(new) > self.limit:
+            self._shrink()
+            new = self._missing(uniq)
         if len(new):
             raw = data.tobytes()
             for kind in (True, False):
@@ -141,7 +154,9 @@ class WordCache:
                 at = first[mine]
                 self._add(uniq[mine], [raw[a:b].decode() for a, b in zip(
                     s[at].tolist(), e[at].tolist())], kind)
-        k = np.searchsorted(self.keys, uniq)[inv] if len(uniq) else np.zeros(0, np.int64)
+        k = np.searchsorted(self.keys, uniq)
+        self.used[k] += 1
+        k = k[inv]
         size = self.size[k]
         total = np.cumsum(size)
         ids = self.pool[np.arange(int(size.sum())) + np.repeat(self.at[k] - total + size, size)]
@@ -149,15 +164,24 @@ class WordCache:
         return ids, per_row
 
 
+def worker_cache(tokenizer_json: str) -> WordCache:
+    """The word cache of a Python worker, kept for the tasks it serves one after another."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+    state = worker_state()
+    if state.get("tokenizer") != tokenizer_json:
+        state["tokenizer"] = tokenizer_json
+        state["words"] = WordCache(Tokenizer.from_str(tokenizer_json))
+    return state["words"]
+
+
 def tokenized_pieces(docs: DataFrame, tokenizer_json: str, capacity: int, grain: int,
                      end_id: int) -> DataFrame:
     """One row per piece with its ids, length class and rank in its task's class."""
     shared = Shared(docs.sparkSession, tokenizer_json)
 
     def cut(batches):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        cache = WordCache(Tokenizer.from_str(shared.value))
+        cache = worker_cache(shared.value)
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity // grain + 2, np.int64)
         for batch in batches:

@@ -24,7 +24,6 @@ memory follows the longest text; other columns of the input are ignored.
 
 from __future__ import annotations
 
-import os
 import zlib
 
 import numpy as np
@@ -35,7 +34,7 @@ from pyspark.sql import functions as F
 
 from visitlens.llm import pfor
 from visitlens.llm.frames import Shared, map_batches, saved, small_batches
-from visitlens.llm.packing import WordCache
+from visitlens.llm.packing import worker_cache
 from visitlens.llm.text import SLICE_BYTES, slices, string_buffer
 
 #: Fixed values of the format.
@@ -96,9 +95,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_json: str, end_id: i
     shared = Shared(spark, tokenizer_json)
 
     def encode(batches):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        cache, part = None, TaskContext.get().partitionId()
+        cache, part = worker_cache(shared.value), TaskContext.get().partitionId()
         keys, counts, found, size, before = [], [], [], 0, 0
 
         def close():
@@ -109,7 +106,6 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_json: str, end_id: i
         for batch in batches:
             data, offs = string_buffer(batch.column(1))
             for a, b in slices(offs, min(SLICE_BYTES, segment_ids)):
-                cache = cache or WordCache(Tokenizer.from_str(shared.value))
                 ids, n = cache.encode(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
                 found.append(np.insert(ids, np.cumsum(n), np.uint32(end_id)))
                 counts.append(n + 1)
