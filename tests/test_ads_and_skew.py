@@ -87,7 +87,7 @@ def test_window_steps_equal_a_plain_count(spark):
 
 def test_window_steps_never_copy_a_bucket_per_window(spark):
     """Two rows a bucket, and a hot ad's rows dealt out by time."""
-    df = spark.range(20_000).select((F.col("id")).alias("bucket"), F.lit(7).cast("long")
+    df = spark.range(20_000).select(F.col("id").alias("bucket"), F.floor(F.col("id") / 1_000_000)
                                     .alias("ad_id"), F.lit(1).cast("long").alias("click_count"))
     steps = AD.window_steps(df, 3600, 10, chunk_seconds=600)
     plan = steps._jdf.queryExecution().executedPlan().toString()

@@ -1,5 +1,6 @@
 """Ad click stream: feedback loop fold, re-delivery, restart, late data."""
 
+import datetime as dt
 import os
 import tempfile
 import time
@@ -76,7 +77,10 @@ def test_compaction_keeps_the_totals(spark):
         job.process(_lines(spark, [(i, "P", "C", 1, 1), (i, "P", "C", 2, 1)]), i)
     assert [r[-1] for r in _table(store, "ad_user_click_count")] == [5, 5]
     assert [r[0] for r in _table(store, "ad_blacklist")] == [1, 2]
-    assert store._ids("ad_stat", "upto") == [1, 3] and store._ids("ad_stat", "batch") == [2, 3, 4, 5]
+    # two folds so far; the second dropped what the first replaced
+    assert sorted(f[1:3] for f in store._folders("ad_stat")) == \
+        [("all", 1), ("all", 3), ("part", 2), ("part", 3), ("part", 4)]
+    assert [r[-2:] for r in _table(store, "ad_province_top3")] == [(1, 10)]
 
 
 def test_new_checkpoint_on_old_results_is_refused(spark):
@@ -114,7 +118,7 @@ def test_redelivered_batch_is_not_counted_twice(spark):
     job.process(df, 0)
     job.process(df, 0)
     assert _table(store, "ad_stat")[0][-1] == 2
-    assert store.last_batch("ad_stat") == 0
+    assert store.last_batch() == 0
 
 
 _CLOCK = [time.time() - 10_000]
@@ -223,3 +227,161 @@ def test_random_batches_match_fold(spark):
                     for r in STR.read_table(store, "ad_stat").collect()}
         assert {r.user_id for r in STR.read_table(store, "ad_blacklist").collect()} == black
         assert got_users == users and got_stat == stat
+
+
+DAY = 24 * 60
+
+
+def test_a_batch_reads_its_own_days_files_only(spark):
+    """30 stored days; a batch of one day opens that day's folders, by a partition filter."""
+    store = _store(spark)
+    job = STR.AdStreamJob(store, threshold=100)
+    job.process(_lines(spark, [(d * DAY, "P", "C", u, 1) for d in range(30) for u in (1, 2)]), 0)
+    job.process(_lines(spark, [(7 * DAY, "P", "C", 1, 1)]), 1)
+    day = dt.date(2024, 1, 8)
+    for table in ("ad_user_click_count", "ad_stat"):
+        found = store.rows(table, before=2, dates=[day])
+        files = found.inputFiles()
+        assert files and all("/date=2024-01-08/" in f for f in files)
+        assert len(files) < len(store.rows(table).inputFiles()) / 10
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [" in plan and "date#" in plan.split("PartitionFilters: [")[1]
+    # the lookup of R4 and the ranking of R6 scan no other day
+    for frame in (job._newly_blacklisted(2, [day]), job._touched_top(2, [day])):
+        assert all("/date=2024-01-08/" in f for f in frame.inputFiles())
+    assert {r.click_count for r in store.total("ad_stat", STR.STAT_KEYS, dates=[day]).collect()} == {3}
+
+
+def test_compaction_rewrites_touched_days_only(spark):
+    store = _store(spark)
+    job = STR.AdStreamJob(store, threshold=100, compact_every=3)
+    spread = [(d * DAY, "P", "C", 1, d % 3) for d in range(20)]
+    for i in range(3):
+        job.process(_lines(spark, spread), i)
+    for i in range(3, 6):              # the first of these folds all 20 days
+        job.process(_lines(spark, [(4 * DAY, "P", "C", 2, 1)]), i)
+    assert sum(f[1] == "all" for f in store._folders("ad_stat")) == 20
+    job.process(_lines(spark, [(4 * DAY, "P", "C", 3, 1), (5 * DAY, "P", "C", 3, 1)]), 6)
+    folds = [(f[0], f[2]) for f in store._folders("ad_stat") if f[1] == "all"]
+    assert [f for f in folds if f[1] == 5] == [("2024-01-05", 5)]      # one day of 20 rewritten
+    assert len([f for f in folds if f[1] == 2]) == 20
+    parts = [(f[0], f[2]) for f in store._folders("ad_stat") if f[1] == "part"]
+    assert sorted(parts) == [("2024-01-05", n) for n in (3, 4, 5, 6)] + [("2024-01-06", 6)]
+    totals = {r.date.day: r.click_count for r in store.total(
+        "ad_stat", ["date"]).collect()}
+    assert totals == {d + 1: 3 for d in range(20)} | {5: 3 + 3 + 1, 6: 4}
+
+
+def test_unfinished_batch_is_not_read(spark):
+    store = _store(spark)
+    job = STR.AdStreamJob(store, threshold=2)
+    job.process(_lines(spark, [(0, "P", "C", 1, 1)]), 0)
+    from visitlens.operators import ads as AD
+    from visitlens.sources.adlog import decode_ad_log
+    clicks = decode_ad_log(_lines(spark, [(0, "P", "C", 1, 1)] * 5))[0]
+    store.write("ad_stat", 1, AD.ad_stat(clicks), [dt.date(2024, 1, 1)])   # and then it died
+    assert [r[-1] for r in _table(store, "ad_stat")] == [1]
+    job.process(_lines(spark, [(0, "P", "C", 1, 1)]), 1)
+    assert [r[-1] for r in _table(store, "ad_stat")] == [2]
+    assert [r[0] for r in _table(store, "ad_blacklist")] == [1]
+
+
+def test_a_groups_ranking_is_replaced(spark):
+    store = _store(spark)
+    job = STR.AdStreamJob(store, threshold=1000, top_n=2, compact_every=3)
+    top = lambda: [tuple(r)[1:] for r in _table(store, "ad_province_top3")]
+    job.process(_lines(spark, [(0, "P", "C", 1, a) for a in (1, 1, 1, 2, 2, 3)]
+                       + [(0, "Q", "C", 1, 9)]), 0)
+    assert top() == [("P", 1, 3), ("P", 2, 2), ("Q", 9, 1)]
+    # ad 3 overtakes both; Q is not touched and keeps its first version
+    job.process(_lines(spark, [(0, "P", "D", 2, 3)] * 4), 1)
+    assert top() == [("P", 1, 3), ("P", 3, 5), ("Q", 9, 1)]
+    assert {r.batch for r in store.rows("ad_province_top3").where("province = 'Q'").collect()} == {0}
+    for i in range(2, 5):
+        job.process(_lines(spark, [(0, "P", "D", 2, 2)] * 2), i)
+    assert top() == [("P", 2, 8), ("P", 3, 5), ("Q", 9, 1)]
+
+
+def test_bloom_filter_has_no_false_negatives(spark):
+    from visitlens.operators.bloom import BloomFilter
+    users = spark.range(0, 3000, 3).withColumnRenamed("id", "user_id")
+    for bits in (64, 1 << 14):
+        bloom = BloomFilter(bits)
+        assert not bloom
+        bloom.add(users.where("user_id < 1500"), "user_id")
+        bloom.add(users.where("user_id >= 1500"), "user_id")
+        found = {r.user_id for r in spark.range(3000).withColumnRenamed("id", "user_id").where(
+            bloom.may_contain("user_id")).collect()}
+        assert found >= set(range(0, 3000, 3))
+    assert len(found) < 1400           # and few false positives where there is room
+
+
+def test_blacklisted_clicks_meet_the_filter_at_the_scan(spark):
+    store = _store(spark)
+    job = STR.AdStreamJob(store, threshold=3)
+    job.process(_lines(spark, [(0, "P", "C", 1, 1)] * 3 + [(0, "P", "C", 2, 1)]), 0)
+    from visitlens.sources.adlog import decode_ad_log
+    clicks = decode_ad_log(_lines(spark, [(0, "P", "C", u, 1) for u in (1, 2, 2, 3)]))[0]
+    left = job.not_blacklisted(clicks, 1)
+    assert sorted(r.user_id for r in left.collect()) == [2, 2, 3]
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "getbit" in plan and "LeftAnti" in plan
+    # only new users are stored, so the stored blacklist needs no aggregate before the join
+    job.process(_lines(spark, [(0, "P", "C", 1, 1)] * 9 + [(0, "P", "C", 2, 1)] * 2), 1)
+    assert [(r.user_id, r.batch) for r in
+            store.rows("ad_blacklist").orderBy("user_id").collect()] == [(1, 0), (2, 1)]
+    again = STR.AdStreamJob(store, threshold=3)       # a restart rebuilds the filter
+    assert sorted(r.user_id for r in again.not_blacklisted(clicks, 2).collect()) == [3]
+
+
+def test_crossing_is_emitted_once(spark):
+    src, root = tempfile.mkdtemp(prefix="vl-src-"), tempfile.mkdtemp(prefix="vl-run-")
+    line = lambda u, m=0: f"{T0 + m * MIN}_P_C_{u}_1"
+    _write_file(src, "a.txt", [line(1)] * 2 + [line(2)] * 7 + ["bad"])
+    _write_file(src, "b.txt", [line(1)] * 2 + [line(2)] * 7)
+    _write_file(src, "c.txt", [line(1)] * 3 + [line(3)])
+    _write_file(src, "d.txt", [line(4, 5 * DAY)])             # moves the watermark four days on
+    _write_file(src, "e.txt", [line(4, 5 * DAY)])
+    _write_file(src, "f.txt", [line(3)] * 5 + [line(4, 5 * DAY)] * 4)   # user 3's day is over
+
+    def run():
+        q, store = STR.start_crossing_stream(
+            spark, spark.readStream.option("maxFilesPerTrigger", 1).text(src), f"{root}/state",
+            f"{root}/ckpt", 5, "1 day", "availableNow")
+        q.awaitTermination()
+        return q, store
+    q, store = run()
+    got = sorted((r.user_id, r.click_count, r.batch) for r in store.rows("ad_crossing").collect())
+    assert got == [(1, 7, 2), (2, 7, 0), (4, 6, 5)]
+    rows = q.lastProgress["stateOperators"][0]["numRowsTotal"]
+    assert rows <= 1                                          # the first day's counters are gone
+
+
+def test_late_clicks_are_counted_per_day(spark):
+    """Random batches against a plain fold, with a re-delivered batch and a batch without rows."""
+    import random
+    rnd = random.Random(11)
+    store = DeltaStore(spark, tempfile.mkdtemp(prefix="vl-late-"), STR.LATE_TABLES)
+    job = STR.LateJob(store, delay_ms=6 * 60 * MIN)
+    newest, want, trend = None, {}, {}
+    for n in range(4):
+        batch = [(max(0, n * DAY + rnd.randint(-DAY, DAY // 2)), "P", "C", 1, rnd.randint(1, 2))
+                 for _ in range(40)] if n != 2 else []
+        df = _lines(spark, batch) if batch else spark.createDataFrame([("bad",)], "value string")
+        for _ in range(2 if n == 1 else 1):
+            job.process(df, n)
+        for m, *_, a in batch:
+            ms = T0 + m * MIN
+            day = dt.datetime.fromtimestamp(ms / 1000, dt.timezone.utc).date()
+            late = newest is not None and ms < newest - job.delay_ms
+            on, off = want.get(day, (0, 0))
+            want[day] = (on + (not late), off + late)
+            if not late:
+                key = day, (T0 + m * MIN) // MIN, a
+                trend[key] = trend.get(key, 0) + 1
+        newest = max([newest or 0] + [T0 + m * MIN for m, *_ in batch]) or newest
+    got = {r.date: (r.on_time, r.late) for r in STR.read_table(store, "ad_lateness").collect()}
+    assert got == want and sum(v[1] for v in want.values()) > 0
+    rows = STR.read_table(store, "ad_click_trend").collect()
+    assert sorted((r.date, r.click_count) for r in rows) == \
+        sorted((k[0], n) for k, n in trend.items())

@@ -1,8 +1,8 @@
 """Session analysis: aggregate (B1), filter (B2), statistics (B3), detail.
 
-Shuffle plan: one hash aggregate on ``session_id`` (partial aggregation
-map-side, so a session holding a large share of the rows is combined
-before the exchange), then a join to ``user_info`` on ``user_id`` that
+Shuffle plan: hash aggregates with partial aggregation map-side, so a
+session holding a large share of the rows is combined before the exchange
+(with its lists: first per distinct value, then per session), then a join to ``user_info`` on ``user_id`` that
 AQE turns into a broadcast only when the measured user side is small.
 """
 
@@ -61,23 +61,28 @@ def session_aggregate(actions: DataFrame, users: DataFrame | None = None) -> Dat
     start_time, end_time (TIMESTAMP_NTZ), visit_length (s), step_length,
     and age, professional, city, sex when ``users`` is given.
 
-    The sets hold a session's distinct keywords, so a row is as large as
-    these; to filter or count sessions use :func:`session_facts`, which
-    keeps none.
+    Two levels: one row per (session, keyword, category) with its counts and
+    times, dealt out by all three, so a hot session is split over tasks; then
+    one row a session from these. The sets hold a session's distinct
+    keywords, so a row is as large as these; to filter or count sessions use
+    :func:`session_facts`, which keeps none.
     """
-    t = action_timestamp(actions)
+    rows = actions.select(
+        "session_id", "user_id", action_timestamp(actions).alias("t"),
+        F.when(not_empty("search_keyword"), F.col("search_keyword")).alias("kw"),
+        F.col("click_category_id").alias("cat"))
+    # first one row a session and value, so that the lists are built from distinct values only
+    values = rows.groupBy("session_id", "kw", "cat").agg(
+        F.min("user_id").alias("user_id"), F.min("t").alias("start_time"),
+        F.max("t").alias("end_time"), F.count(F.lit(1)).alias("n"))
     sessions = (
-        actions.select("session_id", "user_id", t.alias("t"),
-                       F.when(not_empty("search_keyword"), F.col("search_keyword"))
-                        .alias("kw"),
-                       "click_category_id")
-        .groupBy("session_id")
+        values.groupBy("session_id")
         .agg(F.min("user_id").alias("user_id"),
              F.array_sort(F.collect_set("kw")).alias("search_keywords"),
-             F.array_sort(F.collect_set("click_category_id")).alias("click_category_ids"),
-             F.min("t").alias("start_time"),
-             F.max("t").alias("end_time"),
-             F.count(F.lit(1)).alias("step_length"))
+             F.array_sort(F.collect_set("cat")).alias("click_category_ids"),
+             F.min("start_time").alias("start_time"),
+             F.max("end_time").alias("end_time"),
+             F.sum("n").alias("step_length"))
         .withColumn("visit_length",
                     F.timestamp_diff("SECOND", F.col("start_time"), F.col("end_time")))
     )

@@ -421,3 +421,39 @@ FROM (SELECT start_ms, strftime(make_timestamp(start_ms * 1000), '%Y-%m-%d') AS
       FROM (SELECT (ts_ms // 10000 - i) * 10000 AS start_ms, ad_id FROM clicks, range(360) AS r(i))
       GROUP BY start_ms, ad_id)
 GROUP BY day, ad_id"""
+
+ORACLE["stream_ad_crossing"] = _ad_with() + f"""
+SELECT date, user_id, ad_id FROM user_counts WHERE click_count >= {P.BLACKLIST_THRESHOLD}"""
+
+# Late data as a fold over four batches: every fourth click comes one batch after its days'.
+# A batch's watermark is the newest time of all batches before it less five days.
+ORACLE["stream_ad_lateness"] = _with(f"""arrived AS (
+  SELECT epoch_us(ts) // 1000 AS ts_ms, CAST(ts AS DATE) AS date, strftime(ts, '%H:%M') AS minute,
+         CASE WHEN user_id % 5 = 0 THEN 0 ELSE k % 10 END AS ad_id,
+         CASE WHEN CAST(ts AS DATE) <= DATE '2024-01-10' THEN 0
+              WHEN CAST(ts AS DATE) <= DATE '2024-01-20' THEN 1 ELSE 2 END
+         + CASE WHEN event_id % 4 = 0 THEN 1 ELSE 0 END AS batch
+  FROM ev),
+newest AS (SELECT batch, max(ts_ms) AS ms FROM arrived GROUP BY batch),
+marked AS (
+  SELECT a.*, coalesce(ts_ms < (SELECT max(ms) FROM newest n WHERE n.batch < a.batch)
+                               - {P.LATE_DELAY_MS}, FALSE) AS late
+  FROM arrived a),
+trend AS (SELECT date, minute, ad_id, count(*) AS n FROM marked WHERE NOT late GROUP BY 1, 2, 3)""") + """
+SELECT date, count(*) FILTER (WHERE NOT late) AS on_time, count(*) FILTER (WHERE late) AS late,
+       (SELECT count(*) FROM trend t WHERE t.date = m.date) AS trend_rows,
+       CAST(coalesce((SELECT sum(n) FROM trend t WHERE t.date = m.date), 0) AS BIGINT)
+         AS trend_clicks
+FROM marked m GROUP BY date"""
+
+ORACLE["stored_log_range"] = _with() + """
+SELECT date, page_id, count(*) AS actions, count(DISTINCT session_id) AS sessions
+FROM user_visit_action WHERE date BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'
+GROUP BY date, page_id"""
+
+ORACLE["task_run"] = (
+    f"SELECT CAST(1 AS BIGINT) AS task_id, * FROM ({_funnel_sql((1, 2, 3, 4, 5, 6, 7))})\n"
+    "UNION ALL\n"
+    "SELECT CAST(2 AS BIGINT) AS task_id, * FROM (" + _funnel_sql((3, 5, 7, 3)).replace(
+        "FROM actions)", "FROM actions WHERE date BETWEEN DATE '2024-01-08' "
+        "AND DATE '2024-01-21')") + ")")

@@ -35,3 +35,13 @@ TOP_PRODUCTS = 3
 REGION_LEVELS = {"ASIA": "A级", "EUROPE": "B级", "AMERICA": "C级"}
 BLACKLIST_THRESHOLD = 5
 SALT_BUCKETS = 8
+TREND_WATERMARK = "11 days"                     # longer than a batch of days lasts
+LATE_DELAY_MS = 5 * 86_400_000
+LOG_RANGE = (dt.date(2024, 1, 8), dt.date(2024, 1, 21))
+# Rows of a task table: parameters as JSON arrays of strings.
+TASKS = [
+    (1, '{"startDate": ["2024-01-01"], "endDate": ["2024-01-31"], '
+        '"targetPageFlow": ["1,2,3,4,5,6,7"]}'),
+    (2, '{"startDate": ["2024-01-08"], "endDate": ["2024-01-21"], "sex": [], "cities": [""], '
+        '"targetPageFlow": ["3,5,7,3"]}'),
+]

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from visitlens.functions.columns import bad_action_time, format_time
 from visitlens.operators import ads as AD
@@ -19,11 +19,14 @@ from visitlens.operators import products as PR
 from visitlens.operators import sampling as SA
 from visitlens.operators import skew as SK
 from visitlens.operators import sessions as S
+from visitlens.params import params_from_task
+from visitlens.plans import jobs as J
 from visitlens.plans import params as P
 from visitlens.plans import sql as SQL
 from visitlens.sources import fixtures
 from visitlens.sources.adlog import decode_ad_log, parse_ad_log
-from visitlens.sources.tables import Tables
+from visitlens.sinks.deltas import DeltaStore
+from visitlens.sources.tables import Tables, read_log, write_partitioned
 from visitlens.session import materialize, scratch_dir
 from visitlens.streaming import ad_stream as STR
 
@@ -308,16 +311,71 @@ def q_stream_ad_blacklist(spark, sf_dir):
                           "ad_blacklist")
 
 
+def _run_batches(spark, sf_dir, parts: list[Column], start: Callable) -> DeltaStore:
+    """Run a stream that gets one part of the ad log after another, a micro-batch each.
+
+    ``parts`` select rows by ``event_id`` and ``day``. The stream is stopped and
+    restarted on its checkpoint for each, so a batch is exactly what arrived
+    before it.
+    """
+    t = Tables(spark, sf_dir)
+    log = fixtures.ad_log(t.events, t.nation, t.region).withColumn(
+        "day", F.date_from_unix_date(F.floor(
+            F.substring_index("value", "_", 1).cast("bigint") / 86_400_000).cast("int")))
+    root = scratch_dir(spark, "batches")
+    for part in parts:
+        log.where(part).select("value").write.mode("append").text(f"{root}/log")
+        query, store = start(spark.readStream.text(f"{root}/log"), f"{root}/state",
+                             f"{root}/checkpoint")
+        query.awaitTermination()
+    return store
+
+
+def _by_days() -> list[Column]:
+    """Three batches of days."""
+    day, (first, second) = F.col("day"), (F.lit(d).cast("date") for d in P.FEEDBACK_DAYS)
+    return [day <= first, (day > first) & (day <= second), day > second]
+
+
+def _with_stragglers() -> list[Column]:
+    """The batches of days, but every fourth click comes one batch later."""
+    on_time, days = F.col("event_id") % 4 != 0, _by_days()
+    return [(days[0] & on_time), (days[1] & on_time) | (days[0] & ~on_time),
+            (days[2] & on_time) | (days[1] & ~on_time), days[2] & ~on_time]
+
+
 def q_stream_ad_click_trend(spark, sf_dir):
-    """Watermarked 1-minute windows, update mode, latest row per minute."""
-    root = scratch_dir(spark, "trend-stream")
-    query, store = STR.start_trend_stream(
-        spark, _replay(spark, _ad_log_files(spark, sf_dir), 1), f"{root}/state",
-        f"{root}/checkpoint", trigger="availableNow")
-    query.awaitTermination()
+    """Watermarked 1-minute windows over four batches, update mode: clicks that come a
+    batch later update their minute's row, and the latest row per minute counts."""
+    store = _run_batches(spark, sf_dir, _with_stragglers(), lambda lines, state, checkpoint:
+                         STR.start_trend_stream(spark, lines, state, checkpoint,
+                                                P.TREND_WATERMARK, "availableNow"))
     return STR.read_table(store, "ad_click_trend")
 
 
+def q_stream_ad_lateness(spark, sf_dir):
+    """Clicks on time and late per day, over batches whose stragglers are partly behind
+    the watermark, and what the minute trend of the clicks on time holds."""
+    store = _run_batches(spark, sf_dir, _with_stragglers(), lambda lines, state, checkpoint:
+                         STR.start_late_stream(spark, lines, state, checkpoint,
+                                               P.LATE_DELAY_MS, "availableNow"))
+    trend = STR.read_table(store, "ad_click_trend").groupBy("date").agg(
+        F.count(F.lit(1)).alias("trend_rows"), F.sum("click_count").alias("trend_clicks"))
+    return STR.read_table(store, "ad_lateness").join(trend, "date", "left").select(
+        "date", "on_time", "late", F.coalesce("trend_rows", F.lit(0)).alias("trend_rows"),
+        F.coalesce("trend_clicks", F.lit(0)).alias("trend_clicks"))
+
+
+def q_stream_ad_crossing(spark, sf_dir):
+    """R4 in the state store: the (date, user, ad) that reach the threshold, each emitted once."""
+    root = scratch_dir(spark, "crossing-stream")
+    query, store = STR.start_crossing_stream(
+        spark, _replay(spark, _ad_log_files(spark, sf_dir), 3), f"{root}/state",
+        f"{root}/checkpoint", P.BLACKLIST_THRESHOLD, "60 days", "availableNow")
+    query.awaitTermination()
+    return STR.read_table(store, "ad_crossing").select("date", "user_id", "ad_id")
+
+
 def q_stream_ad_stat_stateful(spark, sf_dir):
     """R5 in the engine's state store, upserted over several micro-batches (K3)."""
     root = scratch_dir(spark, "stat-stream")
@@ -329,26 +387,39 @@ def q_stream_ad_stat_stateful(spark, sf_dir):
 
 
 def q_stream_feedback_stat(spark, sf_dir):
-    """Totals after the blacklist feedback over three batches of days.
-
-    The stream is stopped and restarted on its checkpoint for each batch, so
-    a batch is exactly the days that arrived before it.
-    """
-    t = Tables(spark, sf_dir)
-    log = fixtures.ad_log(t.events, t.nation, t.region)
-    day = F.date_from_unix_date(F.floor(
-        F.substring_index("value", "_", 1).cast("bigint") / 86_400_000).cast("int"))
-    root = scratch_dir(spark, "feedback")
-    first, second = (F.lit(d).cast("date") for d in P.FEEDBACK_DAYS)
-    for part in (day <= first, (day > first) & (day <= second), day > second):
-        log.where(part).select("value").write.mode("append").text(f"{root}/log")
-        query, store = STR.start_ad_stream(
-            spark, spark.readStream.text(f"{root}/log"), f"{root}/state", f"{root}/checkpoint",
-            threshold=P.BLACKLIST_THRESHOLD, trigger="availableNow")
-        query.awaitTermination()
+    """Totals after the blacklist feedback over three batches of days."""
+    store = _run_batches(spark, sf_dir, _by_days(), lambda lines, state, checkpoint:
+                         STR.start_ad_stream(spark, lines, state, checkpoint,
+                                             P.BLACKLIST_THRESHOLD, "availableNow"))
     return STR.read_table(store, "ad_stat")
 
 
+def stored_log_range(spark, sf_dir) -> DataFrame:
+    """The action log stored by day, a date range of it."""
+    path = scratch_dir(spark, "action-log")
+    write_partitioned(fixtures.user_visit_action(Tables(spark, sf_dir).events), path)
+    return S.actions_in_range(read_log(spark, path), *P.LOG_RANGE)
+
+
+def q_stored_log_range(spark, sf_dir):
+    """S1 on the log stored by day: actions, sessions and pages of each day in the range."""
+    return (stored_log_range(spark, sf_dir).groupBy("date", "session_id", "page_id")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("date", "page_id").agg(F.sum("n").alias("actions"),
+                                            F.count(F.lit(1)).alias("sessions")))
+
+
+def q_task_run(spark, sf_dir):
+    """Two tasks' page conversion by their rows of a task table, the first run twice."""
+    tasks = spark.createDataFrame(P.TASKS, "task_id long, task_param string")
+    actions = fixtures.user_visit_action(Tables(spark, sf_dir).events)
+    out = scratch_dir(spark, "task-results")
+    for task_id in (1, 2, 1):
+        J.run_page_conversion(spark, actions, params_from_task(tasks, task_id), out, task_id)
+    return spark.read.parquet(f"{out}/page_split_convert_rate").withColumn(
+        "task_id", F.col("task_id").cast("bigint"))
+
+
 def q_reject_counts(spark, sf_dir):
     """Unreadable rows are counted, not fatal: times out of range and no time at all."""
     t = Tables(spark, sf_dir)
@@ -402,5 +473,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_ad_click_trend": q_stream_ad_click_trend,
     "stream_ad_stat_stateful": q_stream_ad_stat_stateful,
     "stream_feedback_stat": q_stream_feedback_stat,
+    "stream_ad_lateness": q_stream_ad_lateness,
+    "stream_ad_crossing": q_stream_ad_crossing,
+    "stored_log_range": q_stored_log_range,
+    "task_run": q_task_run,
     "reject_counts": q_reject_counts,
 }
