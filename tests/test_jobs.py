@@ -141,3 +141,27 @@ def test_shared_scratch_is_required_off_local_mode():
         conf = sparkContext = Unset()
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.scratch_dir(Session(), "x")
+
+
+def test_task_run_leaves_one_copy_of_a_repeated_task(spark):
+    rows = QUERIES["task_run"](spark, SF_MID).collect()
+    by_task = {}
+    for r in rows:
+        by_task.setdefault(r.task_id, []).append((r.step, r.page_slice))
+    assert {t: len(v) for t, v in by_task.items()} == {1: 6, 2: 3}
+    assert all(len(set(v)) == len(v) for v in by_task.values())
+    # task 2 sets an empty list and an empty string, both unset
+    params = P.TASKS[1][1]
+    assert json.loads(params)["sex"] == [] and json.loads(params)["cities"] == [""]
+
+
+def test_stored_log_is_pruned_to_the_date_range(spark):
+    from visitlens.plans.queries import stored_log_range
+    found = stored_log_range(spark, SF_MID)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "date" in filters and ">=" in filters and "<=" in filters
+    assert not plan.split("PushedFilters: [")[1].split("]")[0].count("date")
+    days = {r[0].split("/date=")[1][:10] for r in
+            found.select("_metadata.file_path").distinct().collect()}
+    assert len(days) == 14 and min(days) == "2024-01-08" and max(days) == "2024-01-21"

@@ -1,5 +1,7 @@
 """Session aggregate, filter and statistics (B1-B3) on hand-made rows."""
 
+import re
+
 import pytest
 
 from helpers import action, actions_df, secs, user, users_df
@@ -132,3 +134,19 @@ def test_params_from_task_table(spark):
     assert params_from_task(tasks, 2) == TaskParams()
     with pytest.raises(KeyError):
         params_from_task(tasks, 3)
+
+
+def test_lists_are_built_from_distinct_values(spark):
+    """A hot session: its rows meet as one row a value before the lists are collected."""
+    rows = [action("hot", 1, f"5:00:{i % 60:02d}", keyword=f"kw{i % 3}" if i % 2 else None,
+                   click_cat=i % 5 if i % 2 == 0 else None) for i in range(600)]
+    rows += [action("s", 2, "6:00:00", keyword="")]
+    sessions = S.session_aggregate(actions_df(spark, rows))
+    got = {r.session_id: r for r in sessions.collect()}
+    assert got["hot"].search_keywords == ["kw0", "kw1", "kw2"]
+    assert got["hot"].click_category_ids == [0, 1, 2, 3, 4] and got["hot"].step_length == 600
+    assert got["hot"].visit_length == 59 and got["s"].search_keywords == []
+    plan = sessions._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    # below the exchange on (session, keyword, category) nothing is collected
+    below = re.split(r"hashpartitioning\(session_id#\d+, kw#\d+, cat#\d+L,", plan)
+    assert len(below) == 2 and "collect_set" in below[0] and "collect_set" not in below[1]
