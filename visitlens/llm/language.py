@@ -315,7 +315,9 @@ def identify(docs: DataFrame, model: LanguageModel, penalty: float = 6.0,
                         s[first[new]].tolist(), e[first[new]].tolist())])  # noqa: B023
                     score = at[inv]
                     has = np.isfinite(score[:, 0])
-                    score, row, size = score[has], row[has], (e - s)[has]
+                    # letters, not bytes: bytes that begin a character
+                    begun = np.concatenate([[0], np.cumsum((part & 0xC0) != 0x80)])
+                    score, row, size = score[has], row[has], (begun[e] - begun[s])[has]
                     counts = row_counts(row, n)
                     begin = np.cumsum(counts) - counts
                     label = viterbi(score, begin, counts, penalty)
