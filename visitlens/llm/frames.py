@@ -15,9 +15,13 @@ from pyspark.sql import functions as F
 from visitlens.session import materialize
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Hand whole texts to Python in batches of few rows, as a row may be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession) -> None:
+    """Bound the rows and bytes of the batches handed to Python, as a row may be long.
+
+    Always the same values: the settings act when a query runs, not when it is built.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

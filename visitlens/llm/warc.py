@@ -4,13 +4,13 @@ Writing: a page becomes an HTTP response in chunked transfer coding inside a
 WARC record; a block longer than ``segment_bytes`` is cut into a first
 record and continuation records. Of equal payloads of at least
 ``min_payload`` bytes the one with the largest page id is stored, others
-become revisits that refer to it. Records are written as text files whose
+become revisits that refer to it by its record id. Records are written as text files whose
 line separator is the record separator, gzip-compressed, at most about
 ``records_a_file`` a file, by Spark's own writer, so any shared store will do.
 
-Reading: files are read whole (their size is bounded by the record bounds)
-and parsed by Content-Length. Complete records are decoded at once; only the
-records of segmented payloads are shuffled, grouped by origin id and ordered
+Reading: files are read once and whole (their size is bounded by the record
+bounds) and parsed by Content-Length. Complete records are decoded at once; only
+the records of segmented payloads are shuffled, grouped by origin id and ordered
 by segment number as a stream over sorted partitions. Their total length is
 verified against the last segment's, then the chunks are decoded.
 
@@ -30,10 +30,11 @@ import hashlib
 import re
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.llm.frames import map_batches, saved
+from visitlens.llm.frames import map_batches, saved, small_batches
 from visitlens.session import scratch_dir
 
 CRLF = "\r\n"
@@ -43,18 +44,26 @@ RESPONSE_HEAD = ("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 
 
 def decide_records(pages: DataFrame, min_payload: int = 1000) -> DataFrame:
-    """(page_id, url, html, bytes, digest, refers_to) of each page; refers_to null: response."""
+    """(page_id, url, html, bytes, digest, refers_to, copies) of each page.
+
+    ``refers_to`` is null for a response; ``copies`` of a response that revisits
+    refer to is the number of rows with its page id and payload.
+    """
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"),
                         F.octet_length(html).cast("long").alias("bytes"),
                         F.sha1(html.cast("binary")).alias("digest"))
-    groups = saved(rows.where(F.col("bytes") >= min_payload).groupBy("digest").agg(
-        F.max("page_id").alias("stored"), F.count("*").alias("n")).where("n > 1")
-        .select("digest", "stored"), "payloads")
-    return rows.join(groups, "digest", "left").withColumn(
-        "refers_to", F.when((F.col("page_id") != F.col("stored"))
-                            | (F.col("page_id").isNull() & F.col("stored").isNotNull()),
-                            F.col("stored"))).drop("stored")
+    # rows of a payload by page id first, so that a common payload is dealt out
+    by_id = rows.where(F.col("bytes") >= min_payload).groupBy("digest", "page_id").agg(
+        F.count("*").alias("n"))
+    groups = saved(by_id.groupBy("digest").agg(
+        F.max("page_id").alias("stored"), F.max_by("n", "page_id").alias("copies"),
+        F.sum("n").alias("n")).where("n > 1").select("digest", "stored", "copies"), "payloads")
+    mine = F.col("page_id") == F.col("stored")
+    return rows.join(groups, "digest", "left").select(
+        "page_id", "url", "html", "bytes", "digest",
+        F.when(F.col("stored").isNotNull() & ~F.coalesce(mine, F.lit(False)), F.col("stored"))
+        .alias("refers_to"), F.when(mine, F.col("copies")).alias("copies"))
 
 
 def _chunks(body: bytes, size: int) -> bytes:
@@ -79,16 +88,23 @@ def _cut_text(block: bytes, size: int) -> list[bytes]:
     return out + [block[at:]]
 
 
-def record_texts(page_id, url, html: str, digest: str, refers_to, segment_bytes: int,
+def record_texts(page_id, url, html: str, digest: str, refers_to, copies, segment_bytes: int,
                  chunk_bytes: int, serial: str):
-    """The page's WARC records, each as text without the closing separator."""
+    """The page's WARC records, each as text without the closing separator.
+
+    A response that revisits refer to has the id they name, others have one
+    with a serial number. Repeated rows of the former share the id, so these are
+    written without segments, which are told apart by their origin's id.
+    """
     body = html.encode()
     name = "null" if page_id is None else str(page_id)
     digest32 = base64.b32encode(bytes.fromhex(digest)).decode()
     uri = re.sub(r"[\r\n]", "", url or "")
     common = [("WARC-Date", "2024-01-01T00:00:00Z"), ("WARC-Target-URI", uri or None),
               ("WARC-Payload-Digest", f"sha1:{digest32}"), ("X-Page-Id", name)]
-    rid = f"<urn:page:{name}:{serial}>"
+    rid = f"<urn:page:{name}:{serial}>" if copies is None else f"<urn:page:{name}>"
+    if copies is not None and copies > 1:
+        segment_bytes = 1 << 62
     if refers_to is not None:
         head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nContent-Length: {len(body)}\r\n\r\n"
         yield (_header([("WARC-Type", "revisit"), ("WARC-Record-ID", rid), *common,
@@ -115,14 +131,12 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = 16 << 10,
                    chunk_bytes: int = 4 << 10, records_a_file: int = 2000,
                    min_payload: int = 1000) -> None:
     """Write the pages' records under ``path`` as gzip-compressed WARC files."""
-    from pyspark import TaskContext
-
     def run(batches):
         part, n = TaskContext.get().partitionId(), 0
         for batch in batches:
             texts, held = [], 0
             for r in zip(*(batch.column(c).to_pylist() for c in (
-                    "page_id", "url", "html", "digest", "refers_to"))):
+                    "page_id", "url", "html", "digest", "refers_to", "copies"))):
                 for text in record_texts(*r, segment_bytes, chunk_bytes, f"{part}-{n}"):
                     texts.append(text)
                     held += len(text)
@@ -214,47 +228,47 @@ def _row(head, payload, error):
             "refers_to": int(refers[1]) if refers else None, "error": error}
 
 
-def _schema(found: bool) -> pa.Schema:
-    if found:
-        return pa.schema([
-            ("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()),
-            ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
-            ("record_type", pa.string()), ("refers_to", pa.int64()), ("error", pa.string())])
-    return pa.schema([("origin", pa.string()), ("number", pa.int32()), ("total", pa.int64()),
-                      ("head", pa.map_(pa.string(), pa.string())), ("block", pa.binary())])
+SCHEMA = pa.schema([
+    ("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()),
+    ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()),
+    ("refers_to", pa.int64()), ("error", pa.string()), ("origin", pa.string()),
+    ("number", pa.int32()), ("total", pa.int64()), ("head", pa.map_(pa.string(), pa.string())),
+    ("block", pa.binary())])
 
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
-    """The pages of the archives under ``path``; one row per logical record."""
-    from visitlens.llm.frames import small_batches
-    small_batches(spark, 16)
+    """The pages of the archives under ``path``; one row per logical record.
+
+    The archives are read once: pages of complete records and the parts of
+    segmented ones are stored, then the parts are brought together.
+    """
+    small_batches(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path) \
         .select("content")
 
-    def parse(batches, whole: bool):
-        schema = _schema(whole)
+    def parse(batches):
         for batch in batches:
             for raw in batch.column(0):
                 rows, held = [], 0
                 for head, block in parse_records(gzip.decompress(raw.as_py())):
                     number = _number(head.get("warc-segment-number"))
-                    if whole and number is None:
+                    if number is None:
                         payload, error = (block, None) if head.get("warc-type") == "revisit" \
                             else decode_http(block)
                         rows.append(_row(head, payload, head.get("error") or error))
-                    elif not whole and number is not None:
+                        if not with_payload:
+                            rows[-1]["payload"] = None
+                    else:
                         rows.append({
                             "origin": head.get("warc-segment-origin-id")
                             or head.get("warc-record-id"), "number": number,
                             "total": _number(head.get("warc-segment-total-length")),
                             "head": list(head.items()) if number == 1 else [], "block": block})
-                    if rows and whole and not with_payload:
-                        rows[-1]["payload"] = None
                     held += len(block)
                     if held > 8 << 20:
-                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                        yield pa.RecordBatch.from_pylist(rows, schema=SCHEMA)
                         rows, held = [], 0
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                yield pa.RecordBatch.from_pylist(rows, schema=SCHEMA)
 
     def finish(parts):
         head, blocks = dict(parts[0]["head"]), [p["block"] for p in parts]
@@ -268,7 +282,7 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
         row = _row(head, payload, error or bad)
         if not with_payload:
             row["payload"] = None
-        return pa.RecordBatch.from_pylist([row], schema=_schema(True))
+        return pa.RecordBatch.from_pylist([row], schema=pa.schema(list(SCHEMA)[:8]))
 
     def reassemble(batches):
         parts: list = []
@@ -281,11 +295,12 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
         if parts:
             yield finish(parts)
 
-    complete = files.transform(map_batches, lambda it: parse(it, True), FOUND)
-    segments = files.transform(map_batches, lambda it: parse(it, False), PARTS) \
+    read = saved(files.transform(map_batches, parse, f"{FOUND}, {PARTS}"), "records")
+    names = [c.split()[0] for c in FOUND.split(", ")]
+    segments = read.where("number is not null").select("origin", "number", "total", "head", "block") \
         .repartition("origin").sortWithinPartitions("origin", "number") \
         .transform(map_batches, reassemble, FOUND)
-    return complete.unionByName(segments)
+    return read.where("number is null").select(*names).unionByName(segments)
 
 
 def archive_dir(spark: SparkSession) -> str:
