@@ -59,6 +59,20 @@ def test_language_spans_scripts_and_edges(spark, edge_docs, no_docs):
     assert language.identify(no_docs, model).count() == 0
 
 
+def test_language_share_counts_letters_not_bytes(spark):
+    """Cyrillic letters have two bytes each: by bytes the Russian part would win."""
+    rows = [("the house and the street of the old town", "en"),
+            ("дом и улица старого города стоят", "ru")] * 4
+    model = language.fit(spark.createDataFrame(rows, "text string, lang string"))
+    en, ru = "the house and the street of the old town", "дом и улица старого города"
+    letters = [sum(c.isalpha() for c in t) for t in (en, ru)]
+    assert len(ru.replace(" ", "").encode()) > letters[0] > letters[1]
+    got = language.identify(spark.createDataFrame([(1, f"{en} {ru}")], "doc_id long, text string"),
+                            model, penalty=3.0).first()
+    assert got.lang_pred == "en" and [s.lang for s in got.spans] == ["en", "ru"]
+    assert got.score == pytest.approx(letters[0] / sum(letters))
+
+
 def test_language_held_out_accuracy(spark):
     got = Q.op2_language(spark, SF_MID).join(
         spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "lang"), "doc_id") \
@@ -210,6 +224,50 @@ def test_noisy_or_finds_the_offending_sentences(spark, edge_docs, no_docs):
 
 # -- language model ---------------------------------------------------------------------------
 
+def _plain_noisy_or(model, text):
+    """1 - prod(1 - p) over the sentences with words, and their p, one word at a time."""
+    weight = dict(zip(model.keys.tolist(), model.weights.tolist()))
+    hasher = toxicity.Sentences().hash
+    logistic = lambda z: 1 / (1 + math.exp(-min(max(z, -30), 30)))
+    scores = []
+    for sentence in re.split(rb"[\n\r!.?]", (text or "").translate(LOW).encode()):
+        words = set(re.findall(rb"[0-9a-z\x80-\xff]+", sentence))
+        if words:
+            hashes = [int(hasher(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0])
+                      for w in words]
+            scores.append(logistic(model.bias + sum(weight.get(h, 0.0) for h in hashes)))
+    if not scores:
+        return logistic(model.bias), []
+    return 1 - math.prod(1 - min(p, 1 - 1e-12) for p in scores), scores
+
+
+def test_toxicity_scores_equal_a_plain_noisy_or(spark, edge_docs):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF_MID}/labels.parquet")
+    model = toxicity.fit(docs.join(labels, "doc_id").select("text", "toxic"))
+    assert len(model.keys) > 20
+    rows = toxicity.score(docs.unionByName(edge_docs.select("doc_id", "text")), model).collect()
+    some = 0
+    for r in sorted(rows, key=lambda r: -r.score)[:60] + rows[:200] + rows[-11:]:
+        want, parts = _plain_noisy_or(model, r.text)
+        assert r.score == pytest.approx(want, abs=1e-9)
+        assert [o.score for o in r.offenders] == pytest.approx([p for p in parts if p >= 0.5])
+        some += len(r.offenders)
+    assert some > 5
+
+
+def test_toxicity_sample_is_bounded_in_bytes(spark):
+    rows = [(i, ("bad " if i % 2 else "good ") * 50, i % 2) for i in range(400)] + [
+        (1000, "huge " * 100_000, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    few = toxicity.fit(df, sample_bytes=20_000, min_docs=2, row_key=F.xxhash64("doc_id"))
+    huge = int(toxicity.Sentences().hash(np.frombuffer(b"huge", np.uint8), np.array([0]),
+                                         np.array([4]))[0])
+    assert len(few.keys) and huge not in few.keys.tolist()
+    found = {r.doc_id: r.score for r in toxicity.score(df, few).collect()}
+    assert found[1] > 0.5 > found[0]
+
+
 def test_stirling_table_and_gibbs_steps():
     d = 0.5
     alone = pitman_yor.alone_table(d, 8)

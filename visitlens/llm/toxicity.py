@@ -7,8 +7,9 @@ through the noisy-or, so that the sentences that explain a label get the
 blame. Scoring returns each text's probability and the sentences over the
 threshold.
 
-Fitting reads at most about ``sample_docs`` labelled texts, picked by a hash
-of the row (a documented bound); words are features when they occur in
+Fitting reads at most about ``sample_docs`` labelled texts and ``sample_bytes`` of
+them, picked by a hash of the row, none longer than a sixteenth of that (a
+documented bound, as the driver holds the sample); words are features when they occur in
 ``min_docs`` sampled texts, at most ``features`` of them by a fixed order.
 Scoring covers every row and whole texts.
 
@@ -114,14 +115,18 @@ def train_noisy_or(doc: np.ndarray, pairs: np.ndarray, labels: np.ndarray, featu
 
 
 def fit(labelled: DataFrame, sample_docs: int = 6000, min_docs: int = 5, features: int = 50_000,
-        text_col: str = "text", label_col: str = "toxic",
-        row_key: Column | None = None) -> ToxicityModel:
-    """Train on about ``sample_docs`` of the labelled rows (text, label 0/1)."""
-    rows = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    total = rows.select(label_col).count()
+        text_col: str = "text", label_col: str = "toxic", row_key: Column | None = None,
+        sample_bytes: int = 64 << 20) -> ToxicityModel:
+    """Train on about ``sample_docs`` of the labelled rows (text, label 0/1), and on about
+    ``sample_bytes`` of text at most."""
+    size = F.octet_length(text_col)
+    rows = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()
+                          & (size <= sample_bytes // 16))
+    total, held = rows.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
     key = row_key if row_key is not None else F.xxhash64(text_col)
-    if total > sample_docs:
-        rows = rows.where(F.pmod(key, F.lit(1 << 20)) < int((1 << 20) * sample_docs / total))
+    share = min(sample_docs / max(total, 1), sample_bytes / max(held, 1))
+    if share < 1:
+        rows = rows.where(F.pmod(key, F.lit(1 << 20)) < int((1 << 20) * share))
 
     def sentences(batches):
         split = Sentences()
