@@ -235,13 +235,38 @@ def _join_blocks(num: int, den: int):
     return run
 
 
-def similar_documents(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100,
-                      bands: int = 32, per_band: int = 4, block: int = 512) -> DataFrame:
+def similar_documents(docs: DataFrame, **how) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) for documents (doc_id, text).
 
     Two documents link when ``den * |intersection| >= num * |union|`` of
     their distinct ``n``-word shingles; n_links counts the linked documents.
+    ``how`` as in :func:`similar_rows`.
     """
+    return similar_rows(docs, **how).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def copies_to_drop(docs: DataFrame, **how) -> DataFrame:
+    """Keys (doc_id, _k1, _k2) of the rows that are not the first of their component.
+
+    The first is the one of the smallest non-null doc_id, of equal ids the one
+    with the smallest text keys, so a component of null ids keeps a row too.
+    Rows that repeat the first's id and text have its key and are not listed;
+    rows without words are alone in their component.
+    """
+    rows = saved(similar_rows(docs, **how).where("group is not null").select(
+        "doc_id", "_k1", "_k2", "group"), "members")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_k1", "_k2")
+    first = saved(rows.groupBy("group").agg(F.min(order).alias("first"),
+                                            F.max(order).alias("last"))
+                  .where("first <> last").select("group", "first"), "firsts")
+    return rows.join(first, "group").where(order != F.col("first")).select(
+        "doc_id", "_k1", "_k2").distinct()
+
+
+def similar_rows(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100,
+                 bands: int = 32, per_band: int = 4, block: int = 512) -> DataFrame:
+    """As :func:`similar_documents`, with the text's keys ``_k1``, ``_k2`` (xxhash64 and
+    hash) and ``group``, a number of the component (null for rows without words)."""
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("_k1"),
                         F.hash("text").alias("_k2"))
     sig = saved(keyed.transform(map_batches,
@@ -289,8 +314,8 @@ def similar_documents(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100
     info = saved(info, "components")
     smallest = info.groupBy("comp").agg(F.min("min_id").alias("component_id"))
     info = saved(info.join(smallest, "comp").select(
-        "lo", "hi", "size", "component_id", "n_links"), "answer")
+        "lo", "hi", "size", "comp", "component_id", "n_links"), "answer")
     return sig.join(info, ["lo", "hi", "size"], "left").select(
-        "doc_id", F.col("size").alias("n_shingles"),
+        "doc_id", "_k1", "_k2", F.col("comp").alias("group"), F.col("size").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
