@@ -10,10 +10,12 @@ Stage rules:
 1. language ID: the model learns from the input's own ``lang`` labels; rows
    whose text is null or has no letter (language ``und``) are rejected, texts
    of several languages stay;
-2. n-gram Jaccard join: of each component of similar documents the row with
-   the smallest doc_id stays (of equal ids the one with the smallest text);
-   rows without words are alone in their component, rows with a null doc_id
-   are their own component and stay;
+2. n-gram Jaccard join: of each component of similar documents one row
+   stays, that of the smallest doc_id (of equal ids the one with the smallest
+   text key; a row without id only where the whole component has none). Rows
+   are told apart by id and text, so two texts of one id are judged each;
+   rows without words are alone in their component, but of rows that repeat
+   both id and text one stays;
 3. substring dedup: repeated 35-word passages are cut out, kept words keep
    the blanks before them;
 4. benchmark decontamination: the spans of benchmark phrases are cut out;
@@ -50,18 +52,21 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    docs = docs.select(*COLUMNS)
-    found = ngram_join.similar_documents(docs.select("doc_id", "text"))
-    gone = saved(found.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    left = docs.join(gone, "doc_id", "left_anti")
-    # rows that repeat a doc_id: the smallest text stays for each id
-    again = saved(left.where("doc_id is not null").groupBy("doc_id").agg(
-        F.count("*").alias("n")).where("n > 1").select("doc_id"), "again")
+    rows = docs.select(*COLUMNS, F.xxhash64("text").alias("_k1"), F.hash("text").alias("_k2"))
+    gone = saved(ngram_join.copies_to_drop(docs.select("doc_id", "text")), "gone").select(
+        F.col("doc_id").alias("_id"), F.col("_k1").alias("_g1"), F.col("_k2").alias("_g2"))
+    left = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("_id"))
+                     & (F.col("_k1") == F.col("_g1")) & (F.col("_k2") == F.col("_g2")), "left_anti")
+    # rows that repeat both id and text: one of them stays
+    keys = [F.struct("doc_id").alias("_d"), "_k1", "_k2"]
+    again = saved(left.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+                  .select("_d", "_k1", "_k2"), "again")
     if again.isEmpty():
         return left.select(*COLUMNS)
-    once = left.join(again, "doc_id").groupBy("doc_id").agg(F.min(F.struct(
-        "text", "lang", "source", "n_chars")).alias("r")).select("doc_id", "r.*")
-    return left.join(again, "doc_id", "left_anti").select(*COLUMNS).unionByName(once)
+    keyed = left.withColumn("_d", F.struct("doc_id"))
+    once = keyed.join(again, ["_d", "_k1", "_k2"]).groupBy("_d", "_k1", "_k2").agg(F.min(F.struct(
+        *COLUMNS)).alias("r")).select("r.*")
+    return keyed.join(again, ["_d", "_k1", "_k2"], "left_anti").select(*COLUMNS).unionByName(once)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
