@@ -55,11 +55,8 @@ def test_stages_match_plain_versions(spark, tmp_path):
     # 1: only texts without a letter go
     kept = [(d, t) for d, t, *_ in docs if d not in (201, 202, 203)]
     assert pair(out["language_id"]) == sorted(kept, key=repr)
-    # 2: the smallest id of each component, one row of a repeated one, null ids stay
-    known = [x for x in kept if x[0] is not None]
-    comp = {d: c for d, _, c, _ in brute_components(known)}
-    want = {x for x in known if comp[x[0]] == x[0]} | {x for x in kept if x[0] is None}
-    assert pair(out["ngram_jaccard"]) == sorted(want, key=repr)
+    # 2: one row of each component, that of the smallest id
+    assert pair(out["ngram_jaccard"]) == sorted(_first_of_each(kept), key=repr)
     # 3: repeated passages
     two = [(r.doc_id, r.text) for r in out["ngram_jaccard"]]
     plain = {(d, len(t.split())): k for (d, t), k in
@@ -78,6 +75,31 @@ def test_stages_match_plain_versions(spark, tmp_path):
     assert {r.doc_id for r in out["packing"]} == set(four)
 
 
+def _first_of_each(rows):
+    """Distinct (id, text) rows that are the first of their component, null ids last."""
+    rows = sorted(set(rows), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+    first = {i: c for i, _, c, _ in brute_components([(i, t) for i, (_, t) in enumerate(rows)])}
+    return [x for i, x in enumerate(rows) if first[i] == i]
+
+
+def test_rows_are_told_apart_by_id_and_text(spark):
+    """One id on two texts loses neither; copies without id are reduced to one."""
+    rng = random.Random(3)
+    text = lambda: " ".join(f"w{rng.randint(0, 500)}" for _ in range(60))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(1, a), (2, b), (2, c), (3, b + " end"), (5, c), (7, d), (7, d), (7, d + " end"),
+            (None, e), (None, e + " end"), (None, e), (None, a + " end"), (None, "alone"),
+            (8, None), (9, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], COLS).repartition(4)
+    got = [(r.doc_id, r.text) for r in P.ngram_jaccard(spark, df, "").collect()]
+    assert {(1, a), (2, b), (2, c), (None, "alone"), (8, None), (9, "")} <= set(got)
+    rest = [x for x in got if x not in {(1, a), (2, b), (2, c), (None, "alone"), (8, None), (9, "")}]
+    # of the others' two components one row each: texts of one id, and copies without id
+    assert len(rest) == 2 and len(got) == 8
+    assert {x[0] for x in rest} == {7, None}
+    assert {x[1].removesuffix(" end") for x in rest} == {d, e}
+
+
 def _key(r):
     return repr(r.doc_id)
 
