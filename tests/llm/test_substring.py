@@ -66,6 +66,24 @@ def test_removed_words_match_brute_force(spark, win, cap):
     assert got == brute(docs, win)
 
 
+def test_a_common_anchor_is_dealt_anew_by_longer_ones(spark):
+    """600 different contexts of one anchor, some with a window in common."""
+    rng = random.Random(9)
+    hot = [f"h{i}" for i in range(6)]
+    tails = [[f"t{k}w{i}" for i in range(40)] for k in range(5)]
+    docs = []
+    for d in range(600):
+        before = [f"u{rng.randint(0, 10**9)}" for _ in range(rng.randint(0, 40))]
+        after = tails[d % 5][:rng.randint(0, 40)] if d % 3 == 0 else \
+            [f"v{rng.randint(0, 10**9)}" for _ in range(40)]
+        docs.append((d, " ".join(before + hot + after)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    for cap in (5, 60):
+        got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept)
+                     for r in remove_repeats(df, shard_contexts=cap).collect())
+        assert got == brute(docs, 35) and sum(r[2] for r in got) > 1000
+
+
 def test_layout_and_edge_rows(spark, edge_docs, no_docs):
     docs = spark.createDataFrame([(1, "a b\n c  d e"), (2, "x b\n c y")], "doc_id long, text string")
     got = {r.doc_id: r.kept for r in remove_repeats(docs, window=2, keep_layout=True).collect()}

@@ -16,7 +16,9 @@ of one anchor occurrence are consecutive: a context. Steps:
    ending there is a repeat. The automata are not broadcast, as their size
    follows the corpus; contexts are dealt to them instead;
 4. an anchor with more than ``shard_contexts`` different contexts would be one
-   unbounded automaton; its windows are counted by a 128-bit hash instead;
+   unbounded automaton. Its windows are dealt anew by longer anchors, twice
+   the words each time, and go through 2 and 3 again; an anchor as long as
+   the window has one context, so this ends after a few rounds;
 5. repeated windows are merged to maximal spans per distinct text.
 
 Edge cases: null or empty texts have no words; copies of a text count as
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 
 from visitlens.llm.automaton import SuffixAutomaton
 from visitlens.llm.frames import map_batches, saved
-from visitlens.llm.text import (Rolling, WordHasher, byte_table, mix64, row_counts, slices,
+from visitlens.llm.text import (Rolling, U, WordHasher, byte_table, mix64, row_counts, slices,
                                 string_buffer, word_bounds)
 
 ANCHOR = 6
@@ -45,12 +47,38 @@ def _keyed(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.withColumns({"_k1": F.xxhash64(text_col), "_k2": F.hash(text_col)})
 
 
+def _owned(words, row, window: int, anchor_words: int, grams: Rolling, contexts: Rolling):
+    """The contexts in word hashes of rows end to end: (first window, windows, anchor, context)."""
+    span = window - anchor_words + 1
+    n = len(words)
+    none = np.zeros(0, np.int64)
+    if n < window:
+        return none, none, none.astype(U), none.astype(U)
+    at = np.arange(n - anchor_words + 1)
+    gram = grams.ranges(words, at, at + anchor_words)
+    low = (gram >> U(32) << U(32)) | at.astype(U)
+    width = 1
+    while 2 * width <= span:
+        low = np.minimum(low[:-width], low[width:])
+        width *= 2
+    low = np.minimum(low[:len(low) - (span - width)], low[span - width:])
+    valid = np.flatnonzero(row[:n - window + 1] == row[window - 1:])
+    if not len(valid):
+        return none, none, none.astype(U), none.astype(U)
+    owner = (low[valid] & U(0xFFFFFFFF)).astype(np.int64)
+    head = np.ones(len(valid), bool)
+    head[1:] = (valid[1:] != valid[:-1] + 1) | (owner[1:] != owner[:-1])
+    at = np.flatnonzero(head)
+    size = np.diff(np.append(at, len(valid)))
+    start, anchor = valid[at], owner[at]
+    ctx = contexts.ranges(words, start, start + size + window - 1)
+    return start, size, gram[anchor], mix64(ctx ^ ((anchor - start) * 65536 + size).astype(U))
+
+
 def _anchors(window: int):
     def run(batches):
         hasher, grams, contexts = WordHasher(1), Rolling(2), Rolling(3)
         table = byte_table("space")
-        anchor_words = min(ANCHOR, window)
-        span = window - anchor_words + 1
         for batch in batches:
             data, offs = string_buffer(batch.column(0))
             k1 = batch.column(1).to_numpy()
@@ -58,29 +86,10 @@ def _anchors(window: int):
             for a, b in slices(offs):
                 part = data[offs[a]:offs[b]]
                 s, e, row = word_bounds(part, offs[a:b + 1] - offs[a], table)
-                if len(s) < window:
+                start, size, anchor, ctx = _owned(hasher(part, s, e), row, window,
+                                                  min(ANCHOR, window), grams, contexts)
+                if not len(start):
                     continue
-                words = hasher(part, s, e)
-                n = len(words)
-                at = np.arange(n - anchor_words + 1)
-                gram = grams.ranges(words, at, at + anchor_words)
-                low = (gram >> np.uint64(32) << np.uint64(32)) | at.astype(np.uint64)
-                width = 1
-                while 2 * width <= span:
-                    low = np.minimum(low[:-width], low[width:])
-                    width *= 2
-                low = np.minimum(low[:len(low) - (span - width)], low[span - width:])
-                valid = np.flatnonzero(row[:n - window + 1] == row[window - 1:])
-                if not len(valid):
-                    continue
-                owner = (low[valid] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-                head = np.ones(len(valid), bool)
-                head[1:] = (valid[1:] != valid[:-1] + 1) | (owner[1:] != owner[:-1])
-                at = np.flatnonzero(head)
-                size = np.diff(np.append(at, len(valid)))
-                start, anchor = valid[at], owner[at]
-                ctx = contexts.ranges(words, start, start + size + window - 1)
-                ctx = mix64(ctx ^ ((anchor - start) * 65536 + size).astype(np.uint64))
                 # copies of a text within the slice go on as one, with their number
                 doc = row[start]
                 text = np.unique(np.stack([k1[a:b], k2[a:b].astype(np.int64)], 1), axis=0,
@@ -96,7 +105,7 @@ def _anchors(window: int):
                     pa.array(k1[a:b][doc]), pa.array(k2[a:b][doc]),
                     pa.array((start - first[doc]).astype(np.int32)),
                     pa.array(size.astype(np.int32)),
-                    pa.array(gram[anchor[keep]].view(np.int64)),
+                    pa.array(anchor[keep].view(np.int64)),
                     pa.array(ctx[keep].view(np.int64)),
                     pa.array(times[doc].astype(np.int32))],
                     names=["_k1", "_k2", "at", "size", "anchor", "ctx", "n"])
@@ -142,7 +151,7 @@ def _contexts(window: int):
 
 
 CONTEXTS = "anchor long, ctx long, n long, m long, _k1 long, _k2 int, at int, words binary"
-WINDOWS = "h1 long, h2 long, _k1 long, _k2 int, at int, n long"
+PARTS = ("anchor long, ctx long, n long, _k1 long, _k2 int, at int, size int, words binary")
 RANGES = "_k1 long, _k2 int, first int, last int"
 
 
@@ -196,28 +205,63 @@ def _shards(window: int, shard_contexts: int):
     return run
 
 
-def _window_keys(window: int):
-    """128-bit hashes of each window of the contexts of very common anchors."""
+def _redealt(window: int, anchor_words: int):
+    """The windows of contexts as contexts of longer anchors."""
     def run(batches):
-        one, two = Rolling(5), Rolling(6)
+        grams, whole = Rolling(2), Rolling(3)
         for batch in batches:
-            raw = batch.column("words").cast(pa.binary())
-            data, offs = string_buffer(raw)
-            words, offs = data.copy().view(np.uint64), offs // 8
-            size = np.diff(offs) - window + 1
-            row = np.repeat(np.arange(len(size)), size)
-            shift = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-            start = offs[:-1][row] + shift
-            take = pa.array(row)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(one.ranges(words, start, start + window).view(np.int64)),
-                pa.array(two.ranges(words, start, start + window).view(np.int64)),
-                batch.column("_k1").take(take), batch.column("_k2").take(take),
-                pa.array((batch.column("at").to_numpy()[row] + shift).astype(np.int32)),
-                batch.column("n").take(take)], names=["h1", "h2", "_k1", "_k2", "at", "n"])
+            data, offs = string_buffer(batch.column("words").cast(pa.binary()))
+            for a, b in slices(offs):
+                words = data[offs[a]:offs[b]].copy().view(U)
+                first = (offs[a:b + 1] - offs[a]) // 8
+                row = np.repeat(np.arange(b - a), np.diff(first))
+                start, size, anchor, ctx = _owned(words, row, window, anchor_words, grams, whole)
+                of = row[start]
+                length = size + window - 1
+                ends = np.cumsum(length)
+                idx = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(
+                    start - ends + length, length)
+                take = pa.array(a + of)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(anchor.view(np.int64)), pa.array(ctx.view(np.int64)),
+                    batch.column("n").take(take), batch.column("_k1").take(take),
+                    batch.column("_k2").take(take),
+                    pa.array((batch.column("at").to_numpy()[a + of] + start - first[of])
+                             .astype(np.int32)), pa.array(size.astype(np.int32)),
+                    pa.Array.from_buffers(pa.binary(), len(start), [
+                        None, pa.py_buffer((8 * np.concatenate([[0], ends])).astype(np.int32)
+                                           .tobytes()),
+                        pa.py_buffer(words[idx].tobytes())])],
+                    names=["anchor", "ctx", "n", "_k1", "_k2", "at", "size", "words"])
     return run
 
 
+def _judged(contexts: DataFrame, window: int, shard_contexts: int, anchor_words: int
+            ) -> DataFrame:
+    """(_k1, _k2, first, last): repeated windows of the contexts with one place."""
+    found = contexts.where(F.col("m") <= shard_contexts).repartition("anchor") \
+        .sortWithinPartitions("anchor") \
+        .transform(map_batches, _shards(window, shard_contexts), RANGES)
+    big = contexts.where(F.col("m") > shard_contexts)
+    if anchor_words >= window or big.isEmpty():
+        return found
+    anchor_words = min(2 * anchor_words, window)
+    parts = saved(big.transform(map_batches, _redealt(window, anchor_words), PARTS), "parts")
+    distinct = saved(parts.groupBy("anchor", "ctx").agg(
+        F.sum("n").alias("n"), F.min(F.struct("_k1", "_k2", "at")).alias("rep"),
+        F.first("words").alias("words")), "part-contexts")
+    # places of their own whose whole part is somewhere else too
+    same = parts.where("n = 1").drop("n").join(
+        distinct.where("n > 1").select("anchor", "ctx"), ["anchor", "ctx"]).select(
+        "_k1", "_k2", F.col("at").alias("first"), (F.col("at") + F.col("size") - 1).alias("last"))
+    many = saved(distinct.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1"),
+                 "part-mixed")
+    deeper = saved(distinct.join(many, "anchor").select(
+        "anchor", "ctx", "n", "m", "rep._k1", "rep._k2", "rep.at", "words"), "part-words")
+    return found.unionByName(same).unionByName(
+        _judged(deeper, window, shard_contexts, anchor_words))
+
+
 def repeated_ranges(docs: DataFrame, window: int = 35, text_col: str = "text",
                     shard_contexts: int = 4000) -> DataFrame:
     """(_k1, _k2, ranges): first and last starting word of repeated windows, per distinct text."""
@@ -244,16 +288,7 @@ def repeated_ranges(docs: DataFrame, window: int = 35, text_col: str = "text",
                      .join(saved(asked, "asked"), ["_k1", "_k2"]).transform(map_batches,
         _contexts(window), CONTEXTS).groupBy("anchor", "ctx").agg(
         *(F.first(c).alias(c) for c in ("n", "m", "_k1", "_k2", "at", "words"))), "words")
-    found = contexts.where(F.col("m") <= shard_contexts).repartition("anchor") \
-        .sortWithinPartitions("anchor") \
-        .transform(map_batches, _shards(window, shard_contexts), RANGES)
-    big = contexts.where(F.col("m") > shard_contexts)
-    if not big.isEmpty():
-        windows = saved(big.transform(map_batches, _window_keys(window), WINDOWS), "windows")
-        twice = saved(windows.groupBy("h1", "h2").agg(F.sum("n").alias("n")).where("n >= 2")
-                      .select("h1", "h2"), "twice")
-        found = found.unionByName(windows.where("n = 1").join(twice, ["h1", "h2"]).select(
-            "_k1", "_k2", F.col("at").alias("first"), F.col("at").alias("last")))
+    found = _judged(contexts, window, shard_contexts, min(ANCHOR, window))
     return saved(same.unionByName(found).groupBy("_k1", "_k2").agg(
         F.collect_list(F.struct("first", "last")).alias("ranges")), "ranges")
 
