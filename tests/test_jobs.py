@@ -114,12 +114,17 @@ def test_ads_cli_runs_all_queries(spark):
     with open(os.path.join(src, "a.txt"), "w") as f:
         f.write("\n".join(f"1704067207179_P_C_{u}_1" for u in (1, 1, 2)) + "\n")
     cli_main(["ads", "--query", "all", "--source", src, "--state", f"{root}/state",
-              "--checkpoint", f"{root}/ckpt", "--trigger", "availableNow"])
+              "--checkpoint", f"{root}/ckpt", "--trigger", "availableNow", "--threshold", "2"])
     for query, tables, table in (("stat", stream.AD_TABLES, "ad_stat"),
                                  ("trend", stream.TREND_TABLES, "ad_click_trend"),
-                                 ("totals", stream.STATEFUL_TABLES, "ad_stat_state")):
+                                 ("totals", stream.STATEFUL_TABLES, "ad_stat_state"),
+                                 ("sliding", stream.BUCKET_TABLES, "ad_click_bucket"),
+                                 ("late", stream.LATE_TABLES, "ad_click_trend")):
         rows = stream.read_table(DeltaStore(spark, f"{root}/state/{query}", tables), table)
         assert [r.click_count for r in rows.collect()] == [3]
+    crossed = DeltaStore(spark, f"{root}/state/crossing", stream.CROSSING_TABLES)
+    assert [(r.user_id, r.click_count) for r in
+            stream.read_table(crossed, "ad_crossing").collect()] == [(1, 2)]
 
 
 def test_shared_scratch_is_required_off_local_mode():

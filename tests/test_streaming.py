@@ -362,9 +362,9 @@ def test_late_clicks_are_counted_per_day(spark):
     import random
     rnd = random.Random(11)
     store = DeltaStore(spark, tempfile.mkdtemp(prefix="vl-late-"), STR.LATE_TABLES)
-    job = STR.LateJob(store, delay_ms=6 * 60 * MIN)
+    job = STR.LateJob(store, delay_ms=6 * 60 * MIN, compact_every=2)
     newest, want, trend = None, {}, {}
-    for n in range(4):
+    for n in range(5):
         batch = [(max(0, n * DAY + rnd.randint(-DAY, DAY // 2)), "P", "C", 1, rnd.randint(1, 2))
                  for _ in range(40)] if n != 2 else []
         df = _lines(spark, batch) if batch else spark.createDataFrame([("bad",)], "value string")

@@ -69,21 +69,25 @@ def run_ads(spark, args) -> None:
         lines = kafka_ad_log(spark, args.kafka, args.topics)
     else:
         lines = spark.readStream.text(args.source)
-    chosen = ("stat", "trend", "totals") if args.query == "all" else (args.query,)
+    starts = {"stat": lambda state, checkpoint: stream.start_ad_stream(
+                  spark, lines, state, checkpoint, args.threshold, args.trigger),
+              "trend": lambda state, checkpoint: stream.start_trend_stream(
+                  spark, lines, state, checkpoint, trigger=args.trigger),
+              "totals": lambda state, checkpoint: stream.start_stat_stream(
+                  spark, lines, state, checkpoint, trigger=args.trigger),
+              "sliding": lambda state, checkpoint: stream.start_sliding_stream(
+                  spark, lines, state, checkpoint, trigger=args.trigger),
+              "crossing": lambda state, checkpoint: stream.start_crossing_stream(
+                  spark, lines, state, checkpoint, args.threshold, trigger=args.trigger),
+              "late": lambda state, checkpoint: stream.start_late_stream(
+                  spark, lines, state, checkpoint, trigger=args.trigger)}
+    chosen = tuple(starts) if args.query == "all" else (args.query,)
     started = []
     for name in chosen:
         # several queries keep their results and checkpoints apart
         state, checkpoint = ((f"{args.state}/{name}", f"{args.checkpoint}/{name}")
                              if len(chosen) > 1 else (args.state, args.checkpoint))
-        if name == "stat":
-            query, _ = stream.start_ad_stream(spark, lines, state, checkpoint, args.threshold,
-                                              args.trigger)
-        elif name == "trend":
-            query, _ = stream.start_trend_stream(spark, lines, state, checkpoint,
-                                                 trigger=args.trigger)
-        else:
-            query, _ = stream.start_stat_stream(spark, lines, state, checkpoint,
-                                                trigger=args.trigger)
+        query, _ = starts[name](state, checkpoint)
         started.append(query)
     for query in started:
         query.awaitTermination()
@@ -105,7 +109,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--source", help="ads: folder of log text files")
     ap.add_argument("--kafka", help="ads: bootstrap servers instead of --source")
     ap.add_argument("--topics", help="ads: comma list of Kafka topics")
-    ap.add_argument("--query", default="stat", choices=["stat", "trend", "totals", "all"])
+    ap.add_argument("--query", default="stat", choices=["stat", "trend", "totals", "sliding", "crossing", "late", "all"])
     ap.add_argument("--state")
     ap.add_argument("--checkpoint")
     ap.add_argument("--threshold", type=int, default=100)

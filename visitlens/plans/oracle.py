@@ -457,3 +457,10 @@ ORACLE["task_run"] = (
     "SELECT CAST(2 AS BIGINT) AS task_id, * FROM (" + _funnel_sql((3, 5, 7, 3)).replace(
         "FROM actions)", "FROM actions WHERE date BETWEEN DATE '2024-01-08' "
         "AND DATE '2024-01-21')") + ")")
+
+ORACLE["stream_ad_peak_10s"] = ORACLE["ad_trend_peak_10s"]
+ORACLE["session_hour_keys"] = _with(FILTERED) + """
+SELECT strftime(start_time, '%Y-%m-%d_%H') AS hour_key, count(*) AS sessions,
+       min(strftime(start_time, '%Y%m%d%H%M')) AS first_minute,
+       max(strftime(start_time, '%Y%m%d%H%M')) AS last_minute
+FROM filtered GROUP BY 1"""

@@ -11,7 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from visitlens.functions.columns import bad_action_time, format_time
+from visitlens.functions.columns import (bad_action_time, date_hour_key, format_time,
+                                         minute_key)
 from visitlens.operators import ads as AD
 from visitlens.operators import categories as C
 from visitlens.operators import funnel as FN
@@ -177,6 +178,15 @@ def q_session_hour_counts(spark, sf_dir):
     return SA.session_hour_counts(Inputs(spark, sf_dir).filtered())
 
 
+def q_session_hour_keys(spark, sf_dir):
+    """sessions per date-hour key, with the first and last minute key of the hour."""
+    start = F.col("start_time")
+    return (Inputs(spark, sf_dir).filtered().groupBy(date_hour_key("start_time").alias("hour_key"))
+            .agg(F.count(F.lit(1)).alias("sessions"),
+                 F.min(minute_key(start)).alias("first_minute"),
+                 F.max(minute_key(start)).alias("last_minute")))
+
+
 def _sample(inp: Inputs) -> DataFrame:
     """The drawn sessions, stored (at most the sample's size)."""
     return materialize(SA.sample_sessions(inp.stored_filtered(), P.SAMPLE_SIZE, P.SAMPLE_SEED),
@@ -366,6 +376,16 @@ def q_stream_ad_lateness(spark, sf_dir):
         F.coalesce("trend_clicks", F.lit(0)).alias("trend_clicks"))
 
 
+def q_stream_ad_peak_10s(spark, sf_dir):
+    """R7 at 60 minutes every 10 seconds over a stream: counts per 10 seconds in the state
+    store, updated by stragglers; each ad's busiest window of a day."""
+    store = _run_batches(spark, sf_dir, _with_stragglers(), lambda lines, state, checkpoint:
+                         STR.start_sliding_stream(spark, lines, state, checkpoint, 10,
+                                                  P.TREND_WATERMARK, "availableNow"))
+    counts = STR.read_table(store, "ad_click_bucket")
+    return AD.peak_windows(AD.window_steps(counts, 3600, 10), 10)
+
+
 def q_stream_ad_crossing(spark, sf_dir):
     """R4 in the state store: the (date, user, ad) that reach the threshold, each emitted once."""
     root = scratch_dir(spark, "crossing-stream")
@@ -475,6 +495,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_feedback_stat": q_stream_feedback_stat,
     "stream_ad_lateness": q_stream_ad_lateness,
     "stream_ad_crossing": q_stream_ad_crossing,
+    "stream_ad_peak_10s": q_stream_ad_peak_10s,
+    "session_hour_keys": q_session_hour_keys,
     "stored_log_range": q_stored_log_range,
     "task_run": q_task_run,
     "reject_counts": q_reject_counts,

@@ -116,11 +116,14 @@ def read_table(store: DeltaStore, table: str) -> DataFrame:
     if table == "ad_stat_state":
         return store.latest(table, STAT_KEYS)
     if table == "ad_lateness":
-        return store.rows(table).groupBy("date").agg(F.sum("on_time").alias("on_time"),
-                                                     F.sum("late").alias("late"))
+        return _lateness(store.rows(table))
     return store.rows(table).drop("batch")
 
 
+def _lateness(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("date").agg(F.sum("on_time").alias("on_time"), F.sum("late").alias("late"))
+
+
 def _days(df: DataFrame) -> list[dt.date]:
     """The days of a batch's rows (a bounded number: click times are)."""
     return [r[0] for r in df.select("date").distinct().collect()]
@@ -257,10 +260,23 @@ class LateJob:
 
     store: DeltaStore
     delay_ms: int = 3_600_000
+    compact_every: int = 50
+
+    def _compact(self, batch_id: int) -> None:
+        if not batch_id or batch_id % self.compact_every:
+            return
+        store = self.store
+        store.compact(batch_id - 1, {
+            "ad_click_trend": lambda dates: store.total("ad_click_trend", TREND_KEYS,
+                                                        before=batch_id, dates=dates),
+            "ad_lateness": lambda dates: _lateness(store.rows("ad_lateness", batch_id, dates)),
+            "ad_newest": lambda _: store.rows("ad_newest", batch_id).agg(
+                F.max("newest_ms").alias("newest_ms"))})
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         store = self.store
         store.bind(_query_id(batch))
+        self._compact(batch_id)
         seen = store.rows("ad_newest", before=batch_id).agg(F.max("newest_ms")).first()[0]
         parsed = parse_ad_log(batch).persist()
         try:
@@ -424,7 +440,7 @@ def start_crossing_stream(spark: SparkSession, lines: DataFrame, state_root: str
     """R4 stateful: run query 4 over a stream of log lines (column ``value``)."""
     store = DeltaStore(spark, state_root, CROSSING_TABLES)
     return _start(crossing_stream(lines, threshold, lateness), "update",
-                  UpsertJob(store, "ad_crossing"), checkpoint, trigger), store
+                  UpsertJob(store, "ad_crossing", USER_KEYS), checkpoint, trigger), store
 
 
 def start_late_stream(spark: SparkSession, lines: DataFrame, state_root: str, checkpoint: str,
