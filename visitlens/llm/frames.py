@@ -88,8 +88,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Alternating large-star and small-star steps, each one aggregate over the
     nodes, which shorten paths to stars in a logarithmic number of rounds;
-    every step is written to the shared folder, so that both sides of a join are
-    stored rows and the neighbours of a centre are split over tasks. Only a checksum of the edges
+    every round is written to the shared folder, and its smallest neighbours are, so
+    that both sides of the join by centre are stored rows and a common centre's
+    neighbours can be split over tasks. Only a checksum of the edges
     reaches the driver. Rows with a = b or nulls are ignored.
     """
     e = saved(edges.where("a <> b").select(F.greatest("a", "b").alias("a"),
@@ -101,10 +102,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             e.select(F.col("b").alias("n"), F.col("a").alias("m")))
         low = saved(both.groupBy("n").agg(F.min("m").alias("low")).select(
             "n", F.least("n", "low").alias("low")), "low")
-        large = saved(both.where("m > n").join(low, "n").where("m <> low")
-                      .select(F.col("m").alias("a"), F.col("low").alias("b")).distinct(), "large")
+        large = (both.where("m > n").join(low, "n").where("m <> low")
+                 .select(F.col("m").alias("a"), F.col("low").alias("b")).distinct())
         # small star: every smaller neighbour, and the node itself, to the smallest
-        low2 = saved(large.groupBy("a").agg(F.min("b").alias("low")), "low")
+        low2 = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low2, "a").select(
             F.explode(F.array(F.struct(F.col("b").alias("x"), "low"),
                               F.struct(F.col("a").alias("x"), "low"))).alias("s"))
