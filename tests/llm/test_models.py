@@ -194,6 +194,40 @@ def test_url_trees_cannot_read_the_label_off_the_rates(spark):
         .where("n > 1").count() == 0
 
 
+def test_url_trees_beat_the_majority_on_held_out_urls(spark):
+    """Labelled URLs of sf0.1 that neither the rates nor the trees were learned from."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    ruled = urls.lexical(urls.with_rules(urls.parsed(pages), Q.url_rules())).where(
+        "rule_verdict is not null").withColumn("label", (F.col("rule_verdict") == "block")
+                                               .cast("int"))
+    held = F.pmod(F.crc32("url"), F.lit(4)) == 0
+    got = urls.fit(ruled.where(~held)).predict(ruled.where(held)).agg(
+        F.count("*").alias("n"), F.avg((F.col("blocked") == F.col("label")).cast("int"))
+        .alias("right"), F.avg(F.lit(1) - F.col("label")).alias("allowed")).first()
+    assert got.n > 150 and got.right > max(got.allowed, 1 - got.allowed) + 0.1
+
+
+def test_url_edge_rows(spark):
+    """Repeated rows, clashing names, very long and odd URLs."""
+    rng = random.Random(8)
+    rows = [(i, f"http://h{i % 9}.com/{'de' if i % 2 else 'fr'}/{rng.randint(0, 99)}", i % 2)
+            for i in range(200)]
+    rows += rows[:3] + [(900, "http://x.com/" + "ab1%" * 50_000, None), (901, None, None),
+                        (902, "no scheme", None), (903, "://", None), (904, "http://a..b/", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, label int")
+    for name in ("blocked", "_x", "_fold", "_n", "_bad", "k", "n", "rate", "_y", "s1"):
+        df = df.withColumn(name, F.lit("x"))
+    ready = urls.lexical(urls.parsed(df))
+    got = urls.fit(ready, trees=5).predict(ready).collect()
+    assert len(got) == len(rows) and {r.blocked for r in got} <= {0.0, 1.0}
+    by_id = {}
+    for r in got:
+        by_id.setdefault(r.page_id, set()).add(r.blocked)
+        if r.page_id < 200:
+            assert r.blocked == r.label
+    assert all(len(v) == 1 for v in by_id.values())
+
+
 # -- toxicity ----------------------------------------------------------------------------
 
 def test_noisy_or_finds_the_offending_sentences(spark, edge_docs, no_docs):

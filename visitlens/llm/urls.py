@@ -4,9 +4,10 @@ The longest rule that fits decides; where none fits, gradient-boosted trees
 over the URL's letters do. They are trained from labelled URLs (a 0/1
 column; the registered query labels with the rules' own verdicts, the only
 labelled URLs among the tables). Features: lengths, path depth, digit ratio,
-entropy, parameter counts, and block rates of the host's suffixes, taken
-over all labelled URLs and kept in ``2^SUFFIX_BITS`` hashed counters a fold, so
-their size is fixed. A URL the trees learn from gets the rates of the other
+entropy, parameter counts, and block rates of the host's suffixes of one to three
+labels, of the path's first segment, and of that with the host's last label. Rates
+are taken over all labelled URLs and kept in ``2^SUFFIX_BITS`` hashed counters a
+kind and fold, so their size is fixed. A URL the trees learn from gets the rates of the other
 folds of a URL hash, so that its own label is not in its features.
 
 Fitting reads at most about ``sample_urls`` labelled rows, picked by the
@@ -17,7 +18,7 @@ fits no rule, and the trees judge its (empty) features; labels of one class
 give that constant verdict, and without labels all is allowed; among rules of
 one length the first in text order wins; repeated rows are judged alike; an
 empty table gives no rows; other columns are kept, but for those named like an
-output.
+output, a feature (``f_...``, ``s1``) or a helper (``_n``, ``_bad``, ``_x``).
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL_RE = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 SUFFIX_BITS = 12
 FOLDS = 5
+RATES = (1, 2, 3, 4, 5)     # host suffixes of 1 to 3 labels, path segment, segment and last label
 
 
 @dataclass(frozen=True)
@@ -81,7 +83,7 @@ def entropy(text: Column) -> Column:
 
 
 def lexical(urls: DataFrame, url_col: str = "url") -> DataFrame:
-    """Add the feature columns (doubles) and the hashed suffixes of the host."""
+    """Add the feature columns (doubles) and the hashed parts of host and path."""
     url = F.coalesce(F.col(url_col).cast("string"), F.lit(""))
     query = F.regexp_extract(url, r"(?s)\?([^#]*)", 1)
     host, path = F.col("host"), F.col("path")
@@ -95,29 +97,33 @@ def lexical(urls: DataFrame, url_col: str = "url") -> DataFrame:
         "f_secure": F.startswith(F.lower(url), F.lit("https://")).cast("int"),
         "f_entropy": entropy(url), "f_host_entropy": entropy(host)}
     labels = F.split(host, r"\.")
-    suffix = {f"s{k}": F.pmod(F.xxhash64(F.lit(k), F.array_join(F.slice(
-        labels, F.greatest(F.size(labels) - k + 1, F.lit(1)), k), ".")),
-        F.lit(1 << SUFFIX_BITS)).cast("int") for k in (1, 2, 3)}
+    segment = F.regexp_extract(path, "(?s)^/*([^/]*)", 1)
+    parts = {k: F.array_join(F.slice(labels, F.greatest(F.size(labels) - k + 1, F.lit(1)), k), ".")
+             for k in (1, 2, 3)}
+    parts |= {4: segment, 5: F.concat(parts[1], F.lit("/"), segment)}
+    suffix = {f"s{k}": F.pmod(F.xxhash64(F.lit(k), v), F.lit(1 << SUFFIX_BITS)).cast("int")
+              for k, v in parts.items()}
     return urls.withColumns({k: v.cast("double") for k, v in columns.items()} | suffix)
 
 
 FEATURES = ["f_length", "f_host", "f_path", "f_depth", "f_labels", "f_digits", "f_hyphens",
             "f_params", "f_query", "f_escapes", "f_fragment", "f_secure", "f_entropy",
-            "f_host_entropy", "f_rate1", "f_rate2", "f_rate3"]
+            "f_host_entropy", *(f"f_rate{k}" for k in RATES)]
 
 
 @dataclass
 class UrlModel:
-    suffixes: DataFrame         # (k, s, fold, n, bad): at most 3 * FOLDS * 2^SUFFIX_BITS rows
+    suffixes: DataFrame         # (k, s, fold, n, bad): len(RATES) * FOLDS * 2^SUFFIX_BITS at most
     rate: float
     trees: Any                  # fitted classifier, or None for a constant verdict
 
     def with_rates(self, urls: DataFrame, fold: str | None = None) -> DataFrame:
-        """Add smoothed block rates per suffix; ``fold`` names a column of the row's
+        """Add smoothed block rates per part; ``fold`` names a column of the row's
         own fold, to leave out."""
+        urls = urls.drop("_n", "_bad", "_own_n", "_own_bad")
         total = self.suffixes.groupBy("k", "s").agg(F.sum("n").alias("_n"),
                                                     F.sum("bad").alias("_bad"))
-        for k in (1, 2, 3):
+        for k in RATES:
             urls = urls.join(F.broadcast(total.where(F.col("k") == k).select(
                 F.col("s").alias(f"s{k}"), "_n", "_bad")), f"s{k}", "left")
             n, bad = F.coalesce("_n", F.lit(0)), F.coalesce("_bad", F.lit(0))
@@ -152,7 +158,7 @@ def fit(labelled: DataFrame, sample_urls: int = 50_000, trees: int = 20, depth:
         F.lit("fold"), F.coalesce(F.col(url_col).cast("string"), F.lit(""))),
         F.lit(FOLDS)).cast("int"))
     suffix = F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.col(f"s{k}").alias("s"))
-                                 for k in (1, 2, 3))))
+                                 for k in RATES)))
     stats = saved(rows.select(suffix.alias("x"), "_fold", label_col).groupBy(
         "x.k", "x.s", F.col("_fold").alias("fold")).agg(
         F.count("*").alias("n"), F.sum(label_col).alias("bad")), "suffixes")
