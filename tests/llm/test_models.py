@@ -127,6 +127,19 @@ def test_decision_list_finds_thresholds(spark, no_docs):
     assert judged.count() == 0 and {"base_failed", "rule", "kept"} <= set(judged.columns)
 
 
+def test_quality_rules_on_held_out_texts(spark):
+    """Labelled texts of sf0.1 that the list was not learned from."""
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").join(
+        spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality"), "doc_id")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    rules = quality.fit(docs.where(~held), row_key=F.xxhash64("doc_id"))
+    got = quality.judge(quality.text_stats(docs.where(held)), rules).groupBy("quality").agg(
+        F.count("*").alias("n"), F.avg(F.col("kept").cast("int")).alias("kept"))
+    by = {r.quality: r for r in got.collect()}
+    assert by[0].n > 100 and by[0].kept < 0.1 and by[1].kept > 0.9
+
+
 # -- urls ----------------------------------------------------------------------------
 
 def plain_parse(url):

@@ -71,3 +71,28 @@ SELECT page_id, payload_bytes, payload_digest,
        CAST(NULL AS VARCHAR) AS error
 FROM page LEFT JOIN best USING (payload_digest)
 """
+
+OP13 = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+pair AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id,
+         CAST(list_sum([a.v[i] * b.v[i] FOR i IN range(1, len(a.v) + 1)]) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0),
+pos AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS rn
+  FROM pair WHERE same AND id <> anchor_id),
+neg AS (
+  SELECT pos.anchor_id, positive_id, positive_score, id AS negative_id, score AS negative_score,
+         row_number() OVER (PARTITION BY pos.anchor_id, positive_id ORDER BY score DESC, id) AS rn
+  FROM pos JOIN pair ON pair.anchor_id = pos.anchor_id AND NOT same AND rn <= 5
+   AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rn AS INTEGER) AS rank, negative_id, positive_score,
+       negative_score
+FROM neg WHERE rn <= 10
+"""

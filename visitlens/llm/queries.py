@@ -163,4 +163,5 @@ QUERIES = {"op1_decontamination": op1_decontamination,
            "op13_hard_negatives": op13_hard_negatives}
 ORACLE: dict[str, str] = {"op1_decontamination": oracle.OP1,
                           "op3_substring_dedup": oracle.OP3,
-                          "op4_warc": oracle.OP4}
+                          "op4_warc": oracle.OP4,
+                          "op13_hard_negatives": oracle.OP13}
