@@ -1,12 +1,15 @@
 """Ad click operators, log decoding and the skew helpers."""
 
 import datetime as dt
+import tempfile
 
 from pyspark.sql import functions as F
 
 from visitlens.operators import ads as AD
 from visitlens.operators import skew as SK
+from visitlens.sinks.deltas import DeltaStore
 from visitlens.sources.adlog import decode_ad_log
+from visitlens.streaming import ad_stream as STR
 
 T0 = 1704067207179      # 2024-01-01 00:00:07.179 UTC
 
@@ -170,6 +173,13 @@ def test_hot_key_joins_are_split(spark):
         users = materialize(rows.where("user_id < 0").select("user_id").distinct(), "t-users")
         for joined in (S.session_detail(rows, keys), AD.filter_blacklisted(rows, users)):
             assert "skew=true" in _final_plan(joined)
+        # the stream's filter of a batch: the hot user is one the Bloom filter holds back
+        store = DeltaStore(spark, tempfile.mkdtemp(prefix="vl-hot-"), STR.AD_TABLES)
+        job = STR.AdStreamJob(store, threshold=1)
+        job.process(_log(spark, [f"{T0}_P_C_-1_1"]), 0)
+        left = job.not_blacklisted(rows, 1)
+        assert "skew=true" in _final_plan(left)
+        assert left.where("user_id < 0").count() == 0 and left.count() == 400_000
     finally:
         for c, v in old.items():
             spark.conf.set(c, v)
