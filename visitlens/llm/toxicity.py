@@ -122,11 +122,16 @@ def fit(labelled: DataFrame, sample_docs: int = 6000, min_docs: int = 5, feature
     size = F.octet_length(text_col)
     rows = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()
                           & (size <= sample_bytes // 16))
-    total, held = rows.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    total = rows.select(label_col).count()
     key = row_key if row_key is not None else F.xxhash64(text_col)
-    share = min(sample_docs / max(total, 1), sample_bytes / max(held, 1))
-    if share < 1:
-        rows = rows.where(F.pmod(key, F.lit(1 << 20)) < int((1 << 20) * share))
+
+    def sample(share):
+        return rows if share >= 1 else rows.where(
+            F.pmod(key, F.lit(1 << 20)) < int((1 << 20) * share))
+    # the bytes of the sampled texts alone are summed, so that no other text is moved
+    share = min(1.0, sample_docs / max(total, 1))
+    held = sample(share).agg(F.sum(size)).first()[0] or 0
+    rows = sample(share * min(1.0, sample_bytes / max(held, 1)))
 
     def sentences(batches):
         split = Sentences()
