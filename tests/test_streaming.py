@@ -357,6 +357,39 @@ def test_crossing_is_emitted_once(spark):
     assert rows <= 1                                          # the first day's counters are gone
 
 
+def test_crossing_counts_in_the_engine(spark):
+    """No Python step runs once a key, and stored keys stay single over batches and folds."""
+    src = tempfile.mkdtemp(prefix="vl-src-")
+    lines = spark.readStream.text(src)
+    assert "Python" not in STR.crossing_stream(lines, 5)._jdf.queryExecution().logical().toString()
+    assert "Pandas" not in STR.crossing_stream(lines, 5)._jdf.queryExecution().logical().toString()
+    store = DeltaStore(spark, tempfile.mkdtemp(prefix="vl-cross-"), STR.CROSSING_TABLES)
+    job = STR.CrossingJob(store, "ad_crossing", STR.USER_KEYS, compact_every=2)
+    day = [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+    schema = STR.CROSSING_TABLES["ad_crossing"]
+    batches = [[(day[0], 1, 1, 5)], [(day[0], 1, 1, 7), (day[1], 1, 1, 6)], [],
+               [(day[0], 1, 1, 9), (day[0], 1, 2, 5)], [(day[0], 1, 2, 8), (day[1], 1, 1, 8)]]
+    for n, rows in enumerate(batches):
+        for _ in range(2 if n in (1, 4) else 1):       # a re-delivered batch
+            job.process(spark.createDataFrame(rows, schema), n)
+    got = sorted(tuple(r) for r in STR.read_table(store, "ad_crossing").collect())
+    assert got == [(day[0], 1, 1, 5), (day[0], 1, 2, 5), (day[1], 1, 1, 6)]
+
+
+def test_crossing_counts_late_clicks_of_an_open_day(spark):
+    """A day's clicks count until it has been over for the lateness, however they arrive."""
+    src, root = tempfile.mkdtemp(prefix="vl-src-"), tempfile.mkdtemp(prefix="vl-run-")
+    _write_file(src, "a.txt", [f"{T0}_P_C_1_1"] * 2)
+    _write_file(src, "b.txt", [f"{T0 + (DAY + 600) * MIN}_P_C_2_1"])    # watermark: 10:00 of day 1
+    _write_file(src, "c.txt", [f"{T0 + MIN}_P_C_1_1"] * 3)
+    q, store = STR.start_crossing_stream(
+        spark, spark.readStream.option("maxFilesPerTrigger", 1).text(src), f"{root}/state",
+        f"{root}/ckpt", 5, "1 day", "availableNow")
+    q.awaitTermination()
+    got = [(r.user_id, r.click_count) for r in store.rows("ad_crossing").collect()]
+    assert got == [(1, 5)]
+
+
 def test_late_clicks_are_counted_per_day(spark):
     """Random batches against a plain fold, with a re-delivered batch and a batch without rows."""
     import random

@@ -26,8 +26,8 @@ latest row per minute wins.
 Query 3: R5 as a stateful aggregate, running totals kept in the engine's
 state store and upserted per batch.
 
-Query 4: R4 in the state store: a counter per (date, user, ad) that emits a key
-once, in the batch whose clicks take it over the threshold.
+Query 4: R4 in the state store: a counter per (date, user, ad); a key is stored
+once, by the batch whose clicks take it over the threshold.
 
 Query 5 (R8): the trend with a watermark of its own, so that clicks behind it
 are not only dropped but counted per day.
@@ -40,7 +40,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from visitlens.functions.columns import epoch_millis, ntz_from_millis
 from visitlens.operators import ads as AD
@@ -242,11 +241,28 @@ class UpsertJob:
         batch = batch.persist()
         try:
             days = _days(batch) if store.dated(self.table) else ()
-            store.write(self.table, batch_id, batch, days)
+            store.write(self.table, batch_id, self.new_rows(batch, batch_id, days), days)
             store.finish(batch_id)
         finally:
             batch.unpersist()
 
+    def new_rows(self, batch: DataFrame, batch_id: int, days: list[dt.date]) -> DataFrame:
+        """The rows of the batch to store."""
+        return batch
+
+
+@dataclass
+class CrossingJob(UpsertJob):
+    """Writes the keys of :func:`crossing_stream` that no batch before this one stored.
+
+    Only the stored keys of the batch's days are looked up, and only keys over the
+    threshold are stored.
+    """
+
+    def new_rows(self, batch: DataFrame, batch_id: int, days: list[dt.date]) -> DataFrame:
+        stored = self.store.rows(self.table, before=batch_id, dates=days)
+        return batch.join(stored.select(*self.keys), self.keys, "left_anti")
+
 
 @dataclass
 class LateJob:
@@ -343,42 +359,22 @@ def stat_totals_stream(lines: DataFrame) -> DataFrame:
 def crossing_stream(lines: DataFrame, threshold: int, lateness: str = "1 day") -> DataFrame:
     """R4 with its totals in the state store: rows (date, user_id, ad_id, click_count).
 
-    A key is emitted once, with its total after the batch that takes it over the
-    threshold. Clicks are counted per Arrow batch before the exchange, so a
-    hot key sends a row a batch and not a row a click. A key's counter is
-    dropped when its day has been over for ``lateness``; later clicks of that day are
-    behind the watermark and not counted (query 5 counts those).
+    A key is emitted with its running total by each batch that raises it and
+    leaves it at the threshold or over; :class:`CrossingJob` stores its first row.
+    The counter is the engine's own aggregate over windows of a (UTC) day, so
+    clicks are counted before the exchange and a hot key sends a row a task.
+    A key's counter is dropped when its day has been over for ``lateness``;
+    later clicks of that day are behind the watermark and not counted (query 5
+    counts those).
     """
-    keys = ["date", "user_id", "ad_id"]
-
-    def combine(batches):
-        import pyarrow as pa
-        for batch in batches:
-            t = pa.Table.from_batches([batch])
-            yield from t.group_by(keys).aggregate([("n", "sum"), ("t", "max")]).rename_columns(
-                [*keys, "n", "t"]).select([*keys, "n", "t"]).to_batches()
-
-    def count(key, frames, state):
-        import pandas as pd
-        if state.hasTimedOut:
-            state.remove()
-            return
-        before = state.get[0] if state.exists else 0
-        total = before + sum(int(f["n"].sum()) for f in frames)
-        state.update((total,))
-        over = int(pd.Timestamp(key[0]).timestamp() * 1000) + MS_PER_DAY
-        state.setTimeoutTimestamp(max(over, state.getCurrentWatermarkMs() + 1))
-        if before < threshold <= total:
-            yield pd.DataFrame([[key[0], key[1], key[2], total]],
-                               columns=["date", "user_id", "ad_id", "click_count"])
-
     clicks, _ = decode_ad_log(lines)
-    rows = clicks.select(*keys, F.lit(1).cast("bigint").alias("n"),
-                         F.timestamp_millis("ts_ms").alias("t"))
-    combined = rows.mapInArrow(combine, "date date, user_id long, ad_id long, n long, t timestamp")
-    return (combined.withWatermark("t", lateness).groupBy(*keys)
-            .applyInPandasWithState(count, AD_TABLES["ad_user_click_count"], "n long", "update",
-                                    GroupStateTimeout.EventTimeTimeout))
+    counted = (clicks.select("user_id", "ad_id", F.timestamp_millis("ts_ms").alias("t"))
+               .withWatermark("t", lateness)
+               .groupBy(F.window("t", "1 day").alias("w"), "user_id", "ad_id")
+               .agg(F.count(F.lit(1)).alias("click_count")))
+    return counted.where(F.col("click_count") >= threshold).select(
+        F.date_from_unix_date(F.floor(F.unix_millis(F.col("w.start")) / MS_PER_DAY).cast("int"))
+        .alias("date"), "user_id", "ad_id", "click_count")
 
 
 def late_rows(query: StreamingQuery) -> int:
@@ -440,7 +436,7 @@ def start_crossing_stream(spark: SparkSession, lines: DataFrame, state_root: str
     """R4 stateful: run query 4 over a stream of log lines (column ``value``)."""
     store = DeltaStore(spark, state_root, CROSSING_TABLES)
     return _start(crossing_stream(lines, threshold, lateness), "update",
-                  UpsertJob(store, "ad_crossing", USER_KEYS), checkpoint, trigger), store
+                  CrossingJob(store, "ad_crossing", USER_KEYS), checkpoint, trigger), store
 
 
 def start_late_stream(spark: SparkSession, lines: DataFrame, state_root: str, checkpoint: str,
