@@ -425,3 +425,33 @@ def test_word_probabilities_sum_to_one_in_every_context(spark):
 def test_folds_are_by_crc32(spark):
     rows = spark.range(40).select("id", Q.held_fold(F.col("id"), 7).alias("f")).collect()
     assert all(r.f == zlib.crc32(str(r.id).encode()) % 7 for r in rows)
+
+
+def test_language_steps_hold_little_beside_the_text(spark, monkeypatch):
+    """A pass over a batch of long texts takes memory by parts of it, not by the batch."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+    from visitlens.llm import language
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    words = ["".join(rng.choice(letters, 6)) for _ in range(4000)]
+    texts = [" ".join(rng.choice(words, 3000)) for _ in range(100)]        # 2.1 MB
+    docs = spark.createDataFrame([(t, "xy"[i % 2]) for i, t in enumerate(texts[:4])],
+                                 "text string, lang string")
+    model = language.fit(docs)
+    steps = {}
+    monkeypatch.setattr(language, "Shared", lambda _, value: type("S", (), {"value": value})())
+    monkeypatch.setattr(language, "map_batches",
+                        lambda df, fn, schema: steps.setdefault("run", fn))
+    language.identify(docs.select("text"), model)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    tracemalloc.start()
+    try:
+        got = [x for out in steps["run"](iter([batch])) for x in out.column("lang_pred").to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(got) == 100 and set(got) <= {"x", "y"}
+    assert peak < 40 << 20, peak

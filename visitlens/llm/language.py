@@ -33,6 +33,7 @@ from visitlens.llm.text import U, WordHasher, row_counts, slices, string_buffer,
 BITS = 17
 ORDERS = (1, 2, 3, 4)
 CHUNK = 32
+PART_BYTES = 1 << 18     # of text at a time; a pass over it takes about 70 times that
 
 # Unicode block ranges of scripts.
 SCRIPTS = [
@@ -152,7 +153,7 @@ def fit(labelled: DataFrame, sample_docs: int = 2000, text_col: str = "text",
         for batch in batches:
             data, offs = string_buffer(batch.column(0))
             lang = batch.column(1).to_numpy()
-            for a, b in slices(offs):
+            for a, b in slices(offs, PART_BYTES):
                 part = data[offs[a]:offs[b]]
                 s, e, row, uniq, first, inv = unique_words(
                     hasher, part, offs[a:b + 1] - offs[a], table)
@@ -301,7 +302,7 @@ def identify(docs: DataFrame, model: LanguageModel, penalty: float = 6.0,
         und = len(model.langs)
         for batch in batches:
             data, offs = string_buffer(batch.column(text_col))
-            for a, b in slices(offs):
+            for a, b in slices(offs, PART_BYTES):
                 part = data[offs[a]:offs[b]]
                 s, e, row, uniq, first, inv = unique_words(
                     hasher, part, offs[a:b + 1] - offs[a], table)
