@@ -1,6 +1,7 @@
 """Learned operators (2, 5, 7, 8, 10): their parts against plain versions, accuracy, edge rows."""
 
 import math
+import os
 import random
 import re
 import zlib
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from visitlens.llm import language, pitman_yor, quality, toxicity, urls
 from visitlens.llm import queries as Q
+from visitlens.session import scratch_dir
 from edge_rows import edge_docs, no_docs  # noqa: F401
 
 SF_MID = "/root/testdata/sf0.01"
@@ -422,6 +424,58 @@ def test_word_probabilities_sum_to_one_in_every_context(spark):
         assert left[h] / (pitman_yor.THETA + r.c) + r.open == pytest.approx(1)
 
 
+def test_packed_keys_and_ranges():
+    rng = np.random.default_rng(4)
+    keys = np.unique(rng.integers(0, 2 ** 64 - 1, 1000, dtype=np.uint64))
+    got = pitman_yor.unpacked_keys(pitman_yor.packed_keys(keys), len(keys))
+    assert got.dtype == np.uint64 and (got == keys).all()
+    for x in (rng.integers(-5, 5, 7), rng.normal(size=3), np.array([2 ** 40]),
+              np.arange(9, dtype="i4")):
+        assert (pitman_yor.unpacked(pitman_yor.packed(x), x.dtype, len(x)) == x).all()
+    for parts in (1, 7, 5000):
+        ranges = list(pitman_yor.key_ranges(keys, parts))
+        assert [a for _, a, _ in ranges] == [0, *(b for _, _, b in ranges[:-1])]
+        assert ranges[-1][2] == len(keys)
+        assert all(int(k) * parts >> 64 == p for p, a, b in ranges for k in keys[a:b])
+    assert list(pitman_yor.key_ranges(keys[:0], 3)) == []
+
+
+def test_pair_counts_are_the_plain_ones(spark):
+    rng = random.Random(9)
+    docs = [(i, " ".join(f"w{int(rng.expovariate(0.2))}" for _ in range(rng.randint(0, 20))),
+             i % 4 != 0) for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, train boolean").repartition(3)
+    hasher, want = pitman_yor.Words(), {}
+
+    def hashed(w):
+        data = np.frombuffer(w.encode() + b" ", np.uint8)
+        h = hasher.hash(data, np.array([0]), np.array([len(data) - 1]))
+        return int(h.view(np.int64)[0])
+    for _, text, train in docs:
+        words = [hashed(w) for w in ["", *text.split(), ""]]
+        for pair in zip(words, words[1:]) if train else ():
+            want[pair] = want.get(pair, 0) + 1
+    for block in (200, 16 << 20):
+        seats = pitman_yor.learned(df, block, 5)[2].collect()
+        assert len(seats) == len(want) and {(r.u, r.v): r.c for r in seats} == want
+
+
+def test_language_model_steps_leave_little_on_disk(spark):
+    rng = random.Random(10)
+    docs = [(i, " ".join(f"w{int(rng.paretovariate(0.5)) % 50_000}" for _ in range(300)),
+             i % 7 != 0) for i in range(1500)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, train boolean").repartition(2)
+    probe = scratch_dir(spark, "probe").replace("file:", "", 1)
+    base, before = os.path.dirname(probe), set(os.listdir(os.path.dirname(probe)))
+    out = pitman_yor.score_texts(df)
+    assert out.count() == len(docs)
+    left = sum(os.path.getsize(os.path.join(d, f)) for x in set(os.listdir(base)) - before
+               for d, _, files in os.walk(os.path.join(base, x)) for f in files)
+    print("scratch bytes by text bytes", left / sum(len(t) for _, t, _ in docs))
+    assert left < 2 * sum(len(t) for _, t, _ in docs)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
 def test_folds_are_by_crc32(spark):
     rows = spark.range(40).select("id", Q.held_fold(F.col("id"), 7).alias("f")).collect()
     assert all(r.f == zlib.crc32(str(r.id).encode()) % 7 for r in rows)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import inspect
 import pickle
 import sys
 import types
@@ -12,7 +13,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlens.session import materialize
+from visitlens.session import drop_paths, materialize, scratch_dir
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -64,15 +65,36 @@ def map_batches(df: DataFrame, fn, schema) -> DataFrame:
         try:
             yield from fn(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            try:
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
-            except (OSError, AttributeError):  # another C library
-                pass
+            give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def trimmed(fn):
+    """A step of ``applyInArrow`` that gives memory back after a group, as ``map_batches``."""
+    def one(a: pa.Table) -> pa.Table:
+        try:
+            return fn(a)
+        finally:
+            give_back()
+
+    def two(a: pa.Table, b: pa.Table) -> pa.Table:
+        try:
+            return fn(a, b)
+        finally:
+            give_back()
+
+    return one if len(inspect.signature(fn).parameters) == 1 else two
+
+
 def held_fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds`` (null id: null)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
@@ -83,6 +105,56 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
+class Kept:
+    """Saved steps of one job that are deleted once their readers are written.
+
+    Within ``with`` Spark also deletes a step's shuffle files as soon as it is written,
+    instead of when the driver next collects its garbage, and ``saved_by`` writes the
+    values' files side by side, without sorting the rows by them.
+    """
+
+    SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+                "spark.sql.maxConcurrentOutputFileWriters": "4"}
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._paths = spark, []
+
+    def __enter__(self):
+        self._was = {k: self._spark.conf.get(k, None) for k in self.SETTINGS}
+        for k, v in self.SETTINGS.items():
+            self._spark.conf.set(k, v)
+        return self
+
+    def __exit__(self, *exc):
+        for k, v in self._was.items():
+            if v is None:
+                self._spark.conf.unset(k)
+            else:
+                self._spark.conf.set(k, v)
+
+    def saved(self, df: DataFrame, name: str) -> DataFrame:
+        written: list[str] = []
+        out = materialize(df, f"llm-{name}", written)
+        self._paths.append((out, written))
+        return out
+
+    def saved_by(self, df: DataFrame, name: str, kind: str, values: list[str]) -> list[DataFrame]:
+        """The rows of each value of the column ``kind``, to be dropped one by one."""
+        path = scratch_dir(self._spark, f"llm-{name}")
+        df.write.mode("overwrite").partitionBy(kind).parquet(path)
+        rows = self._spark.read.schema(df.schema).parquet(path)
+        out = [rows.where(F.col(kind) == v).drop(kind) for v in values]
+        self._paths += [(x, [f"{path}/{kind}={v}"]) for x, v in zip(out, values)]
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Nothing that is still to run may read them."""
+        for out, written in self._paths:
+            if any(out is t for t in tables):
+                drop_paths(self._spark, written)
+        self._paths = [x for x in self._paths if not any(x[0] is t for t in tables)]
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges`` (a, b): rows (node, comp), comp the smallest node.
 

@@ -22,13 +22,13 @@ mass that new tables give to all unseen spellings), as the add-one base score
 does, so these two are over the training vocabulary and one unknown word.
 
 Counts of words and of (context, word) pairs cover all training texts and are
-summed in Spark, pairs by the words' 64-bit hashes; the spelling
-model's cells are bounded by its contexts and 257 bytes (second and third
-bytes back count by classes), whatever the corpus, and are what the driver
-holds. To score, a task looks up the most frequent words in a broadcast of
-``shared_words`` entries; its other words and its pairs, once per block of
-texts, are joined with the word and pair tables by 64-bit keys, and the answers
-go back to their block.
+summed in Spark; the spelling model's cells are bounded by its contexts and 257 bytes
+(second and third bytes back count by classes), whatever the corpus, and are what the
+driver holds. Texts are read once, into blocks that hold their tokens as numbers of
+the block's words. A block asks for its pairs, and later for its words, by ranges of
+64-bit keys, a packed row a range; a range sums and answers what all blocks ask of
+it, and only pairs that occur twice or more, which need sampling, become rows. Steps
+are saved, and deleted when all that reads them is written.
 
 Edge cases: null and empty texts consist of the end token; a null ``train``
 flag means no training text; without training texts the spelling model is
@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.llm.frames import map_batches, saved, Shared
+from visitlens.llm.frames import Kept, map_batches, Shared, trimmed
 from visitlens.llm.text import (U, WordHasher, byte_table, gather_bytes, lower_table, mix64,
                                 row_counts, slices, string_buffer, word_bounds)
 
@@ -248,7 +248,7 @@ class Vocabulary:
         keys = np.concatenate([p[0] for p in self.parts])
         counts = np.concatenate([p[1] for p in self.parts])
         words = pa.concat_arrays([p[2] for p in self.parts])
-        uniq, first, inv = np.unique(keys, return_index=True, return_inverse=True)
+        uniq, first, inv = distinct(keys)
         self.parts = []
         return uniq, np.bincount(inv, weights=counts, minlength=len(uniq)).astype(np.int64), \
             words.take(pa.array(first)), inv
@@ -281,74 +281,234 @@ def pair_key(u, v):
 PAIR_KEY = "(shiftleft(u, 1) | shiftrightunsigned(u, 63)) ^ v"
 
 
-def token_pairs(h, end):
-    """(words, first, second, pair of each token): the distinct words of tokens in
-    order, and the distinct pairs of a token with the one before as word numbers."""
-    words, at = np.unique(h, return_inverse=True)
-    before = np.concatenate([np.searchsorted(words, end), at[:-1]])
-    pairs, which = np.unique(before * len(words) + at, return_inverse=True)
-    return words, pairs // len(words), pairs % len(words), which
+def distinct(x: np.ndarray):
+    """(distinct numbers, a place of each, number of each place's)."""
+    order = np.argsort(x)
+    x = x[order]
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    which = np.empty(len(x), np.int32)
+    which[order] = np.cumsum(new, dtype=np.int32) - 1
+    return x[new], order[new], which
 
 
-def count_words(docs: DataFrame, block_bytes: int = 16 << 20) -> DataFrame:
-    """(w, c): occurrences of each word in the training texts; the empty word is the end."""
-    def run(batches):
-        words, vocabulary, held = Words(), Vocabulary(), 0
+def token_pairs(hashes, tokens, end):
+    """(keys, first, second, pair of each token): the distinct pairs of a token with the
+    one before, by key; tokens and their words are numbers into the sorted ``hashes``."""
+    start = np.searchsorted(hashes, end).astype(np.int32)
+    before = np.concatenate([start, tokens[:-1]])
+    # no name for the tokens' keys: distinct lets them go once sorted
+    keys, at, which = distinct(pair_key(hashes, U(0))[before] ^ hashes[tokens])
+    return keys, before[at], tokens[at], which
 
-        def out():
-            _, counts, text, _ = vocabulary.merged()
-            yield from pieces(text, counts)
 
-        def pieces(text, counts):
-            for a in range(0, len(counts), 100_000):
-                yield pa.RecordBatch.from_arrays(
-                    [text.slice(a, 100_000), pa.array(counts[a:a + 100_000])], ["w", "n"])
-        for batch in batches:
-            data, offs = string_buffer(batch.column(0))
-            for a, b in slices(offs):
-                low, s, e, _, keys = words(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
-                uniq, first, counts = np.unique(keys, return_index=True, return_counts=True)
-                vocabulary.add(np.append(uniq, words.end), np.append(counts, b - a),
-                               pa.concat_arrays([gather_bytes(low, s[first], e[first]),
-                                                 pa.array([b""], pa.binary())]))
-                held += int(offs[b] - offs[a])
-                if held >= block_bytes:
-                    yield from out()
-                    held = 0
-        if vocabulary.parts:
-            yield from out()
-
-    return docs.where("train").select("text").transform(map_batches, run, "w binary, n long") \
-        .groupBy("w").agg(F.sum("n").alias("c"))
-
-
-def count_pairs(docs: DataFrame, block_bytes: int = 16 << 20) -> DataFrame:
-    """(u, v, c): how often word v follows word u in the training texts, by hash."""
+def packed(x: np.ndarray) -> bytes:
+    """Numbers by byte planes, compressed: planes that hardly vary take no room."""
+    planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T
+    return pa.compress(np.ascontiguousarray(planes), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, kind, n: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = pa.decompress(data, decompressed_size=n * size, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, n).T) \
+        .view(kind).ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted 64-bit keys, as the gaps between them."""
+    return packed(np.concatenate([keys[:1], keys[1:] - keys[:-1]]))
+
+
+def unpacked_keys(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(unpacked(data, U, n), dtype=U)
+
+
+def key_ranges(keys: np.ndarray, parts: int):
+    """(part, from, to) of sorted keys dealt to equal ranges; ``part_of`` is the same in SQL."""
+    part = (keys >> U(32)) * U(parts) >> U(32)
+    edge = np.flatnonzero(np.diff(part)) + 1
+    for a, b in zip([0, *edge], [*edge, len(keys)]):
+        if b > a:
+            yield int(part[a]), int(a), int(b)
+
+
+def part_of(key: str, parts: int):
+    return F.expr(f"cast(shiftright(shiftrightunsigned({key}, 32) * {parts}L, 32) as int)")
+
+
+HEADS, WORDS = "head", "word"
+BLOCKS = ("kind string, block long, doc_ids array<long>, n_tokens array<long>, train binary, "
+          "n_words int, hashes binary, tokens binary, w binary, n long")
+
+
+def text_blocks(docs: DataFrame, block_bytes: int = 16 << 20) -> DataFrame:
+    """Rows of blocks of texts: a head with the texts' tokens as numbers of the block's
+    words, and a row (w, n) per word with its occurrences in training texts, which may
+    be none; the empty word is the end."""
     def run(batches):
-        words, held, size = Words(), [], 0
+        words, part, number = Words(), TaskContext.get().partitionId(), 0
+        schema = pa.schema([
+            ("kind", pa.string()), ("block", pa.int64()),
+            *((c, pa.list_(pa.int64())) for c in ("doc_ids", "n_tokens")),
+            ("train", pa.binary()), ("n_words", pa.int32()),
+            *((c, pa.binary()) for c in ("hashes", "tokens", "w")), ("n", pa.int64())])
+
+        def fresh():
+            return {"ids": [], "sizes": [], "train": [], "tokens": [], "words": Vocabulary(),
+                    "n_words": 0, "held": 0}
 
-        def out():
-            uniq, first, second, which = token_pairs(np.concatenate(held), words.end)
-            n, uniq = np.bincount(which), uniq.view(np.int64)
+        def emit(st):
+            nonlocal number
+            hashes, n, text, which = st["words"].merged()
+            tokens = which[np.concatenate(st["tokens"])]
+            yield pa.RecordBatch.from_pylist([{
+                "kind": HEADS, "block": (part << 32) + number,
+                "doc_ids": [x for p in st["ids"] for x in p],
+                "n_tokens": np.concatenate(st["sizes"]),
+                "train": np.concatenate(st["train"]).tobytes(), "n_words": len(hashes),
+                "hashes": packed_keys(hashes), "tokens": packed(tokens)}], schema=schema)
+            number += 1
             for a in range(0, len(n), 100_000):
-                b = a + 100_000
+                w = text.slice(a, 100_000)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(uniq[first[a:b]]), pa.array(uniq[second[a:b]]), pa.array(n[a:b])],
-                    ["u", "v", "n"])
+                    [pa.repeat(WORDS, len(w)),
+                     *(pa.nulls(len(w), f.type) for f in list(schema)[1:-2]), w,
+                     pa.array(n[a:a + 100_000])], schema=schema)
+
+        st = fresh()
         for batch in batches:
-            data, offs = string_buffer(batch.column(0))
+            data, offs = string_buffer(batch.column(1))
+            train = batch.column(2).fill_null(False).to_numpy(zero_copy_only=False)
             for a, b in slices(offs):
-                _, _, _, row, h = words(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
-                held.append(words.in_order(row, h, b - a))
-                size += int(offs[b] - offs[a])
-                if size >= block_bytes:
-                    yield from out()
-                    held, size = [], 0
-        if held:
-            yield from out()
+                low, s, e, row, h = words(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
+                h = words.in_order(row, h, b - a)
+                size = row_counts(row, b - a) + 1
+                # the end tokens' bytes are none
+                bounds = np.zeros((2, len(h)), np.int64)
+                bounds[:, np.arange(len(s)) + row] = s, e
+                uniq, first, which = distinct(h)
+                n = np.bincount(which, weights=np.repeat(train[a:b], size))
+                st["words"].add(uniq, n, gather_bytes(low, *bounds[:, first]))
+                st["tokens"].append(which + np.int32(st["n_words"]))
+                st["n_words"] += len(uniq)
+                st["sizes"].append(size)
+                st["train"].append(train[a:b].astype(np.int8))
+                st["ids"].append(batch.column(0).slice(a, b - a).to_pylist())
+                st["held"] += int(offs[b] - offs[a])
+                if st["held"] >= block_bytes:
+                    yield from emit(st)
+                    st = fresh()
+        if st["tokens"]:
+            yield from emit(st)
+
+    return docs.select("doc_id", "text", "train").transform(map_batches, run, BLOCKS)
+
+
+class Head:
+    """A block's words and tokens."""
+
+    def __init__(self, row: dict):
+        self.doc_ids = row.get("doc_ids")
+        self.sizes = np.asarray(row["n_tokens"], np.int64)
+        self.hashes = unpacked_keys(row["hashes"], row["n_words"])
+        tokens = unpacked(row["tokens"], np.int32, int(self.sizes.sum()))
+        self.keys, self.first, self.second, self.at = token_pairs(self.hashes, tokens, Words().end)
+
+
+COUNTS, AGAIN = "counts", "again"
 
-    return docs.where("train").select("text").transform(
-        map_batches, run, "u long, v long, n long").groupBy("u", "v").agg(F.sum("n").alias("c"))
+
+def pair_counts(heads: DataFrame, parts: int) -> DataFrame:
+    """The blocks' pairs by key range, counted, in rows (kind, block, part, m, data, once,
+    twice): of each block and range the codes of its ``m`` pairs in order of their keys,
+    and the keys of those counted twice or more.
+
+    A code is twice the count in training texts, and one more in the one block that
+    stands for the pair; one row a range has its numbers of pairs counted once and twice.
+    """
+    def ask(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                head = Head(row)
+                train = np.frombuffer(row["train"], np.int8).repeat(head.sizes)
+                n = np.bincount(head.at, weights=train).astype(np.int64)
+                got = [(p, row["block"], b - a, packed_keys(head.keys[a:b]), packed(n[a:b]))
+                       for p, a, b in key_ranges(head.keys, parts)]
+                for a in range(0, len(got), 100):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x, t) for x, t in zip(zip(*got[a:a + 100]), (
+                            pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))],
+                        names=["part", "block", "m", "keys", "n"])
+
+    def count(asked: pa.Table) -> pa.Table:
+        rows = sorted(asked.to_pylist(), key=lambda r: r["block"])
+        keys = np.concatenate([unpacked_keys(r["keys"], r["m"]) for r in rows])
+        n = np.concatenate([unpacked(r["n"], np.int64, r["m"]) for r in rows])
+        uniq, first, which = distinct(keys)
+        c = np.bincount(which, weights=n).astype(np.int64)
+        code = 2 * c[which]
+        code[first] += 1
+        out, a = [], 0
+        for r in rows:
+            b = a + r["m"]
+            out.append({"kind": COUNTS, "block": r["block"], "part": r["part"], "m": r["m"],
+                        "data": packed(code[a:b]), "once": 0 if a else int((c == 1).sum()),
+                        "twice": 0 if a else int((c == 2).sum())})
+            again = keys[a:b][code[a:b] > 3]
+            if len(again):
+                out.append({"kind": AGAIN, "block": r["block"], "part": r["part"],
+                            "m": len(again), "data": packed_keys(again)})
+            a = b
+        return pa.Table.from_pylist(out, schema=pa.schema([
+            ("kind", pa.string()), ("block", pa.int64()), ("part", pa.int32()),
+            ("m", pa.int32()), ("data", pa.binary()), ("once", pa.int64()),
+            ("twice", pa.int64())]))
+
+    return heads.select("block", "n_tokens", "train", "n_words", "hashes", "tokens") \
+        .transform(map_batches, ask, "part int, block long, m int, keys binary, n binary") \
+        .groupBy("part").applyInArrow(trimmed(count), "kind string, block long, part int, m int, "
+                                             "data binary, once long, twice long")
+
+
+def answered(answers: pa.Table, kind: str, columns: dict) -> list[np.ndarray]:
+    """The columns of a block's answers of a kind, over all key ranges in order."""
+    rows = sorted((r for r in answers.to_pylist() if r["kind"] == kind), key=lambda r: r["part"])
+    return [np.concatenate([np.zeros(0, t), *(unpacked(r[c], t, r["m"]) for r in rows)])
+            for c, t in columns.items()]
+
+
+def counts_as_answers(counted: DataFrame) -> DataFrame:
+    return counted.select("block", F.lit(COUNT).alias("kind"), "part", "m",
+                          F.col("data").alias("a"))
+
+
+SUMS = "sums"
+
+
+def owned_pairs(heads: DataFrame, counted: DataFrame, single: bool = False) -> DataFrame:
+    """(kind, u, v, c): the pairs counted twice or more (``single``: once), each by the one
+    block that stands for it, of the kind ``AGAIN``; and by block ``SUMS``, the word ``u``
+    with ``v`` contexts and ``c`` followers among all counted pairs it stands for."""
+    def run(heads: pa.Table, answers: pa.Table) -> pa.Table:
+        head = Head(heads.to_pylist()[0])
+        code, = answered(answers, COUNT, {"a": np.int64})
+        c = code >> 1
+        own = (code & 1 == 1) & (c > 0)
+        h = head.hashes.view(np.int64)
+        listed = np.flatnonzero(own & ((c == 1) if single else (c > 1)))
+        contexts, followers = (np.bincount(x[own], minlength=len(h))
+                               for x in (head.second, head.first))
+        some = np.flatnonzero(contexts + followers)
+        return pa.Table.from_arrays(
+            [pa.concat_arrays([pa.repeat(AGAIN, len(listed)), pa.repeat(SUMS, len(some))]),
+             *(pa.array(np.concatenate(x)) for x in (
+                 (h[head.first[listed]], h[some]), (h[head.second[listed]], contexts[some]),
+                 (c[listed], followers[some])))], names=["kind", "u", "v", "c"])
+
+    return heads.select("block", "n_tokens", "n_words", "hashes", "tokens") \
+        .groupBy("block").cogroup(counts_as_answers(counted).groupBy("block")) \
+        .applyInArrow(trimmed(run), "kind string, u long, v long, c long")
 
 
 @dataclass
@@ -476,15 +636,14 @@ def _looked_up(rows: DataFrame, key: str, facts: DataFrame, top: DataFrame,
 
 
 def seat_pairs(pairs: DataFrame, facts: DataFrame, top: DataFrame, d: float) -> DataFrame:
-    """(u, v, c, last, mean): sampled tables of the pairs (u, v, c), saved.
+    """(u, v, c, last, mean): sampled tables of pairs (u, v, c) that occur twice or more.
 
     A pair that occurs once has one table whatever the weights.
     """
-    again = pairs.where("c > 1")
     weights = facts.select("h", (F.col("open") * (F.col("c") + THETA)).alias("room"),
                            F.pow(F.lit(10.0), "lp").alias("p"), "c")
     chosen = weights.join(top.select("h"), "h", "left_semi")
-    both = _looked_up(_looked_up(again, "u", weights, chosen, "room"), "v", weights, chosen, "p")
+    both = _looked_up(_looked_up(pairs, "u", weights, chosen, "room"), "v", weights, chosen, "p")
 
     def run(batches):
         for batch in gathered(batches):
@@ -495,105 +654,82 @@ def seat_pairs(pairs: DataFrame, facts: DataFrame, top: DataFrame, d: float) ->
                 [*batch.columns[:3], pa.array(last), pa.array(mean)],
                 names=["u", "v", "c", "last", "mean"])
 
-    seated = map_batches(both.select("u", "v", "c", (F.col("room") * F.col("p")).alias("weight")),
-                         run, "u long, v long, c long, last long, mean double")
-    single = pairs.where("c = 1").withColumns({"last": F.lit(1).cast("long"),
-                                               "mean": F.lit(1.0)})
-    return saved(seated, "seated").unionByName(single)
+    return map_batches(both.select("u", "v", "c", (F.col("room") * F.col("p")).alias("weight")),
+                       run, "u long, v long, c long, last long, mean double")
 
 
-def _customers(types: DataFrame, seats: DataFrame) -> DataFrame:
-    """Words with their customers (tables of all contexts) and own contexts' tables."""
-    customers = seats.groupBy(F.col("v").alias("h")).agg(F.sum("last").alias("customers"))
-    fan = seats.groupBy(F.col("u").alias("h")).agg(F.sum("mean").alias("fan"))
-    return saved(types.join(customers, "h").join(fan, "h"), "customers")
+def _customers(words: DataFrame, more: DataFrame) -> DataFrame:
+    """Words (w, h, c) with their customers (tables of all contexts) and own contexts'
+    tables, summed from (h, customers, fan); held-out words have none."""
+    sums = more.groupBy("h").agg(F.sum("customers").alias("customers"), F.sum("fan").alias("fan"))
+    return words.join(sums, "h", "left").fillna(0, ["customers", "fan"])
 
 
 # -- scoring -------------------------------------------------------------------
 
-BLOCKS = ("block long, kind int, i int, k long, doc_ids array<long>, n_tokens array<long>, "
-          "facts binary, first binary, second binary, at binary")
 DOCS = ("doc_id long, n_tokens long, n_known long, base_score double, score double, "
         "event_score double")
-HEAD, WORD, PAIR = 0, 1, 2
+COUNT, MEAN, FACT = "count", "mean", "fact"
+ANSWERS = "block long, kind string, part int, m int, a binary, b binary, c binary"
 
 
-def _blocks(docs: DataFrame, top, model: WordModel, block_bytes: int) -> DataFrame:
-    """Rows of blocks of texts: a head with the texts' tokens as pairs of word numbers
-    and what is known of the words, a row per word that is not shared and per pair."""
-    shared = Shared(docs.sparkSession, (top, model))
+def unseen_words(words: DataFrame, model: WordModel) -> DataFrame:
+    """(h, c, lp, open) of words (w, h) that training texts have not."""
+    shared = Shared(words.sparkSession, model)
 
     def run(batches):
-        (keys, *known), model = shared.value
-        words, part, number = Words(), TaskContext.get().partitionId(), 0
-        schema = pa.schema([
-            ("block", pa.int64()), ("kind", pa.int32()), ("i", pa.int32()), ("k", pa.int64()),
-            *((c, pa.list_(pa.int64())) for c in ("doc_ids", "n_tokens")),
-            *((c, pa.binary()) for c in ("facts", "first", "second", "at"))])
-
-        def place(h):
-            k = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
-            return k, keys[k] == h if len(keys) else np.zeros(len(h), bool)
-
-        def fresh():
-            return {"ids": [], "sizes": [], "rare": Vocabulary(), "tokens": [], "held": 0}
+        model = shared.value
+        for batch in gathered(batches):
+            data, offs = string_buffer(batch.column(0))
+            n = batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(1), pa.array(np.zeros(n, np.int64)),
+                 pa.array(model.unseen(data, offs[:-1], offs[1:])), pa.array(np.ones(n))],
+                names=["h", "c", "lp", "open"])
 
-        def asked(block, kind, i, k):
-            for a in range(0, len(i), 50_000):
-                n = len(i[a:a + 50_000])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, block)), pa.array(np.full(n, kind, np.int32)),
-                     pa.array(i[a:a + n].astype(np.int32)),
-                     pa.array(k[a:a + n].view(np.int64)),
-                     *(pa.nulls(n, f.type) for f in list(schema)[4:])], schema=schema)
+    return map_batches(words.select("w", "h"), run, "h long, c long, lp double, open double")
 
-        def emit(st):
-            nonlocal number
-            block = (part << 32) + number
-            number += 1
-            uniq, first, second, at = token_pairs(np.concatenate(st["tokens"]), words.end)
-            # count, log10 probability and share of new tables; unseen words for a start
-            facts = np.zeros((3, len(uniq)))
-            k, ok = place(uniq)
-            facts[:, ok] = [x[k[ok]] for x in known]
-            rare = np.flatnonzero(~ok)
-            if len(rare):
-                data, offs = string_buffer(st["rare"].merged()[2])
-                facts[1, rare] = model.unseen(data, offs[:-1], offs[1:])
-                facts[2, rare] = 1.0
-            yield pa.RecordBatch.from_pylist([{
-                "block": block, "kind": HEAD, "i": 0, "k": 0,
-                "doc_ids": [x for p in st["ids"] for x in p],
-                "n_tokens": np.concatenate(st["sizes"]), "facts": facts.astype("<f8").tobytes(),
-                "first": first.astype("<i4").tobytes(), "second": second.astype("<i4").tobytes(),
-                "at": at.astype("<i4").tobytes()}], schema=schema)
-            yield from asked(block, WORD, rare, uniq[rare])
-            yield from asked(block, PAIR, np.arange(len(first)),
-                             pair_key(uniq[first], uniq[second]))
 
-        st = fresh()
+def word_asks(heads: DataFrame, parts: int) -> DataFrame:
+    """(block, part, m, keys): the blocks' words by key range."""
+    def run(batches):
         for batch in batches:
-            data, offs = string_buffer(batch.column(1))
-            for a, b in slices(offs):
-                low, s, e, row, h = words(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
-                st["tokens"].append(words.in_order(row, h, b - a))
-                st["sizes"].append(row_counts(row, b - a) + 1)
-                st["ids"].append(batch.column(0).slice(a, b - a).to_pylist())
-                # each text's end token is one more word, empty
-                uniq, at = np.unique(np.append(h, words.end), return_index=True)
-                s, e = np.append(s, 0), np.append(e, 0)
-                at = at[~place(uniq)[1]]
-                if len(at):
-                    st["rare"].add(np.append(h, words.end)[at], np.ones(len(at), np.int64),
-                                   gather_bytes(low, s[at], e[at]))
-                st["held"] += int(offs[b] - offs[a])
-                if st["held"] >= block_bytes:
-                    yield from emit(st)
-                    st = fresh()
-        if st["tokens"]:
-            yield from emit(st)
-
-    return docs.select("doc_id", "text").transform(map_batches, run, BLOCKS)
+            for row in batch.to_pylist():
+                hashes = unpacked_keys(row["hashes"], row["n_words"])
+                got = [(row["block"], p, b - a, packed_keys(hashes[a:b]))
+                       for p, a, b in key_ranges(hashes, parts)]
+                for a in range(0, len(got), 100):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x, t) for x, t in zip(zip(*got[a:a + 100]), (
+                            pa.int64(), pa.int32(), pa.int32(), pa.binary()))],
+                        names=["block", "part", "m", "keys"])
+
+    return heads.select("block", "n_words", "hashes").transform(
+        map_batches, run, "block long, part int, m int, keys binary")
+
+
+def answers(asks: DataFrame, table: DataFrame, kind: str, parts: int) -> DataFrame:
+    """The columns of ``table`` (k, and up to three more) for the keys that blocks ask
+    for, by key range; every key asked for is in the table."""
+    names = [c for c in table.columns if c != "k"]
+
+    def run(asked: pa.Table, rows: pa.Table) -> pa.Table:
+        key = rows.column("k").to_numpy().view(U)
+        order = np.argsort(key)
+        key = key[order]
+        values = [rows.column(c).to_numpy()[order] for c in names]
+        out = []
+        for r in asked.to_pylist():
+            at = np.searchsorted(key, unpacked_keys(r["keys"], r["m"]))
+            out.append({"block": r["block"], "kind": kind, "part": r["part"], "m": r["m"]} | {
+                c: packed(x[at]) for c, x in zip("abc", values)})
+        return pa.Table.from_pylist(out, schema=pa.schema([
+            ("block", pa.int64()), ("kind", pa.string()), ("part", pa.int32()),
+            ("m", pa.int32()), *((c, pa.binary()) for c in "abc")]))
+
+    return asks.groupBy("part").cogroup(
+        table.withColumn("part", part_of("k", parts)).groupBy("part")) \
+        .applyInArrow(trimmed(run), ANSWERS)
 
 
 def most_frequent(words: DataFrame, most: int) -> DataFrame:
@@ -610,103 +746,130 @@ def most_frequent(words: DataFrame, most: int) -> DataFrame:
     return words.where(level >= cut)
 
 
-class Block:
-    """A block's head, which answers are put into."""
-
-    def __init__(self, batch, at: int):
-        self.ids, self.sizes = (batch.column(c)[at].values for c in ("doc_ids", "n_tokens"))
-
-        def numbers(name, kind):
-            return np.frombuffer(batch.column(name)[at].as_py(), kind)
-        self.facts = numbers("facts", "<f8").reshape(3, -1).copy()
-        self.first, self.second, self.at = (numbers(c, "<i4") for c in ("first", "second", "at"))
-        self.left = np.zeros(len(self.first))
+def block_scores(head: Head, answers: pa.Table, d: float, tokens: int, types: int,
+                 unknown: float) -> pa.Table:
+    """A block's texts, scored by what was answered of its pairs and words."""
+    c, lp, share = answered(answers, FACT, {"a": np.int64, "b": float, "c": float})
+    of_pair = answered(answers, COUNT, {"a": np.int64})[0] >> 1
+    head.keys = None
+    seat = np.where(of_pair > 0, of_pair - d, 0.0)
+    again = np.flatnonzero(of_pair > 1)
+    seat[again] = of_pair[again] - d * answered(answers, MEAN, {"a": float})[0]
+    del of_pair, again
+    seat /= THETA + c[head.first]
+    known = c[head.second] > 0
+    share = np.log10(share)[head.first]
+    back = share + lp[head.second]
+    score = 10.0 ** back
+    score += seat
+    np.log10(np.maximum(score, 1e-300, out=score), out=score)
+    score = np.where(seat > 0, score, back)
+    del back, seat
+    start = np.cumsum(head.sizes) - head.sizes
+
+    def total(of_pair):
+        return np.add.reduceat(of_pair[head.at], start)
+
+    return pa.Table.from_arrays(
+        [pa.array(head.doc_ids, pa.int64()), pa.array(head.sizes),
+         pa.array(total(known.astype(np.int64))),
+         pa.array(total(np.log10((c + 1.0) / (tokens + types + 1.0))[head.second])),
+         pa.array(total(score)),
+         # an unseen word has no seat in any context
+         pa.array(total(np.where(known, score, share + unknown)))],
+        names=["doc_id", "n_tokens", "n_known", "base_score", "score", "event_score"])
 
-    def answers(self, batch) -> None:
-        kind, i = (batch.column(c).to_numpy() for c in ("kind", "i"))
-        word, pair = np.flatnonzero(kind == WORD), np.flatnonzero(kind == PAIR)
-        if len(word):
-            self.facts[:, i[word]] = [batch.column(c).take(pa.array(word)).to_numpy()
-                                      for c in ("c", "lp", "open")]
-        if len(pair):
-            self.left[i[pair]] = batch.column("left").take(pa.array(pair)).to_numpy()
 
-    def scores(self, tokens: int, types: int, unknown: float):
-        c, lp, share = self.facts
-        doc = np.repeat(np.arange(len(self.sizes)), self.sizes.to_numpy())
-        seat = self.left / (THETA + c[self.first])
-
-        def total(of_pair):
-            return np.bincount(doc, weights=of_pair[self.at], minlength=len(self.sizes))
-
-        def in_context(lp):
-            back = np.log10(share[self.first]) + lp[self.second]
-            return np.where(seat > 0, np.log10(np.maximum(seat + 10.0 ** back, 1e-300)), back)
-        base = np.log10((c + 1.0) / (tokens + types + 1.0))
-        return pa.RecordBatch.from_arrays(
-            [self.ids, self.sizes, pa.array(total(c[self.second] > 0).astype(np.int64)),
-             pa.array(total(base[self.second])), pa.array(total(in_context(lp))),
-             pa.array(total(in_context(np.where(c > 0, lp, unknown))))],
-            names=["doc_id", "n_tokens", "n_known", "base_score", "score", "event_score"])
+@dataclass
+class Fit:
+    """Saved tables and numbers of a learned model; ``words`` also has held-out words."""
+    heads: DataFrame
+    counted: DataFrame
+    again: DataFrame
+    seated: DataFrame
+    words: DataFrame
+    facts: DataFrame
+    top: DataFrame
+    discount: float
+    model: WordModel
+    tokens: int
+    types: int
+    parts: int
+
+
+def fitted(docs: DataFrame, block_bytes: int, shared_words: int, kept: Kept) -> Fit:
+    heads, words = kept.saved_by(text_blocks(docs, block_bytes), "blocks", "kind",
+                                 [HEADS, WORDS])
+    n = heads.count()
+    # a range holds about as many pairs as a quarter of a block, of very many blocks a block
+    parts = max(min(4 * n, max(n, 512)), 1)
+    types = kept.saved(hashed(words.groupBy("w").agg(F.sum("n").alias("c"))), "types")
+    kept.drop(words)
+    tokens, n_types = types.agg(F.sum("c"), F.sum((F.col("c") > 0).cast("long"))).first()
+    counted, again = kept.saved_by(pair_counts(heads, parts), "counted", "kind", [COUNTS, AGAIN])
+    d = discount(*(int(x or 0) for x in counted.agg(F.sum("once"), F.sum("twice")).first()))
+    pairs, sums = kept.saved_by(owned_pairs(heads, counted), "owned", "kind", [AGAIN, SUMS])
+
+    def restaurant(words, start):
+        seen = words.where("customers > 0")
+        model = train(seen.select("w", F.col("customers").alias("c")), start)
+        facts = kept.saved(word_scores(seen, model, d), "scored")
+        return facts, most_frequent(facts, shared_words), model
+    words = kept.saved(_customers(types, sums.select(
+        F.col("u").alias("h"), F.col("v").alias("customers"),
+        F.col("c").cast("double").alias("fan"))), "customers")
+    kept.drop(types, sums)
+    facts, top, model = restaurant(words, None)
+    seated = kept.saved(seat_pairs(pairs, facts, top, d), "seated")
+    kept.drop(pairs, facts)
+    # what pairs have beyond the one table of the first round
+    more = seated.select(F.col("v").alias("h"), (F.col("last") - 1).alias("customers"),
+                         F.lit(0.0).alias("fan")).unionByName(
+        seated.select(F.col("u").alias("h"), F.lit(0).cast("long").alias("customers"),
+                      (F.col("mean") - 1).alias("fan")))
+    first, words = words, kept.saved(_customers(
+        words.withColumnsRenamed({"customers": "was", "fan": "had"}), more).select(
+            "w", "h", "c", (F.col("was") + F.col("customers")).alias("customers"),
+            (F.col("had") + F.col("fan")).alias("fan")), "customers")
+    kept.drop(first)
+    facts, top, model = restaurant(words, model)
+    return Fit(heads, counted, again, seated, words, facts, top, d, model, int(tokens or 0),
+               int(n_types or 0), parts)
 
 
 def learned(docs: DataFrame, block_bytes: int, shared_words: int):
     """(word facts, shared words, seated pairs, their discount, word model, tokens, types)."""
-    types = saved(hashed(saved(count_words(docs, block_bytes), "words")), "types")
-    pairs = saved(count_pairs(docs, block_bytes), "pairs")
-    tokens, n = types.agg(F.sum("c"), F.count("*")).first()
-    once, twice = (int(x or 0) for x in pairs.agg(
-        *(F.sum((F.col("c") == k).cast("long")) for k in (1, 2))).first())
-    d = discount(once, twice)
-
-    def restaurant(seats, start):
-        words = _customers(types, seats)
-        model = train(words.select("w", F.col("customers").alias("c")), start)
-        facts = saved(word_scores(words, model, d), "scored")
-        return facts, most_frequent(facts, shared_words), model
-    facts, top, model = restaurant(pairs.withColumns(
-        {"last": F.lit(1).cast("long"), "mean": F.lit(1.0)}), None)
-    seats = seat_pairs(pairs, facts, top, d)
-    facts, top, model = restaurant(seats, model)
-    return facts, top, seats, d, model, int(tokens or 0), int(n)
+    fit = fitted(docs, block_bytes, shared_words, Kept(docs.sparkSession))
+    single = owned_pairs(fit.heads, fit.counted, single=True).where(F.col("kind") == AGAIN) \
+        .drop("kind").withColumns({"last": F.lit(1).cast("long"), "mean": F.lit(1.0)})
+    return (fit.facts, fit.top, fit.seated.unionByName(single), fit.discount, fit.model,
+            fit.tokens, fit.types)
 
 
 def score_texts(docs: DataFrame, shared_words: int = 1 << 17,
                 block_bytes: int = 16 << 20) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score, event_score) of
     documents (doc_id, text, train), learned from those with ``train``."""
-    facts, top, seats, d, model, tokens, types = learned(docs, block_bytes, shared_words)
-    got = top.select("h", "c", "lp", "open").toArrow()
-    keys = got.column("h").to_numpy().view(U)
-    order = np.argsort(keys)
-    table = (keys[order], *(got.column(c).to_numpy()[order].astype(float)
-                            for c in ("c", "lp", "open")))
-    blocks = saved(_blocks(docs, table, model, block_bytes), "blocks")
-    spelt = facts.agg(F.sum("spelt")).first()[0] or 0.0
-    unknown = float(np.log10(max(1 - spelt, 1e-9)) + model.new_mass)
-    left = seats.select(F.expr(PAIR_KEY).alias("k"),
-                        (F.col("c") - d * F.col("mean")).alias("left"))
-    found = [blocks.where(F.col("kind") == kind).select("block", "kind", "i", "k")
-             .join(by, "k").drop("k") for kind, by in (
-                 (WORD, facts.select(F.col("h").alias("k"), "c", "lp", "open")), (PAIR, left))]
-    rows = blocks.where(F.col("kind") == HEAD).drop("k")
-    for x in found:
-        rows = rows.unionByName(x, allowMissingColumns=True)
-
-    def finish(batches):
-        block = None
-        for batch in batches:
-            heads = np.flatnonzero(batch.column("kind").to_numpy() == HEAD)
-            for a, b in zip([-1, *heads], [*heads, batch.num_rows]):
-                if a >= 0:
-                    if block is not None:
-                        yield block.scores(tokens, types, unknown)
-                    block = Block(batch, a)
-                if b > a + 1:
-                    block.answers(batch.slice(a + 1, b - a - 1))
-        if block is not None:
-            yield block.scores(tokens, types, unknown)
-
-    return rows.repartition("block").sortWithinPartitions("block", "kind", "i") \
-        .transform(map_batches, finish, DOCS).withColumn("train_tokens",
-                                                         F.lit(tokens).cast("long"))
+    kept = Kept(docs.sparkSession)
+    with kept:
+        fit = fitted(docs, block_bytes, shared_words, kept)
+        d, tokens, types, parts = fit.discount, fit.tokens, fit.types, fit.parts
+        means = kept.saved(answers(
+            fit.again.select("block", "part", "m", F.col("data").alias("keys")),
+            fit.seated.select(F.expr(PAIR_KEY).alias("k"), "mean"), MEAN, parts), "means")
+        kept.drop(fit.seated, fit.again)
+        known = fit.facts.select(F.col("h").alias("k"), "c", "lp", "open").unionByName(
+            unseen_words(fit.words.where("c = 0"), fit.model).withColumnRenamed("h", "k"))
+        facts = kept.saved(answers(word_asks(fit.heads, parts), known, FACT, parts), "facts")
+        spelt = fit.facts.agg(F.sum("spelt")).first()[0] or 0.0
+        unknown = float(np.log10(max(1 - spelt, 1e-9)) + fit.model.new_mass)
+        kept.drop(fit.words, fit.facts)
+    got = counts_as_answers(fit.counted).unionByName(means, allowMissingColumns=True) \
+        .unionByName(facts, allowMissingColumns=True)
+
+    def finish(heads: pa.Table, got: pa.Table) -> pa.Table:
+        return block_scores(Head(heads.to_pylist()[0]), got, d, tokens, types, unknown)
+
+    return fit.heads.select("block", "doc_ids", "n_tokens", "n_words", "hashes", "tokens") \
+        .groupBy("block").cogroup(got.groupBy("block")).applyInArrow(trimmed(finish), DOCS)\
+        .withColumn("train_tokens", F.lit(tokens).cast("long"))
